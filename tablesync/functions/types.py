@@ -102,6 +102,6 @@ def cursor_to_text(value: Column, data_type: T.DataType) -> Column:
     return value.cast("string")
 
 
-def cursor_literal(text: str | None, data_type: T.DataType) -> Column:
-    """The typed literal of a stored cursor; no cursor means the start of the type."""
-    return minimum_literal(data_type) if text is None else F.lit(text).cast(data_type)
+def cursor_literal(text: str, data_type: T.DataType) -> Column:
+    """The typed literal of a stored cursor."""
+    return F.lit(text).cast(data_type)

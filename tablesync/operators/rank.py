@@ -14,7 +14,8 @@ def values_at_ranks(values: DataFrame, by: list[str], value: str, ranks: DataFra
     """The value at each 0-based rank in ascending order, per group.
 
     `values` has the `by` columns and a BIGINT `value`; `ranks` has the `by` columns, a `name` and a
-    BIGINT `rank` below the group's row count. Gives `(*by, name, <value>)`.
+    BIGINT `rank` below the group's row count. Gives `(*by, name, <value>, rank)`, where the rank is
+    now the place among the rows of that value.
 
     Every level counts rows per digit, which combines on the map side, and keeps only the digit that
     holds the wanted rank. Three passes over two columns replace a shuffle and sort of all rows, and
@@ -44,4 +45,4 @@ def values_at_ranks(values: DataFrame, by: list[str], value: str, ranks: DataFra
             )
         )
         previous = shift
-    return wanted.select(*by, "name", F.col("_prefix").alias(value))
+    return wanted.select(*by, "name", F.col("_prefix").alias(value), "rank")

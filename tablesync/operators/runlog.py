@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import progress_percent
+from tablesync.operators.versions import newest
 
 # Fixed value: an event without a phase counts as this one.
 DEFAULT_PHASE = "extracting"
@@ -41,11 +42,7 @@ def progress_events(progress: DataFrame) -> DataFrame:
 
 def latest_progress(progress: DataFrame) -> DataFrame:
     """The last event of every table of every job, in log order; blank table names are skipped."""
-    key = ["job_id", "table"]
-    rest = [c for c in progress.columns if c not in (*key, "timestamp", "seq")]
-    last = F.max(F.struct("timestamp", "seq", *rest)).alias("_last")
-    found = progress.where(_named(F.col("table"))).groupBy(*key).agg(last)
-    return found.select(*key, *[F.col("_last")[c].alias(c) for c in progress.columns if c not in key])
+    return newest(progress.where(_named(F.col("table"))), ["job_id", "table"], ["timestamp", "seq"])
 
 
 def table_status(jobs: DataFrame, results: DataFrame, progress: DataFrame) -> DataFrame:

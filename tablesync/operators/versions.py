@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,13 +30,15 @@ def join_on_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
 def newest(table: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the greatest by `order`, then by all remaining columns, so that ties are fixed.
 
-    One struct is both the sort order and the row that is kept, and `max` over it is reduced on the
-    map side, so a key with a third of all rows leaves each task as one row.
+    Spark cuts each key to its first row before the shuffle as well as after it, so a key with a third
+    of all rows leaves each task as one row.
     """
     rest = [c for c in table.columns if c not in keys and c not in order]
-    row = F.struct(*order, *rest)
-    picked = table.groupBy(*keys).agg(F.max(row).alias("_row"))
-    return picked.select(*[c if c in keys else F.col("_row")[c].alias(c) for c in table.columns])
+    if not [*order, *rest]:
+        return table.dropDuplicates()
+    first = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in (*order, *rest)])
+    ranked = table.withColumn("_rank", F.row_number().over(first))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
 def current_view(
@@ -55,24 +57,24 @@ def current_view(
         return table.dropDuplicates()
     if version is None:
         raise ValueError("a keyed current view needs a version column")
-    if not [c for c in table.columns if c not in keys]:
-        return table.dropDuplicates()
     order = [c for c in (version, batch) if c is not None and c not in keys]
     return newest(table, keys, order)
 
 
-def merge_current(base: DataFrame, pending: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The newest rows of a base with one row per key and of later versions.
+def split_current(
+    base: DataFrame, pending: DataFrame, keys: list[str], order: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The newest rows of a base with one row per key and of later versions, in two parts.
 
-    The base is not shuffled as long as the changed keys are few: its untouched rows pass an anti
-    join and only the rows with a changed key are compared. Whether the changed keys are broadcast is
-    decided at run time by their measured size; beyond the threshold both joins shuffle.
+    The first part is the base without the changed keys, the second the newest row of each changed
+    key. The base is not shuffled as long as the changed keys are few: only rows with such a key are
+    compared. Whether the keys are broadcast is decided by their size against Spark's threshold;
+    beyond it both joins shuffle, and as both sides hold a key once, no task gets a hot key.
     """
-    changes = newest(pending, keys, order)
-    touched = changes.select(*keys)
+    touched = pending.select(*keys).distinct()
     untouched = join_on_key(base, touched, keys, "left_anti")
     contested = join_on_key(base, touched, keys, "left_semi")
-    return untouched.unionByName(newest(contested.unionByName(changes), keys, order))
+    return untouched, newest(contested.unionByName(pending), keys, order)
 
 
 def version_stats(table: DataFrame, keys: list[str]) -> DataFrame:

@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tablesync.functions.text import IDENTIFIER_PATTERN
-from tablesync.functions.types import minimum_literal
 from tablesync.operators.schema import conform
 from tablesync.plans.spec import TableSpec, validate_specs
 from tablesync.sinks.append import append_rows, create_if_absent
@@ -171,8 +170,7 @@ def ingest_table(
                 if spec.limit:
                     # Any `limit` rows may be loaded; the oldest leave nothing behind the cursor.
                     full = conform(source.table(spec.name))
-                    start = minimum_literal(rows.schema[spec.polling.delta_column].dataType)
-                    rows = scan_since(full, spec.polling.delta_column, start, spec.limit, inclusive=True)
+                    rows = scan_since(full, spec.polling.delta_column, None, spec.limit)
                 batch_id = versions.cursor().batch_id + 1
                 stored = versions.append(rows, batch_id)
                 count, last_seen = stored.rows, stored.last_seen

@@ -92,12 +92,19 @@ def delta_topn_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT * FROM lineitem WHERE l_shipdate <=
-        (SELECT max(l_shipdate) FROM (SELECT l_shipdate FROM lineitem ORDER BY l_shipdate LIMIT 200000))
+        (SELECT max(l_shipdate) FROM (SELECT l_shipdate FROM lineitem ORDER BY l_shipdate LIMIT 20000))
     """
 )
 def delta_large_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A limit too large for a top-n: the cut is found by rank, without sorting rows."""
-    return scan_since(read(spark, sf_dir, "lineitem"), "l_shipdate", instant("1970-01-01 00:00:00"), 200_000)
+    return scan_since(read(spark, sf_dir, "lineitem"), "l_shipdate", None, 20_000)
+
+
+@query("SELECT * FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20000")
+def delta_large_limit_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly so many of the oldest rows; only the rows at the cut are sorted."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return scan_since(read(spark, sf_dir, "lineitem"), "l_shipdate", None, 20_000, order, ties="strict")
 
 
 @query("SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-20' AND ts <= TIMESTAMP '2024-01-25'")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.functions.sampling import Draws
+from tablesync.sources.scan import lowest_rows
 
 # The words of the sample tables.
 USER_STATUS = ("active", "inactive", "pending", "suspended")
@@ -143,8 +144,9 @@ def add_rows(spark: SparkSession, after: int, n_orders: int, n_events: int, now:
 
 def random_rows(table: DataFrame, key: str, n: int, seed: str) -> DataFrame:
     """`n` rows in a random order that the seed fixes."""
-    rank = F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
-    return table.orderBy(rank, key).limit(n)
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
+    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return lowest_rows(table, number, [digest, key], n)
 
 
 def update_severity(table: DataFrame, n: int, now: str, seed: str) -> DataFrame:

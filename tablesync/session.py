@@ -18,6 +18,7 @@ def build_session(app_name: str = "tablesync", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.maxConcurrentOutputFileWriters": "16",
         "spark.sql.session.timeZone": "UTC",
         "spark.scheduler.mode": "FAIR",
     }

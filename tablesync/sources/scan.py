@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 from tablesync.functions.types import minimum_literal
 from tablesync.operators.rank import values_at_ranks
 
-# Up to this limit the cut of a delta scan is found with a top-n of one column; above it by rank.
-TOP_N_ROWS = 100_000
+# Up to this limit rows are found with a top-n, for which every task hands at most as many rows to one
+# last task. Above it the cut is found by rank, in which no task sees more than counts.
+TOP_N_ROWS = 10_000
 
 NTZ_EPOCH_TEXT = "1970-01-01 00:00:00"
 
@@ -23,7 +24,7 @@ def scan_table(table: DataFrame, limit: int | None = 0) -> DataFrame:
 def scan_since(
     table: DataFrame,
     delta: str,
-    last_seen: Column,
+    last_seen: Column | None,
     limit: int | None = 0,
     keys: list[str] | None = None,
     ties: str = "keep",
@@ -33,30 +34,49 @@ def scan_since(
 
     `ties="keep"` also takes the rows that share the delta of the last row taken, so that no row is
     lost when the cursor moves there. `ties="strict"` stops at exactly `limit` rows, in the order of
-    the delta and then of `keys`. A NULL delta never matches.
+    the delta and then of `keys`. A NULL delta never matches; without a cursor all others do.
     """
-    after = F.col(delta) >= last_seen if inclusive else F.col(delta) > last_seen
-    rows = table.where(after)
+    if ties not in ("keep", "strict"):
+        raise ValueError("ties must be 'keep' or 'strict'")
+    value = F.col(delta)
+    if last_seen is None:
+        rows = table.where(value.isNotNull())
+    else:
+        rows = table.where(value >= last_seen if inclusive else value > last_seen)
     if not limit:
         return rows
+    data_type = rows.schema[delta].dataType
+    number = _as_bigint(value, data_type)
     if ties == "strict":
-        return rows.orderBy(delta, *(keys or [])).limit(limit)
-    if ties != "keep":
-        raise ValueError("ties must be 'keep' or 'strict'")
-    return rows.where(F.col(delta) <= _cut(rows, delta, limit).scalar())
+        return lowest_rows(rows, number, [delta, *(keys or [])], limit)
+    if limit <= TOP_N_ROWS or number is None:
+        cut = rows.select(delta).orderBy(delta).limit(limit).agg(F.max(delta))
+    else:
+        cut = _rank_cut(rows, number, limit).select(_from_bigint(F.col("_number"), data_type))
+    return rows.where(value <= cut.scalar())
 
 
-def _cut(rows: DataFrame, delta: str, limit: int) -> DataFrame:
-    """The delta of the `limit`-th oldest row (the last one when there are fewer), as one row."""
-    data_type = rows.schema[delta].dataType
-    number = _as_bigint(F.col(delta), data_type)
+def lowest_rows(rows: DataFrame, number: Column | None, order: list, limit: int) -> DataFrame:
+    """Exactly the first `limit` rows by `order`, whose first column rises with the BIGINT `number`.
+
+    A large limit is not sorted: rows below the cut are taken as they are and only those at the cut
+    are put in order.
+    """
     if limit <= TOP_N_ROWS or number is None:
-        return rows.select(delta).orderBy(delta).limit(limit).agg(F.max(delta))
-    rank = F.least(F.count(delta), F.lit(limit).cast("bigint")) - 1
-    ranks = rows.agg(rank.alias("rank")).select(F.lit(0).alias("_all"), F.lit("cut").alias("name"), "rank")
+        return rows.orderBy(*order).limit(limit)
+    cut = _rank_cut(rows, number, limit).first()
+    if cut is None:
+        return rows.limit(0)
+    at_cut = rows.where(number == cut["_number"]).orderBy(*order).limit(cut["rank"] + 1)
+    return rows.where(number < cut["_number"]).unionByName(at_cut)
+
+
+def _rank_cut(rows: DataFrame, number: Column, limit: int) -> DataFrame:
+    """One row: the number of the `limit`-th lowest row, or of the last, and its place among its equals."""
     numbers = rows.select(F.lit(0).alias("_all"), number.alias("_number"))
-    cut = values_at_ranks(numbers, ["_all"], "_number", ranks)
-    return cut.agg(_from_bigint(F.max("_number"), data_type))
+    last = F.least(F.count("_number"), F.lit(limit).cast("bigint")) - 1
+    ranks = numbers.groupBy("_all").agg(last.alias("rank")).select("_all", F.lit("cut").alias("name"), "rank")
+    return values_at_ranks(numbers, ["_all"], "_number", ranks)
 
 
 def _ntz_epoch() -> Column:
@@ -73,10 +93,9 @@ def _as_bigint(value: Column, data_type: T.DataType) -> Column | None:
     if isinstance(data_type, T.TimestampNTZType):
         # Through an interval, so that no session time zone takes part.
         since = value - _ntz_epoch()
-        day, hour, minute, second = (
-            F.extract(F.lit(part), since).cast("decimal(20,6)") for part in ("DAY", "HOUR", "MINUTE", "SECOND")
-        )
-        return ((((day * 24 + hour) * 60 + minute) * 60 + second) * 1_000_000).cast("bigint")
+        day, hour, minute = (F.extract(F.lit(part), since).cast("bigint") for part in ("DAY", "HOUR", "MINUTE"))
+        micros = (F.extract(F.lit("SECOND"), since) * 1_000_000).cast("bigint")
+        return ((day * 24 + hour) * 60 + minute) * 60_000_000 + micros
     return None
 
 

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.types import cursor_literal, cursor_to_text
-from tablesync.operators.versions import bucket_of, current_view, merge_current, newest
+from tablesync.operators.versions import bucket_of, newest, split_current
 from tablesync.sinks.append import check_schema, create_if_absent, nullable
 
 CURSOR_SCHEMA = (
@@ -27,8 +26,8 @@ class Cursor:
     last_seen: str | None = None
     batch_id: int = -1
 
-    def literal(self, data_type: T.DataType) -> Column:
-        return cursor_literal(self.last_seen, data_type)
+    def literal(self, data_type: T.DataType) -> Column | None:
+        return None if self.last_seen is None else cursor_literal(self.last_seen, data_type)
 
 
 @dataclass(frozen=True)
@@ -71,6 +70,11 @@ class VersionLog:
         """The key, or all columns when the table has none."""
         return self.keys or self.schema.fieldNames()
 
+    @property
+    def _order(self) -> list[str]:
+        """Versions that tie go to the later batch."""
+        return [c for c in (self.version, "_batch_id") if c not in self.row_key]
+
     @property
     def _version_type(self) -> T.DataType:
         return self.schema[self.version].dataType
@@ -80,19 +84,32 @@ class VersionLog:
     def append(self, rows: DataFrame, batch_id: int) -> Appended:
         """Store one batch and tell, from the same pass, its row count and greatest version."""
         check_schema(rows.schema, self.schema)
+        names = self.schema.fieldNames()
+        bucketed = rows.select(*names, bucket_of(self.row_key, self.buckets).alias("_bucket"))
+        greatest = cursor_to_text(F.max(self.version), self._version_type).alias("last_seen")
         seen = Observation()
-        greatest = cursor_to_text(F.max(self.version), self._version_type)
-        counted = rows.select(*self.schema.fieldNames()).observe(
-            seen, F.count(F.lit(1)).alias("rows"), greatest.alias("last_seen")
+        self._write(
+            self._by_bucket(bucketed).observe(seen, F.count(F.lit(1)).alias("rows"), greatest),
+            f"{self.root}/log/_batch_id={batch_id}",
         )
-        bucketed = counted.withColumn("_bucket", bucket_of(self.row_key, self.buckets))
-        if self.buckets > 1:
-            # Brings a bucket's rows together to write few files; at run time large buckets are split
-            # over tasks and small ones merged, so a hot key does not make one slow task.
-            bucketed = bucketed.hint("rebalance", F.col("_bucket"))
-        bucketed.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.root}/log/_batch_id={batch_id}")
         return Appended(int(seen.get["rows"]), seen.get["last_seen"])
 
+    def _by_bucket(self, rows: DataFrame) -> DataFrame:
+        """Bring the rows of a bucket together, so that few files are written.
+
+        At run time large buckets are split over tasks and small ones merged: a hot key makes no slow
+        task. What is observed comes after this step, in the stage that writes, whose tasks count
+        once even when an executor is lost.
+        """
+        return rows.hint("rebalance", F.col("_bucket")) if self.buckets > 1 else rows
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        """Write rows under their `_bucket`, in place of what the path held."""
+        if self.buckets == 1:
+            rows.drop("_bucket").write.mode("overwrite").parquet(f"{path}/_bucket=0")
+            return
+        rows.write.mode("overwrite").partitionBy("_bucket").parquet(path)
+
     # -- cursor ----------------------------------------------------------------------------------
 
     def cursor(self) -> Cursor:
@@ -105,16 +122,16 @@ class VersionLog:
         never skips one. Two slots take turns: while one is rewritten the other still holds the
         cursor before it, and the table of cursors stays at two rows.
         """
-        row = (
-            self.name,
-            self.version,
-            last_seen,
-            self._version_type.simpleString(),
-            batch_id,
-            datetime.now(timezone.utc),
-        )
-        cursor = self.spark.createDataFrame([row], CURSOR_SCHEMA).coalesce(1)
-        cursor.write.mode("overwrite").parquet(f"{self.root}/cursor/slot={batch_id % 2}")
+        values = {
+            "table": F.lit(self.name),
+            "delta_column": F.lit(self.version),
+            "last_seen": F.lit(last_seen).cast("string"),
+            "last_seen_type": F.lit(self._version_type.simpleString()),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+            "committed_at": F.current_timestamp(),
+        }
+        row = self.spark.range(0, 1, 1, 1).select(*[value.alias(name) for name, value in values.items()])
+        row.write.mode("overwrite").parquet(f"{self.root}/cursor/slot={batch_id % 2}")
 
     # -- reading ---------------------------------------------------------------------------------
 
@@ -161,17 +178,11 @@ class VersionLog:
         names = self.schema.fieldNames()
         manifest = self.manifest()
         versions = self.versions()
-        if not self.keys:
-            rows = versions.select(*names)
-            if manifest:
-                pending = versions.where(F.col("_batch_id") > manifest[0][2]).select(*names)
-                rows = self._base(manifest).select(*names).unionByName(pending)
-            return current_view(rows, None)
         if not manifest:
-            return current_view(versions.drop("_bucket"), self.keys, self.version, "_batch_id").select(*names)
+            return newest(versions, self.row_key, self._order).select(*names)
         pending = versions.where(F.col("_batch_id") > manifest[0][2])
-        order = [c for c in (self.version, "_batch_id") if c not in self.keys]
-        return merge_current(self._base(manifest), pending, self.keys, order).select(*names)
+        untouched, changed = split_current(self._base(manifest), pending, self.row_key, self._order)
+        return untouched.unionByName(changed).select(*names)
 
     # -- compaction ------------------------------------------------------------------------------
 
@@ -193,11 +204,14 @@ class VersionLog:
         last = max(row["last"] for row in found)
         pending = pending.where(F.col("_batch_id") <= last)
 
-        order = [c for c in (self.version, "_batch_id") if c not in self.row_key]
-        rows = newest(self._base(manifest, changed).unionByName(pending), [*self.row_key, "_bucket"], order)
-        if self.buckets > 1:
-            rows = rows.hint("rebalance", F.col("_bucket"))
-        rows.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.root}/base/_generation={generation}")
+        if manifest:
+            base = self._base(manifest, changed)
+            untouched, resolved = split_current(base, pending, self.row_key, self._order)
+            # Rows read from one bucket's files go back to that bucket, so only the others move.
+            rows = untouched.unionByName(self._by_bucket(resolved))
+        else:
+            rows = self._by_bucket(newest(pending, self.row_key, self._order))
+        self._write(rows, f"{self.root}/base/_generation={generation}")
 
         kept = [(bucket, held) for bucket, held, _ in manifest if bucket not in changed]
         entries = [(b, g, last) for b, g in kept] + [(b, generation, last) for b in sorted(changed)]
