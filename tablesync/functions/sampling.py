@@ -38,12 +38,12 @@ class Draws:
         return (self.uniform() * F.lit(float(scale)) + F.lit(float(start))).cast("decimal(10,2)")
 
     def pick(self, *words: str) -> Column:
-        """One of the words, chosen by the rounded draw; the last one is the ELSE branch."""
-        index = self.whole(len(words) - 1)
-        chosen = F.when(index == 0, words[0])
-        for i, word in enumerate(words[1:-1], start=1):
-            chosen = chosen.when(index == i, word)
-        return chosen.otherwise(words[-1])
+        """One of the words, chosen by the rounded draw.
+
+        A lookup in a constant array, in which the draw is worked out once; as a CASE it would be
+        worked out again in every branch.
+        """
+        return F.element_at(F.array(*[F.lit(w) for w in words]), self.whole(len(words) - 1) + 1)
 
     def before(self, anchor: Column, days: int) -> Column:
         """A time up to `days` days before the anchor."""

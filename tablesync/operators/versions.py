@@ -37,8 +37,8 @@ def newest(table: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     if not [*order, *rest]:
         return table.dropDuplicates()
     first = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in (*order, *rest)])
-    ranked = table.withColumn("_rank", F.row_number().over(first))
-    return ranked.where(F.col("_rank") == 1).drop("_rank")
+    ranked = table.withColumn("_version_rank", F.row_number().over(first))
+    return ranked.where(F.col("_version_rank") == 1).drop("_version_rank")
 
 
 def current_view(
@@ -110,9 +110,13 @@ def classify_changes(delta: DataFrame, current: DataFrame, keys: list[str], vers
 
 
 def late_rows(source: DataFrame, target: DataFrame, keys: list[str], delta: str, cursor: Column) -> DataFrame:
-    """Source rows at or before the cursor whose version never reached the target."""
+    """Source rows at or before the cursor whose version never reached the target.
+
+    The target's versions are made distinct first: copies combine on the map side, so that many
+    copies of one version do not meet in one task of the join.
+    """
     passed = source.where(F.col(delta) <= cursor)
-    seen = target.select(*keys, delta)
+    seen = target.where(F.col(delta) <= cursor).select(*keys, delta).distinct()
     return join_on_key(passed, seen, [*keys, delta], "left_anti")
 
 

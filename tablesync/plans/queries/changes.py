@@ -192,7 +192,7 @@ def snapshot_with_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = VersionLog(spark, scratch_dir(spark, "union"), rows.schema, ["o_orderkey"], "o_orderdate", 1, "orders")
     log.append(rows, 0)
     log.append(rows.where("o_orderstatus = 'P'"), 1)
-    return log.versions().drop("_bucket").withColumnRenamed("_batch_id", "batch")
+    return log.versions().withColumnRenamed("_batch_id", "batch")
 
 
 _SQL_EARLY = newest_sql(

@@ -53,6 +53,21 @@ def columns_of(spark: SparkSession, tables: dict[str, DataFrame], schema: str =
     return spark.createDataFrame(rows, COLUMNS_SCHEMA)
 
 
+def with_source_types(table: DataFrame, columns: DataFrame) -> DataFrame:
+    """The table with each field marked by the source type its catalog names, for `conform` to map.
+
+    `columns` is the catalog cut to this one table. A driver may have read a type as something near
+    it, such as a uuid as text, so the catalog has the last word.
+    """
+    known = {r["column_name"]: r["data_type"] for r in columns.select("column_name", "data_type").collect()}
+    return table.select(
+        *[
+            F.col(f"`{c}`").alias(c, metadata={"src_type": known[c]}) if c in known else F.col(f"`{c}`")
+            for c in table.columns
+        ]
+    )
+
+
 def session_tables(spark: SparkSession, database: str) -> DataFrame:
     """The tables of a Spark catalog database in the shape `list_tables` reads."""
     found = spark.sql(f"SHOW TABLES IN {database}").where(~F.col("isTemporary"))

@@ -9,7 +9,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.sources.catalog import primary_key_columns
+from tablesync.sources.catalog import primary_key_columns, with_source_types
 
 
 class Source(Protocol):
@@ -57,18 +57,44 @@ class CatalogSource:
         return list(self.keys.get(name, []))
 
 
+def jdbc_catalog_conf(name: str, url: str, **options: str) -> dict[str, str]:
+    """Session settings that make a database a Spark catalog.
+
+    Tables read as `<name>.<schema>.<table>` through `CatalogSource` have filters, limits, top-n and
+    MAX computed by the database.
+    """
+    prefix = f"spark.sql.catalog.{name}"
+    settings = {prefix: "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog", f"{prefix}.url": url}
+    pushed = {"pushDownAggregate": "true", "pushDownLimit": "true", "preferTimestampNTZ": "true"}
+    return settings | {f"{prefix}.{k}": v for k, v in {**pushed, **options}.items()}
+
+
+def block_slices(pages: int, slices: int) -> list[str]:
+    """Predicates that cut a PostgreSQL table into runs of disk pages, one task each.
+
+    Pages hold about equally many bytes whatever the values in the table are, so no value can make a
+    slice large. The page count may be out of date: the last slice is open.
+    """
+    step = max(1, -(-pages // slices))
+    starts = list(range(0, max(pages, 1), step))
+    lower = [f"ctid >= '({start},0)'::tid" for start in starts]
+    upper = [f" AND ctid < '({start},0)'::tid" for start in starts[1:]] + [""]
+    return [low + up for low, up in zip(lower, upper)]
+
+
 @dataclass(frozen=True)
 class JdbcSource:
-    """Tables of a database, read in parallel slices of a numeric or time column.
+    """Tables of a database, read by many connections at once.
 
-    Filters, limits, top-n and MAX reach the database through Spark's JDBC pushdown. Without a slice
-    column a table is read by one connection, so a large table should name one.
+    A table is cut by the value range of its `slice_column`, or, if it is named in `block_tables`, by
+    runs of disk pages. Without either it is read by one connection, so a large table should have one.
     """
 
     spark: SparkSession
     url: str
     schema: str = "public"
     slice_column: Mapping[str, str] = field(default_factory=dict)
+    block_tables: frozenset[str] = frozenset()
     slices: int = 16
     fetch_size: int = 10_000
     properties: Mapping[str, str] = field(default_factory=dict)
@@ -95,13 +121,27 @@ class JdbcSource:
     def _read(self, options: dict[str, str]) -> DataFrame:
         return self.spark.read.format("jdbc").options(**options).load()
 
+    def _pages(self, options: dict[str, str]) -> int:
+        query = f"SELECT relpages FROM pg_class WHERE oid = '{options['dbtable']}'::regclass"
+        return self._read({**options, "dbtable": f"({query}) p"}).first()[0]
+
     def table(self, name: str) -> DataFrame:
+        schema, _, table = name.rpartition(".")
+        mine = (F.col("table_schema") == (schema or self.schema)) & (F.col("table_name") == table)
+        return with_source_types(self._rows(name), self.columns().where(mine))
+
+    def _rows(self, name: str) -> DataFrame:
+        options = self.options(name)
+        if name in self.block_tables:
+            slices = block_slices(self._pages(options), self.slices)
+            table = options.pop("dbtable")
+            return self.spark.read.jdbc(options.pop("url"), table, predicates=slices, properties=options)
         if name not in self.slice_column:
-            return self._read(self.options(name))
+            return self._read(options)
         column = F.col(self.slice_column[name])
-        ends = self._read(self.options(name)).agg(F.min(column), F.max(column)).first()
+        ends = self._read(options).agg(F.min(column), F.max(column)).first()
         if ends is None or ends[0] is None:
-            return self._read(self.options(name))
+            return self._read(options)
         return self._read(self.options(name, (ends[0], ends[1])))
 
     def columns(self) -> DataFrame:

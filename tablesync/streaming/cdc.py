@@ -42,7 +42,7 @@ def poll_once(
     last_seen = cursor.literal(rows.schema[log.version].dataType)
     delta = scan_since(rows, log.version, last_seen, limit, log.row_key, ties, inclusive)
     batch_id = cursor.batch_id + 1
-    stored = log.append(delta, batch_id)
+    stored = log.append(delta, batch_id, few=True)
     if stored.rows == 0:
         return PollResult(0, batch_id, cursor.last_seen)
     log.commit(stored.last_seen, batch_id)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,14 +40,15 @@ class Appended:
 class VersionLog:
     """The stored versions of one table.
 
-        <root>/log/_batch_id=<b>/_bucket=<k>        every batch as it came
-        <root>/base/_generation=<g>/_bucket=<k>     one row per key, written by compaction
-        <root>/manifest/_generation=<g>             which generation holds each bucket
-        <root>/cursor/slot=<0|1>                    the last two cursors
+        <root>/log/_batch_id=<b>                   every batch as it came
+        <root>/base/_generation=<g>/_bucket=<k>    one row per key, written by compaction
+        <root>/manifest/_generation=<g>            which generation holds each bucket
+        <root>/cursor/slot=<0|1>                   the last two cursors
 
-    A batch is written with overwrite to its own path, so a replayed batch replaces itself whole. The
-    bucket is a hash of the key. It lets compaction rewrite changed buckets only; with `buckets=1` a
-    batch is written without a shuffle.
+    A batch is written with overwrite to its own path, so a replayed batch replaces itself whole. Once
+    a cursor is committed, readers and compaction see the batches up to it and no half-written one.
+    The bucket is a hash of the key, by which compaction rewrites only what changed. A log has one
+    writer at a time.
     """
 
     spark: SparkSession
@@ -57,13 +58,10 @@ class VersionLog:
     version: str
     buckets: int = 1
     name: str = "table"
-    _parts: list[T.StructField] = field(
-        default_factory=lambda: [
-            T.StructField("_batch_id", T.LongType()),
-            T.StructField("_bucket", T.IntegerType()),
-        ],
-        repr=False,
-    )
+    def __post_init__(self):
+        reserved = {"_batch_id", "_bucket", "_generation"} & set(self.schema.fieldNames())
+        if reserved:
+            raise ValueError(f"column names kept for the log: {', '.join(sorted(reserved))}")
 
     @property
     def row_key(self) -> list[str]:
@@ -81,35 +79,24 @@ class VersionLog:
 
     # -- writing ---------------------------------------------------------------------------------
 
-    def append(self, rows: DataFrame, batch_id: int) -> Appended:
-        """Store one batch and tell, from the same pass, its row count and greatest version."""
+    def append(self, rows: DataFrame, batch_id: int, few: bool = False) -> Appended:
+        """Store one batch and tell, from the same pass, its row count and greatest version.
+
+        A snapshot is written as it is read, without a shuffle. `few` says that few of the rows read
+        are left, as in a poll: they are brought together first, or every task would write a tiny
+        file. What is observed comes after that step, in the stage that writes, whose tasks count once
+        even when an executor is lost.
+        """
         check_schema(rows.schema, self.schema)
-        names = self.schema.fieldNames()
-        bucketed = rows.select(*names, bucket_of(self.row_key, self.buckets).alias("_bucket"))
-        greatest = cursor_to_text(F.max(self.version), self._version_type).alias("last_seen")
+        batch = rows.select(*self.schema.fieldNames())
+        if few:
+            batch = batch.hint("rebalance")
         seen = Observation()
-        self._write(
-            self._by_bucket(bucketed).observe(seen, F.count(F.lit(1)).alias("rows"), greatest),
-            f"{self.root}/log/_batch_id={batch_id}",
-        )
+        greatest = cursor_to_text(F.max(self.version), self._version_type).alias("last_seen")
+        observed = batch.observe(seen, F.count(F.lit(1)).alias("rows"), greatest)
+        observed.write.mode("overwrite").parquet(f"{self.root}/log/_batch_id={batch_id}")
         return Appended(int(seen.get["rows"]), seen.get["last_seen"])
 
-    def _by_bucket(self, rows: DataFrame) -> DataFrame:
-        """Bring the rows of a bucket together, so that few files are written.
-
-        At run time large buckets are split over tasks and small ones merged: a hot key makes no slow
-        task. What is observed comes after this step, in the stage that writes, whose tasks count
-        once even when an executor is lost.
-        """
-        return rows.hint("rebalance", F.col("_bucket")) if self.buckets > 1 else rows
-
-    def _write(self, rows: DataFrame, path: str) -> None:
-        """Write rows under their `_bucket`, in place of what the path held."""
-        if self.buckets == 1:
-            rows.drop("_bucket").write.mode("overwrite").parquet(f"{path}/_bucket=0")
-            return
-        rows.write.mode("overwrite").partitionBy("_bucket").parquet(path)
-
     # -- cursor ----------------------------------------------------------------------------------
 
     def cursor(self) -> Cursor:
@@ -135,8 +122,9 @@ class VersionLog:
 
     # -- reading ---------------------------------------------------------------------------------
 
+    @property
     def _stored_schema(self) -> T.StructType:
-        return T.StructType([*nullable(self.schema).fields, *self._parts])
+        return nullable(self.schema).add("_batch_id", T.LongType())
 
     def _control(self, name: str, columns: str, part: str) -> DataFrame:
         """A control table: a few rows under one partition column, empty until first written."""
@@ -144,14 +132,16 @@ class VersionLog:
         create_if_absent(self.spark, f"{self.root}/{name}", schema, [part])
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
-    def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self._stored_schema())
-
     def versions(self) -> DataFrame:
-        """Every stored version, with its `_batch_id` and `_bucket`."""
-        schema = self._stored_schema()
-        create_if_absent(self.spark, f"{self.root}/log", schema, ["_batch_id", "_bucket"])
-        return self.spark.read.schema(schema).parquet(f"{self.root}/log").select(*schema.fieldNames())
+        """Every stored version, with its `_batch_id`."""
+        create_if_absent(self.spark, f"{self.root}/log", self._stored_schema, ["_batch_id"])
+        return self.spark.read.schema(self._stored_schema).parquet(f"{self.root}/log")
+
+    def _pending(self, through: int) -> DataFrame:
+        """Versions of the batches after `through`, up to the cursor if there is one."""
+        versions = self.versions().where(F.col("_batch_id") > through)
+        committed = self.cursor().batch_id
+        return versions if committed < 0 else versions.where(F.col("_batch_id") <= committed)
 
     def manifest(self) -> list[tuple[int, int, int]]:
         """`(bucket, generation, through_batch)` of the newest generation: one entry per bucket."""
@@ -161,7 +151,8 @@ class VersionLog:
         return [(r["bucket"], r["generation"], r["through_batch"]) for r in rows]
 
     def _base(self, manifest: list[tuple[int, int, int]], only: set[int] | None = None) -> DataFrame:
-        """The compacted rows, of all buckets or some."""
+        """The compacted rows with their `_bucket`, of all buckets or some."""
+        schema = self._stored_schema.add("_bucket", T.IntegerType())
         base = f"{self.root}/base"
         paths = [
             f"{base}/_generation={generation}/_bucket={bucket}"
@@ -169,19 +160,18 @@ class VersionLog:
             if only is None or bucket in only
         ]
         if not paths:
-            return self._empty()
-        files = self.spark.read.schema(self._stored_schema()).option("basePath", base).parquet(*paths)
-        return files.select(*self._stored_schema().fieldNames())
+            return self.spark.createDataFrame([], schema)
+        files = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        return files.select(*schema.fieldNames())
 
     def current(self) -> DataFrame:
         """The newest version of every key: the compacted base with the batches since merged in."""
         names = self.schema.fieldNames()
         manifest = self.manifest()
-        versions = self.versions()
         if not manifest:
-            return newest(versions, self.row_key, self._order).select(*names)
-        pending = versions.where(F.col("_batch_id") > manifest[0][2])
-        untouched, changed = split_current(self._base(manifest), pending, self.row_key, self._order)
+            return newest(self._pending(-1), self.row_key, self._order).select(*names)
+        base = self._base(manifest).drop("_bucket")
+        untouched, changed = split_current(base, self._pending(manifest[0][2]), self.row_key, self._order)
         return untouched.unionByName(changed).select(*names)
 
     # -- compaction ------------------------------------------------------------------------------
@@ -194,9 +184,9 @@ class VersionLog:
         """
         manifest = self.manifest()
         generation = max((g for _, g, _ in manifest), default=-1) + 1
-        through = manifest[0][2] if manifest else -1
-        pending = self.versions().where(F.col("_batch_id") > through)
-        # At most one entry per bucket and batch comes back, read off partition paths.
+        pending = self._pending(manifest[0][2] if manifest else -1)
+        pending = pending.withColumn("_bucket", bucket_of(self.row_key, self.buckets))
+        # At most one row per bucket comes back.
         found = pending.groupBy("_bucket").agg(F.max("_batch_id").alias("last")).collect()
         if not found:
             return generation - 1
@@ -211,10 +201,19 @@ class VersionLog:
             rows = untouched.unionByName(self._by_bucket(resolved))
         else:
             rows = self._by_bucket(newest(pending, self.row_key, self._order))
-        self._write(rows, f"{self.root}/base/_generation={generation}")
+        path = f"{self.root}/base/_generation={generation}"
+        if self.buckets == 1:
+            rows.drop("_bucket").write.mode("overwrite").parquet(f"{path}/_bucket=0")
+        else:
+            rows.write.mode("overwrite").partitionBy("_bucket").parquet(path)
 
         kept = [(bucket, held) for bucket, held, _ in manifest if bucket not in changed]
         entries = [(b, g, last) for b, g in kept] + [(b, generation, last) for b in sorted(changed)]
         entry_table = self.spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1)
         entry_table.write.mode("overwrite").parquet(f"{self.root}/manifest/_generation={generation}")
         return generation
+
+    def _by_bucket(self, rows: DataFrame) -> DataFrame:
+        """Bring the rows of a bucket together, so that few files are written. At run time large
+        buckets are split over tasks and small ones merged."""
+        return rows.hint("rebalance", F.col("_bucket")) if self.buckets > 1 else rows

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.types import cursor_literal, cursor_to_text
+from tablesync.operators.schema import conform
 from tablesync.operators.rank import values_at_ranks
 from tablesync.sources import scan
 from tablesync.sources.scan import high_watermark, scan_since, scan_table, write_delta_layout
@@ -130,6 +131,12 @@ def test_delta_filter_and_cut_reach_the_scan(spark):
     assert "Python" not in plan
 
 
+def test_the_delta_filter_passes_the_casts_of_conform(spark):
+    events = conform(spark.read.parquet(f"{DATA}/sf0.001/events.parquet"))
+    plan = plan_of(scan_since(events, "ts", F.lit("2024-01-20").cast("timestamp_ntz")))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts,2024-01-20T00:00)]" in plan
+
+
 def test_delta_layout_skips_files_and_splits_a_hot_delta(spark, folder):
     rows = spark.range(0, 4000, 1, 8).select(
         "id", F.when(F.col("id") % 3 == 0, 1000).otherwise(F.col("id")).cast("bigint").alias("d")

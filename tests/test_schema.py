@@ -9,8 +9,23 @@ from pyspark.sql import types as T
 from tablesync.functions.text import cursor_text, pretty_size, progress_percent, redact_url, uuid_text, valid_identifier
 from tablesync.functions.types import TYPE_MAP
 from tablesync.operators.schema import build_ddl, conform, conform_lenient, map_types, schema_diff, target_type, unsupported_columns
-from tablesync.sources.catalog import COLUMNS_SCHEMA, columns_of, list_tables, primary_key_columns, session_tables, table_counts
-from tablesync.sources.tables import CatalogSource, FileSource, JdbcSource, jdbc_sink_options
+from tablesync.sources.catalog import (
+    COLUMNS_SCHEMA,
+    columns_of,
+    list_tables,
+    primary_key_columns,
+    session_tables,
+    table_counts,
+    with_source_types,
+)
+from tablesync.sources.tables import (
+    CatalogSource,
+    FileSource,
+    JdbcSource,
+    block_slices,
+    jdbc_catalog_conf,
+    jdbc_sink_options,
+)
 
 
 def values(spark, rows, ddl, column):
@@ -207,3 +222,27 @@ def test_jdbc_options(spark):
     assert [options[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == ["id", "1", "100", "4"]
     assert "partitionColumn" not in source.options("audit.t") and source.options("audit.t")["dbtable"] == "audit.t"
     assert jdbc_sink_options("u", "t") == {"url": "u", "dbtable": "t", "batchsize": "500", "numPartitions": "4"}
+
+
+def test_block_slices_cover_every_page_once():
+    assert block_slices(0, 4) == ["ctid >= '(0,0)'::tid"]
+    slices = block_slices(10, 4)
+    assert slices[0] == "ctid >= '(0,0)'::tid AND ctid < '(3,0)'::tid"
+    assert slices[-1] == "ctid >= '(9,0)'::tid" and len(slices) == 4
+
+
+def test_jdbc_catalog_conf():
+    conf = jdbc_catalog_conf("src", "jdbc:postgresql://h/d", user="u")
+    assert conf["spark.sql.catalog.src.url"] == "jdbc:postgresql://h/d" and conf["spark.sql.catalog.src.user"] == "u"
+
+
+def test_the_catalog_names_the_source_types(spark):
+    table = spark.createDataFrame([("A0EEBC99-9C0B-4EF8-BB6D-6BB9BD380A11", 1, "x")], "u string, n int, s string")
+    columns = spark.createDataFrame([("public", "t", "u", "uuid", 1), ("public", "t", "n", "smallint", 2)], COLUMNS_SCHEMA)
+    found = conform(with_source_types(table, columns))
+    assert found.schema.simpleString() == "struct<u:string,n:smallint,s:string>"
+    assert found.first()["u"] == "a0eebc99-9c0b-4ef8-bb6d-6bb9bd380a11"
+    assert "src_type" not in found.schema["n"].metadata
+    money = spark.createDataFrame([("public", "t", "s", "money", 3)], COLUMNS_SCHEMA)
+    with pytest.raises(ValueError, match="unsupported column type money for column s"):
+        conform(with_source_types(table, money))

@@ -194,19 +194,42 @@ def test_log_refuses_a_changed_schema(spark, log):
         log.append(spark.createDataFrame([(1, 2)], "k int, v int"), 0)
 
 
-def test_a_hot_key_is_spread_over_write_tasks(spark, folder):
-    rows = spark.range(0, 200_000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("int").alias("k"),
-        F.col("id").cast("int").alias("v"),
+def test_readers_see_batches_up_to_the_cursor(spark, log):
+    log.append(batch(spark, (1, 1, "a")), 0)
+    log.commit("1", 0)
+    log.append(batch(spark, (1, 2, "b")), 1)
+    assert rows_of(log.current()) == [(1, 1, "a")]
+    log.compact()
+    assert log.manifest()[0][2] == 0
+    log.commit("2", 1)
+    assert rows_of(log.current()) == [(1, 2, "b")]
+    log.compact()
+    assert rows_of(log.current()) == [(1, 2, "b")]
+
+
+def test_a_snapshot_is_written_as_read_and_a_poll_in_few_files(spark, folder):
+    rows = spark.range(0, 8000, 1, 8).selectExpr("CAST(id AS INT) AS k", "CAST(id AS INT) AS v", "'x' AS p")
+    log = VersionLog(spark, folder, rows.schema, ["k"], "v", 4, "t")
+    log.append(rows, 0)
+    log.append(rows.where("k % 100 = 0"), 1, few=True)
+    files = log.versions().groupBy("_batch_id", F.input_file_name().alias("f")).count().groupBy("_batch_id").count()
+    assert rows_of(files) == [(0, 8), (1, 1)]
+
+
+def test_a_large_bucket_is_spread_over_write_tasks(spark, folder):
+    rows = spark.range(0, 100_000, 1, 8).select(
+        F.col("id").cast("int").alias("k"), F.col("id").cast("int").alias("v"),
         F.sha2(F.col("id").cast("string"), 256).alias("p"),
-    )
+    )
     size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
     try:
         log = VersionLog(spark, folder, rows.schema, ["k"], "v", 2, "t")
         log.append(rows, 0)
+        log.compact()
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
-    files = spark.read.parquet(f"{folder}/log").where("k = -1").groupBy("_metadata.file_path").count()
-    assert files.count() > 2
-    assert log.current().count() == 200_000 - 66_667 + 1
+    files = spark.read.parquet(f"{folder}/base").groupBy("_bucket", F.input_file_name()).count()
+    per_bucket = rows_of(files.groupBy("_bucket").count())
+    assert len(per_bucket) == 2 and all(n > 1 for _, n in per_bucket)
+    assert log.current().count() == 100_000
