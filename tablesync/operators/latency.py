@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.operators.rank import values_at_ranks
+from tablesync.session import settle
 
 # The reported percentiles.
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99, "p999": 0.999}
@@ -47,7 +48,7 @@ def latency_percentiles(durations: DataFrame) -> DataFrame:
         F.min("duration_ns").alias("min_ns"),
         F.max("duration_ns").alias("max_ns"),
     )
-    ends = ends.where("n > 0")
+    ends = settle(ends.where("n > 0"), "latency")
     index = [
         F.struct(
             F.lit(label).alias("name"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablesync.session import settle
+
 # A value is found 20 bits at a time. Below the first level a prefix has at most 2^20 cells, so the
 # running counts of one prefix always fit a task, however many rows the group holds.
 DIGIT_SHIFTS = (40, 20, 0)
@@ -19,11 +21,13 @@ def values_at_ranks(values: DataFrame, by: list[str], value: str, ranks: DataFra
 
     Every level counts rows per digit, which combines on the map side, and keeps only the digit that
     holds the wanted rank. Three passes over two columns replace a shuffle and sort of all rows, and
-    a group with a third of the rows costs its tasks no more than any other.
+    a group with a third of the rows costs its tasks no more than any other. What a level found is
+    written down, a row per wanted rank, so that the next one reads the values once and is joined
+    with a table of known size.
     """
     # No NULL ever enters a count, because a rank counts only values.
     rows = values.where(F.col(value).isNotNull()).select(*by, value)
-    wanted = ranks.select(*by, "name", "rank", F.lit(0).cast("bigint").alias("_prefix"))
+    wanted = settle(ranks.select(*by, "name", "rank", F.lit(0).cast("bigint").alias("_prefix")), "ranks")
     previous = None
     for shift in DIGIT_SHIFTS:
         prefix = F.lit(0).cast("bigint") if previous is None else F.shiftright(value, previous)
@@ -44,5 +48,6 @@ def values_at_ranks(values: DataFrame, by: list[str], value: str, ranks: DataFra
                 F.col("_digit").alias("_prefix"),
             )
         )
+        wanted = settle(wanted, "ranks")
         previous = shift
     return wanted.select(*by, "name", F.col("_prefix").alias(value), "rank")

@@ -6,6 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# The most bytes of key values that are sent to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def dedup_key(keys: list[str]) -> Column:
@@ -27,6 +31,20 @@ def join_on_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     return joined if how in ("left_semi", "left_anti") else joined.drop(*names.values())
 
 
+def broadcast_if_small(table: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The table marked for broadcast if its measured values fit, else as it is.
+
+    Spark's own estimate of what is left after a filter is the size of the whole input, so it would
+    shuffle a large table to meet a few rows.
+    """
+    width = F.lit(0).cast("bigint")
+    for field in table.schema:
+        varies = isinstance(field.dataType, (T.StringType, T.BinaryType))
+        width = width + (F.coalesce(F.octet_length(field.name), F.lit(0)) if varies else F.lit(16))
+    measured = table.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(table) if measured <= most_bytes else table
+
+
 def newest(table: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the greatest by `order`, then by all remaining columns, so that ties are fixed.
 
@@ -68,10 +86,10 @@ def split_current(
 
     The first part is the base without the changed keys, the second the newest row of each changed
     key. The base is not shuffled as long as the changed keys are few: only rows with such a key are
-    compared. Whether the keys are broadcast is decided by their size against Spark's threshold;
-    beyond it both joins shuffle, and as both sides hold a key once, no task gets a hot key.
+    compared. The keys are measured first; too many of them make both joins shuffle, and as both
+    sides hold a key once, no task gets a hot key.
     """
-    touched = pending.select(*keys).distinct()
+    touched = broadcast_if_small(pending.select(*keys).distinct())
     untouched = join_on_key(base, touched, keys, "left_anti")
     contested = join_on_key(base, touched, keys, "left_semi")
     return untouched, newest(contested.unionByName(pending), keys, order)
@@ -97,10 +115,10 @@ def soft_delete_filter(current: DataFrame, deleted_at: str = "deleted_at") -> Da
 def classify_changes(delta: DataFrame, current: DataFrame, keys: list[str], version: str) -> DataFrame:
     """The delta with a `change` column: `insert`, `update`, or `unchanged` when it is not newer.
 
-    The current table is first cut to the keys of the delta, so it is only shuffled when those keys
-    are too many to broadcast.
+    The current table is first cut to the keys of the delta, which are measured, so it is only
+    shuffled when those keys are too many to broadcast.
     """
-    touched = delta.select(*keys).distinct()
+    touched = broadcast_if_small(delta.select(*keys).distinct())
     known = current.select(*keys, F.col(version).alias("_known"), F.lit(True).alias("_found"))
     known = join_on_key(known, touched, keys, "left_semi")
     joined = join_on_key(delta, known, keys, "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "tablesync", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,3 +39,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tablesync-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(table: DataFrame, label: str) -> DataFrame:
+    """The table written to the shared folder and read back.
+
+    What comes after starts from the written rows: they are not worked out again, survive lost
+    executors, and have a file size by which Spark picks its joins.
+    """
+    path = scratch_dir(table.sparkSession, label)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

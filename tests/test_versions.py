@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tablesync.operators import versions
 from tablesync.operators.versions import (
     classify_changes,
     compare_tables,
@@ -207,6 +208,27 @@ def test_readers_see_batches_up_to_the_cursor(spark, log):
     assert rows_of(log.current()) == [(1, 2, "b")]
 
 
+def test_the_base_is_not_shuffled_to_meet_a_few_changes(spark, folder):
+    rows = spark.range(0, 50_000, 1, 4).selectExpr("CAST(id AS INT) AS k", "CAST(id AS INT) AS v", "repeat('x', 50) AS p")
+    log = VersionLog(spark, folder, rows.schema, ["k"], "v", 4, "t")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        log.append(rows, 0)
+        log.commit("1", 0)
+        log.compact()
+        log.append(rows.where("k < 10"), 1)
+        log.commit("2", 1)
+        plan = plan_of(log.current())
+        assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
+        # Beyond the bound the joins shuffle, with the same rows.
+        touched = versions.broadcast_if_small(rows.select("k"), most_bytes=100)
+        assert "SortMergeJoin" in plan_of(rows.join(touched, "k", "left_semi"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert log.current().count() == 50_000
+
+
 def test_a_snapshot_is_written_as_read_and_a_poll_in_few_files(spark, folder):
     rows = spark.range(0, 8000, 1, 8).selectExpr("CAST(id AS INT) AS k", "CAST(id AS INT) AS v", "'x' AS p")
     log = VersionLog(spark, folder, rows.schema, ["k"], "v", 4, "t")
