@@ -57,7 +57,8 @@ def latency_percentiles(durations: DataFrame) -> DataFrame:
         for label, p in PERCENTILES.items()
     ]
     group = "_group"
-    ranks = ends.select(F.col("name").alias(group), F.inline(F.array(*index)))
+    ends_of = [F.col("min_ns").cast("bigint").alias("low"), F.col("max_ns").cast("bigint").alias("high")]
+    ranks = ends.select(F.col("name").alias(group), *ends_of, F.inline(F.array(*index)))
     values = durations.select(F.col("name").alias(group), F.col("duration_ns").cast("bigint").alias("duration_ns"))
     found = values_at_ranks(values, [group], "duration_ns", ranks)
     wide = found.groupBy(group).agg(

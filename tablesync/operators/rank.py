@@ -7,29 +7,32 @@ from pyspark.sql import functions as F
 
 from tablesync.session import settle
 
-# A value is found 20 bits at a time. Below the first level a prefix has at most 2^20 cells, so the
-# running counts of one prefix always fit a task, however many rows the group holds.
-DIGIT_SHIFTS = (40, 20, 0)
+# A value is found 20 bits at a time. A prefix then has at most 2^20 cells (2^24 at the top of the
+# widest range), so the running counts of one prefix fit a task, however many rows the group holds.
+DIGIT_BITS = 20
 
 
 def values_at_ranks(values: DataFrame, by: list[str], value: str, ranks: DataFrame) -> DataFrame:
     """The value at each 0-based rank in ascending order, per group.
 
-    `values` has the `by` columns and a BIGINT `value`; `ranks` has the `by` columns, a `name` and a
-    BIGINT `rank` below the group's row count. Gives `(*by, name, <value>, rank)`, where the rank is
-    now the place among the rows of that value.
+    `values` has the `by` columns and a BIGINT `value`; `ranks` has the `by` columns, a `name`, a
+    BIGINT `rank` below the group's row count, and the group's least and greatest value as `low` and
+    `high`. Gives `(*by, name, <value>, rank)`, where the rank is now the place among the rows of
+    that value.
 
     Every level counts rows per digit, which combines on the map side, and keeps only the digit that
-    holds the wanted rank. Three passes over two columns replace a shuffle and sort of all rows, and
-    a group with a third of the rows costs its tasks no more than any other. What a level found is
-    written down, a row per wanted rank, so that the next one reads the values once and is joined
-    with a table of known size.
+    holds the wanted rank. Two or three passes over two columns replace a shuffle and sort of all
+    rows, and a group with a third of the rows costs its tasks no more than any other. What a level
+    found is written down, a row per wanted rank, so that the next one reads the values once and is
+    joined with a table of known size.
     """
+    start = ranks.select(*by, "name", "rank", F.lit(0).cast("bigint").alias("_prefix"), "low", "high")
+    wanted = settle(start, "ranks")
+    least, shifts = _levels(*wanted.agg(F.min("low"), F.max("high")).first())
     # No NULL ever enters a count, because a rank counts only values.
-    rows = values.where(F.col(value).isNotNull()).select(*by, value)
-    wanted = settle(ranks.select(*by, "name", "rank", F.lit(0).cast("bigint").alias("_prefix")), "ranks")
+    rows = values.where(F.col(value).isNotNull()).select(*by, (F.col(value) - F.lit(least)).alias(value))
     previous = None
-    for shift in DIGIT_SHIFTS:
+    for shift in shifts:
         prefix = F.lit(0).cast("bigint") if previous is None else F.shiftright(value, previous)
         cells = rows.select(*by, prefix.alias("_prefix"), F.shiftright(value, shift).alias("_digit"))
         if previous is not None:
@@ -38,16 +41,21 @@ def values_at_ranks(values: DataFrame, by: list[str], value: str, ranks: DataFra
         cells = cells.groupBy(*by, "_prefix", "_digit").agg(F.count("*").alias("_rows"))
         order = Window.partitionBy(*by, "_prefix").orderBy("_digit")
         cells = cells.withColumn("_end", F.sum("_rows").over(order))
-        wanted = (
-            wanted.join(cells, [*by, "_prefix"])
-            .where((F.col("rank") < F.col("_end")) & (F.col("rank") >= F.col("_end") - F.col("_rows")))
-            .select(
-                *by,
-                "name",
-                (F.col("rank") - (F.col("_end") - F.col("_rows"))).alias("rank"),
-                F.col("_digit").alias("_prefix"),
-            )
-        )
-        wanted = settle(wanted, "ranks")
+        before = F.col("_end") - F.col("_rows")
+        found = wanted.join(cells, [*by, "_prefix"]).where((F.col("rank") < F.col("_end")) & (F.col("rank") >= before))
+        found = found.select(*by, "name", (F.col("rank") - before).alias("rank"), F.col("_digit").alias("_prefix"))
+        wanted = settle(found, "ranks")
         previous = shift
-    return wanted.select(*by, "name", F.col("_prefix").alias(value), "rank")
+    return wanted.select(*by, "name", (F.col("_prefix") + F.lit(least)).alias(value), "rank")
+
+
+def _levels(low: int | None, high: int | None) -> tuple[int, list[int]]:
+    """What to subtract from every value, and how far each level shifts the rest."""
+    if low is None or high is None:
+        return 0, [0]
+    bits = (high - low).bit_length()
+    if bits > 62:
+        # The difference would not fit; signed values are shifted as they are.
+        return 0, [2 * DIGIT_BITS, DIGIT_BITS, 0]
+    levels = max(1, -(-bits // DIGIT_BITS))
+    return low, [DIGIT_BITS * i for i in reversed(range(min(levels, 3)))]

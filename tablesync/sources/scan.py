@@ -75,7 +75,9 @@ def _rank_cut(rows: DataFrame, number: Column, limit: int) -> DataFrame:
     """One row: the number of the `limit`-th lowest row, or of the last, and its place among its equals."""
     numbers = rows.select(F.lit(0).alias("_all"), number.alias("_number"))
     last = F.least(F.count("_number"), F.lit(limit).cast("bigint")) - 1
-    ranks = numbers.groupBy("_all").agg(last.alias("rank")).select("_all", F.lit("cut").alias("name"), "rank")
+    ranks = numbers.groupBy("_all").agg(
+        F.lit("cut").alias("name"), last.alias("rank"), F.min("_number").alias("low"), F.max("_number").alias("high")
+    )
     return values_at_ranks(numbers, ["_all"], "_number", ranks)
 
 

@@ -65,8 +65,9 @@ def test_values_at_ranks_with_a_group_of_most_rows(spark):
         F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("g"),
         ((F.col("id") * 7919) % 1009 * F.lit(10).cast("bigint") ** 9 - 10**11).cast("bigint").alias("v"),
     )
-    ranks = rows.groupBy("g").agg(F.count("*").alias("n")).select(
-        "g", F.inline(F.array(*[
+    ends = [F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")]
+    ranks = rows.groupBy("g").agg(*ends).select(
+        "g", "low", "high", F.inline(F.array(*[
             F.struct(F.lit(n).alias("name"), F.floor(F.col("n") * F.lit(p)).cast("bigint").alias("rank"))
             for n, p in (("first", 0.0), ("mid", 0.5), ("last", 0.9999))
         ]))
@@ -78,6 +79,16 @@ def test_values_at_ranks_with_a_group_of_most_rows(spark):
         assert [found[g, x] for x in ("first", "mid", "last")] == [values[0], values[n // 2], values[int(n * 0.9999)]]
 
 
+@pytest.mark.parametrize("values", [[5], [3, 3, 3], [-(2**63), -1, 0, 2**63 - 1], [0, 2**62], [-(2**40), 7, 2**40], []])
+def test_ranks_over_any_range(spark, values):
+    rows = spark.createDataFrame([(1, v) for v in values], "g int, v bigint")
+    ends = rows.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    ranks = ends.select("g", "low", "high", F.posexplode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("name", "r"))
+    ranks = ranks.select("g", "low", "high", F.col("name").cast("string").alias("name"), F.col("r").cast("bigint").alias("rank"))
+    found = sorted((int(r["name"]), r["v"]) for r in values_at_ranks(rows, ["g"], "v", ranks).collect())
+    assert found == list(enumerate(sorted(values)))
+
+
 def test_high_watermark_starts_at_the_epoch_or_least_value(spark):
     def mark(ddl, rows):
         return high_watermark(spark.createDataFrame(rows, ddl), "d").first()[0]
