@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tablesync import build_session, scratch_dir  # noqa: E402
+from tablesync.operators.latency import latency_report  # noqa: E402
 from tablesync.operators.schema import conform  # noqa: E402
 from tablesync.plans.ingest import RunLog, Target, ingest_tables  # noqa: E402
 from tablesync.plans.inputs import TABLES, instant, read  # noqa: E402
@@ -50,8 +51,9 @@ def cdc_read(spark: SparkSession, rows: int):
     return lambda: drain(scan_since(read(spark, SF_DIR, "events"), "ts", start, rows))
 
 
-def sync(spark: SparkSession, tables: tuple[str, ...], polled: dict[str, str]):
+def sync(spark: SparkSession, tables: tuple[str, ...], polled: dict[str, str], limit: int = 0):
     config = RunConfig(
+        limit=limit,
         tables=[TableConfig(t, polling=Polling(True, polled[t], 60) if t in polled else None) for t in tables]
     )
     keys = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "events": ["event_id"]}
@@ -89,11 +91,14 @@ def main() -> None:
         "extract_10k": extract(spark, 10_000),
         "extract_100k": extract(spark, 100_000),
         "extract_all": extract(spark, 0),
+        "insert_1k": insert(spark, 1_000, 500),
+        "insert_10k_500": insert(spark, 10_000, 500),
         "insert_10k": insert(spark, 10_000, 1_000),
         "insert_50k": insert(spark, 50_000, 2_000),
         "insert_all": insert(spark, 0, 0),
         "cdc_1k": cdc_read(spark, 1_000),
         "cdc_10k": cdc_read(spark, 10_000),
+        "multi_table_3x10k": sync(spark, three, {}, 10_000),
         "sync_3_tables": sync(spark, three, {}),
         "sync_3_tables_versioned": sync(spark, three, polled),
         "sync_all_tables": sync(spark, copied, polled),
@@ -109,6 +114,7 @@ def main() -> None:
     work |= {name: registered(spark, name) for name in names}
     only = sys.argv[1:]
     seconds = {}
+    samples = []
     for name, run in work.items():
         if only and name not in only:
             continue
@@ -119,8 +125,16 @@ def main() -> None:
             run()
             times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times), 4)
+        samples += [(name, i, int(t * 1e9)) for i, t in enumerate(times)]
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
 
+    durations = spark.createDataFrame(samples, "name string, iteration int, duration_ns bigint")
+    latency = {
+        r["name"]: {"p50_ms": round(r["p50_ns"] / 1e6, 1), "p95_ms": round(r["p95_ns"] / 1e6, 1),
+                    "ops_per_sec": round(r["ops_per_sec"], 2)}
+        for r in latency_report(durations).collect()
+    }
+
     def rate(tables: tuple[str, ...], name: str) -> float | None:
         if name not in seconds:
             return None
@@ -133,6 +147,7 @@ def main() -> None:
         "unit": "sec",
         "queries": seconds,
         "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
+        "latency": latency,
         "rows_per_sec": {
             "sync_3_tables": rate(three, "sync_3_tables"),
             "sync_3_tables_versioned": rate(three, "sync_3_tables_versioned"),

@@ -122,7 +122,11 @@ def _cast(table: DataFrame, field: T.StructField, numeric: str, precision: str,
         return F.when(value.isNull() | text.isNotNull(), text).otherwise(wrong.cast("string"))
     if source_type(field) == "uuid":
         value = F.lower(value)
-    result = value.cast(target) if strict else value.try_cast(target)
+    result = value if field.dataType == target else value.try_cast(target)
+    if strict and field.dataType != target:
+        # Said here and not left to the session's ANSI setting, under which a misfit could become NULL.
+        wrong = F.raise_error(F.format_string(f"column {field.name} holds a value that is no {target.simpleString()}"))
+        result = F.when(value.isNull() | result.isNotNull(), result).otherwise(wrong.cast(target))
     if precision == "second" and isinstance(target, (T.TimestampType, T.TimestampNTZType)):
         # date_trunc gives a zoned timestamp, so zone-less columns are cast back.
         result = F.date_trunc("second", result).cast(target)

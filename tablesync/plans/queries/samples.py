@@ -172,3 +172,19 @@ def random_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def update_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample events after a random set of them moved one severity up."""
     return make.update_severity(make.events(_ids(spark, sf_dir, "events"), NOW), UPDATED_ROWS, LATER, "update")
+
+
+@query(
+    f"""
+    WITH e AS ({_sql_events("sample", 0, NOW)}),
+    hit AS (SELECT id FROM e ORDER BY md5(id || 'update'), id LIMIT {UPDATED_ROWS})
+    SELECT id, event_type,
+           CASE severity WHEN 'info' THEN 'warning' WHEN 'warning' THEN 'error' WHEN 'error' THEN 'critical'
+                         ELSE 'info' END AS severity
+    FROM e WHERE id IN (SELECT id FROM hit)
+    """
+)
+def update_returning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows an update changed."""
+    events = make.events(_ids(spark, sf_dir, "events"), NOW)
+    return make.updated_rows(events, UPDATED_ROWS, LATER, "update").select("id", "event_type", "severity")

@@ -149,20 +149,29 @@ def random_rows(table: DataFrame, key: str, n: int, seed: str) -> DataFrame:
     return lowest_rows(table, number, [digest, key], n)
 
 
-def update_severity(table: DataFrame, n: int, now: str, seed: str) -> DataFrame:
-    """The events table after `n` random rows moved one severity up, with new JSON, stamped now."""
-    picked = random_rows(table.select("id"), "id", n, seed).select(F.col("id").alias("_id"), F.lit(True).alias("_hit"))
-    old = F.col("severity")
-    raised = F.lit("info")
+def _raised(now: str) -> dict[str, Column]:
+    """The new values of an updated event."""
+    severity = F.lit("info")
     for before, after in NEXT_SEVERITY.items():
-        raised = F.when(old == before, after).otherwise(raised)
-    hit = F.col("_hit").isNotNull()
-    changed = {
+        severity = F.when(F.col("severity") == before, after).otherwise(severity)
+    return {
         "event_data": F.lit(f'{{"updated": true, "timestamp": "{now}"}}'),
-        "severity": raised,
+        "severity": severity,
         "updated_at": _anchor(now),
     }
-    joined = table.join(picked, table["id"] == picked["_id"], "left")
+
+
+def updated_rows(table: DataFrame, n: int, now: str, seed: str) -> DataFrame:
+    """The `n` random events that `update_severity` changes, with their new values."""
+    picked = random_rows(table.select("id"), "id", n, seed).select(F.col("id").alias("_id"))
+    return table.join(picked, F.col("id") == F.col("_id"), "left_semi").withColumns(_raised(now))
+
+
+def update_severity(table: DataFrame, n: int, now: str, seed: str) -> DataFrame:
+    """The events table after `n` random rows moved one severity up, with new JSON, stamped now."""
+    picked = random_rows(table.select("id"), "id", n, seed).select(F.col("id").alias("_id"), F.lit(True).alias("_hit"))
+    joined = table.join(picked, F.col("id") == F.col("_id"), "left")
+    hit, changed = F.col("_hit").isNotNull(), _raised(now)
     return joined.select(
         *[F.when(hit, changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in table.columns]
     )

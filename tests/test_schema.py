@@ -246,3 +246,17 @@ def test_the_catalog_names_the_source_types(spark):
     money = spark.createDataFrame([("public", "t", "s", "money", 3)], COLUMNS_SCHEMA)
     with pytest.raises(ValueError, match="unsupported column type money for column s"):
         conform(with_source_types(table, money))
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_value_that_does_not_fit_fails_under_any_setting(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        table = spark.createDataFrame([("1",), ("x",)], "n string").select(
+            F.col("n").alias("n", metadata={"src_type": "integer"})
+        )
+        with pytest.raises(SparkRuntimeException, match="column n holds a value that is no int"):
+            conform(table).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
