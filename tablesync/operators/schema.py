@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.columns import named
 from tablesync.functions.text import uuid_text, valid_identifier
 from tablesync.functions.types import TYPE_MAP, UUID_TYPES, source_type, type_map_table
 
@@ -101,7 +102,7 @@ def conform_lenient(table: DataFrame, numeric: str = "double", precision: str =
     cast = {f.name: _cast(table, f, numeric, precision, strict=False) for f in table.schema}
     bad = F.lit(False)
     for name, value in cast.items():
-        bad = bad | (F.col(f"`{name}`").isNotNull() & value.isNull())
+        bad = bad | (named(name).isNotNull() & value.isNull())
     rows = table.where(~bad).select(*[value.alias(name) for name, value in cast.items()])
     return Conformed(rows, table.where(bad))
 
@@ -112,7 +113,7 @@ def _check_columns(table: DataFrame) -> None:
 
 
 def _cast(table: DataFrame, field: T.StructField, numeric: str, precision: str, strict: bool) -> Column:
-    value = F.col(f"`{field.name}`")
+    value = named(field.name)
     target = target_type(field, numeric)
     if source_type(field) in UUID_TYPES and isinstance(field.dataType, T.BinaryType):
         text = uuid_text(value)

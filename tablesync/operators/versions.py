@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.columns import named, named_all
+
 # The most bytes of key values that are sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def dedup_key(keys: list[str]) -> Column:
     """A 64-bit hash of the key. It places rows in buckets; it never decides which rows are equal."""
-    return F.xxhash64(*keys)
+    return F.xxhash64(*named_all(keys))
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
@@ -25,8 +27,8 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
 def join_on_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join in which NULL keys are equal, as grouping sees it; the right side's keys are dropped."""
     names = {k: f"_right_{i}" for i, k in enumerate(keys)}
-    renamed = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns])
-    match = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(names[k])) for k in keys))
+    renamed = right.select(*[named(c).alias(names.get(c, c)) for c in right.columns])
+    match = reduce(lambda a, b: a & b, (named(k).eqNullSafe(F.col(names[k])) for k in keys))
     joined = left.join(renamed, match, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*names.values())
 
@@ -40,7 +42,7 @@ def broadcast_if_small(table: DataFrame, most_bytes: int = BROADCAST_BYTES) -> D
     width = F.lit(0).cast("bigint")
     for field in table.schema:
         varies = isinstance(field.dataType, (T.StringType, T.BinaryType))
-        width = width + (F.coalesce(F.octet_length(field.name), F.lit(0)) if varies else F.lit(16))
+        width = width + (F.coalesce(F.octet_length(named(field.name)), F.lit(0)) if varies else F.lit(16))
     measured = table.agg(F.sum(width)).first()[0] or 0
     return F.broadcast(table) if measured <= most_bytes else table
 
@@ -54,7 +56,7 @@ def newest(table: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in table.columns if c not in keys and c not in order]
     if not [*order, *rest]:
         return table.dropDuplicates()
-    first = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in (*order, *rest)])
+    first = Window.partitionBy(*named_all(keys)).orderBy(*[named(c).desc_nulls_last() for c in (*order, *rest)])
     ranked = table.withColumn("_version_rank", F.row_number().over(first))
     return ranked.where(F.col("_version_rank") == 1).drop("_version_rank")
 
@@ -89,7 +91,7 @@ def split_current(
     compared. The keys are measured first; too many of them make both joins shuffle, and as both
     sides hold a key once, no task gets a hot key.
     """
-    touched = broadcast_if_small(pending.select(*keys).distinct())
+    touched = broadcast_if_small(pending.select(*named_all(keys)).distinct())
     untouched = join_on_key(base, touched, keys, "left_anti")
     contested = join_on_key(base, touched, keys, "left_semi")
     return untouched, newest(contested.unionByName(pending), keys, order)
@@ -97,7 +99,7 @@ def split_current(
 
 def version_stats(table: DataFrame, keys: list[str]) -> DataFrame:
     """Stored versions, keys, superseded versions, keys with several versions, most versions of a key."""
-    per_key = table.groupBy(*keys).agg(F.count("*").alias("n"))
+    per_key = table.groupBy(*named_all(keys)).agg(F.count("*").alias("n"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("stored_versions"),
         F.count("*").alias("current_rows"),
@@ -118,13 +120,13 @@ def classify_changes(delta: DataFrame, current: DataFrame, keys: list[str], vers
     The current table is first cut to the keys of the delta, which are measured, so it is only
     shuffled when those keys are too many to broadcast.
     """
-    touched = broadcast_if_small(delta.select(*keys).distinct())
-    known = current.select(*keys, F.col(version).alias("_known"), F.lit(True).alias("_found"))
+    touched = broadcast_if_small(delta.select(*named_all(keys)).distinct())
+    known = current.select(*named_all(keys), named(version).alias("_known"), F.lit(True).alias("_found"))
     known = join_on_key(known, touched, keys, "left_semi")
     joined = join_on_key(delta, known, keys, "left")
-    is_newer = F.col(version) > F.col("_known")
+    is_newer = named(version) > F.col("_known")
     change = F.when(F.col("_found").isNull(), "insert").when(is_newer, "update").otherwise("unchanged")
-    return joined.select(*delta.columns, change.alias("change"))
+    return joined.select(*named_all(delta.columns), change.alias("change"))
 
 
 def late_rows(source: DataFrame, target: DataFrame, keys: list[str], delta: str, cursor: Column) -> DataFrame:
@@ -133,8 +135,8 @@ def late_rows(source: DataFrame, target: DataFrame, keys: list[str], delta: str,
     The target's versions are made distinct first: copies combine on the map side, so that many
     copies of one version do not meet in one task of the join.
     """
-    passed = source.where(F.col(delta) <= cursor)
-    seen = target.where(F.col(delta) <= cursor).select(*keys, delta).distinct()
+    passed = source.where(named(delta) <= cursor)
+    seen = target.where(named(delta) <= cursor).select(*named_all([*keys, delta])).distinct()
     return join_on_key(passed, seen, [*keys, delta], "left_anti")
 
 
@@ -144,14 +146,14 @@ def compare_tables(source: DataFrame, target: DataFrame, keys: list[str], versio
     Both sides go through one grouping by key that combines on the map side, in place of two joins.
     """
     sides = [
-        table.select(*keys, F.col(version).alias("_v"), F.lit(side).alias("_side"))
+        table.select(*named_all(keys), named(version).alias("_v"), F.lit(side).alias("_side"))
         for side, table in (("source", source), ("target", target))
     ]
     in_source, in_target = (F.col("_side") == side for side in ("source", "target"))
     per_key = (
         sides[0]
         .unionByName(sides[1])
-        .groupBy(*keys)
+        .groupBy(*named_all(keys))
         .agg(
             F.count_if(in_source).alias("_n_source"),
             F.count_if(in_target).alias("_n_target"),
@@ -168,7 +170,7 @@ def compare_tables(source: DataFrame, target: DataFrame, keys: list[str], versio
         .when(behind, "stale")
         .otherwise("same")
     )
-    return per_key.select(*keys, "source_version", "target_version", status.alias("status"))
+    return per_key.select(*named_all(keys), "source_version", "target_version", status.alias("status"))
 
 
 def verify_sync(source: DataFrame, target: DataFrame, keys: list[str], version: str) -> DataFrame:

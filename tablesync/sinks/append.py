@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.columns import named_all
 from tablesync.operators.schema import schema_diff
 
 
@@ -51,7 +52,7 @@ def append_rows(
     reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
     target = reader.parquet(path)
     check_schema(table.schema, target.schema, merge_schema)
-    rows = table.select(*(table.columns if merge_schema else target.columns))
+    rows = table.select(*named_all(table.columns if merge_schema else target.columns))
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
     if writers:

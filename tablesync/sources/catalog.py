@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.functions.columns import named
 from tablesync.functions.types import source_type
 
 COLUMNS_SCHEMA = (
@@ -62,7 +63,7 @@ def with_source_types(table: DataFrame, columns: DataFrame) -> DataFrame:
     known = {r["column_name"]: r["data_type"] for r in columns.select("column_name", "data_type").collect()}
     return table.select(
         *[
-            F.col(f"`{c}`").alias(c, metadata={"src_type": known[c]}) if c in known else F.col(f"`{c}`")
+            named(c).alias(c, metadata={"src_type": known[c]}) if c in known else named(c)
             for c in table.columns
         ]
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.columns import named, named_all
 from tablesync.functions.types import minimum_literal
 from tablesync.operators.rank import values_at_ranks
 
@@ -38,7 +39,7 @@ def scan_since(
     """
     if ties not in ("keep", "strict"):
         raise ValueError("ties must be 'keep' or 'strict'")
-    value = F.col(delta)
+    value = named(delta)
     if last_seen is None:
         rows = table.where(value.isNotNull())
     else:
@@ -48,9 +49,9 @@ def scan_since(
     data_type = rows.schema[delta].dataType
     number = _as_bigint(value, data_type)
     if ties == "strict":
-        return lowest_rows(rows, number, [delta, *(keys or [])], limit)
+        return lowest_rows(rows, number, named_all([delta, *(keys or [])]), limit)
     if limit <= TOP_N_ROWS or number is None:
-        cut = rows.select(delta).orderBy(delta).limit(limit).agg(F.max(delta))
+        cut = rows.select(value.alias("_delta")).orderBy("_delta").limit(limit).agg(F.max("_delta"))
     else:
         cut = _rank_cut(rows, number, limit).select(_from_bigint(F.col("_number"), data_type))
     return rows.where(value <= cut.scalar())
@@ -114,7 +115,7 @@ def _from_bigint(number: Column, data_type: T.DataType) -> Column:
 def high_watermark(table: DataFrame, delta: str) -> DataFrame:
     """One row: the greatest delta, or the start of its type when there is none."""
     start = minimum_literal(table.schema[delta].dataType)
-    return table.agg(F.coalesce(F.max(delta), start).alias("watermark"))
+    return table.agg(F.coalesce(F.max(named(delta)), start).alias("watermark"))
 
 
 def write_delta_layout(table: DataFrame, delta: str, path: str, partitions: int | None = None) -> None:
@@ -125,5 +126,5 @@ def write_delta_layout(table: DataFrame, delta: str, path: str, partitions: int
     """
     numbered = table.withColumn("_row", F.monotonically_increasing_id())
     ranges = [partitions] if partitions else []
-    laid_out = numbered.repartitionByRange(*ranges, F.col(delta), F.col("_row")).sortWithinPartitions(delta)
+    laid_out = numbered.repartitionByRange(*ranges, named(delta), F.col("_row")).sortWithinPartitions(named(delta))
     laid_out.drop("_row").write.mode("overwrite").parquet(path)

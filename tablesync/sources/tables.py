@@ -9,6 +9,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.functions.columns import named_all
 from tablesync.sources.catalog import primary_key_columns, with_source_types
 
 
@@ -179,4 +180,4 @@ def jdbc_sink_options(url: str, table: str, batch_size: int = 500, writers: int
 def append_jdbc(table: DataFrame, columns: list[str], options: Mapping[str, str]) -> None:
     """Append to a database table, columns by name. A retried task may insert its rows again, so a
     keyed target should be a version table that is read through its current view."""
-    table.select(*columns).write.format("jdbc").options(**options).mode("append").save()
+    table.select(*named_all(columns)).write.format("jdbc").options(**options).mode("append").save()

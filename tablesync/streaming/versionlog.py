@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.columns import named, named_all
 from tablesync.functions.types import cursor_literal, cursor_to_text
 from tablesync.operators.versions import bucket_of, newest, split_current
 from tablesync.sinks.append import check_schema, create_if_absent, nullable
@@ -88,11 +89,11 @@ class VersionLog:
         even when an executor is lost.
         """
         check_schema(rows.schema, self.schema)
-        batch = rows.select(*self.schema.fieldNames())
+        batch = rows.select(*named_all(self.schema.fieldNames()))
         if few:
             batch = batch.hint("rebalance")
         seen = Observation()
-        greatest = cursor_to_text(F.max(self.version), self._version_type).alias("last_seen")
+        greatest = cursor_to_text(F.max(named(self.version)), self._version_type).alias("last_seen")
         observed = batch.observe(seen, F.count(F.lit(1)).alias("rows"), greatest)
         observed.write.mode("overwrite").parquet(f"{self.root}/log/_batch_id={batch_id}")
         return Appended(int(seen.get["rows"]), seen.get["last_seen"])
@@ -171,11 +172,11 @@ class VersionLog:
         if not paths:
             return self.spark.createDataFrame([], schema)
         files = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-        return files.select(*schema.fieldNames())
+        return files.select(*named_all(schema.fieldNames()))
 
     def current(self) -> DataFrame:
         """The newest version of every key: the compacted base with the batches since merged in."""
-        names = self.schema.fieldNames()
+        names = named_all(self.schema.fieldNames())
         manifest = self.manifest()
         if not manifest:
             return newest(self._pending(-1), self.row_key, self._order).select(*names)
@@ -226,3 +227,38 @@ class VersionLog:
         """Bring the rows of a bucket together, so that few files are written. At run time large
         buckets are split over tasks and small ones merged."""
         return rows.hint("rebalance", F.col("_bucket")) if self.buckets > 1 else rows
+
+    def vacuum(self) -> int:
+        """Delete the batches and bucket folders that the current generation has made needless.
+
+        Run it when no reader of an older generation is left. Gives the number of folders deleted.
+        """
+        manifest = self.manifest()
+        if not manifest:
+            return 0
+        held = {(generation, bucket) for bucket, generation, _ in manifest}
+        current, through = max(g for g, _ in held), manifest[0][2]
+        old = [path for path, batch in self._folders("log", "_batch_id") if batch <= through]
+        old += [path for path, generation in self._folders("manifest", "_generation") if generation < current]
+        for path, generation in self._folders("base", "_generation"):
+            buckets = self._folders(path.removeprefix(f"{self.root}/"), "_bucket")
+            # A generation past the current one is a compaction at work.
+            dead = [p for p, bucket in buckets if (generation, bucket) not in held and generation <= current]
+            old += [path] if dead and len(dead) == len(buckets) else dead
+        for path in old:
+            where = self._hadoop_path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        return len(old)
+
+    def _hadoop_path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _folders(self, parent: str, part: str) -> list[tuple[str, int]]:
+        """The partition folders below a folder, with their values."""
+        where = self._hadoop_path(f"{self.root}/{parent}")
+        files = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(where):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(where)]
+        cut = f"{part}="
+        return [(f"{self.root}/{parent}/{n}", int(n.removeprefix(cut))) for n in names if n.startswith(cut)]

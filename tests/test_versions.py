@@ -17,6 +17,8 @@ from tablesync.operators.versions import (
     verify_sync,
     version_stats,
 )
+from tablesync.sinks.append import append_rows
+from tablesync.streaming.cdc import poll_once
 from tablesync.streaming.versionlog import VersionLog
 
 
@@ -255,3 +257,36 @@ def test_a_large_bucket_is_spread_over_write_tasks(spark, folder):
     per_bucket = rows_of(files.groupBy("_bucket").count())
     assert len(per_bucket) == 2 and all(n > 1 for _, n in per_bucket)
     assert log.current().count() == 100_000
+
+
+def test_vacuum_deletes_only_what_no_reader_needs(spark, log):
+    assert log.vacuum() == 0
+    log.append(batch(spark, *[(i, 1, "a") for i in range(40)]), 0)
+    log.compact()
+    log.append(batch(spark, (1, 2, "b")), 1)
+    log.compact()
+    log.append(batch(spark, (2, 2, "c")), 2)
+    before = rows_of(log.current())
+    # Two batches, one manifest, and the one bucket that was rewritten.
+    assert log.vacuum() == 4
+    assert rows_of(log.current()) == before and (2, 2, "c") in before
+    assert rows_of(log.versions(), "k", "_batch_id") == [(2, 2)]
+    assert log.vacuum() == 0
+    log.compact()
+    assert rows_of(log.current()) == before
+
+
+def test_dots_are_part_of_column_names(spark, folder):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, v int, p string")
+    rows = rows.toDF("a.k", "a.v", "a.p")
+    log = VersionLog(spark, folder, rows.schema, ["a.k"], "a.v", 2, "t")
+    assert poll_once(rows.limit(1), log).rows == 1
+    log.compact()
+    assert poll_once(rows, log, limit=5).rows == 1
+    assert rows_of(log.current()) == [(1, 2, "b")]
+    assert rows_of(classify_changes(rows, rows.limit(1), ["a.k"], "a.v")) == [
+        (1, 1, "a", "unchanged"), (1, 2, "b", "update"), (2, 1, "c", "insert")]
+    assert rows_of(verify_sync(rows, rows, ["a.k"], "a.v")) == [(2, 2, 0, 0, 0)]
+    append_rows(rows, f"{folder}/plain")
+    append_rows(rows, f"{folder}/plain")
+    assert spark.read.parquet(f"{folder}/plain").count() == 6
