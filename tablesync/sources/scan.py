@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,7 +94,10 @@ def _as_bigint(value: Column, data_type: T.DataType) -> Column | None:
     if isinstance(data_type, T.TimestampType):
         return F.unix_micros(value)
     if isinstance(data_type, T.TimestampNTZType):
-        # Through an interval, so that no session time zone takes part.
+        zone = SparkSession.active().conf.get("spark.sql.session.timeZone")
+        if zone in ("UTC", "Etc/UTC", "GMT", "Z"):
+            return F.unix_micros(value.cast("timestamp"))
+        # Other zones have hours that come twice, so there the way leads through an interval.
         since = value - _ntz_epoch()
         day, hour, minute = (F.extract(F.lit(part), since).cast("bigint") for part in ("DAY", "HOUR", "MINUTE"))
         micros = (F.extract(F.lit("SECOND"), since) * 1_000_000).cast("bigint")

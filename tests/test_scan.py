@@ -79,6 +79,19 @@ def test_values_at_ranks_with_a_group_of_most_rows(spark):
         assert [found[g, x] for x in ("first", "mid", "last")] == [values[0], values[n // 2], values[int(n * 0.9999)]]
 
 
+def test_zone_less_times_around_the_hour_that_comes_twice(spark, monkeypatch):
+    start = F.lit("2024-10-27 00:00:00").cast("timestamp_ntz")
+    rows = spark.range(300).select("id", F.timestamp_add("MINUTE", F.col("id"), start).alias("d"))
+    monkeypatch.setattr(scan, "TOP_N_ROWS", 0)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for session_zone in ("Europe/Berlin", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", session_zone)
+        try:
+            assert rows_of(scan_since(rows, "d", None, 150), "id") == sorted(((i,) for i in range(150)), key=repr)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 @pytest.mark.parametrize("values", [[5], [3, 3, 3], [-(2**63), -1, 0, 2**63 - 1], [0, 2**62], [-(2**40), 7, 2**40], []])
 def test_ranks_over_any_range(spark, values):
     rows = spark.createDataFrame([(1, v) for v in values], "g int, v bigint")
