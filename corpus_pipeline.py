@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import langid
+from tablesync.llm import bpe, decontaminate, langid, minhash, secrets
 from tablesync.llm.common import table
 from tablesync.session import settle
 
@@ -15,8 +15,32 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of every class of near duplicates."""
+    return minhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their live secrets masked."""
+    return secrets.redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and ids of all documents."""
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
+
+
 STAGES = [
     ("language", language),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("tokens", tokens),
 ]
 
 #: SQL cannot express the stages; the tests compare them with brute force.
