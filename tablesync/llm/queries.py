@@ -7,10 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import bpe, decontaminate, langid, minhash, secrets
+from tablesync.llm import bpe, decontaminate, langid, minhash, secrets, sharding, topk
 from tablesync.llm.common import table
 
 
+def op8_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents"))
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -36,6 +44,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op5_secret_scans": op5_secret_scans,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_virtual_slot_shards": op8_virtual_slot_shards,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_language_id": op10_language_id,
 }
 
