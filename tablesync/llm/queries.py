@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import bpe, decontaminate, langid, minhash, secrets, sharding, topk
+from tablesync.llm import bpe, chat, decontaminate, langid, minhash, pii, secrets, sharding, topk
 from tablesync.llm.common import table
 
 
@@ -31,10 +31,21 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.read_back(chat.format_conversations(turns.union(extra)))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
@@ -42,7 +53,9 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_chat_formatting": op3_chat_formatting,
     "op5_secret_scans": op5_secret_scans,
+    "op6_pii": op6_pii,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_virtual_slot_shards": op8_virtual_slot_shards,
     "op9_exact_top_k": op9_exact_top_k,
