@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import bpe, chat, decontaminate, langid, minhash, pii, secrets, sharding, topk
+from tablesync.llm import bpe, chat, decontaminate, langid, minhash, pii, secrets, sharding, suffix, topk
 from tablesync.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.union(extra)))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_secret_scans": op5_secret_scans,
     "op6_pii": op6_pii,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
