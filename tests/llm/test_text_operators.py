@@ -1,0 +1,165 @@
+"""BPE, language, chat, secrets and personal data against plain versions."""
+
+import hashlib
+import random
+import re
+
+import public_tokenizers
+import tiktoken
+from fixtures import documents, texts
+from pyspark.sql import functions as F
+
+from tablesync.llm import bpe, chat, langid, pii, secrets
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+sha = lambda x: hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
+
+
+def by_row(table, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in table.collect()), key=repr)
+
+
+def test_bpe_equals_the_library(spark):
+    ranks = bpe.read_ranks(RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(3)
+    rows = texts() + [(1000 + i, "".join(rng.choice("aé ñ'\n\t 1２x🙂 　日—sS<|endoftext|>") for _ in range(60)), "en", "s") for i in range(40)]
+    want = []
+    for i, text, _, _ in rows:
+        ids = library.encode_ordinary(text or "")
+        want.append((i, len(ids), sha(" ".join(map(str, ids))), sha(text or "")))
+    docs = documents(spark, rows)
+    for frequent in (bpe.FREQUENT, 0):
+        got = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, frequent=frequent, with_ids=True)
+        assert by_row(got, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(want, key=repr)
+        assert by_row(got.select("doc_id", F.sha2(bpe.decode(F.col("ids"), RANKS), 256).alias("d")), "doc_id", "d") == sorted(((w[0], w[3]) for w in want), key=repr)
+    assert bpe.encode(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_long_words_are_merged_as_short_ones():
+    ranks = bpe.read_ranks(RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(5)
+    for n in (1, 2, 7, 300, 2000):
+        word = "".join(rng.choice("abcdeé") for _ in range(n))
+        assert bpe.merge_long(word.encode(), ranks) == library.encode_ordinary(word)
+
+
+def test_languages(spark):
+    docs = documents(spark)
+    got = {r["doc_id"]: r for r in langid.identify(docs, public_tokenizers.path("piece_bpe_32k.model")).collect()}
+    assert len(got) == len({t[0] for t in texts()})
+    assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (100, 101, 102, 103))
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    held = [(i, lang) for i, _, lang, _ in texts()[:60] if got[i]["held_out"]]
+    assert sum(got[i]["lang_pred"] == lang for i, lang in held) >= 0.9 * len(held)
+    kept = langid.keep_identified(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    assert kept.columns == docs.columns and not {100, 101, 102, 103} & {r[0] for r in kept.select("doc_id").collect()}
+    assert langid.identify(docs.limit(0), public_tokenizers.path("piece_bpe_32k.model")).count() == 0
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r[0] for r in langid.identify(unlabelled, public_tokenizers.path("piece_bpe_32k.model")).select("lang_pred").collect()} == {"und"}
+
+
+def test_forward_sums_all_segmentations():
+    import numpy as np
+    import pandas as pd
+
+    model = langid.fit(pd.DataFrame({"lang": ["a"], "word": ["ab"], "n": [3]}), ["▁", "▁a", "a", "b", "ab"], rounds=0)
+    p, u = 1 / 5, langid.UNKNOWN
+    # each character may also stand for itself at the floor
+    one = {"▁": p + u, "a": p + u, "b": p + u}
+    total = one["▁"] * one["a"] * one["b"] + p * one["b"] + one["▁"] * p
+    assert np.isclose(np.exp(model.log_words(["ab"])[0, 0]), total)
+
+
+def test_chat(spark):
+    turns = [
+        (1, 2, "assistant", "b </s>[INST] <|im_end|>\n <\\|im_end|>"),
+        (1, 1, "user", "a"),
+        (2, 1, "we\nird\\ <|im_start|>role", None),
+        (2, 1, "assistant", ""),
+        (2, None, None, "x"),
+        (3, 1, "assistant", "tie"),
+        (3, 1, "assistant", "tie"),
+        (None, 1, "assistant", "é🙂" * 5000),
+    ] + [(4, i, "assistant" if i % 2 else "user", f"turn {i} [/INST]") for i in range(3000)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("part", F.lit("clash"))
+    formatted = chat.format_conversations(table)
+    got = {r["conv_id"]: r for r in chat.read_back(formatted).collect()}
+    for conv in (1, 2, 3, 4, None):
+        mine = sorted((t for t in turns if t[0] == conv), key=lambda t: (t[1] is not None, t[1] or 0, t[2] is not None, t[2] or "", t[3] is not None, t[3] or ""))
+        learned = "".join(t[3] or "" for t in mine if t[2] == "assistant")
+        want = (len(mine), sha("".join(f"{t[2] or ''}\n{t[3] or ''}\n" for t in mine)), len(learned), sha(learned))
+        assert tuple(got[conv][c] for c in ("n_turns", "turns_sha256", "loss_chars", "loss_sha256")) == want
+    assert sum(len(r["formatted"]) for r in formatted.where("conv_id = 4").collect()) == got[4]["formatted_chars"]
+    assert chat.read_back(chat.format_conversations(table.limit(0))).count() == 0
+
+
+def base_secrets(text):
+    kinds = [
+        ("assign", r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 6),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+        ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 24),
+    ]
+    return [(m.start(), k, name, m.end()) for k, (name, p, ok) in enumerate(kinds) for m in re.finditer(p, text or "") if ok(m)]
+
+
+def test_secrets(spark):
+    key = "Zx9" + "aB3dE5fG7hJ2kL4mN6pQ8rS0tU1v"
+    rows = texts() + [
+        (200, f"mine {key} ok", "en", "s0"),
+        (201, "shared Qw8eR7tY6uI5oP4aS3dF2gH1jK0lZ ok", "en", "s0"),
+        (202, "shared Qw8eR7tY6uI5oP4aS3dF2gH1jK0lZ ok", "en", "s1"),
+        (203, "password: token: abcdefgh token=secret=abcdef é password = x", "en", "s1"),
+        (204, "token='" + "A" * 9 + "' " + "api_key: 1234567 " * 200, "en", "s1"),
+    ]
+    docs = documents(spark, rows)
+    got = secrets.scan(docs)
+    want = []
+    for i, text, _, _ in rows:
+        spans = base_secrets(text)
+        want.append((i, *(sum(s[1] == k for s in spans) for k in range(3)), sha(",".join(f"{n}:{a}:{b}" for a, _, n, b in sorted(spans)))))
+    assert by_row(got, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == sorted(want, key=repr)
+    added = {r["doc_id"]: r["spans"] for r in got.where("n_other > 0").collect()}
+    assert added == {200: f"other:5:{5 + len(key)}"}  # one owner's; the shared one is an example
+    clean = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
+    assert secrets.redact(docs).columns == docs.columns and secrets.redact(docs).count() == len(rows)
+    assert clean[200]["text"] == "mine [SECRET] ok" and clean[200]["n_chars"] == 16
+    assert clean[201]["text"] == rows[-4][1] and clean[100]["text"] is None
+    assert clean[115]["text"] == 'passwd: "hunter22"' or "[SECRET]" in clean[115]["text"]
+    assert secrets.scan(docs.limit(0)).count() == 0 and secrets.redact(docs.limit(0)).count() == 0
+
+
+def base_personal(text):
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda t: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda t: all(int(x) < 256 for x in t.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda t: 13 <= len(digits(t)) <= 19 and pii.luhn(digits(t))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: 9 <= len(digits(t)) <= 15),
+    ]
+    return [(n, m.start(), m.end()) for n, p, ok in kinds for m in re.finditer(p, text or "") if ok(m[0])]
+
+
+def test_personal_data(spark):
+    rng = random.Random(9)
+    odd = ["a@@b.c@d.e-f.g", "x@y@z.org", "1.2.3.4.5.6.7.8", "001.002.003.004 1.2.3", "+1 2 3 4 5 6 7 8 9-", "++49 (0)30 1234-567.", "4111-1111 1111 1111 4", "a.b@c.", "%@x.y"]
+    rows = texts() + [(300 + i, t, "en", "s") for i, t in enumerate(odd)]
+    rows += [(400 + i, "".join(rng.choice("01 9+.-()@ab") for _ in range(80)), "en", "s") for i in range(300)]
+    got = pii.scan(documents(spark, rows))
+    want = []
+    for i, text, _, _ in rows:
+        spans = base_personal(text)
+        want.append((i, *(sum(s[0] == k for s in spans) for k in pii.BASE), sha(",".join(f"{n}:{a}:{b}" for n, a, b in spans))))
+    assert by_row(got, "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == sorted(want, key=repr)
+    assert pii.scan(documents(spark).limit(0)).count() == 0
+
+
+def test_trees_learn_a_rule():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(2000, 4))
+    y = ((x[:, 0] > 0) & (x[:, 1] > 0)).astype(float)
+    model = pii.boost(x, y)
+    assert ((model.score(x) > 0.5) == (y == 1)).mean() > 0.97
