@@ -40,6 +40,11 @@ SIMILARITY = 0.8
 #: Coordinates two signatures must share before an exact comparison: five and a half deviations below what 0.8 gives.
 AGREE = int(K * SIMILARITY - 5.5 * math.sqrt(K * SIMILARITY * (1 - SIMILARITY)))
 
+#: Members of a bucket that are compared in one block.
+BLOCK = 512
+#: Ids (8 bytes each) up to which the documents of the pairs are picked by a broadcast; beyond, the join shuffles.
+BROADCAST_ROWS = 4_000_000
+
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -159,15 +164,55 @@ def strip_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "strips"])
 
 
-def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose strips have a Jaccard similarity of SIMILARITY or more."""
+def close_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of each block whose labels differ and whose signatures agree: probes against the block's own members."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            members = batch.column("members")[row].values
+            ids, labels, probe = (members.field(f).to_numpy(zero_copy_only=False) for f in ("id", "label", "probe"))
+            darts = members.field("darts").flatten().to_numpy().reshape(len(ids), K)
+            x, y = np.flatnonzero(probe), np.flatnonzero(~probe)
+            same = np.zeros((len(x), len(y)), np.int16)
+            for k in range(K):
+                same += darts[x, k][:, None] == darts[y, k][None]
+            i, j = np.nonzero((same >= AGREE) & (labels[x][:, None] != labels[y][None]))
+            one, two = ids[x[i]], ids[y[j]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
+
+
+def crossing(shared: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame:
+    """Pairs (a, b) with agreeing signatures in buckets that hold several classes, between the classes.
+
+    Members outside a bucket's least class are probes and meet all its members, in blocks of a bounded size that
+    leave the tasks as pairs only where signatures agree.
+    """
+    named = settle(shared.join(labels, "id", "left").select("band", "id", F.coalesce("label", "id").alias("label")), "named")
+    mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+    mixed = mixed.where("low < high").select("band", "low", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    open_ = settle(named.join(mixed, "band"), "open").join(signed.select("id", "darts"), "id")
+    open_ = open_.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    probes = open_.where("label <> low").select("band", others.alias("block"), F.col("mine").alias("of"), "id", "label", "darts", F.lit(True).alias("probe"))
+    own = open_.select("band", F.col("mine").alias("block"), others.alias("of"), "id", "label", "darts", F.lit(False).alias("probe"))
+    blocks = probes.union(own).groupBy("band", "block", "of").agg(F.collect_list(F.struct("id", "label", "probe", "darts")).alias("members"))
+    return blocks.select("members").mapInArrow(close_in_blocks, "a long, b long").distinct()
+
+
+def agreeing(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures agree on enough coordinates for an exact comparison."""
     darts = signed.select("id", "darts")
     left = darts.select(F.col("id").alias("a"), F.col("darts").alias("left"))
     right = darts.select(F.col("id").alias("b"), F.col("darts").alias("right"))
     same = F.size(F.filter(F.zip_with("left", "right", lambda x, y: x == y), lambda x: x))
-    close = settle(pairs.join(right, "b").join(left, "a").where(same >= AGREE).select("a", "b"), "close")
-    ids = close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct()
-    held = settle(docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(strip_lists, "id long, strips array<long>"), "strips")
+    return pairs.join(right, "b").join(left, "a").where(same >= AGREE).select("a", "b")
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose strips have a Jaccard similarity of SIMILARITY or more."""
+    close = settle(pairs, "close")
+    ids = settle(close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct(), "close-ids")
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    held = settle(docs.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(strip_lists, "id long, strips array<long>"), "strips")
     one = held.select(F.col("id").alias("b"), F.col("strips").alias("right"))
     two = held.select(F.col("id").alias("a"), F.col("strips").alias("left"))
     common = F.size(F.array_intersect("left", "right"))
@@ -191,15 +236,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     buckets = settle(members.groupBy("band").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "buckets")
     shared = settle(members.join(buckets, "band").select("band", "id", "pivot"), "shared")
     pairs = settle(shared.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    links = verified(pairs, distinct, texts)
-    labels = components(links)
-    named = settle(shared.join(labels, "id", "left").select("band", "id", F.coalesce("label", "id").alias("label")), "named")
-    mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
-    open_ = settle(named.join(mixed, "band", "left_semi"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    crossing = x.join(y, "band").where("x.label < y.label").select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    rest = settle(crossing.join(pairs, ["a", "b"], "left_anti"), "rest")
-    links = settle(links.union(verified(rest, distinct, texts)), "all-links")
+    links = verified(agreeing(pairs, distinct), texts)
+    rest = crossing(shared, components(links), distinct).join(pairs, ["a", "b"], "left_anti")
+    links = settle(links.union(verified(rest, texts)), "all-links")
     labels = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     by_first = firsts.join(labels.select(F.col("id").alias("first"), "label"), "first", "left").join(degree.withColumnRenamed("id", "first"), "first", "left")
