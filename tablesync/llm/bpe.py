@@ -148,8 +148,9 @@ def pack(known: pa.Array) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         for batch in batches:
             lists = batch.column("words")
             sizes = np.diff(lists.offsets.to_numpy())
-            lengths = pc.binary_length(lists.flatten()).to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
+            flat = lists.flatten().cast(pa.string())
+            byte_at = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]
+            ends = byte_at[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int64)
             start = 0
             while start < batch.num_rows:
                 stop = max(start + 1, int(np.searchsorted(ends, ends[start] + CHUNK, side="right")) - 1)
@@ -178,9 +179,10 @@ def pack(known: pa.Array) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 def spell(ids: pa.ListArray, pieces: list[bytes]) -> tuple[pa.Array, pa.Array, np.ndarray]:
     """For words: their ids as text, the bytes that the ids stand for, and how many ids there are."""
     counts = np.diff(ids.offsets.to_numpy())
+    offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())  # a slice's own begin later
     flat = ids.flatten()
-    text = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, flat.cast(pa.string())), " ")
-    decoded = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, pa.array(pieces, pa.binary()).take(flat)), b"")
+    text = pc.binary_join(pa.ListArray.from_arrays(offsets, flat.cast(pa.string())), " ")
+    decoded = pc.binary_join(pa.ListArray.from_arrays(offsets, pa.array(pieces, pa.binary()).take(flat)), b"")
     return text, decoded, counts
 
 
@@ -242,7 +244,8 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "d
     words = pa.array([], pa.string()) if not len(table) else table.column("word").combine_chunks().cast(pa.string())
     ids = pa.array([], pa.list_(pa.int32())) if not len(table) else table.column("ids").combine_chunks()
     words, ids = (x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in (words, ids))
-    blocks = split.mapInArrow(pack(words), "docs array<long>, sizes array<int>, codes array<int>, rare array<binary>")
+    # Written, so that no executor holds the Python workers of both steps at once.
+    blocks = settle(split.mapInArrow(pack(words), "docs array<long>, sizes array<int>, codes array<int>, rare array<binary>"), "word-codes")
     no_ids = F.array().cast("array<int>")
     rare = F.transform("rare", lambda w: F.when(F.length(w) <= LONG, encode_word(w, rank)).otherwise(no_ids))
     done = blocks.select("docs", "sizes", "codes", "rare", rare.alias("ids"))

@@ -19,7 +19,7 @@ def by_row(table, *columns):
     return sorted((tuple(r[c] for c in columns) for r in table.collect()), key=repr)
 
 
-def test_bpe_equals_the_library(spark):
+def test_bpe_equals_the_library(spark, monkeypatch):
     ranks = bpe.read_ranks(RANKS)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(3)
@@ -29,7 +29,8 @@ def test_bpe_equals_the_library(spark):
         ids = library.encode_ordinary(text or "")
         want.append((i, len(ids), sha(" ".join(map(str, ids))), sha(text or "")))
     docs = documents(spark, rows)
-    for frequent in (bpe.FREQUENT, 0):
+    for frequent, chunk in ((bpe.FREQUENT, bpe.CHUNK), (0, 300)):  # many blocks in a batch
+        monkeypatch.setattr(bpe, "CHUNK", chunk)
         got = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, frequent=frequent, with_ids=True)
         assert by_row(got, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(want, key=repr)
         assert by_row(got.select("doc_id", F.sha2(bpe.decode(F.col("ids"), RANKS), 256).alias("d")), "doc_id", "d") == sorted(((w[0], w[3]) for w in want), key=repr)
