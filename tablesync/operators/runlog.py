@@ -206,7 +206,7 @@ def job_completed_events(jobs: DataFrame, status: DataFrame) -> DataFrame:
     return done.select(
         F.col("id").alias("job_id"),
         F.lit("job_completed").alias("event"),
-        F.format_string("Job completed with status: %s (CDC active)", "status").alias("message"),
+        F.format_string("Job ended: %s, polls active", "status").alias("message"),
     )
 
 

@@ -96,6 +96,13 @@ def conform(table: DataFrame, numeric: str = "double", precision: str = "microse
     return table.select(*[_cast(table, f, numeric, precision, strict=True).alias(f.name) for f in table.schema])
 
 
+def conform_with(table: DataFrame, column: str, alias: str) -> DataFrame:
+    """As `conform`, with one source column once more, uncast, under a name of its own."""
+    _check_columns(table)
+    cast = [_cast(table, f, "double", "microsecond", strict=True).alias(f.name) for f in table.schema]
+    return table.select(*cast, named(column).alias(alias))
+
+
 def conform_lenient(table: DataFrame, numeric: str = "double", precision: str = "microsecond") -> Conformed:
     """Like `conform`, with the rows that do not fit set aside in their source form."""
     _check_columns(table)

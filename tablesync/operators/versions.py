@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.columns import named, named_all
+from tablesync.session import settle
 
 # The most bytes of key values that are sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -88,10 +89,10 @@ def split_current(
 
     The first part is the base without the changed keys, the second the newest row of each changed
     key. The base is not shuffled as long as the changed keys are few: only rows with such a key are
-    compared. The keys are measured first; too many of them make both joins shuffle, and as both
+    compared. The keys are written down once and measured; too many of them make both joins shuffle, and as both
     sides hold a key once, no task gets a hot key.
     """
-    touched = broadcast_if_small(pending.select(*named_all(keys)).distinct())
+    touched = broadcast_if_small(settle(pending.select(*named_all(keys)).distinct(), "changed-keys"))
     untouched = join_on_key(base, touched, keys, "left_anti")
     contested = join_on_key(base, touched, keys, "left_semi")
     return untouched, newest(contested.unionByName(pending), keys, order)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 import time
 import uuid
+import warnings
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from threading import Lock
 
@@ -17,13 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tablesync.functions.columns import named
 from tablesync.functions.text import IDENTIFIER_PATTERN
-from tablesync.operators.schema import conform
+from tablesync.functions.types import cursor_to_text
+from tablesync.operators.schema import conform, conform_with
 from tablesync.plans.spec import TableSpec, validate_specs
 from tablesync.sinks.append import append_rows, create_if_absent
-from tablesync.sources.scan import high_watermark, scan_since, scan_table
+from tablesync.sources.scan import scan_since, scan_table
 from tablesync.sources.tables import Source
-from tablesync.streaming.cdc import PollResult, poll_stream
+from tablesync.streaming.cdc import SEEN, PollResult, poll_stream
 from tablesync.streaming.versionlog import VersionLog
 
 RESULT_SCHEMA = "name string, success boolean, error string, rows bigint, duration bigint"
@@ -73,11 +76,17 @@ class _Stage:
 
 
 class RunLog:
-    """Numbers the events of a job and hands them to a callback."""
+    """Numbers the events of a job and hands them to a callback.
 
-    def __init__(self, job_id: str, on_event: OnEvent | None = None):
+    A callback that fails is warned about and never breaks a copy. With a `path`, events are also appended to a
+    progress table there, which outlives the driver; polls then keep nothing in its memory.
+    """
+
+    def __init__(self, job_id: str, on_event: OnEvent | None = None, path: str | None = None):
         self.job_id = job_id
+        self.path = path
         self.events: list[dict] = []
+        self._seq = 0
         self._on_event = on_event
         self._lock = Lock()
 
@@ -95,18 +104,38 @@ class RunLog:
                 "phase": "",
                 "duration": "",
                 "timestamp": datetime.now(timezone.utc),
-                "seq": len(self.events),
+                "seq": self._seq,
                 **fields,
             }
+            self._seq += 1
             self.events.append(row)
         if self._on_event is not None:
-            self._on_event(row)
+            try:
+                self._on_event(row)
+            except Exception as error:
+                warnings.warn(f"event callback failed: {error!r}", stacklevel=2)
+
+    def flush(self, spark: SparkSession) -> None:
+        """Append the events held to the progress table. Without a path they stay in memory."""
+        if self.path is None:
+            return
+        with self._lock:
+            held, self.events = self.events, []
+        if held:
+            self._rows(spark, held).coalesce(1).write.mode("append").parquet(self.path)
 
-    def table(self, spark: SparkSession) -> DataFrame:
+    def _rows(self, spark: SparkSession, events: list[dict]) -> DataFrame:
         schema = T.StructType.fromDDL(PROGRESS_SCHEMA)
-        with self._lock:
-            rows = [tuple(e[name] for name in schema.fieldNames()) for e in self.events]
-        return spark.createDataFrame(rows, schema)
+        return spark.createDataFrame([tuple(e[name] for name in schema.fieldNames()) for e in events], schema)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """All events of the job: those of the progress table, or those held in memory."""
+        if self.path is None:
+            with self._lock:
+                return self._rows(spark, self.events)
+        self.flush(spark)
+        stored = spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+        return stored.where(F.col("job_id") == self.job_id)
 
 
 @dataclass(frozen=True)
@@ -115,7 +144,7 @@ class Target:
 
     spark: SparkSession
     root: str
-    buckets: int = 1
+    buckets: int = 0
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -141,17 +170,18 @@ def ingest_table(
     """Copy one table and, when it is polled, set its cursor.
 
     All checks on names, types and keys come before the first write. The row count and, for a polled
-    table, the cursor are observed while the snapshot is written: the source is read once.
-    `cursor_from="source"` takes the source's maximum after the load, which skips rows that
+    table, the cursor are observed while the snapshot is written: the source is read once. A limited snapshot of a
+    polled table holds the oldest rows and all rows without a delta, which no poll would find. An error of any kind
+    becomes the table's result. `cursor_from="source"` takes the source's maximum after the load, which skips rows that
     arrived in between or lie past the limit.
     """
     started = time.monotonic_ns()
     versioned = spec.polling.enabled and spec.polling.delta_column != ""
-    log.add(spec.name, "started", "Starting extraction")
+    log.add(spec.name, "started", "Reading the table")
     try:
         with _Stage("extraction failed"):
             table = scan_table(source.table(spec.name), spec.limit)
-        log.add(spec.name, "extracting", f"Extracting data ({len(table.columns)} columns)")
+        log.add(spec.name, "extracting", f"{len(table.columns)} columns to copy")
         with _Stage("DDL generation failed"):
             rows = conform(table)
             _check_names(spec.name, rows.schema)
@@ -164,26 +194,27 @@ def ingest_table(
                 versions = target.version_log(spec.name, rows.schema, key, spec.polling.delta_column)
             else:
                 create_if_absent(target.spark, target.path(spec.name), rows.schema)
-        log.add(spec.name, "inserting", "Inserting data")
+        log.add(spec.name, "inserting", "Writing rows")
         with _Stage("insertion failed"):
             if versioned:
+                full, delta = source.table(spec.name), spec.polling.delta_column
+                kind = full.schema[delta].dataType
+                taken = full
                 if spec.limit:
                     # Any `limit` rows may be loaded; the oldest leave nothing behind the cursor.
-                    full = conform(source.table(spec.name))
-                    rows = scan_since(full, spec.polling.delta_column, None, spec.limit)
+                    without = full.where(named(delta).isNull())
+                    taken = scan_since(full, delta, None, spec.limit).unionByName(without)
                 batch_id = versions.cursor().batch_id + 1
-                stored = versions.append(rows, batch_id)
+                stored = versions.append(conform_with(taken, delta, SEEN), batch_id, batch_size=spec.batch_size, seen=SEEN)
                 count, last_seen = stored.rows, stored.last_seen
                 if cursor_from == "source":
-                    full = conform(source.table(spec.name))
-                    watermark = high_watermark(full, spec.polling.delta_column)
-                    last_seen = watermark.select(F.col("watermark").cast("string")).first()[0]
-                versions.commit(last_seen, batch_id)
+                    last_seen = full.agg(cursor_to_text(F.max(named(delta)), kind)).first()[0]
+                versions.commit(last_seen, batch_id, kind)
             else:
                 seen = Observation()
-                append_rows(rows, target.path(spec.name), observation=seen)
+                append_rows(rows, target.path(spec.name), spec.batch_size, observation=seen)
                 count = int(seen.get["rows"])
-    except StageFailed as failure:
+    except Exception as failure:
         log.add(spec.name, "error", str(failure))
         return TableResult(spec.name, False, str(failure))
     duration = time.monotonic_ns() - started
@@ -192,7 +223,7 @@ def ingest_table(
         log.add(
             spec.name,
             "inserting",
-            f"Processing: {count} rows",
+            f"{count} rows written",
             current_rows=count,
             total_rows=spec.limit,
             percentage=percentage,
@@ -201,7 +232,7 @@ def ingest_table(
     log.add(
         spec.name,
         "completed",
-        "Ingestion completed",
+        "Table copied",
         row_count=count,
         current_rows=count,
         percentage=100.0,
@@ -216,8 +247,11 @@ def _in_pool(spark: SparkSession, pool: str, work: Callable[[], TableResult]) ->
     out: list[TableResult] = []
 
     def run() -> None:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
-        out.append(work())
+        try:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+            out.append(work())
+        except Exception as error:
+            out.append(TableResult(pool, False, str(error)))
 
     thread = InheritableThread(target=run, session=spark)
     thread.start()
@@ -233,7 +267,10 @@ def ingest_tables(
     at_once: int = 16,
     cursor_from: str = "snapshot",
 ) -> list[TableResult]:
-    """Copy many tables at a time; results come in finishing order and a failure stops only its table."""
+    """Copy many tables at a time; results come in finishing order and a failure stops only its table.
+
+    Polled tables are ready for `start_polling` afterwards; nothing is polled by this call.
+    """
     validate_specs(specs)
     spark = target.spark
     with ThreadPoolExecutor(max_workers=min(at_once, len(specs))) as pool:
@@ -241,11 +278,7 @@ def ingest_tables(
             pool.submit(_in_pool, spark, s.name, lambda s=s: ingest_table(source, s, target, log, cursor_from))
             for s in specs
         ]
-        results = [done.result() for done in as_completed(running)]
-    if any(s.polling.enabled for s in specs):
-        status = "completed" if all(r.success for r in results) else "failed"
-        log.add("", "job_completed", f"Job completed with status: {status} (CDC active)")
-    return results
+        return [done.result() for done in as_completed(running)]
 
 
 def results_table(spark: SparkSession, results: Sequence[TableResult]) -> DataFrame:
@@ -260,6 +293,7 @@ class JobRun:
     job: DataFrame
     results: DataFrame
     progress: DataFrame
+    streams: list[StreamingQuery] = field(default_factory=list)
 
 
 def run_job(
@@ -268,26 +302,47 @@ def run_job(
     target: Target,
     job_id: str | None = None,
     on_event: OnEvent | None = None,
+    checkpoints: str | None = None,
+    progress: str | None = None,
 ) -> JobRun:
-    """`ingest_tables` with the log rows of a job around it."""
+    """`ingest_tables` with the log rows of a job around it.
+
+    With `checkpoints` the polls of the copied tables are started and handed back. `progress` is the path of a table that
+    takes the events, of this run and its polls. What fails outside of a table, as a source that cannot be
+    reached, is the job's error.
+    """
     spark = target.spark
-    log = RunLog(job_id or uuid.uuid4().hex, on_event)
-    log.add("", "started", f"Starting ingestion for {len(specs)} tables")
+    validate_specs(specs)
+    log = RunLog(job_id or uuid.uuid4().hex, on_event, progress)
+    log.add("", "started", f"{len(specs)} tables to copy")
     start = datetime.now(timezone.utc)
-    results = ingest_tables(source, specs, target, log)
-    status = "completed" if all(r.success for r in results) else "failed"
+    results: list[TableResult] = []
+    streams: list[StreamingQuery] = []
+    error = None
+    try:
+        results = ingest_tables(source, specs, target, log)
+        if checkpoints is not None:
+            copied = {r.name for r in results if r.success}
+            streams = start_polling(source, [s for s in specs if s.name in copied], target, checkpoints, log)
+    except Exception as failure:
+        error = str(failure)
+        log.add("", "error", error)
+    status = "completed" if error is None and all(r.success for r in results) else "failed"
+    if any(s.polling.enabled for s in specs):
+        log.add("", "job_completed", f"Job ended: {status}" + (f", {len(streams)} tables polled" if streams else ""))
     configs = [
         (s.name, s.limit, s.batch_size, (s.polling.enabled, s.polling.delta_column, s.polling.interval_seconds))
         for s in specs
     ]
     result_rows = [(r.name, r.success, r.error, r.rows, r.duration) for r in results]
-    job = (log.job_id, status, [s.name for s in specs], configs, result_rows, start, datetime.now(timezone.utc), None)
+    job = (log.job_id, status, [s.name for s in specs], configs, result_rows, start, datetime.now(timezone.utc), error)
     return JobRun(
         spark.createDataFrame([job], JOB_SCHEMA),
         results_table(spark, results).select(
             F.lit(log.job_id).alias("job_id"), "*", F.monotonically_increasing_id().alias("seq")
         ),
         log.table(spark),
+        streams,
     )
 
 
@@ -309,11 +364,13 @@ def start_polling(
 
         def report(_log: VersionLog, result: PollResult, name: str = spec.name) -> None:
             if log is not None:
-                log.add(name, "cdc_update", f"CDC: {result.rows} new rows synced", row_count=result.rows)
+                log.add(name, "cdc_update", f"{result.rows} changed rows stored", row_count=result.rows)
+                log.flush(target.spark)
 
         def report_error(_log: VersionLog, error: Exception, name: str = spec.name) -> None:
             if log is not None:
                 log.add(name, "error", f"poll failed: {error}")
+                log.flush(target.spark)
 
         queries.append(
             poll_stream(

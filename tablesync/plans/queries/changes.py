@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,10 @@ def _line_log(spark: SparkSession, sf_dir: str, label: str, buckets: int = 4) ->
     return lines, VersionLog(spark, root, lines.schema, LINE_KEY, LINE_VERSION, buckets, "lineitem")
 
 
+def _store(log: VersionLog, rows: DataFrame, batch_id: int) -> None:
+    log.commit(log.append(rows, batch_id).last_seen, batch_id)
+
+
 @query(SQL_CURRENT_LINES)
 def current_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_view(read(spark, sf_dir, "lineitem"), LINE_KEY, LINE_VERSION)
@@ -70,10 +76,11 @@ def lineitem_version_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compacted_equals_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest versions first, then the oldest arrive late, and everything is compacted."""
     lines, log = _line_log(spark, sf_dir, "compact")
-    log.append(lines.where(F.col(LINE_VERSION) > instant(LATE)), 0)
-    log.append(lines.where(F.col(LINE_VERSION) <= instant(EARLY)), 1)
+    version = F.col(LINE_VERSION)
+    _store(log, lines.where(version > instant(LATE)), 0)
+    _store(log, lines.where(version <= instant(EARLY)), 1)
     log.compact()
-    log.append(lines.where((F.col(LINE_VERSION) > instant(EARLY)) & (F.col(LINE_VERSION) <= instant(LATE))), 2)
+    _store(log, lines.where((version > instant(EARLY)) & (version <= instant(LATE))), 2)
     log.compact()
     return log.current()
 
@@ -82,12 +89,73 @@ def compacted_equals_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 def current_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A compacted base with a later batch merged in as it is read."""
     lines, log = _line_log(spark, sf_dir, "merge")
-    log.append(lines.where(F.col(LINE_VERSION) <= instant(LATE)), 0)
+    _store(log, lines.where(F.col(LINE_VERSION) <= instant(LATE)), 0)
+    log.compact()
+    _store(log, lines.where(F.col(LINE_VERSION) > instant(LATE)), 1)
+    return log.current()
+
+
+@query(SQL_CURRENT_LINES)
+def current_after_bucket_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log written with four buckets and opened with eight: the next compaction deals all rows anew."""
+    lines, log = _line_log(spark, sf_dir, "rebucket")
+    _store(log, lines.where(F.col(LINE_VERSION) <= instant(LATE)), 0)
+    log.compact()
+    wider = replace(log, buckets=8)
+    _store(wider, lines.where(F.col(LINE_VERSION) > instant(LATE)), 1)
+    wider.compact()
+    return wider.current()
+
+
+@query(SQL_CURRENT_LINES)
+def stream_after_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of the early rows and a stream over the whole table's files after it."""
+    lines, log = _line_log(spark, sf_dir, "snapshot-stream")
+    _store(log, lines.where(F.col(LINE_VERSION) <= instant(EARLY)), 0)
+    file_stream(spark, f"{sf_dir}/lineitem.parque[t]", log, scratch_dir(spark, "stream-checkpoint")).awaitTermination()
+    return log.current()
+
+
+@query(SQL_CURRENT_LINES)
+def replay_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot that died before its commit: compaction leaves it alone, the retry replaces it whole."""
+    lines, log = _line_log(spark, sf_dir, "retry")
+    log.append(lines.where(F.col(LINE_VERSION) <= instant(EARLY)), 0)
+    log.compact()
+    _store(log, lines, 0)
     log.compact()
-    log.append(lines.where(F.col(LINE_VERSION) > instant(LATE)), 1)
     return log.current()
 
 
+@query(
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, "
+    "CAST(CAST(9007199254740992 AS DECIMAL(20, 0)) + o_orderkey AS DOUBLE) AS version FROM orders"
+)
+def cdc_decimal_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls over a decimal delta whose values differ by less than a double can tell: none is lost."""
+    orders = read(spark, sf_dir, "orders")
+    version = (F.lit(9007199254740992).cast("decimal(20,0)") + F.col("o_orderkey")).cast("decimal(20,0)")
+    rows = orders.withColumn("version", version)
+    log = VersionLog(spark, scratch_dir(spark, "decimal"), conform(rows).schema, ["o_orderkey"], "version", 1, "orders")
+    third = rows.count() // 3 + 1
+    while poll_once(rows, log, limit=third).rows:
+        pass
+    return log.current()
+
+
+@query("SELECT * FROM orders")
+def cdc_inclusive_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inclusive polls until nothing is left: every row is stored once, those at the cursor too."""
+    rows = conform(read(spark, sf_dir, "orders"))
+    log = VersionLog(spark, scratch_dir(spark, "inclusive"), rows.schema, ["o_orderkey"], "o_orderdate", 1, "orders")
+    third = rows.count() // 3 + 1
+    poll_once(rows.where("o_orderkey % 2 = 0"), log, limit=third)
+    while poll_once(rows, log, inclusive=True).rows:
+        pass
+    rest = rows.join(log.versions().select("o_orderkey"), "o_orderkey", "left_anti")  # came late, before the cursor
+    return log.versions().drop("_batch_id").unionByName(rest)
+
+
 @query(SQL_CURRENT_LINES)
 def cdc_two_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot of the early rows, and two polls that find the rest as the source grows."""

@@ -240,7 +240,7 @@ def cdc_badges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     SELECT s.id AS job_id, 'job_completed' AS event,
-           'Job completed with status: ' || status || ' (CDC active)' AS message
+           'Job ended: ' || status || ', polls active' AS message
     FROM ({_SQL_JOB_STATUS}) s JOIN ({inputs.SQL_JOBS}) j ON s.id = j.id
     WHERE status IN ('completed', 'failed') AND (polls0 OR polls1)
     """

@@ -24,6 +24,11 @@ def create_if_absent(
     empty.write.mode("ignore").partitionBy(*partitioned_by).parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def check_schema(source: T.StructType, target: T.StructType, allow_added: bool = False) -> None:
     """Fail before writing when a source no longer fits its table."""
     diff = schema_diff(source, target)
@@ -43,20 +48,23 @@ def append_rows(
 ) -> None:
     """Append all rows; columns go by name. Running it twice stores every row twice.
 
-    `batch_size` is the most rows one file takes and `writers` the most tasks that write; both are
-    left to Spark when 0, which keeps the write free of a shuffle. `merge_schema` lets a source add
-    columns, which older rows read as NULL.
+    `batch_size` is the most rows one file takes and `writers` the number of tasks that write; both are
+    left to Spark when 0, which keeps the write free of a shuffle. With `writers` the rows are dealt out to that many tasks
+    and the scan keeps its own. `merge_schema` lets a source add columns, which older rows read as NULL.
+    A new table takes the rows' schema from the write itself.
     """
     spark = table.sparkSession
-    create_if_absent(spark, path, table.schema)
-    reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
-    target = reader.parquet(path)
-    check_schema(table.schema, target.schema, merge_schema)
-    rows = table.select(*named_all(table.columns if merge_schema else target.columns))
+    columns = table.columns
+    if _exists(spark, path):
+        reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
+        target = reader.parquet(path)
+        check_schema(table.schema, target.schema, merge_schema)
+        columns = table.columns if merge_schema else target.columns
+    rows = table.select(*named_all(columns))
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
     if writers:
-        rows = rows.coalesce(writers)
+        rows = rows.repartition(writers)
     writer = rows.write.mode("append")
     if batch_size:
         writer = writer.option("maxRecordsPerFile", batch_size)

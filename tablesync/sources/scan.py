@@ -18,8 +18,26 @@ NTZ_EPOCH_TEXT = "1970-01-01 00:00:00"
 
 
 def scan_table(table: DataFrame, limit: int | None = 0) -> DataFrame:
-    """The whole table, or any `limit` rows of it; 0 and None mean no limit."""
-    return table.limit(limit) if limit else table
+    """The whole table, or any `limit` rows of it; 0 and None mean no limit.
+
+    A large limit gives every input partition a quota, in the order of the partitions, from one count of their
+    rows; no task then gathers what the others read. The input must read the same way twice, as files do.
+    """
+    if not limit:
+        return table
+    if limit <= TOP_N_ROWS:
+        return table.limit(limit)
+    part, place = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    counts = table.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()  # one row a partition
+    left, quotas = limit, {}
+    for row in sorted(counts):
+        quotas[row["part"]] = min(left, row["n"])
+        left -= quotas[row["part"]]
+    if not quotas:
+        return table
+    quota = F.array(*[F.lit(quotas.get(p, 0)).cast("bigint") for p in range(max(quotas) + 1)])
+    numbered = table.withColumns({"_part": part, "_place": place})
+    return numbered.where(F.col("_place") < F.get(quota, F.col("_part"))).drop("_part", "_place")
 
 
 def scan_since(

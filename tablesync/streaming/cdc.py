@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablesync.operators.schema import conform
+from tablesync.functions.columns import named, named_all
+from tablesync.operators.schema import conform, conform_with
+from tablesync.operators.versions import join_on_key
 from tablesync.sources.scan import scan_since
 from tablesync.streaming.versionlog import VersionLog
 
@@ -24,6 +27,19 @@ OnPoll = Callable[[VersionLog, PollResult], None]
 OnError = Callable[[VersionLog, Exception], None]
 
 
+#: The source's own version column on its way to the cursor.
+SEEN = "_seen_version"
+
+
+def _fresh(table: DataFrame, log: VersionLog, last_seen: Column) -> DataFrame:
+    """Cast rows from the cursor on, without those at the cursor that are stored. Only rows at the cursor are compared."""
+    rows = conform_with(table.where(named(log.version) >= last_seen), log.version, SEEN)
+    columns = list(dict.fromkeys([*log.row_key, log.version]))
+    held = log.versions().where(named(log.version) == last_seen.cast(log.schema[log.version].dataType))
+    at_cursor = join_on_key(rows.where(F.col(SEEN) == last_seen), held.select(*named_all(columns)).distinct(), columns, "left_anti")
+    return rows.where(F.col(SEEN) > last_seen).unionByName(at_cursor)
+
+
 def poll_once(
     table: DataFrame,
     log: VersionLog,
@@ -35,17 +51,23 @@ def poll_once(
     """Store what changed since the cursor as the next batch, then move the cursor.
 
     Rows are counted and the new cursor found while the batch is written, so the delta is read once.
-    A failed write leaves the cursor where it was; the next poll writes the same batch again.
+    The cursor is kept and compared in the source's own type, before columns are cast: the filter reaches the scan,
+    and versions that only a cast makes equal stay apart. `inclusive` also takes rows at the cursor that
+    are not stored yet, before any limit; what is stored is not taken again. A failed write leaves the cursor
+    where it was; the next poll writes the same batch again.
     """
     cursor = log.cursor()
-    rows = conform(table)
-    last_seen = cursor.literal(rows.schema[log.version].dataType)
-    delta = scan_since(rows, log.version, last_seen, limit, log.row_key, ties, inclusive)
+    kind = table.schema[log.version].dataType
+    last_seen = cursor.literal(kind)
+    if inclusive and last_seen is not None:
+        delta = scan_since(_fresh(table, log, last_seen), SEEN, None, limit, log.row_key, ties)
+    else:
+        delta = conform_with(scan_since(table, log.version, last_seen, limit, log.row_key, ties), log.version, SEEN)
     batch_id = cursor.batch_id + 1
-    stored = log.append(delta, batch_id, few=True)
+    stored = log.append(delta, batch_id, few=True, seen=SEEN)
     if stored.rows == 0:
         return PollResult(0, batch_id, cursor.last_seen)
-    log.commit(stored.last_seen, batch_id)
+    log.commit(stored.last_seen, batch_id, kind)
     result = PollResult(stored.rows, batch_id, stored.last_seen)
     if on_poll is not None:
         on_poll(log, result)
@@ -89,6 +111,19 @@ def poll_stream(
     )
 
 
+def _first_batch(spark: SparkSession, log: VersionLog, checkpoint: str, wanted: int | None) -> int:
+    path = f"{checkpoint.rstrip('/')}/first_batch"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.read.schema("batch bigint").parquet(path).first()["batch"]
+    after = log.cursor().batch_id + 1
+    if wanted is not None and wanted < after:
+        raise ValueError(f"batch {wanted} of {log.name} is stored already; the next is {after}")
+    first = after if wanted is None else wanted
+    spark.createDataFrame([(first,)], "batch bigint").coalesce(1).write.mode("overwrite").parquet(path)
+    return first
+
+
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -96,15 +131,17 @@ def file_stream(
     checkpoint: str,
     interval_seconds: int | None = None,
     max_files: int = 1000,
-    first_batch: int = 0,
+    first_batch: int | None = None,
     on_poll: OnPoll | None = None,
 ) -> StreamingQuery:
     """Store the rows of files as they arrive below a folder or a glob.
 
     Without an interval it takes what is there and ends. The checkpoint remembers the files taken,
-    and a batch that is replayed after a crash overwrites itself. `first_batch` keeps the stream's
-    batches apart from a snapshot stored before it.
+    and a batch that is replayed after a crash overwrites itself. The stream's batches are numbered from
+    `first_batch` on, by default the one after the cursor, so they keep clear of what is stored; the number is kept
+    beside the checkpoint at the first start and holds for every later one. A number in use is refused.
     """
+    first_batch = _first_batch(spark, log, checkpoint, first_batch)
 
     def store(batch: DataFrame, stream_batch: int) -> None:
         batch_id = first_batch + stream_batch

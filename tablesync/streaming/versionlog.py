@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.columns import named, named_all
 from tablesync.functions.types import cursor_literal, cursor_to_text
 from tablesync.operators.versions import bucket_of, newest, split_current
-from tablesync.sinks.append import check_schema, create_if_absent, nullable
+from tablesync.sinks.append import check_schema, nullable
 
 CURSOR_SCHEMA = (
     "table string, delta_column string, last_seen string, last_seen_type string, "
     "batch_id bigint, committed_at timestamp"
 )
-MANIFEST_SCHEMA = "bucket int, generation bigint, through_batch bigint"
+MANIFEST_SCHEMA = "bucket int, generation bigint, through_batch bigint, buckets int, rows bigint"
+#: Where the number of buckets is left open, about so many rows go into one.
+ROWS_PER_BUCKET = 2_000_000
+#: Up to this many pending batches are read by their paths, which spares the listing of their files one folder at a time.
+BATCHES_BY_PATH = 1000
 
 
 @dataclass(frozen=True)
@@ -47,9 +51,10 @@ class VersionLog:
         <root>/cursor/slot=<0|1>                   the last two cursors
 
     A batch is written with overwrite to its own path, so a replayed batch replaces itself whole. Once
-    a cursor is committed, readers and compaction see the batches up to it and no half-written one.
-    The bucket is a hash of the key, by which compaction rewrites only what changed. A log has one
-    writer at a time.
+    a cursor is committed, readers see the batches up to it and no half-written one, and compaction takes committed batches
+    only. The bucket is a hash of the key, by which compaction rewrites only what changed. The manifest keeps the
+    number of buckets: 0 takes that or, at the first compaction, one by the number of rows; another number than
+    the stored one makes the next compaction rewrite all buckets. A log has one writer at a time. Reading writes nothing.
     """
 
     spark: SparkSession
@@ -57,8 +62,9 @@ class VersionLog:
     schema: T.StructType
     keys: list[str]
     version: str
-    buckets: int = 1
+    buckets: int = 0
     name: str = "table"
+
     def __post_init__(self):
         reserved = {"_batch_id", "_bucket", "_generation"} & set(self.schema.fieldNames())
         if reserved:
@@ -80,23 +86,41 @@ class VersionLog:
 
     # -- writing ---------------------------------------------------------------------------------
 
-    def append(self, rows: DataFrame, batch_id: int, few: bool = False) -> Appended:
+    def append(
+        self,
+        rows: DataFrame,
+        batch_id: int,
+        few: bool = False,
+        batch_size: int = 0,
+        seen: str | None = None,
+    ) -> Appended:
         """Store one batch and tell, from the same pass, its row count and greatest version.
 
         A snapshot is written as it is read, without a shuffle. `few` says that few of the rows read
         are left, as in a poll: they are brought together first, or every task would write a tiny
         file. What is observed comes after that step, in the stage that writes, whose tasks count once
-        even when an executor is lost.
+        even when an executor is lost. `seen` names a further column that holds the version as the source
+        has it; it is observed in place of the stored one and not stored. `batch_size` is the most rows of a file.
+        A number that a compaction has taken in is refused: nobody would read the batch.
         """
-        check_schema(rows.schema, self.schema)
-        batch = rows.select(*named_all(self.schema.fieldNames()))
+        through = max((last for _, _, last in self.manifest()), default=-1)
+        if batch_id <= through:
+            raise ValueError(f"batch {batch_id} of {self.name} is compacted already (through {through})")
+        names = self.schema.fieldNames()
+        stored = rows.drop(named(seen)) if seen else rows
+        check_schema(stored.schema, self.schema)
+        batch = rows.select(*named_all([*names, *([seen] if seen else [])]))
         if few:
             batch = batch.hint("rebalance")
-        seen = Observation()
-        greatest = cursor_to_text(F.max(named(self.version)), self._version_type).alias("last_seen")
-        observed = batch.observe(seen, F.count(F.lit(1)).alias("rows"), greatest)
-        observed.write.mode("overwrite").parquet(f"{self.root}/log/_batch_id={batch_id}")
-        return Appended(int(seen.get["rows"]), seen.get["last_seen"])
+        counted = Observation()
+        version = seen or self.version
+        greatest = cursor_to_text(F.max(named(version)), batch.schema[version].dataType).alias("last_seen")
+        observed = batch.observe(counted, F.count(F.lit(1)).alias("rows"), greatest)
+        writer = observed.select(*named_all(names)).write.mode("overwrite")
+        if batch_size:
+            writer = writer.option("maxRecordsPerFile", batch_size)
+        writer.parquet(f"{self.root}/log/_batch_id={batch_id}")
+        return Appended(int(counted.get["rows"]), counted.get["last_seen"])
 
     # -- cursor ----------------------------------------------------------------------------------
 
@@ -105,16 +129,21 @@ class VersionLog:
         latest = self._control("cursor", CURSOR_SCHEMA, "slot").orderBy(F.desc("batch_id")).first()
         return Cursor() if latest is None else Cursor(latest["last_seen"], latest["batch_id"])
 
-    def commit(self, last_seen: str | None, batch_id: int) -> None:
-        """Move the cursor. It is called after the batch is stored, so a crash repeats a batch and
-        never skips one. Two slots take turns: while one is rewritten the other still holds the
-        cursor before it, and the table of cursors stays at two rows.
+    def commit(self, last_seen: str | None, batch_id: int, data_type: T.DataType | None = None) -> None:
+        """Move the cursor, never back: a batch of older rows, or of none, leaves the place it has. It is
+        called after the batch is stored, so a crash repeats a batch and never skips one. Two slots take
+        turns: while one is rewritten the other still holds the cursor before it, and the table of
+        cursors stays at two rows. `data_type` is the version's type in the source if it is not the stored one.
         """
+        kind = data_type or self._version_type
+        before = self.cursor()
+        places = [cursor_literal(p, kind) for p in (before.last_seen, last_seen) if p is not None]
+        place = F.lit(None) if not places else places[0] if len(places) == 1 else F.greatest(*places)
         values = {
             "table": F.lit(self.name),
             "delta_column": F.lit(self.version),
-            "last_seen": F.lit(last_seen).cast("string"),
-            "last_seen_type": F.lit(self._version_type.simpleString()),
+            "last_seen": cursor_to_text(place, kind).cast("string"),
+            "last_seen_type": F.lit(kind.simpleString()),
             "batch_id": F.lit(batch_id).cast("bigint"),
             "committed_at": F.current_timestamp(),
         }
@@ -127,38 +156,53 @@ class VersionLog:
     def _stored_schema(self) -> T.StructType:
         return nullable(self.schema).add("_batch_id", T.LongType())
 
+    def _read(self, path: str, schema: T.StructType) -> DataFrame:
+        """A stored table, or none of its rows before it is first written."""
+        where = self._hadoop_path(path)
+        if not where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
+
     def _control(self, name: str, columns: str, part: str) -> DataFrame:
-        """A control table: a few rows under one partition column, empty until first written."""
-        schema = T.StructType.fromDDL(f"{columns}, {part} bigint")
-        create_if_absent(self.spark, f"{self.root}/{name}", schema, [part])
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        """A control table: a few rows under one partition column."""
+        return self._read(f"{self.root}/{name}", T.StructType.fromDDL(f"{columns}, {part} bigint"))
 
     def versions(self) -> DataFrame:
         """Every stored version, with its `_batch_id`."""
-        create_if_absent(self.spark, f"{self.root}/log", self._stored_schema, ["_batch_id"])
-        return self.spark.read.schema(self._stored_schema).parquet(f"{self.root}/log")
+        return self._read(f"{self.root}/log", self._stored_schema)
 
-    def _pending(self, through: int) -> DataFrame:
-        """Versions of the batches after `through`, up to the cursor if there is one.
-
-        A few batches are read by their paths, which spares the listing of all older ones.
-        """
-        committed = self.cursor().batch_id
-        if committed >= 0 and committed - through <= 1000:
-            batches = ",".join(str(b) for b in range(through + 1, committed + 1))
-            if not batches:
-                return self.spark.createDataFrame([], self._stored_schema)
+    def _pending(self, through: int, committed: int | None = None) -> DataFrame:
+        """Versions of the batches after `through`, up to the cursor if there is one. Missing batches have no rows."""
+        last = self.cursor().batch_id if committed is None else committed
+        found = [(p, b) for p, b in self._folders("log", "_batch_id") if b > through and (last < 0 or b <= last)]
+        if not found:
+            return self.spark.createDataFrame([], self._stored_schema)
+        if len(found) <= BATCHES_BY_PATH:
             reader = self.spark.read.schema(self._stored_schema).option("basePath", f"{self.root}/log")
-            return reader.parquet(f"{self.root}/log/_batch_id={{{batches}}}")
+            return reader.parquet(*[path for path, _ in found])
         versions = self.versions().where(F.col("_batch_id") > through)
-        return versions if committed < 0 else versions.where(F.col("_batch_id") <= committed)
+        return versions if last < 0 else versions.where(F.col("_batch_id") <= last)
+
+    def _entries(self) -> list[Row]:
+        """The newest generation of the manifest: one row per bucket."""
+        generations = self._folders("manifest", "_generation")
+        if not generations:
+            return []
+        path, _ = max(generations, key=lambda g: g[1])
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path).orderBy("bucket").collect()
 
     def manifest(self) -> list[tuple[int, int, int]]:
         """`(bucket, generation, through_batch)` of the newest generation: one entry per bucket."""
-        stored = self._control("manifest", MANIFEST_SCHEMA, "_generation")
-        last = stored.agg(F.max("_generation")).scalar()
-        rows = stored.where(F.col("_generation") == last).orderBy("bucket").collect()
-        return [(r["bucket"], r["generation"], r["through_batch"]) for r in rows]
+        return [(r["bucket"], r["generation"], r["through_batch"]) for r in self._entries()]
+
+    def _after(self, pending: DataFrame, entries: list[Row]) -> DataFrame:
+        """The pending versions that their bucket's compacted rows do not hold yet."""
+        through = {r["bucket"]: r["through_batch"] for r in entries}
+        if len(set(through.values())) < 2:
+            return pending
+        buckets = entries[0]["buckets"]
+        taken = F.array(*[F.lit(through.get(b, -1)) for b in range(buckets)])
+        return pending.where(F.col("_batch_id") > F.get(taken, bucket_of(self.row_key, buckets)))
 
     def _base(self, manifest: list[tuple[int, int, int]], only: set[int] | None = None) -> DataFrame:
         """The compacted rows with their `_bucket`, of all buckets or some."""
@@ -177,56 +221,79 @@ class VersionLog:
     def current(self) -> DataFrame:
         """The newest version of every key: the compacted base with the batches since merged in."""
         names = named_all(self.schema.fieldNames())
-        manifest = self.manifest()
-        if not manifest:
+        entries = self._entries()
+        if not entries:
             return newest(self._pending(-1), self.row_key, self._order).select(*names)
-        base = self._base(manifest).drop("_bucket")
-        untouched, changed = split_current(base, self._pending(manifest[0][2]), self.row_key, self._order)
+        base = self._base(self.manifest()).drop("_bucket")
+        pending = self._after(self._pending(min(r["through_batch"] for r in entries)), entries)
+        untouched, changed = split_current(base, pending, self.row_key, self._order)
         return untouched.unionByName(changed).select(*names)
 
     # -- compaction ------------------------------------------------------------------------------
 
-    def compact(self) -> int:
+    def compact(self, least_share: float = 0.0) -> int:
         """Write one row per key for the buckets that changed, then switch readers to them.
 
-        Gives the generation now current. Readers follow the manifest, which is written last; a
-        compaction that dies before that leaves the old generation in place and is simply run again.
+        Only committed batches are taken. A bucket waits until its pending versions are at least `least_share` of
+        its rows, so that a few changed keys need not rewrite a table. Gives the generation now
+        current. Readers follow the manifest, which is written last; a compaction that dies before that leaves the
+        old generation in place and is simply run again.
         """
-        manifest = self.manifest()
-        generation = max((g for _, g, _ in manifest), default=-1) + 1
-        pending = self._pending(manifest[0][2] if manifest else -1)
-        pending = pending.withColumn("_bucket", bucket_of(self.row_key, self.buckets))
+        entries = self._entries()
+        generation = max((r["generation"] for r in entries), default=-1) + 1
+        committed = self.cursor().batch_id
+        if committed < 0:
+            return generation - 1
+        stored = entries[0]["buckets"] if entries else None
+        pending = self._pending(min((r["through_batch"] for r in entries), default=-1), committed)
+        pending = self._after(pending, entries)
+        buckets = self.buckets or stored or -(-max(1, pending.count()) // ROWS_PER_BUCKET)
+        dealt_anew = bool(entries) and buckets != stored
+        pending = pending.withColumn("_bucket", bucket_of(self.row_key, buckets))
         # At most one row per bucket comes back.
-        found = pending.groupBy("_bucket").agg(F.max("_batch_id").alias("last")).collect()
-        if not found:
+        counts = {r["_bucket"]: r["n"] for r in pending.groupBy("_bucket").agg(F.count("*").alias("n")).collect()}
+        held = {r["bucket"]: r for r in entries}
+        if dealt_anew:
+            changed = set(range(buckets))
+        else:
+            changed = {b for b, n in counts.items() if b not in held or n >= least_share * (held[b]["rows"] or 0)}
+        if not changed:
             return generation - 1
-        changed = {row["_bucket"] for row in found}
-        last = max(row["last"] for row in found)
-        pending = pending.where(F.col("_batch_id") <= last)
+        pending = pending.where(F.col("_bucket").isin(*changed)) if len(changed) < len(counts) else pending
 
-        if manifest:
-            base = self._base(manifest, changed)
+        if entries:
+            base = self._base(self.manifest(), None if dealt_anew else changed)
             untouched, resolved = split_current(base, pending, self.row_key, self._order)
             # Rows read from one bucket's files go back to that bucket, so only the others move.
-            rows = untouched.unionByName(self._by_bucket(resolved))
+            if dealt_anew:
+                untouched = self._by_bucket(untouched.withColumn("_bucket", bucket_of(self.row_key, buckets)), buckets)
+                resolved = resolved.withColumn("_bucket", bucket_of(self.row_key, buckets))
+            rows = untouched.unionByName(self._by_bucket(resolved, buckets))
         else:
-            rows = self._by_bucket(newest(pending, self.row_key, self._order))
+            rows = self._by_bucket(newest(pending, self.row_key, self._order), buckets)
         path = f"{self.root}/base/_generation={generation}"
-        if self.buckets == 1:
+        if buckets == 1:
             rows.drop("_bucket").write.mode("overwrite").parquet(f"{path}/_bucket=0")
         else:
             rows.write.mode("overwrite").partitionBy("_bucket").parquet(path)
 
-        kept = [(bucket, held) for bucket, held, _ in manifest if bucket not in changed]
-        entries = [(b, g, last) for b, g in kept] + [(b, generation, last) for b in sorted(changed)]
-        entry_table = self.spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1)
+        written = self.spark.read.schema(self._stored_schema.add("_bucket", T.IntegerType())).parquet(path)
+        sizes = {r["_bucket"]: r["n"] for r in written.groupBy("_bucket").agg(F.count("*").alias("n")).collect()}
+        new = [(b, generation, committed, buckets, n) for b, n in sizes.items()]
+        # A bucket without pending versions is as new as the others; one that waits keeps its place.
+        kept = [
+            (b, r["generation"], r["through_batch"] if b in counts else committed, buckets, r["rows"])
+            for b, r in held.items()
+            if b not in changed
+        ]
+        entry_table = self.spark.createDataFrame(sorted(new + kept), MANIFEST_SCHEMA).coalesce(1)
         entry_table.write.mode("overwrite").parquet(f"{self.root}/manifest/_generation={generation}")
         return generation
 
-    def _by_bucket(self, rows: DataFrame) -> DataFrame:
+    def _by_bucket(self, rows: DataFrame, buckets: int) -> DataFrame:
         """Bring the rows of a bucket together, so that few files are written. At run time large
         buckets are split over tasks and small ones merged."""
-        return rows.hint("rebalance", F.col("_bucket")) if self.buckets > 1 else rows
+        return rows.hint("rebalance", F.col("_bucket")) if buckets > 1 else rows
 
     def vacuum(self) -> int:
         """Delete the batches and bucket folders that the current generation has made needless.
@@ -237,7 +304,7 @@ class VersionLog:
         if not manifest:
             return 0
         held = {(generation, bucket) for bucket, generation, _ in manifest}
-        current, through = max(g for g, _ in held), manifest[0][2]
+        current, through = max(g for _, g in self._folders("manifest", "_generation")), min(last for _, _, last in manifest)
         old = [path for path, batch in self._folders("log", "_batch_id") if batch <= through]
         old += [path for path, generation in self._folders("manifest", "_generation") if generation < current]
         for path, generation in self._folders("base", "_generation"):

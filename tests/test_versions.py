@@ -162,13 +162,17 @@ def test_cursor_slots(log):
 
 def test_compaction_keeps_the_view_and_rewrites_changed_buckets_only(spark, log):
     log.append(batch(spark, *[(i, 1, "a") for i in range(40)]), 0)
+    log.commit(None, 0)
     log.append(batch(spark, (1, 2, "b"), (2, 0, "late")), 1)
+    log.commit(None, 1)
     before = rows_of(log.current())
     assert log.compact() == 0
     assert rows_of(log.current()) == before
     assert log.compact() == 0
     log.append(batch(spark, (1, 3, "c"), (100, 1, "new")), 2)
+    log.commit(None, 2)
     log.append(batch(spark, (3, 1, "tie")), 3)
+    log.commit(None, 3)
     before = rows_of(log.current())
     assert (1, 3, "c") in before and (100, 1, "new") in before and (3, 1, "tie") in before and (2, 1, "a") in before
     assert log.compact() == 1
@@ -183,10 +187,12 @@ def test_log_without_a_key(spark, folder):
     schema = batch(spark).schema
     log = VersionLog(spark, folder, schema, [], "v", 4, "t")
     log.append(batch(spark, (1, 1, "a"), (1, 1, "a"), (1, 2, "a"), (None, 1, None)), 0)
+    log.commit(None, 0)
     expected = [(1, 1, "a"), (1, 2, "a"), (None, 1, None)]
     assert rows_of(log.current()) == expected
     log.compact()
     log.append(batch(spark, (1, 2, "a"), (None, 1, None), (2, 1, "b")), 1)
+    log.commit(None, 1)
     assert rows_of(log.current()) == sorted([*expected, (2, 1, "b")], key=repr)
     log.compact()
     assert rows_of(log.current()) == sorted([*expected, (2, 1, "b")], key=repr)
@@ -250,6 +256,7 @@ def test_a_large_bucket_is_spread_over_write_tasks(spark, folder):
     try:
         log = VersionLog(spark, folder, rows.schema, ["k"], "v", 2, "t")
         log.append(rows, 0)
+        log.commit(None, 0)
         log.compact()
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
@@ -262,10 +269,13 @@ def test_a_large_bucket_is_spread_over_write_tasks(spark, folder):
 def test_vacuum_deletes_only_what_no_reader_needs(spark, log):
     assert log.vacuum() == 0
     log.append(batch(spark, *[(i, 1, "a") for i in range(40)]), 0)
+    log.commit(None, 0)
     log.compact()
     log.append(batch(spark, (1, 2, "b")), 1)
+    log.commit(None, 1)
     log.compact()
     log.append(batch(spark, (2, 2, "c")), 2)
+    log.commit(None, 2)
     before = rows_of(log.current())
     # Two batches, one manifest, and the one bucket that was rewritten.
     assert log.vacuum() == 4
