@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablesync.plans import samples as make
 from tablesync.plans.inputs import SqlDraws, read
-from tablesync.plans.queries.registry import query
+from tablesync.plans.queries.registry import maker, query
 
 NOW, LATER = "2024-06-01 00:00:00", "2024-06-02 00:00:00"
 UPDATED_ROWS = 50
@@ -37,12 +37,12 @@ def _sql_users(words: tuple[str, ...]) -> str:
     """
 
 
-@query(_sql_users(make.USER_STATUS))
+@maker(_sql_users(make.USER_STATUS))
 def sample_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.users(_ids(spark, sf_dir, "users"), NOW)
 
 
-@query(_sql_users(make.USER_STATUS_LARGE))
+@maker(_sql_users(make.USER_STATUS_LARGE))
 def large_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.users(_ids(spark, sf_dir, "users"), NOW, "large")
 
@@ -57,7 +57,7 @@ def _sql_products() -> str:
     """
 
 
-@query(_sql_products())
+@maker(_sql_products())
 def sample_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.products(_ids(spark, sf_dir, "products"), NOW)
 
@@ -80,17 +80,17 @@ def _sql_orders(size: str, after: int, now: str) -> str:
     return f"SELECT {', '.join(columns)} FROM {_sql_ids('orders', after)}"
 
 
-@query(_sql_orders("sample", 0, NOW))
+@maker(_sql_orders("sample", 0, NOW))
 def sample_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.orders(_ids(spark, sf_dir, "orders"), NOW)
 
 
-@query(_sql_orders("large", 0, NOW))
+@maker(_sql_orders("large", 0, NOW))
 def large_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.orders(_ids(spark, sf_dir, "orders"), NOW, "large")
 
 
-@query(_sql_orders("added", ADDED, LATER))
+@maker(_sql_orders("added", ADDED, LATER))
 def added_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.orders(_ids(spark, sf_dir, "orders", ADDED), LATER, "added")
 
@@ -119,17 +119,17 @@ def _sql_events(size: str, after: int, now: str) -> str:
     """
 
 
-@query(_sql_events("sample", 0, NOW))
+@maker(_sql_events("sample", 0, NOW))
 def sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.events(_ids(spark, sf_dir, "events"), NOW)
 
 
-@query(_sql_events("large", 0, NOW))
+@maker(_sql_events("large", 0, NOW))
 def large_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.events(_ids(spark, sf_dir, "events"), NOW, "large")
 
 
-@query(_sql_events("added", ADDED, LATER))
+@maker(_sql_events("added", ADDED, LATER))
 def added_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.events(_ids(spark, sf_dir, "events", ADDED), LATER, "added")
 
@@ -144,7 +144,7 @@ def _sql_bench() -> str:
     """
 
 
-@query(_sql_bench())
+@maker(_sql_bench())
 def bench_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.bench_rows(_ids(spark, sf_dir, "orders"), NOW)
 

@@ -9,6 +9,7 @@ import duckdb
 
 from tablesync.plans.inputs import TABLES
 from tablesync.plans.queries import ORACLES, QUERIES
+from tablesync.plans.queries.registry import MAKER_SQL, MAKERS
 
 
 def connect(sf_dir: str):
@@ -33,8 +34,8 @@ def _value(v):
 
 def compare(spark, con, name: str, sf_dir: str) -> list[str]:
     """What differs; an empty list when nothing does."""
-    table = QUERIES[name](spark, sf_dir)
-    sql = ORACLES[name]
+    table = {**QUERIES, **MAKERS}[name](spark, sf_dir)
+    sql = {**ORACLES, **MAKER_SQL}[name]
     types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
     problems = []
     mine = {f.name: f.dataType.simpleString() for f in table.schema}

@@ -5,6 +5,8 @@ from conftest import DATA
 from oracle import compare, connect
 
 import __spark_entry__ as contract
+from tablesync.plans.queries import QUERIES
+from tablesync.plans.queries.registry import MAKERS
 
 SF_DIR = f"{DATA}/sf0.001"
 
@@ -14,9 +16,15 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, con, name):
-    assert name in contract.oracle_sql()
+    assert name in contract.queries() and name in contract.oracle_sql()
+    assert compare(spark, con, name, SF_DIR) == []
+
+
+@pytest.mark.parametrize("name", sorted(MAKERS))
+def test_maker_matches_its_sql(spark, con, name):
+    assert name not in contract.queries()
     assert compare(spark, con, name, SF_DIR) == []
 
 
