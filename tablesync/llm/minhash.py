@@ -164,27 +164,71 @@ def strip_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "strips"])
 
 
-def close_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of each block whose labels differ and whose signatures agree: probes against the block's own members."""
+def members_of(batch: pa.RecordBatch, row: int) -> tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A block's members with their ids and labels, and the places of its probes and of its own members."""
+    members = batch.column("members")[row].values
+    ids, labels, probe = (members.field(f).to_numpy(zero_copy_only=False) for f in ("id", "label", "probe"))
+    return members, ids, labels, np.flatnonzero(probe), np.flatnonzero(~probe)
+
+
+def close_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of each block whose signature agrees with that of a probe, or an own member, of another label."""
     for batch in batches:
         for row in range(batch.num_rows):
-            members = batch.column("members")[row].values
-            ids, labels, probe = (members.field(f).to_numpy(zero_copy_only=False) for f in ("id", "label", "probe"))
-            darts = members.field("darts").flatten().to_numpy().reshape(len(ids), K)
-            x, y = np.flatnonzero(probe), np.flatnonzero(~probe)
+            members, _, labels, x, y = members_of(batch, row)
+            darts = members.field("darts").flatten().to_numpy().reshape(len(labels), K)
             same = np.zeros((len(x), len(y)), np.int16)
             for k in range(K):
                 same += darts[x, k][:, None] == darts[y, k][None]
-            i, j = np.nonzero((same >= AGREE) & (labels[x][:, None] != labels[y][None]))
-            one, two = ids[x[i]], ids[y[j]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
-
+            close = (same >= AGREE) & (labels[x][:, None] != labels[y][None])
+            kept = pa.array(np.concatenate([x[close.any(1)], y[close.any(0)]]))
+            key = [pa.array(np.repeat(batch.column(c)[row].as_py(), len(kept)), kind) for c, kind in (("band", pa.int64()), ("block", pa.int32()), ("of", pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*key, *(members.field(f).take(kept) for f in ("id", "label", "probe"))], ["band", "block", "of", "id", "label", "probe"])
 
-def crossing(shared: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs (a, b) with agreeing signatures in buckets that hold several classes, between the classes.
 
-    Members outside a bucket's least class are probes and meet all its members, in blocks of a bounded size that
-    leave the tasks as pairs only where signatures agree.
+def links_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of each block by exact comparison, enough of them to connect every two labels that have one."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            members, ids, labels, x, y = members_of(batch, row)
+            lists = members.field("strips")
+            sizes = np.diff(lists.offsets.to_numpy())
+            owner = np.repeat(np.arange(len(ids)), sizes)
+            _, code, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+            shared = times[code] > 1
+            owner, code = owner[shared], np.unique(code[shared], return_inverse=True)[1]
+            common = np.zeros((len(x), len(y)), np.float32)
+            for low in range(0, int(code.max(initial=-1)) + 1, 4096):
+                part = (code >= low) & (code < low + 4096)
+                held = np.zeros((len(ids), 4096), np.float32)
+                held[owner[part], code[part] - low] = 1
+                common += held[x] @ held[y].T
+            similarity = common / np.maximum(sizes[x][:, None] + sizes[y][None] - common, 1)
+            i, j = np.nonzero((similarity >= SIMILARITY) & (labels[x][:, None] != labels[y][None]))
+            pairs = np.stack([labels[x[i]], labels[y[j]]], 1)
+            _, first = np.unique(pairs, axis=0, return_index=True) if len(pairs) else (None, np.zeros(0, np.int64))
+            root: dict[int, int] = {}
+
+            def find(label: int, root: dict[int, int] = root) -> int:
+                while root.get(label, label) != label:
+                    label = root[label]
+                return label
+
+            found = []
+            for n in first:
+                one, two = sorted((find(int(pairs[n, 0])), find(int(pairs[n, 1]))))
+                if one != two:
+                    root[two] = one
+                    found.append((int(ids[x[i[n]]]), int(ids[y[j[n]]])))
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
+
+
+def crossing(shared: DataFrame, labels: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
+    """Verified links (a, b) between the classes of buckets that hold several.
+
+    Members outside a bucket's least class are probes and meet all its members, in blocks of a bounded size. First the
+    blocks name the members whose signatures agree, then they compare the strips of these. What leaves a block are
+    members and links that connect classes, never its pairs.
     """
     named = settle(shared.join(labels, "id", "left").select("band", "id", F.coalesce("label", "id").alias("label")), "named")
     mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
@@ -195,7 +239,10 @@ def crossing(shared: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFra
     probes = open_.where("label <> low").select("band", others.alias("block"), F.col("mine").alias("of"), "id", "label", "darts", F.lit(True).alias("probe"))
     own = open_.select("band", F.col("mine").alias("block"), others.alias("of"), "id", "label", "darts", F.lit(False).alias("probe"))
     blocks = probes.union(own).groupBy("band", "block", "of").agg(F.collect_list(F.struct("id", "label", "probe", "darts")).alias("members"))
-    return blocks.select("members").mapInArrow(close_in_blocks, "a long, b long").distinct()
+    close = settle(blocks.mapInArrow(close_members, "band long, block int, of int, id long, label long, probe boolean"), "close-members")
+    held = strips_of(close.select("id").distinct(), docs)
+    again = close.join(held, "id").groupBy("band", "block", "of").agg(F.collect_list(F.struct("id", "label", "probe", "strips")).alias("members"))
+    return settle(again.select("members").mapInArrow(links_in_blocks, "a long, b long"), "crossing-links")
 
 
 def agreeing(pairs: DataFrame, signed: DataFrame) -> DataFrame:
@@ -207,12 +254,17 @@ def agreeing(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").where(same >= AGREE).select("a", "b")
 
 
+def strips_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, strips) of the documents named."""
+    ids = settle(ids, "close-ids")
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    return settle(docs.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(strip_lists, "id long, strips array<long>"), "strips")
+
+
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose strips have a Jaccard similarity of SIMILARITY or more."""
     close = settle(pairs, "close")
-    ids = settle(close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct(), "close-ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    held = settle(docs.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(strip_lists, "id long, strips array<long>"), "strips")
+    held = strips_of(close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct(), docs)
     one = held.select(F.col("id").alias("b"), F.col("strips").alias("right"))
     two = held.select(F.col("id").alias("a"), F.col("strips").alias("left"))
     common = F.size(F.array_intersect("left", "right"))
@@ -221,10 +273,9 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, class_id, copy_of, n_links) of every row.
+    """(doc_id, class_id, copy_of) of every row.
 
-    `copy_of` is the least id with the same shingles, `class_id` the least id of the class, `n_links` the number of
-    verified links of the document's distinct text.
+    `copy_of` is the least id with the same shingles, `class_id` the least id of the class.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = "id long, weight int, c1 long, c2 long, darts array<int>, bands array<long>"
@@ -237,18 +288,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     shared = settle(members.join(buckets, "band").select("band", "id", "pivot"), "shared")
     pairs = settle(shared.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     links = verified(agreeing(pairs, distinct), texts)
-    rest = crossing(shared, components(links), distinct).join(pairs, ["a", "b"], "left_anti")
-    links = settle(links.union(verified(rest, texts)), "all-links")
-    labels = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    by_first = firsts.join(labels.select(F.col("id").alias("first"), "label"), "first", "left").join(degree.withColumnRenamed("id", "first"), "first", "left")
+    links = links.union(crossing(shared, components(links), distinct, texts))
+    labels = components(links).select(F.col("id").alias("first"), "label")
+    by_first = firsts.join(labels, "first", "left")
     found = signed.select("id", "c1", "c2", "weight").join(by_first, ["c1", "c2", "weight"], "left")
     none = F.col("id").isNull()
     return found.select(
         F.col("id").alias("doc_id"),
         F.when(~none, F.coalesce("label", "first", "id")).alias("class_id"),
         F.when(~none, F.coalesce("first", "id")).alias("copy_of"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
 
