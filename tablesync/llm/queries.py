@@ -16,7 +16,7 @@ def op8_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(table(spark, sf_dir, "embeddings")).drop("evaluated")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,4 +67,67 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+#: Where SQL can express an operator. Elsewhere the tests compare it with a plain version.
+ORACLES: dict[str, str] = {
+    # A turn takes 12, 1 and 11 characters of the template, and one more for each control string in its text.
+    "op3_chat_formatting": r'''
+    WITH turns AS (
+        SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(24 + length(role) + length(text) + len(regexp_extract_all(text,
+               '[<\[]\\*(\|im_start\|>|\|im_end\|>|\|endoftext\|>|\|system\|>|\|user\|>|\|assistant\|>|s>|/s>|<SYS>>|</SYS>>|INST\]|/INST\])'
+           ))) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id
+    ''',
+    "op5_secret_scans": r'''
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner FROM documents),
+    kinds AS (SELECT * FROM (VALUES
+        (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'),
+        (1, 'access', 'AKIA[A-Z0-9]{16,}'),
+        (2, 'hex', '[0-9a-f]{24,}'),
+        (3, 'other', '-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}'
+            || '|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|[A-Za-z0-9+/_-]{28,}={0,2}')) AS k(kind, name, pattern)),
+    split AS (
+        SELECT doc_id, owner, kind, name, string_split_regex(regexp_replace(translate(text, chr(1) || chr(2), chr(3) || chr(3)),
+            pattern, chr(1) || '\0' || chr(2), 'g'), '[' || chr(1) || chr(2) || ']') AS parts FROM d, kinds),
+    opened AS (SELECT doc_id, owner, kind, name, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM split WHERE len(parts) > 1),
+    placed AS (SELECT *, CAST(sum(length(part)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS stop FROM opened),
+    matched AS (
+        SELECT doc_id, owner, kind, name, stop - length(part) AS start, stop, CASE WHEN kind = 0 THEN
+            regexp_extract(part, '^(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)
+            ELSE part END AS value FROM placed WHERE i % 2 = 0),
+    fit AS (
+        SELECT * FROM matched WHERE CASE kind WHEN 0 THEN length(value) >= 6
+            WHEN 3 THEN regexp_matches(value, '^(-----BEGIN|gh[pousr]_|xox[abprs]-|sk_live_|AIza)')
+                OR regexp_matches(value, '[0-9].*[0-9].*[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')
+            ELSE true END),
+    clear AS (
+        SELECT * FROM fit o WHERE kind < 3 OR NOT EXISTS (
+            SELECT 1 FROM fit b WHERE b.kind < 3 AND b.doc_id = o.doc_id AND b.start < o.stop AND o.start < b.stop)),
+    owned AS (SELECT value, count(DISTINCT owner) < 2 AS live FROM clear GROUP BY value),
+    kept AS (SELECT *, name || ':' || start || ':' || stop AS span FROM clear JOIN owned USING (value) WHERE kind < 3 OR live)
+    SELECT d.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+           count(*) FILTER (WHERE kind = 2) AS n_hex,
+           sha256(coalesce(string_agg(span, ',' ORDER BY start, kind) FILTER (WHERE kind < 3), '')) AS base_sha256,
+           coalesce(string_agg(span, ',' ORDER BY start, kind), '') AS spans, count(*) FILTER (WHERE kind = 3) AS n_other,
+           count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_examples
+    FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id GROUP BY d.doc_id
+    ''',
+    "op9_exact_top_k": '''
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+        FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 10
+    ''',
+}
