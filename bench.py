@@ -109,7 +109,7 @@ def main() -> None:
         "change_kinds", "rows_missed", "sync_report", "soft_delete_active", "delta_topn_ties", "delta_large_limit",
         "delta_layout_scan", "high_watermarks", "table_row_counts", "catalog_primary_key", "catalog_ddl",
         "conform_orders", "latest_progress", "table_status", "job_rollup", "progress_fold", "latency_ranks",
-        "latency_flags", "sample_events", "update_severity",
+        "latency_flags", "update_severity",
     ]
     work |= {name: registered(spark, name) for name in names}
     only = sys.argv[1:]

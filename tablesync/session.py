@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,12 +44,35 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(table: DataFrame, label: str) -> DataFrame:
+_folders: ContextVar[list[str] | None] = ContextVar("settled_folders", default=None)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the folders that `settle` wrote inside, but for those it was asked to keep.
+
+    What is kept must have been written, and nothing that is read later may still depend on a deleted folder.
+    """
+    token = _folders.set([])
+    try:
+        yield
+    finally:
+        written = _folders.get() or []
+        _folders.reset(token)
+        for path in written:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def settle(table: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """The table written to the shared folder and read back.
 
     What comes after starts from the written rows: they are not worked out again, survive lost
-    executors, and have a file size by which Spark picks its joins.
+    executors, and have a file size by which Spark picks its joins. `keep` spares the folder from `temporary`.
     """
     path = scratch_dir(table.sparkSession, label)
     table.write.parquet(path)
+    written = _folders.get()
+    if written is not None and not keep:
+        written.append(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
