@@ -5,7 +5,7 @@ again, the neighbouring pair whose bytes have the least rank in a literal rank m
 map is a literal array of small maps, entered by the CRC-32 of the bytes, because a lookup walks through its map.
 
 Words are folded once where that pays: the most frequent words of the corpus, at most `FREQUENT` of them, are folded
-first and broadcast; the others are folded once for every few megabytes of text in which they occur. So no text is shuffled and
+first and broadcast; the others are folded once for every two megabytes of text in which they occur. So no text is shuffled and
 nothing grows with the corpus. A fold copies its word at each merge, so words over `LONG` bytes are merged by a heap.
 
 Decoding concatenates the pieces of the ids.
@@ -29,12 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.session import settle
+from tablesync.session import settle, temporary
 
 BUCKETS = 32768
 FREQUENT = 1 << 19
 LONG = 256
-CHUNK = 8 << 20
+CHUNK = 2 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,13 +51,25 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
-def rank_lookup(ranks: dict[bytes, int]) -> Callable[[Column], Column]:
-    """The rank of a binary column in a literal map; null if it has none."""
+Lookup = tuple[Callable[[Column], Column], Callable[[Column, Column], Column]]
+
+
+def rank_lookup(ranks: dict[bytes, int]) -> Lookup:
+    """The rank of a piece, and of two bytes given by their numbers, from literals; null if there is none."""
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    pairs: list[int | None] = [None] * (256 * 256)
     for piece, rank in ranks.items():
-        buckets[zlib.crc32(piece) % BUCKETS][piece.hex().upper()] = rank
-    literal = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
-    return lambda piece: F.try_element_at(F.get(literal, (F.crc32(piece) % BUCKETS).cast("int")), F.hex(piece))
+        text = piece.decode("latin-1")
+        buckets[zlib.crc32(text.encode()) % BUCKETS][text] = rank
+        if len(piece) == 2:
+            pairs[piece[0] * 256 + piece[1]] = rank
+    spell_out = lambda x: F.lit(json.dumps(x, separators=(",", ":"), ensure_ascii=False))
+    by_piece = F.from_json(spell_out(buckets), "array<map<string,int>>")
+    by_bytes = F.from_json(spell_out(pairs), "array<int>")
+    return (
+        lambda piece: F.try_element_at(F.get(by_piece, (F.crc32(piece) % BUCKETS).cast("int")), piece),
+        lambda one, two: F.get(by_bytes, one * 256 + two),
+    )
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -65,29 +77,33 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def encode_word(word: Column, rank: Callable[[Column], Column]) -> Column:
+def encode_word(word: Column, lookup: Lookup) -> Column:
     """The ids of a binary word of one byte or more.
 
-    The state is the pieces, with a null at either end, and the rank of each neighbouring pair; a pair with a null
-    end has none. A merge looks up the two new pairs only.
+    Each byte is written as the character of its number, so pieces are short strings. The state is the pieces, with
+    a null at either end, and the rank of each neighbouring pair; a pair with a null end has none. A merge looks up
+    the two new pairs only.
     """
+    rank, pair_rank = lookup
     size = F.length(word)
-    null = F.array(F.lit(None).cast("binary"))
+    null = F.array(F.lit(None).cast("string"))
     none = F.array(F.lit(None).cast("int"))
-    singles = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(word, i, F.lit(1)))
-    inner = F.transform(F.sequence(F.lit(1), size), lambda i: rank(F.substring(word, i, F.lit(2))))
-    start = F.struct(
-        F.concat(null, singles, null).alias("pieces"),
-        F.concat(none, F.slice(inner, F.lit(1), size - 1), none).alias("pairs"),
-    )
+
+    def begin(text: Column) -> Column:
+        singles = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(text, i, F.lit(1)))
+
+        def ranked(numbers: Column) -> Column:
+            inner = F.zip_with(numbers, F.slice(numbers, F.lit(2), size), pair_rank)
+            return F.concat(none, F.slice(inner, F.lit(1), size - 1), none)
+
+        return let(singles, lambda c: F.struct(F.concat(null, c, null).alias("pieces"), let(F.transform(c, F.ascii), ranked).alias("pairs")))
 
     def merge(state: Column, k: Column) -> Column:
         def join(piece: Column) -> Column:
             near = F.transform(F.array(F.concat(F.get(state.pieces, k - 2), piece), F.concat(piece, F.get(state.pieces, k + 1))), rank)
-            rest = F.size(state.pieces)
             return F.struct(
-                F.concat(F.slice(state.pieces, F.lit(1), k - 1), F.array(piece), F.slice(state.pieces, k + 2, rest)).alias("pieces"),
-                F.concat(F.slice(state.pairs, F.lit(1), k - 2), near, F.slice(state.pairs, k + 2, rest)).alias("pairs"),
+                F.concat(F.slice(state.pieces, F.lit(1), k - 1), F.array(piece), F.slice(state.pieces, k + 2, size)).alias("pieces"),
+                F.concat(F.slice(state.pairs, F.lit(1), k - 2), near, F.slice(state.pairs, k + 2, size)).alias("pairs"),
             )
 
         return let(F.concat(F.get(state.pieces, k - 1), F.get(state.pieces, k)), join)
@@ -96,9 +112,12 @@ def encode_word(word: Column, rank: Callable[[Column], Column]) -> Column:
         least = F.array_position(state.pairs, F.array_min(state.pairs)).cast("int")
         return let(least, lambda k: F.when(k.isNull(), state).otherwise(merge(state, k)))
 
-    folded = F.aggregate(F.sequence(F.lit(1), size), start, step, lambda s: F.transform(F.slice(s.pieces, F.lit(2), F.size(s.pieces) - 2), rank))
-    whole = rank(word)
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)
+    def fold(text: Column) -> Column:
+        ids = lambda s: F.transform(F.slice(s.pieces, F.lit(2), F.size(s.pieces) - 2), rank)
+        folded = F.aggregate(F.sequence(F.lit(1), size), begin(text), step, ids)
+        return let(rank(text), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
+
+    return let(F.decode(word, "ISO-8859-1"), fold)
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -236,18 +255,19 @@ def assemble(ranks: dict[bytes, int], known_ids: pa.Array, with_ids: bool) -> Ca
 def encode(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, and with `with_ids` the array ids."""
     ranks = read_ranks(vocabulary_path)
-    rank = rank_lookup(ranks)
+    lookup = rank_lookup(ranks)
     split = docs.select(F.col(id_col).cast("long").alias("doc_id"), words_of(F.col(text_col), pattern).alias("words"))
-    often = frequent_words(split.select(F.explode("words").alias("word")), frequent).where(F.octet_length("word") <= LONG)
-    folded = settle(often.select("word", encode_word(F.encode("word", "utf-8"), rank).alias("ids")), "frequent-words")
-    table = folded.toArrow().combine_chunks()  # at most `frequent` rows of LONG bytes
+    with temporary(docs.sparkSession):
+        often = frequent_words(split.select(F.explode("words").alias("word")), frequent).where(F.octet_length("word") <= LONG)
+        folded = settle(often.select("word", encode_word(F.encode("word", "utf-8"), lookup).alias("ids")), "frequent-words")
+        table = folded.toArrow().combine_chunks()  # at most `frequent` rows of LONG bytes
     words = pa.array([], pa.string()) if not len(table) else table.column("word").combine_chunks().cast(pa.string())
     ids = pa.array([], pa.list_(pa.int32())) if not len(table) else table.column("ids").combine_chunks()
     words, ids = (x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in (words, ids))
     # Written, so that no executor holds the Python workers of both steps at once.
     blocks = settle(split.mapInArrow(pack(words), "docs array<long>, sizes array<int>, codes array<int>, rare array<binary>"), "word-codes")
     no_ids = F.array().cast("array<int>")
-    rare = F.transform("rare", lambda w: F.when(F.length(w) <= LONG, encode_word(w, rank)).otherwise(no_ids))
+    rare = F.transform("rare", lambda w: F.when(F.length(w) <= LONG, encode_word(w, lookup)).otherwise(no_ids))
     done = blocks.select("docs", "sizes", "codes", "rare", rare.alias("ids"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return done.mapInArrow(assemble(ranks, ids, with_ids), schema + ", ids array<int>" * with_ids)
