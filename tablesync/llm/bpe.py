@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tablesync.session import settle, temporary
 
-BUCKETS = 32768
+BUCKETS = 32768  # a power of two
 FREQUENT = 1 << 19
 LONG = 256
 CHUNK = 2 << 20
@@ -67,7 +67,7 @@ def rank_lookup(ranks: dict[bytes, int]) -> Lookup:
     by_piece = F.from_json(spell_out(buckets), "array<map<string,int>>")
     by_bytes = F.from_json(spell_out(pairs), "array<int>")
     return (
-        lambda piece: F.try_element_at(F.get(by_piece, (F.crc32(piece) % BUCKETS).cast("int")), piece),
+        lambda piece: F.try_element_at(F.get(by_piece, F.crc32(piece).bitwiseAND(F.lit(BUCKETS - 1).cast("bigint"))), piece),
         lambda one, two: F.get(by_bytes, one * 256 + two),
     )
 
@@ -114,7 +114,7 @@ def encode_word(word: Column, lookup: Lookup) -> Column:
 
     def fold(text: Column) -> Column:
         ids = lambda s: F.transform(F.slice(s.pieces, F.lit(2), F.size(s.pieces) - 2), rank)
-        folded = F.aggregate(F.sequence(F.lit(1), size), begin(text), step, ids)
+        folded = F.aggregate(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), begin(text), step, ids)
         return let(rank(text), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
 
     return let(F.decode(word, "ISO-8859-1"), fold)
