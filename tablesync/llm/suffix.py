@@ -30,16 +30,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import chunks, mix
-from tablesync.session import settle
+from tablesync.session import settle, temporary
 
 LENGTH = 200
-GRAM = 16
+GRAM = 32  # long enough that few texts share one by chance
 SEPARATOR = 0xFF  # never a byte of UTF-8
-SHARD_BYTES = 16 << 20
-IN_MEMORY = 64 << 20
+SHARD_BYTES = 4 << 20
+IN_MEMORY = 16 << 20
 #: Keys (16 bytes each) up to which documents are picked by a broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
-MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
 def array(n: int, kind: type) -> np.ndarray:
@@ -111,13 +111,17 @@ def types(t: np.ndarray) -> np.ndarray:
     """True for suffixes of type S: less than the suffix that begins one byte later. The end of the string is the least suffix."""
     n = len(t)
     step = np.zeros(n, np.int8)
-    step[:-1] = np.sign(t[1:].astype(np.int16) - t[:-1])
+    step[:-1] = (t[1:] > t[:-1]).view(np.int8) - (t[1:] < t[:-1]).view(np.int8)
     step[-1] = -1
-    at = np.where(step != 0, np.arange(n), n)
+    at = np.where(step != 0, np.arange(n, dtype=index_kind(n)), n)
     nxt = np.minimum.accumulate(at[::-1])[::-1]
     return step[nxt] > 0
 
 
+def index_kind(n: int) -> type:
+    return np.int32 if n < 2**31 - 1 else np.int64
+
+
 class Queues:
     """One first-in first-out queue of suffix arrays for each byte."""
 
@@ -135,15 +139,19 @@ class Queues:
         before, byte = before[order], byte[order]
         cuts = np.flatnonzero(np.diff(byte)) + 1
         for part in np.split(before, cuts):
-            kept = array(len(part), np.int64)
+            kept = array(len(part), index_kind(len(t)))
             kept[:] = part
             self.waiting[t[part[0]]].append(kept)
 
     def drain(self, byte: int) -> Iterator[np.ndarray]:
-        at = 0
-        while at < len(self.waiting[byte]):
-            yield self.waiting[byte][at]
+        """What waits for the byte, and again what has come to wait meanwhile, each time as one array."""
+        waiting, at = self.waiting[byte], 0
+        while at < len(waiting):
+            joined = array(sum(map(len, waiting[at:])), waiting[at].dtype)
+            np.concatenate(waiting[at:], out=joined)
+            waiting[at:] = [joined]
             at += 1
+            yield joined
 
 
 def induced(t: np.ndarray, kind: np.ndarray, seeds: np.ndarray) -> list[np.ndarray]:
@@ -151,7 +159,7 @@ def induced(t: np.ndarray, kind: np.ndarray, seeds: np.ndarray) -> list[np.ndarr
     byte = t[seeds]
     seed_cuts = np.searchsorted(byte, np.arange(257))
     low, high = Queues(), Queues()
-    low.induce(t, kind, False, np.array([len(t)]))
+    low.induce(t, kind, False, np.array([len(t)], index_kind(len(t))))
     for c in range(256):
         for part in low.drain(c):
             low.induce(t, kind, False, part)
@@ -169,7 +177,7 @@ def induced(t: np.ndarray, kind: np.ndarray, seeds: np.ndarray) -> list[np.ndarr
 
 def seed_order(t: np.ndarray, kind: np.ndarray) -> np.ndarray:
     """The leftmost-S suffixes, sorted by their first LENGTH bytes."""
-    lms = np.flatnonzero(kind[1:] & ~kind[:-1]) + 1
+    lms = (np.flatnonzero(kind[1:] & ~kind[:-1]) + 1).astype(index_kind(len(t)))
     m = len(lms)
     if m < 2:
         return lms
@@ -178,7 +186,7 @@ def seed_order(t: np.ndarray, kind: np.ndarray) -> np.ndarray:
     is_lms = np.zeros(len(t) + 1, bool)
     is_lms[lms] = True
     order = order[is_lms[order]]
-    number = np.zeros(len(t), np.int64)
+    number = array(len(t), index_kind(len(t)))
     number[lms] = np.arange(m)
     place = number[order]
     stop = np.append(lms[1:], len(t) - 1)
@@ -194,24 +202,33 @@ def seed_order(t: np.ndarray, kind: np.ndarray) -> np.ndarray:
         depth += 1
     rank = np.empty(m, np.int64)
     rank[place] = np.cumsum(~same) - 1
-    reach = 1
-    while reach < LENGTH and rank.max() < m - 1:  # every name covers a byte or more
-        second = np.zeros(m, np.int64)
-        second[:-reach] = rank[reach:] + 1
-        key = rank * (m + 1) + second
-        place = np.argsort(key, kind="stable")
-        new = np.empty(m, np.int64)
-        new[place] = np.cumsum(np.append(False, key[place][1:] != key[place][:-1]))
-        rank, reach = new, 2 * reach
-    return lms[np.argsort(rank, kind="stable")]
+    # names that are still shared are ranked by doubling; every name covers a byte or more
+    many = np.bincount(rank)
+    slot = (np.cumsum(many) - many)[rank]  # a name's first place among all
+    reach, open_ = 1, np.arange(m)
+    while reach < LENGTH:
+        open_ = open_[np.bincount(slot[open_], minlength=m)[slot[open_]] > 1]
+        if not len(open_):
+            break
+        far = open_ + reach
+        second = np.where(far < m, slot[np.minimum(far, m - 1)] + 1, 0)
+        key = slot[open_] * (m + 1) + second
+        by = np.argsort(key)
+        one, key = slot[open_][by], key[by]
+        at = np.arange(len(by))
+        begin = np.maximum.accumulate(np.where(np.append(True, one[1:] != one[:-1]), at, 0))
+        inner = np.maximum.accumulate(np.where(np.append(True, key[1:] != key[:-1]), at, 0))
+        slot[open_[by]] = one + (inner - begin)
+        reach *= 2
+    return lms[np.argsort(slot, kind="stable")]
 
 
 def repeated(t: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """For a string of segments, each ended by a separator, which places begin LENGTH bytes that begin elsewhere too."""
     n = len(t)
     kind = types(t)
-    before = array(n, np.int64)  # the suffix that sorts right before each suffix
-    last = np.zeros(0, np.int64)
+    before = array(n, index_kind(n))  # the suffix that sorts right before each suffix
+    last = np.zeros(0, index_kind(n))
     for part in induced(t, kind, seed_order(t, kind)):
         if len(part):
             joined = np.concatenate([last, part])
@@ -238,8 +255,9 @@ def repeated(t: np.ndarray, starts: np.ndarray) -> np.ndarray:
         common[live] = depth + np.where(differ == 0, 8, np.log2(np.maximum(low, 1).astype(float)).astype(np.int64) // 8)
         live = live[differ == 0]
         depth += 8
-    source = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    carried = common[source] - (np.arange(n) - source)
+    every = np.arange(n, dtype=index_kind(n))
+    source = np.maximum.accumulate(np.where(fresh, every, 0))
+    carried = common[source] - (every - source)
     found = has & (carried >= LENGTH)
     out = found.copy()
     out[before[found]] = True
@@ -325,22 +343,23 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The texts (doc_id, row, text), and (doc_id, row, ranges): the first and last starts of their repeated strings."""
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), F.coalesce(text, F.lit(""))).alias("row"), text.alias("text"))
-    schema = "doc_id long, row long, start long, windows int, anchor long, content long"
-    found = settle(texts.mapInArrow(segments, schema), "segments")
-    shared = settle(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
-    candidates = settle(found.join(shared, "anchor", "left_semi"), "candidates")
-    one = F.min(F.struct("doc_id", "row", "start", "windows")).alias("at")
-    distinct = settle(candidates.groupBy("anchor", "content").agg(F.count("*").alias("n"), one), "distinct-segments")
-    total = distinct.agg(F.sum(F.col("at.windows") + LENGTH)).collect()[0][0] or 0
-    wanted = distinct.select(F.col("at.doc_id").alias("of_doc"), F.col("at.row").alias("of_row"), F.struct("at.start", "at.windows", "anchor", "content", "n").alias("w"))
-    lists = wanted.groupBy("of_doc", "of_row").agg(F.collect_list("w").alias("wanted"))
-    holders = picked(texts, distinct.select("at.doc_id", "at.row")).join(lists, same_row(lists))
-    pieces = holders.select("text", "wanted").mapInArrow(cut_out, "anchor long, content long, n long, windows int, bytes binary").dropDuplicates(["anchor", "content"])
-    shards = pieces.repartition(max(1, -(-int(total) // SHARD_BYTES)), "anchor")
-    sorted_ = settle(shards.mapInArrow(sort_shard, "anchor long, content long, runs array<struct<low:int,high:int>>"), "repeated-segments")
-    spread = candidates.join(sorted_, ["anchor", "content"]).select("doc_id", "row", "start", F.explode("runs").alias("run"))
-    span = F.struct((F.col("start") + F.col("run.low")).alias("low"), (F.col("start") + F.col("run.high")).alias("high"))
-    return texts, settle(spread.groupBy("doc_id", "row").agg(F.collect_set(span).alias("ranges")), "ranges")
+    with temporary(docs.sparkSession):
+        schema = "doc_id long, row long, start long, windows int, anchor long, content long"
+        found = settle(texts.mapInArrow(segments, schema), "segments")
+        shared = settle(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
+        candidates = settle(found.join(shared, "anchor", "left_semi"), "candidates")
+        one = F.min(F.struct("doc_id", "row", "start", "windows")).alias("at")
+        distinct = settle(candidates.groupBy("anchor", "content").agg(F.count("*").alias("n"), one), "distinct-segments")
+        total = distinct.agg(F.sum(F.col("at.windows") + LENGTH)).collect()[0][0] or 0
+        wanted = distinct.select(F.col("at.doc_id").alias("of_doc"), F.col("at.row").alias("of_row"), F.struct("at.start", "at.windows", "anchor", "content", "n").alias("w"))
+        lists = wanted.groupBy("of_doc", "of_row").agg(F.collect_list("w").alias("wanted"))
+        holders = picked(texts, distinct.select("at.doc_id", "at.row")).join(lists, same_row(lists))
+        pieces = holders.select("text", "wanted").mapInArrow(cut_out, "anchor long, content long, n long, windows int, bytes binary").dropDuplicates(["anchor", "content"])
+        shards = pieces.repartition(max(1, -(-int(total) // SHARD_BYTES)), "anchor")
+        sorted_ = settle(shards.mapInArrow(sort_shard, "anchor long, content long, runs array<struct<low:int,high:int>>"), "repeated-segments")
+        spread = candidates.join(sorted_, ["anchor", "content"]).select("doc_id", "row", "start", F.explode("runs").alias("run"))
+        span = F.struct((F.col("start") + F.col("run.low")).alias("low"), (F.col("start") + F.col("run.high")).alias("high"))
+        return texts, settle(spread.groupBy("doc_id", "row").agg(F.collect_set(span).alias("ranges")), "ranges", keep=True)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
