@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tablesync.session import settle, temporary
 
 BUCKETS = 32768  # a power of two
-FREQUENT = 1 << 19
+FREQUENT = 1 << 18
 LONG = 256
 CHUNK = 2 << 20
 
