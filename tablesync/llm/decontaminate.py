@@ -3,11 +3,12 @@
 Texts become sequences of lower-case words in which numbers, names and units carry a type mark. A *template* replaces
 every marked word by its mark, so that "Ann ran 5 km" and "Bob ran 12 km" are one template. Windows of eight template
 words of the benchmark are hash-joined with those of the documents. Hits are counted along diagonals (document place
-minus item place), and where the item's windows hold slots, the slots must be filled consistently: one value of the
+minus item place). Words put in or left out shift the rest to another diagonal, so neighbouring diagonals are joined to chains
+that increase in item and document; each diagonal also counts alone. Where the item's windows hold slots, the slots must be filled consistently: one value of the
 item always stands for one value of the document. Equal values are a verbatim copy, changed ones a re-parameterised
 question; fillings that contradict each other are chance.
 
-A document holds an item if a diagonal has half of the item's windows, or windows over 25 words.
+A document holds an item if a chain has all words of half of the item's windows, or windows over 25 words.
 
 * Numbers: digits with inner points or commas. Names: capitalised words after a letter, digit or comma and one space.
   Units: words of a fixed list right after a number.
@@ -20,7 +21,7 @@ A document holds an item if a diagonal has half of the item's windows, or window
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.session import settle
@@ -30,6 +31,8 @@ SHORTEST = 5
 LITERALS = 4
 COVERAGE = 0.5
 LONG_MATCH = 25
+#: Words by which the diagonals of one chain may differ from the one it starts from.
+SHIFT = 8
 #: Rows of benchmark windows (28 bytes each) up to which they are broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 500_000
 
@@ -51,76 +54,101 @@ def is_slot(word: Column) -> Column:
     return word < "\x04"
 
 
+def value(word: Column) -> Column:
+    """The word without its mark."""
+    return F.when(is_slot(word), F.substring(word, 2, 1 << 30)).otherwise(word)
+
+
 def template_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(F.when(is_slot(w), F.substring(w, 1, 1)).otherwise(w)))
 
 
 def keys(hashes: Column, size: int) -> Column:
     """The key of every window of `size` words."""
-    starts = F.sequence(F.lit(1), F.size(hashes) - (size - 1))
-    return F.when(F.size(hashes) >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, F.lit(size)))))
+    return F.transform(F.sequence(F.lit(1), F.size(hashes) - (size - 1)), lambda i: F.xxhash64(F.slice(hashes, i, F.lit(size))))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item_id, words, size, windows, place, key, slots) of the windows that are sought; `windows` counts them."""
+    """(item_id, size, windows, place, key) of the windows that are sought; `windows` counts all of an item."""
     long_enough = items.where(F.size("words") >= SHORTEST).withColumn("size", F.least(F.size("words"), F.lit(WINDOW)))
-    hashed = long_enough.withColumn("hashes", template_hashes(F.col("words")))
-    starts = F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)
-    opened = hashed.select("item_id", "words", "hashes", "size", F.explode(starts).alias("place"))
+    hashed = long_enough.withColumn("windows", F.size("words") - F.col("size") + 1).withColumn("hashes", template_hashes(F.col("words")))
+    opened = hashed.select("item_id", "size", "windows", "words", "hashes", F.explode(F.sequence(F.lit(1), "windows")).alias("place"))
     slots = F.size(F.filter(F.slice("words", F.col("place"), F.col("size")), is_slot))
-    found = opened.withColumn("slots", slots).where(F.col("size") - F.col("slots") >= LITERALS)
-    found = found.withColumn("key", F.xxhash64(F.slice("hashes", F.col("place"), F.col("size")))).drop("hashes", "words")
-    totals = found.groupBy("item_id").agg(F.count("*").alias("windows"))
-    return found.join(totals, "item_id")
+    found = opened.where(F.col("size") - slots >= LITERALS)
+    return found.select("item_id", "size", "windows", "place", F.xxhash64(F.slice("hashes", F.col("place"), F.col("size"))).alias("key"))
 
 
 def hits(texts: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, item_id, diagonal, places, windows, size, slots) of the diagonals with hits."""
+    """(doc_id, of, item_id, diagonal, places, windows, size) of the diagonals with hits; `of` is the hash of the text."""
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most WINDOW - SHORTEST + 1
     few = windows.count() <= BROADCAST_ROWS
     opened = None
     for size in sizes or [WINDOW]:
-        hashed = texts.select("doc_id", template_hashes(marked_words(F.col("text"))).alias("hashes"))
-        places = hashed.select("doc_id", F.posexplode(keys(F.col("hashes"), size)).alias("at", "key"), F.lit(size).alias("size"))
+        hashed = texts.select("doc_id", "of", template_hashes(marked_words(F.col("text"))).alias("hashes")).where(F.size("hashes") >= size)
+        places = hashed.select("doc_id", "of", F.posexplode(keys(F.col("hashes"), size)).alias("at", "key"), F.lit(size).alias("size"))
         opened = places if opened is None else opened.union(places)
     sought = F.broadcast(windows) if few else windows
     met = opened.join(sought, ["key", "size"])
-    return met.groupBy("doc_id", "item_id", (F.col("at") + 1 - F.col("place")).alias("diagonal")).agg(
-        F.array_sort(F.collect_set("place")).alias("places"),
-        F.first("windows").alias("windows"),
-        F.first("size").alias("size"),
-        F.max("slots").alias("slots"),
+    return met.groupBy("doc_id", "of", "item_id", (F.col("at") + 1 - F.col("place")).alias("diagonal")).agg(
+        F.array_sort(F.collect_set("place")).alias("places"), F.first("windows").alias("windows"), F.first("size").alias("size")
     )
 
 
-def covered(places: Column, size: Column) -> Column:
-    """Places of the item's words that lie in a hit window."""
-    all_places = F.flatten(F.transform(places, lambda p: F.sequence(p, p + size - 1)))
-    return F.array_sort(F.array_distinct(all_places))
+def aligned(near: Column, size: Column, start: Column) -> Column:
+    """(place, diagonal) of the item's words along one chain of hit windows, increasing in item and document.
+
+    `near` holds (diagonal, places). The chain stays on its diagonal while that is hit, else it goes on with the next hit.
+    """
+    hit = F.flatten(F.transform(near, lambda n: F.transform(n["places"], lambda p: F.struct(p.alias("place"), F.abs(n["diagonal"] - start).alias("far"), n["diagonal"].alias("diagonal")))))
+    places = F.map_from_entries(near)
+    none = F.array().cast("array<struct<place:int,diagonal:int>>")
+    state = F.struct(F.lit(0).alias("last"), F.lit(0).alias("upto"), start.alias("on"), F.lit(None).cast("int").alias("end"), none.alias("words"))
+
+    def step(s: Column, h: Column) -> Column:
+        first = F.greatest(h["place"], s["upto"] + 1)
+        until = h["place"] + size - 1
+        stays = (h["diagonal"] == s["on"]) | ~F.coalesce(F.array_contains(F.try_element_at(places, s["on"]), h["place"]), F.lit(False))
+        fits = stays & (h["place"] > s["last"]) & (until >= first) & (s["end"].isNull() | (first + h["diagonal"] > s["end"]))
+        more = F.transform(F.sequence(first, until), lambda q: F.struct(q.alias("place"), h["diagonal"].alias("diagonal")))
+        moved = F.struct(h["place"].alias("last"), until.alias("upto"), h["diagonal"].alias("on"), (until + h["diagonal"]).alias("end"), F.concat(s["words"], more).alias("words"))
+        return F.when(fits, moved).otherwise(s)
+
+    return F.aggregate(F.array_sort(hit), state, step, lambda s: s["words"])
+
+
+def chains(hit: DataFrame) -> DataFrame:
+    """(doc_id, of, item_id, diagonal, cover, coverage, n_words) for every diagonal, alone and with those up to SHIFT words away."""
+    around = Window.partitionBy("doc_id", "of", "item_id").orderBy("diagonal").rangeBetween(-SHIFT, SHIFT)
+    near = hit.withColumn("near", F.collect_list(F.struct("diagonal", "places")).over(around))
+    alone = F.array(F.struct("diagonal", "places"))
+    both = F.when(F.size("near") > 1, F.array(alone, F.col("near"))).otherwise(F.array(alone))
+    near = near.select("doc_id", "of", "item_id", "diagonal", "windows", "size", F.explode(both).alias("near"))
+    told = near.withColumn("cover", aligned(F.col("near"), F.col("size"), F.col("diagonal"))).drop("near")
+    # a window counts if all its words are in the chain, be it across a shift
+    runs = F.size("cover") - F.col("size") + 1
+    whole = F.filter(F.sequence(F.lit(1), runs), lambda i: F.element_at("cover", (i + F.col("size") - 1).cast("int"))["place"] - F.element_at("cover", i)["place"] == F.col("size") - 1)
+    return told.withColumn("coverage", F.size(whole) / F.col("windows")).withColumn("n_words", F.size("cover"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, coverage, n_words, n_slots, kind) of every document and item it holds; kind is verbatim or reparameterised."""
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("of", F.xxhash64("text"))
     items = benchmark.select(F.col(item_id).alias("item_id"), marked_words(F.col(item_text).cast("string")).alias("words")).dropDuplicates(["item_id"])
     windows = settle(item_windows(items), "benchmark-windows")
-    on = hits(texts, windows).withColumn("cover", covered(F.col("places"), F.col("size")))
-    on = on.withColumn("coverage", F.size("places") / F.col("windows")).withColumn("n_words", F.size("cover"))
+    on = chains(settle(hits(texts, windows), "hits"))
     on = settle(on.where((F.col("coverage") >= COVERAGE) | (F.col("n_words") >= LONG_MATCH)), "diagonals")
-    plain = on.where("slots = 0").select("doc_id", "item_id", "diagonal", "coverage", "n_words", F.lit(0).alias("n_slots"), F.lit(True).alias("equal"))
-    slotted = on.where("slots > 0")
-    wanted = slotted.select("doc_id").distinct()
-    words = texts.join(wanted, "doc_id", "left_semi").select("doc_id", marked_words(F.col("text")).alias("doc_words")).distinct()
-    filled = slotted.join(words, "doc_id").join(items, "item_id")
-    pairs = F.transform("cover", lambda p: F.struct(F.element_at("words", p).alias("item"), F.try_element_at("doc_words", (p + F.col("diagonal")).cast("int")).alias("doc")))
-    pairs = F.array_distinct(F.filter(pairs, lambda x: is_slot(x["item"])))
-    filled = filled.withColumn("pairs", pairs)
+    wanted = on.select("of").distinct()
+    words = texts.join(wanted, "of", "left_semi").select(F.col("doc_id").alias("id"), "of", marked_words(F.col("text")).alias("doc_words")).distinct()
+    same = (on["of"] == words["of"]) & on["doc_id"].eqNullSafe(words["id"])
+    filled = on.join(words, same).drop(words["of"], words["id"]).join(items, "item_id")
+    slots = F.filter("cover", lambda c: is_slot(F.element_at("words", c["place"])))
+    pairs = F.transform(slots, lambda c: F.struct(value(F.element_at("words", c["place"])).alias("item"), value(F.try_element_at("doc_words", (c["place"] + c["diagonal"]).cast("int"))).alias("doc")))
+    filled = filled.withColumn("pairs", F.array_distinct(pairs))
     values = F.array_distinct(F.transform("pairs", lambda x: x["item"]))
     consistent = filled.where(F.size(values) == F.size("pairs"))
     equal = ~F.exists("pairs", lambda x: ~x["item"].eqNullSafe(x["doc"]))
-    checked = consistent.select("doc_id", "item_id", "diagonal", "coverage", "n_words", F.size("pairs").alias("n_slots"), equal.alias("equal"))
-    best = F.struct("coverage", "n_words", F.col("equal").cast("int").alias("same"), (-F.col("diagonal")).alias("d"), "n_slots")
-    one = plain.union(checked).groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
+    best = F.struct("coverage", "n_words", equal.cast("int").alias("same"), (-F.col("diagonal")).alias("d"), F.size("pairs").alias("n_slots"))
+    one = consistent.groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
     kind = F.when(F.col("best.same") == 1, "verbatim").otherwise("reparameterised")
     return one.select("doc_id", "item_id", "best.coverage", "best.n_words", "best.n_slots", kind.alias("kind"))
 

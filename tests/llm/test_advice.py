@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from tablesync.llm import topk
+from tablesync.llm import decontaminate, topk
 
 
 def test_top_k_is_exact_for_unequal_norms(spark):
@@ -33,3 +33,24 @@ def test_bounds_hold_at_any_scale():
             scores = v @ v[q]
             order = np.lexsort((np.arange(5000), -scores))
             assert list(ids) == list(order[order != q][:10])
+
+
+def held(spark, items, docs):
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.contaminated(docs, items).collect()}
+
+
+def test_words_put_in_or_left_out_do_not_hide_an_item(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(90)]
+    item, short, city = words[:38], words[40:56], [*words[60:70], "in Paris", *words[70:80], "near Paris", *words[80:90]]
+    docs = [
+        ["before", *item[:19], "inserted", *item[19:], "after"],
+        [*item[:19], *item[20:]],
+        [*short[:8], "inserted", *short[8:]],
+        [w.replace("Paris", "New York") for w in city],
+        [*item[:10], *words[60:69], *item[28:]],  # too little of any item
+        [*item[24:], *item[:24][::-1]],  # out of order
+    ]
+    got = held(spark, [" ".join(x) for x in (item, short, city)], [" ".join(d) for d in docs])
+    assert got == {(0, 0): "verbatim", (1, 0): "verbatim", (2, 1): "verbatim", (3, 2): "reparameterised"}
