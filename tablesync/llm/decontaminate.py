@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows, with DataFrame functions only.
 
 Texts become sequences of lower-case words in which numbers, names and units carry a type mark. A *template* replaces
-every marked word by its mark, so that "Ann ran 5 km" and "Bob ran 12 km" are one template. Windows of eight template
+every marked word by its mark, so that "Ann ran 5 km" and "Bob ran 12 km" are one template. Windows are also compared with names read as words, so a copy in
+other case or with other line breaks is found. Windows of eight template
 words of the benchmark are hash-joined with those of the documents. Hits are counted along diagonals (document place
 minus item place). Words put in or left out shift the rest to another diagonal, so neighbouring diagonals are joined to chains
 that increase in item and document; each diagonal also counts alone. Where the item's windows hold slots, the slots must be filled consistently: one value of the
@@ -10,10 +11,10 @@ question; fillings that contradict each other are chance.
 
 A document holds an item if a chain has all words of half of the item's windows, or windows over 25 words.
 
-* Numbers: digits with inner points or commas. Names: capitalised words after a letter, digit or comma and one space.
+* Numbers: digits with inner points or commas. Names: capitalised words, wherever they stand, but for a fixed list of words that often start sentences.
   Units: words of a fixed list right after a number.
-* Items of five to seven words are sought by one window of that length. Shorter ones, and windows with fewer than
-  four unmarked words, say too little and are not sought.
+* Items of five to seven words are sought by one window of that length. Windows with fewer than four words besides numbers
+  and units are sought by value. Shorter items are not sought.
 * Null texts have no windows. Rows of one id count as one document; a null id is reported as null and its rows stay
   in `drop_contaminated`. Ties between diagonals go to the smaller one. Empty tables give no rows. Only the id and text columns of
   both tables are read, so other columns never clash.
@@ -40,13 +41,21 @@ NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 # Words that count as units after a number.
 UNITS = "km|m|cm|mm|mi|miles?|meters?|metres?|feet|foot|ft|inch(?:es)?|kg|g|mg|grams?|pounds?|lbs?|tons?|l|ml|liters?|litres?|seconds?|secs?|minutes?|mins?|hours?|hrs?|days?|weeks?|months?|years?|dollars?|cents?|euros?|percent|degrees?|mph|kmh"
 
+#: Words that are no names though they start sentences.
+STARTERS = (
+    "a|an|the|this|that|these|those|in|on|at|of|to|for|from|with|by|and|or|but|if|when|while|after|before|as|since|he|she|it|they|we|you|i|his|her|its|their|our|your|my"
+    "|what|which|who|whom|whose|where|why|how|is|are|was|were|do|does|did|can|could|will|would|should|has|have|had|there|here|then|than|so|not|no|each|every|all|some|any"
+    "|find|calculate|compute|determine|show|prove|let|given|suppose|assume|consider|solve|der|die|das|ein|eine|und|oder|wenn|wie|was|wer|wo|warum|ist|sind|es|er|sie|wir"
+    "|el|la|los|las|un|una|y|o|si|que|cómo|qué|quién|dónde|por|para|le|les|une|et|ou|des|du|est|que|quel|quelle|comment|pourquoi"
+)
+
 
 def marked_words(text: Column) -> Column:
     """Lower-case words, those of a type led by its mark."""
     plain = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT, "   ")
-    named = F.regexp_replace(plain, r"(?<=[\p{L}\p{N},] )\p{Lu}(?=\p{Ll})", f"{NAME}$0")
+    named = F.regexp_replace(plain, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?!(?iu:{STARTERS})(?![\p{{L}}\p{{M}}]))\p{{Lu}}(?=\p{{Ll}})", f"{NAME}$0")
     numbered = F.regexp_replace(named, r"\p{N}+(?:[.,]\p{N}+)*", f"{NUMBER}$0")
-    united = F.regexp_replace(F.lower(numbered), rf"({NUMBER}[\p{{N}}.,]*\p{{N}}) ?({UNITS})(?!\p{{L}})", f"$1 {UNIT}$2")
+    united = F.regexp_replace(F.lower(numbered), rf"({NUMBER}[\p{{N}}.,]*\p{{N}})\s*{NAME}?({UNITS})(?!\p{{L}})", f"$1 {UNIT}$2")
     return F.regexp_extract_all(united, F.lit(rf"[{NAME}{UNIT}]?\p{{L}}[\p{{L}}\p{{M}}]*|{NUMBER}\p{{N}}+(?:[.,]\p{{N}}+)*"), F.lit(0))
 
 
@@ -59,36 +68,53 @@ def value(word: Column) -> Column:
     return F.when(is_slot(word), F.substring(word, 2, 1 << 30)).otherwise(word)
 
 
-def template_hashes(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(F.when(is_slot(w), F.substring(w, 1, 1)).otherwise(w)))
+def is_amount(word: Column) -> Column:
+    return is_slot(word) & (word >= NUMBER)
+
+
+#: The ways to read a word: names and amounts as slots, amounts alone, all words by value.
+SLOTS = [is_slot, is_amount, lambda word: F.lit(False)]
+
 
+def word_hashes(words: Column, way: int) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(F.when(SLOTS[way](w), F.substring(w, 1, 1)).otherwise(value(w))))
 
-def keys(hashes: Column, size: int) -> Column:
-    """The key of every window of `size` words."""
-    return F.transform(F.sequence(F.lit(1), F.size(hashes) - (size - 1)), lambda i: F.xxhash64(F.slice(hashes, i, F.lit(size))))
+
+def key(hashes: Column, place: Column, size: Column) -> Column:
+    return F.xxhash64(F.slice(hashes, place, size))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item_id, size, windows, place, key) of the windows that are sought; `windows` counts all of an item."""
+    """(item_id, size, windows, place, way, key) of an item's windows, in the ways that leave enough words; `windows` counts them once.
+
+    Those that numbers and units leave too few words are sought by value.
+    """
     long_enough = items.where(F.size("words") >= SHORTEST).withColumn("size", F.least(F.size("words"), F.lit(WINDOW)))
-    hashed = long_enough.withColumn("windows", F.size("words") - F.col("size") + 1).withColumn("hashes", template_hashes(F.col("words")))
-    opened = hashed.select("item_id", "size", "windows", "words", "hashes", F.explode(F.sequence(F.lit(1), "windows")).alias("place"))
-    slots = F.size(F.filter(F.slice("words", F.col("place"), F.col("size")), is_slot))
-    found = opened.where(F.col("size") - slots >= LITERALS)
-    return found.select("item_id", "size", "windows", "place", F.xxhash64(F.slice("hashes", F.col("place"), F.col("size"))).alias("key"))
+    long_enough = long_enough.withColumn("windows", F.size("words") - F.col("size") + 1)
+    hashed = long_enough.select("*", *[word_hashes(F.col("words"), way).alias(f"hashes{way}") for way in range(len(SLOTS))])
+    opened = hashed.withColumn("place", F.explode(F.sequence(F.lit(1), "windows")))
+    left = [F.col("size") - F.size(F.filter(F.slice("words", F.col("place"), F.col("size")), slot)) for slot in SLOTS[:2]]
+    sought = [left[0] >= LITERALS, left[1] >= LITERALS, left[1] < LITERALS]
+    keyed = [F.when(use, F.struct(F.lit(way).alias("way"), key(F.col(f"hashes{way}"), F.col("place"), F.col("size")).alias("key"))) for way, use in enumerate(sought)]
+    return opened.select("item_id", "size", "windows", "place", F.explode(F.array_compact(F.array(*keyed))).alias("x")).select("item_id", "size", "windows", "place", "x.*")
 
 
 def hits(texts: DataFrame, windows: DataFrame) -> DataFrame:
     """(doc_id, of, item_id, diagonal, places, windows, size) of the diagonals with hits; `of` is the hash of the text."""
-    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most WINDOW - SHORTEST + 1
+    found = windows.select("size", "way").distinct().collect()  # a few rows
     few = windows.count() <= BROADCAST_ROWS
+    worded = texts.select("doc_id", "of", marked_words(F.col("text")).alias("words"))
     opened = None
-    for size in sizes or [WINDOW]:
-        hashed = texts.select("doc_id", "of", template_hashes(marked_words(F.col("text"))).alias("hashes")).where(F.size("hashes") >= size)
-        places = hashed.select("doc_id", "of", F.posexplode(keys(F.col("hashes"), size)).alias("at", "key"), F.lit(size).alias("size"))
+    for size in sorted({r["size"] for r in found}) or [WINDOW]:
+        ways = sorted({r["way"] for r in found if r["size"] == size}) or [0]
+        hashed = worded.where(F.size("words") >= size).select("doc_id", "of", *[word_hashes(F.col("words"), way).alias(f"hashes{way}") for way in ways])
+        starts = F.sequence(F.lit(1), F.size(f"hashes{ways[0]}") - (size - 1))
+        read = F.transform(starts, lambda i: F.array_distinct(F.array(*[key(F.col(f"hashes{way}"), i, F.lit(size)) for way in ways])))  # noqa: B023
+        places = hashed.select("doc_id", "of", F.posexplode(read).alias("at", "keys")).select("doc_id", "of", "at", F.explode("keys").alias("key"), F.lit(size).alias("size"))
         opened = places if opened is None else opened.union(places)
-    sought = F.broadcast(windows) if few else windows
-    met = opened.join(sought, ["key", "size"])
+    # windows that read alike in two ways have one key
+    sought = windows.drop("way").distinct()
+    met = opened.join(F.broadcast(sought) if few else sought, ["key", "size"])
     return met.groupBy("doc_id", "of", "item_id", (F.col("at") + 1 - F.col("place")).alias("diagonal")).agg(
         F.array_sort(F.collect_set("place")).alias("places"), F.first("windows").alias("windows"), F.first("size").alias("size")
     )

@@ -54,3 +54,17 @@ def test_words_put_in_or_left_out_do_not_hide_an_item(spark):
     ]
     got = held(spark, [" ".join(x) for x in (item, short, city)], [" ".join(d) for d in docs])
     assert got == {(0, 0): "verbatim", (1, 0): "verbatim", (2, 1): "verbatim", (3, 2): "reparameterised"}
+
+
+def test_names_are_read_alike_wherever_they_stand(spark):
+    item = "Ann ran from the old mill to the green bridge over there. Bertha then walked 5 km along a quiet river. \"Carl slept\" said nobody at all."
+    docs = [
+        item.lower(),
+        item.replace(" Bertha", "\n  Bertha").replace("to the", "to\n the"),
+        "yesterday " + item.replace("Ann", "Bob").replace("5 km", "12\n Km"),
+        item.replace("Bertha", "Dora").replace("Carl", "Emil").replace("Ann", "Bob").lower().replace("bob", "Bob").replace("dora", "Dora").replace("emil", "Emil"),
+        item.lower().replace("5 km", "12 km"),
+        "so Karl walked to some town",
+    ]
+    items = [item, "Karl walked to some town"]
+    assert held(spark, items, docs) == {(0, 0): "verbatim", (1, 0): "verbatim", (2, 0): "reparameterised", (3, 0): "reparameterised", (4, 0): "reparameterised", (5, 1): "verbatim"}
