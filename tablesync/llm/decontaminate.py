@@ -13,8 +13,8 @@ A document holds an item if a chain has all words of half of the item's windows,
 
 * Numbers: digits with inner points or commas. Names: capitalised words, wherever they stand, but for a fixed list of words that often start sentences.
   Units: words of a fixed list right after a number.
-* Items of five to seven words are sought by one window of that length. Windows with fewer than four words besides numbers
-  and units are sought by value. Shorter items are not sought.
+* Items of three to seven words are sought by one window of that length. Windows with fewer than four words besides numbers
+  and units are sought by value, all words equal. Items of one or two words say too little and are not sought.
 * Null texts have no windows. Rows of one id count as one document; a null id is reported as null and its rows stay
   in `drop_contaminated`. Ties between diagonals go to the smaller one. Empty tables give no rows. Only the id and text columns of
   both tables are read, so other columns never clash.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tablesync.session import settle
 
 WINDOW = 8
-SHORTEST = 5
+SHORTEST = 3
 LITERALS = 4
 COVERAGE = 0.5
 LONG_MATCH = 25

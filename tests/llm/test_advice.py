@@ -68,3 +68,10 @@ def test_names_are_read_alike_wherever_they_stand(spark):
     ]
     items = [item, "Karl walked to some town"]
     assert held(spark, items, docs) == {(0, 0): "verbatim", (1, 0): "verbatim", (2, 0): "reparameterised", (3, 0): "reparameterised", (4, 0): "reparameterised", (5, 1): "verbatim"}
+
+
+def test_short_and_slot_heavy_items_are_found_by_value(spark):
+    items = ["Compute 12 x 34 + 56", "1 2 3 4 5 6 7 8 9 10 11 12", "Ann, Bob, Carl, Dora, Emil and Fritz", "who invented zero", "17 times 23 equals"]
+    docs = [*items, "Compute 13 x 34 + 56", "1 2 3 4 5 6 7 8", "Uwe, Tim, Carl, Dora, Emil and Fritz", "who invented one", "17 times 24 equals", "1, 2 and 3 or 4 5 7 9"]
+    got = held(spark, items, docs)
+    assert got == {(n, n): "verbatim" for n in range(5)}
