@@ -53,7 +53,7 @@ STARTERS = (
 def marked_words(text: Column) -> Column:
     """Lower-case words, those of a type led by its mark."""
     plain = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT, "   ")
-    named = F.regexp_replace(plain, rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?!(?iu:{STARTERS})(?![\p{{L}}\p{{M}}]))\p{{Lu}}(?=\p{{Ll}})", f"{NAME}$0")
+    named = F.regexp_replace(plain, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{M}}\p{{N}}])(?!(?iu:{STARTERS})(?![\p{{L}}\p{{M}}]))\p{{Lu}}", f"{NAME}$0")
     numbered = F.regexp_replace(named, r"\p{N}+(?:[.,]\p{N}+)*", f"{NUMBER}$0")
     united = F.regexp_replace(F.lower(numbered), rf"({NUMBER}[\p{{N}}.,]*\p{{N}})\s*{NAME}?({UNITS})(?!\p{{L}})", f"$1 {UNIT}$2")
     return F.regexp_extract_all(united, F.lit(rf"[{NAME}{UNIT}]?\p{{L}}[\p{{L}}\p{{M}}]*|{NUMBER}\p{{N}}+(?:[.,]\p{{N}}+)*"), F.lit(0))
