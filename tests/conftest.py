@@ -10,9 +10,6 @@ for path in (ROOT, ROOT / "tests"):
 
 from tablesync import build_session  # noqa: E402
 
-DATA = "/root/testdata"
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
@@ -35,16 +32,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path / "tables")
-
-
-def plan_of(table) -> str:
-    """The formatted physical plan as text."""
-    return table._jdf.queryExecution().explainString(
-        table.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )
-
-
-def rows_of(table, *columns):
-    """All rows as sorted tuples."""
-    selected = table.select(*columns) if columns else table
-    return sorted((tuple(r) for r in selected.collect()), key=repr)

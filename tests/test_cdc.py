@@ -1,7 +1,7 @@
 import time
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from tablesync.plans.ingest import RunLog, Target, start_polling

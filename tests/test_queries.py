@@ -1,7 +1,7 @@
 """Every registered query beside its SQL."""
 
 import pytest
-from conftest import DATA
+from helpers import DATA
 from oracle import compare, connect
 
 import __spark_entry__ as contract

@@ -3,7 +3,7 @@
 from dataclasses import replace
 
 import pytest
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from tablesync.operators.schema import conform

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import DATA, rows_of
+from helpers import DATA, rows_of
 from pyspark.sql import functions as F
 
 from tablesync.operators import runlog

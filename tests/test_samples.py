@@ -1,4 +1,4 @@
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from tablesync.plans import samples

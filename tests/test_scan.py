@@ -1,7 +1,7 @@
 from datetime import date, datetime, timezone
 
 import pytest
-from conftest import DATA, plan_of, rows_of
+from helpers import DATA, plan_of, rows_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

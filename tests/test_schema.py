@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
