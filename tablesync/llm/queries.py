@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import bpe, chat, decontaminate, langid, minhash, pii, secrets, sharding, suffix, topk
+from tablesync.llm import bpe, chat, decontaminate, divergence, langid, merkle, minhash, pii, secrets, sharding, suffix, topk, urls
 from tablesync.llm.common import table
+from tablesync.llm.merkle_sql import manifest_sql
 
 
 def op8_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +55,18 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -65,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_virtual_slot_shards": op8_virtual_slot_shards,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_language_id": op10_language_id,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_url_filters": op12_url_filters,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 #: Where SQL can express an operator. Elsewhere the tests compare it with a plain version.
@@ -130,4 +146,33 @@ ORACLES: dict[str, str] = {
     SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
     FROM scored QUALIFY rank <= 10
     ''',
+    "op11_merkle_manifest": manifest_sql(),
+    "op13_source_divergence": r'''
+    WITH d AS (
+        SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+    met AS (
+        SELECT doc, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+    kept AS (SELECT lang, term, count(*) AS n FROM met GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+    v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+    q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 1)) // (total + v) AS q FROM kept JOIN v USING (lang)),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    counted AS (SELECT lang, source, term, count(*) AS n FROM met GROUP BY ALL),
+    dense AS (
+        SELECT lang, source, term, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY lang, source) AS total
+        FROM groups JOIN kept k USING (lang) LEFT JOIN counted c USING (lang, source, term)),
+    p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 1)) // (dense.total + v) AS p FROM dense JOIN v USING (lang)),
+    summed AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    found AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+           CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM found QUALIFY part = 'pair' OR rank <= 200
+    ''',
 }
