@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tablesync.operators.versions import broadcast_if_small
 from tablesync.session import settle, temporary
 
-GRAMS = (3, 4, 5)
+GRAMS = (3, 4)
 BUCKETS = 1 << 14
 #: Most labelled urls that are learned from.
 MOST_LABELLED = 5000
@@ -42,41 +42,30 @@ BLOCK_FROM = 0.5
 
 ALLOW, BLOCK = "allow", "block"
 
-#: Labelled urls. Those to block are sales spam, gambling, adult and tracking hosts.
-LABELLED = {
+#: Names of hosts with their label. Those to block are sales spam, gambling, adult and tracking hosts.
+NAMES = {
     BLOCK: """
-        http://casino-royal.example.com/en/play https://www.casino-online.example.org/en/12 http://best-casino.example.net/de/bonus
-        http://m.casino-games.example.org/fr/3 https://mega-casino.example.com/es/slots http://casino-jackpot.example.org/en/44.html
-        http://cheap-watches.example.com/en/buy http://www.cheap-meds.example.org/en/order https://cheap-rx.example.net/es/1
-        http://blog.cheap-loans.example.com/de/7 http://cheap-viagra.example.org/en/pills http://online-pills.example.com/en/88
-        https://www.diet-pills.example.net/fr/2 http://pills-direct.example.org/de/shop https://m.buy-pills.example.com/en/5
-        http://spam-mail.example.com/en/1 https://www.spam-links.example.net/en/22 http://link-farm.example.org/en/list
-        https://seo-farm.example.com/es/9 http://content-farm.example.net/de/4 http://blog.spam-site.example.org/fr/10
-        http://adult-cams.example.com/en/live https://www.adult-video.example.org/en/x http://free-adult.example.net/de/6
-        http://m.adult-chat.example.org/es/3 https://adult-dating.example.com/fr/81 http://xxx-adult.example.net/en/7
-        http://sports-bets.example.com/en/odds https://www.bets-online.example.net/de/8 http://live-bets.example.org/en/14
-        http://m.top-bets.example.com/fr/2 https://free-spins.example.org/en/19 http://www.free-bet-tips.example.net/es/5
-        http://win-money.example.com/en/now https://www.win-prizes.example.org/de/3 http://big-win.example.net/en/66
-        http://ads-server.example.com/en/1 https://www.ads-network.example.net/en/3 http://popup-ads.example.org/de/17
-        http://track-clicks.example.com/en/5 https://m.click-track.example.org/fr/6 http://user-track.example.net/es/40
+        casino-royal casino-online best-casino casino-games mega-casino casino-jackpot poker-room online-poker slots-world free-slots jackpot-city
+        cheap-watches cheap-meds cheap-rx cheap-loans cheap-viagra cheap-tickets online-pills diet-pills pills-direct buy-pills pills-store replica-bags
+        spam-mail spam-links spam-site spam-network link-farm seo-farm content-farm like-farm click-farm
+        adult-cams adult-video free-adult adult-chat adult-dating xxx-adult porn-tube sex-cams hot-singles xxx-videos
+        sports-bets bets-online live-bets top-bets bets-tips free-spins free-bonus betting-odds bet-now
+        win-money win-prizes big-win win-big lucky-win make-money payday-loans
+        ads-server ads-network popup-ads ads-click banner-ads ad-track track-clicks click-track user-track tracking-pixel track-hub
     """,
     ALLOW: """
-        http://www.cityparks.example.com/en/visit https://library.example.org/en/12 http://museum.example.net/de/opening
-        http://m.weather.example.org/fr/3 https://riverside.example.com/es/walks http://schools.example.org/en/44.html
-        http://gardening.example.com/en/roses http://www.history.example.org/en/order https://mathematics.example.net/es/1
-        http://blog.physics.example.com/de/7 http://chemistry.example.org/en/acids http://biology.example.com/en/88
-        https://www.cooking.example.net/fr/2 http://bread.example.org/de/shop https://m.orchestra.example.com/en/5
-        http://theatre.example.com/en/1 https://www.railways.example.net/en/22 http://cycling.example.org/en/list
-        https://mountains.example.com/es/9 http://lakeside.example.net/de/4 http://blog.painting.example.org/fr/10
-        http://astronomy.example.com/en/live https://www.geology.example.org/en/x http://oceans.example.net/de/6
-        http://m.language.example.org/es/3 https://poetry.example.com/fr/81 http://novels.example.net/en/7
-        http://football.example.com/en/table https://www.running.example.net/de/8 http://swimming.example.org/en/14
-        http://m.chess.example.com/fr/2 https://hospital.example.org/en/19 http://www.university.example.net/es/5
-        http://engineering.example.com/en/now https://www.harbour.example.org/de/3 http://cathedral.example.net/en/66
-        http://thestation.example.com/en/1 https://www.northern.example.net/en/3 http://weathering.example.org/de/17
-        http://thinking.example.com/en/5 https://m.another.example.org/fr/6 http://nation.example.net/es/40
+        cityparks library museum weather riverside schools gardening history mathematics physics chemistry biology cooking bread orchestra theatre
+        railways cycling mountains lakeside painting astronomy geology oceans language poetry novels football running swimming chess hospital
+        university engineering harbour cathedral thestation northern weathering thinking another nation
+        science-news open-data town-hall local-news film-archive folk-music health-service public-library world-atlas art-gallery
+        farm-museum adult-education racetrack trackandfield winter-sports windmill admission advent-calendar sheepfarm bicycle-club sailing-club
+        forestry agriculture economics philosophy geography journalism transport housing council parliament election
     """,
 }
+#: Every name stands in each of these urls, so that nothing but the name tells the labels apart.
+SHAPES = [
+    "http://{}.example.com/en/", "https://www.{}.example.org/de/12.html", "http://blog.{}.example.net/fr/7?page=2", "https://m.{}.example.com/es/345",
+]
 
 #: The rules of the contract, as (host, path, verdict).
 RULES = [("net", "/", BLOCK), ("example.net", "/en/", ALLOW), ("example.com", "/de/", BLOCK), ("org", "/fr/", ALLOW)]
@@ -96,7 +85,7 @@ def grams(host: Column, path: Column) -> Column:
 
     def of(text: Column, part: str) -> list[Column]:
         marked = F.concat(F.lit("^"), text, F.lit("$"))
-        found = [F.regexp_extract_all(marked, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in GRAMS]
+        found = [F.regexp_extract_all(marked, F.lit(rf"(?s)(?=(.{{{n}}}))."), F.lit(1)) for n in GRAMS]
         return [F.transform(f, lambda g: F.crc32(F.concat(F.lit(part), g)).bitwiseAND(F.lit(BUCKETS - 1).cast("bigint")).cast("int")) for f in found]
 
     held = F.when(host != "", F.concat(*of(host, "h"))).otherwise(F.array().cast("array<int>"))
@@ -120,7 +109,7 @@ def logistic(x: Column) -> Column:
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """(url, verdict) of the built-in table."""
-    rows = [(url, verdict) for verdict, text in LABELLED.items() for url in text.split()]
+    rows = [(shape.format(name), verdict) for verdict, names in NAMES.items() for name in names.split() for shape in SHAPES]
     return spark.createDataFrame(rows, "url string, verdict string")
 
 
