@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tablesync import build_session  # noqa: E402
 from tablesync.operators.schema import conform  # noqa: E402
-from tablesync.operators.versions import verify_sync  # noqa: E402
+from tablesync.operators.contents import verify_sync  # noqa: E402
 from tablesync.plans import samples  # noqa: E402
 from tablesync.plans.ingest import RunLog, Target, ingest_tables  # noqa: E402
 from tablesync.plans.spec import Polling, TableSpec  # noqa: E402

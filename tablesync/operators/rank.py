@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.session import settle
@@ -59,3 +59,60 @@ def _levels(low: int | None, high: int | None) -> tuple[int, list[int]]:
         return 0, [2 * DIGIT_BITS, DIGIT_BITS, 0]
     levels = max(1, -(-bits // DIGIT_BITS))
     return low, [DIGIT_BITS * i for i in reversed(range(min(levels, 3)))]
+
+
+#: Pivots of one pass of `row_at_rank`; each pass leaves about a thousandth of the rows.
+PIVOTS = 1024
+
+
+def _cell(pivots: Column, key: Column) -> Column:
+    """Twice the number of pivots below the key, and one more if the key is a pivot: found by bisection."""
+    middle = lambda s: F.shiftright(s["low"] + s["high"], 1)
+
+    def halve(s: Column, _: Column) -> Column:
+        below = F.get(pivots, middle(s)) < key
+        low = F.when(below, middle(s) + 1).otherwise(s["low"]).alias("low")
+        return F.when(s["low"] < s["high"], F.struct(low, F.when(below, s["high"]).otherwise(middle(s)).alias("high"))).otherwise(s)
+
+    start = F.struct(F.lit(0).alias("low"), F.size(pivots).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit((4 * PIVOTS).bit_length()))
+    low = F.aggregate(steps, start, halve, lambda s: s["low"])
+    return 2 * low + F.coalesce(F.get(pivots, low) == key, F.lit(False)).cast("int")
+
+
+def row_at_rank(rows: DataFrame, order: list[Column], rank: int, few: int) -> tuple[DataFrame, int] | None:
+    """The values of `order` in the row at a 0-based rank, or in the last row, as a one-row table with the struct `key`,
+    and the row's place among its equals. None without rows.
+
+    Any types that Spark orders will do, also several columns at once; NULLs come first. Each pass counts the rows between
+    and at some pivots, which are drawn from the rows still in question, and goes on in the cell that holds the rank.
+    A frequent value is soon drawn itself and then has a cell of its own. Counts combine on the map side and at most
+    `few` rows are ever sorted in one task, so neither many rows nor a hot value land in one.
+    """
+    keys = rows.select(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]).alias("key"))
+    held = keys.count()
+    if not held:
+        return None
+    rank, low, high, turn = min(rank, held - 1), None, None, 0
+    while held > few:
+        turn += 1
+        share = min(1.0, 2 * PIVOTS / held)
+        pivots = settle(keys.sample(share, seed=turn).limit(4 * PIVOTS).distinct(), "pivots")
+        listed = pivots.agg(F.array_sort(F.collect_list("key")).alias("all"))
+        at = lambda i, listed=listed: listed.select(F.get("all", F.lit(i)).alias("key"))
+        counts = keys.withColumn("all", listed.scalar()).groupBy(_cell(F.col("all"), F.col("key")).alias("cell")).agg(F.count("*").alias("n"))
+        for cell, n in sorted(map(tuple, counts.collect())):  # at most two a pivot, and one more
+            if rank < n:
+                break
+            rank -= n
+        if cell % 2:
+            return settle(at(cell // 2), "rank-key"), rank
+        low = at(cell // 2 - 1).scalar() if cell else low
+        high = at(cell // 2).scalar() if cell < 2 * pivots.count() else high
+        held = n
+        keys = rows.select(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]).alias("key"))
+        keys = keys if low is None else keys.where(F.col("key") > low)
+        keys = keys if high is None else keys.where(F.col("key") < high)
+    first = settle(keys.orderBy("key").limit(rank + 1), "rank-rows")
+    key = settle(first.agg(F.max("key").alias("key")), "rank-key")
+    return key, rank - first.where(F.col("key") < key.scalar()).count()

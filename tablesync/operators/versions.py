@@ -139,49 +139,3 @@ def late_rows(source: DataFrame, target: DataFrame, keys: list[str], delta: str,
     passed = source.where(named(delta) <= cursor)
     seen = target.where(named(delta) <= cursor).select(*named_all([*keys, delta])).distinct()
     return join_on_key(passed, seen, [*keys, delta], "left_anti")
-
-
-def compare_tables(source: DataFrame, target: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """Per key: `missing` in the target, `extra` in it, `stale` there, or `same`.
-
-    Both sides go through one grouping by key that combines on the map side, in place of two joins.
-    """
-    sides = [
-        table.select(*named_all(keys), named(version).alias("_v"), F.lit(side).alias("_side"))
-        for side, table in (("source", source), ("target", target))
-    ]
-    in_source, in_target = (F.col("_side") == side for side in ("source", "target"))
-    per_key = (
-        sides[0]
-        .unionByName(sides[1])
-        .groupBy(*named_all(keys))
-        .agg(
-            F.count_if(in_source).alias("_n_source"),
-            F.count_if(in_target).alias("_n_target"),
-            F.max(F.when(in_source, F.col("_v"))).alias("source_version"),
-            F.max(F.when(in_target, F.col("_v"))).alias("target_version"),
-        )
-    )
-    behind = F.col("source_version").isNotNull() & (
-        F.col("target_version").isNull() | (F.col("target_version") < F.col("source_version"))
-    )
-    status = (
-        F.when(F.col("_n_target") == 0, "missing")
-        .when(F.col("_n_source") == 0, "extra")
-        .when(behind, "stale")
-        .otherwise("same")
-    )
-    return per_key.select(*named_all(keys), "source_version", "target_version", status.alias("status"))
-
-
-def verify_sync(source: DataFrame, target: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """One row that says whether a copy is complete: key counts on each side and what differs."""
-    compared = compare_tables(source, target, keys, version)
-    of = lambda status: F.count_if(F.col("status") == status)
-    return compared.agg(
-        F.count_if(F.col("status") != "extra").alias("source_keys"),
-        F.count_if(F.col("status") != "missing").alias("target_keys"),
-        of("missing").alias("missing"),
-        of("stale").alias("stale"),
-        of("extra").alias("extra"),
-    )

@@ -7,16 +7,10 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.operators import contents
+from tablesync.operators.contents import compare_tables, verify_sync
 from tablesync.operators.schema import conform
-from tablesync.operators.versions import (
-    classify_changes,
-    compare_tables,
-    current_view,
-    late_rows,
-    soft_delete_filter,
-    verify_sync,
-    version_stats,
-)
+from tablesync.operators.versions import classify_changes, current_view, late_rows, soft_delete_filter, version_stats
 from tablesync.plans.inputs import LINE_COLUMNS, LINE_KEY, LINE_VERSION, instant, newest_sql, read
 from tablesync.plans.queries.registry import query
 from tablesync.session import scratch_dir
@@ -143,17 +137,23 @@ def cdc_decimal_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.current()
 
 
-@query("SELECT * FROM orders")
+@query(
+    """
+    WITH evens AS (SELECT o_orderdate AS d FROM orders WHERE o_orderkey % 2 = 0 ORDER BY d LIMIT (SELECT count(*) // 3 + 1 FROM orders)),
+    cut AS (SELECT max(d) AS start FROM evens)
+    SELECT o.* FROM orders o, cut WHERE o_orderdate >= start OR o_orderkey % 2 = 0
+    """
+)
 def cdc_inclusive_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inclusive polls until nothing is left: every row is stored once, those at the cursor too."""
+    """A limited poll while only the even orders are there, then inclusive ones: they store all rows from the
+    cursor on, those at the cursor too, each once. Odd orders before the cursor came too late for any poll."""
     rows = conform(read(spark, sf_dir, "orders"))
     log = VersionLog(spark, scratch_dir(spark, "inclusive"), rows.schema, ["o_orderkey"], "o_orderdate", 1, "orders")
     third = rows.count() // 3 + 1
     poll_once(rows.where("o_orderkey % 2 = 0"), log, limit=third)
     while poll_once(rows, log, inclusive=True).rows:
         pass
-    rest = rows.join(log.versions().select("o_orderkey"), "o_orderkey", "left_anti")  # came late, before the cursor
-    return log.versions().drop("_batch_id").unionByName(rest)
+    return log.versions().drop("_batch_id")
 
 
 @query(SQL_CURRENT_LINES)
@@ -300,22 +300,31 @@ def rows_missed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_rows(lines, arrived, LINE_KEY, LINE_VERSION, instant(LATE))
 
 
+_UNLIKE = "l_returnflag = 'A' AND l_linenumber = 3"
+_AHEAD = "l_returnflag = 'N' AND l_linenumber = 5"
+
+
 def _copy_with_faults(lines: DataFrame) -> DataFrame:
-    """A target without the late versions and with keys of its own."""
+    """A target without the late versions, with unlike rows of the same version, newer ones, and keys of its own."""
     own = lines.where("l_linestatus = 'F'").withColumn("l_orderkey", -F.col("l_orderkey") - 1)
-    return lines.where(F.col(LINE_VERSION) <= instant(LATE)).unionByName(own)
+    kept = lines.where(F.col(LINE_VERSION) <= instant(LATE))
+    quantity = F.when(F.expr(_UNLIKE), F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    version = F.when(F.expr(_AHEAD), F.col(LINE_VERSION) + F.expr("INTERVAL 400 DAYS")).otherwise(F.col(LINE_VERSION))
+    return kept.withColumns({"l_quantity": quantity, LINE_VERSION: version}).unionByName(own)
 
 
 _SQL_COMPARED = f"""
-    WITH s AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS v FROM lineitem GROUP BY ALL),
-    t AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS v FROM
-             (SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE l_shipdate <= TIMESTAMP '{LATE}'
-              UNION ALL SELECT -l_orderkey - 1, l_linenumber, l_shipdate FROM lineitem WHERE l_linestatus = 'F')
-          GROUP BY ALL)
+    WITH copy AS (
+        SELECT * REPLACE (CASE WHEN {_UNLIKE} THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+                          CASE WHEN {_AHEAD} THEN l_shipdate + INTERVAL 400 DAYS ELSE l_shipdate END AS l_shipdate)
+        FROM lineitem WHERE l_shipdate <= TIMESTAMP '{LATE}'
+        UNION ALL SELECT * REPLACE (-l_orderkey - 1 AS l_orderkey) FROM lineitem WHERE l_linestatus = 'F'),
+    s AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS v, list_sort(list(CAST(r AS VARCHAR))) AS held FROM lineitem r GROUP BY ALL),
+    t AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS v, list_sort(list(CAST(r AS VARCHAR))) AS held FROM copy r GROUP BY ALL)
     SELECT coalesce(s.l_orderkey, t.l_orderkey) AS l_orderkey, coalesce(s.l_linenumber, t.l_linenumber) AS l_linenumber,
            s.v AS source_version, t.v AS target_version,
-           CASE WHEN t.v IS NULL THEN 'missing' WHEN s.v IS NULL THEN 'extra' WHEN t.v < s.v THEN 'stale'
-                ELSE 'same' END AS status
+           CASE WHEN t.v IS NULL THEN 'missing' WHEN s.v IS NULL THEN 'extra' WHEN t.v < s.v THEN 'stale' WHEN t.v > s.v THEN 'ahead'
+                WHEN s.held <> t.held THEN 'differs' ELSE 'same' END AS status
     FROM s FULL JOIN t ON s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber
 """
 
@@ -326,12 +335,27 @@ def compare_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_tables(lines, _copy_with_faults(lines), LINE_KEY, LINE_VERSION)
 
 
+@query(f"SELECT * FROM ({_SQL_COMPARED}) WHERE status <> 'same'")
+def compare_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys that are not the same in a copy, found by digests of buckets and, in those that differ, by key."""
+    lines = read(spark, sf_dir, "lineitem")
+    return contents.compare_contents(lines, _copy_with_faults(lines), LINE_KEY, LINE_VERSION)
+
+
+_COUNTS = ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in contents.STATUSES)
+
+
+@query(f"SELECT * FROM (SELECT count(*) AS source_rows, count(*) FILTER (WHERE l_shipdate <= TIMESTAMP '{LATE}') + "
+       f"count(*) FILTER (WHERE l_linestatus = 'F') AS target_rows FROM lineitem), (SELECT {_COUNTS} FROM ({_SQL_COMPARED}))")
+def content_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read(spark, sf_dir, "lineitem")
+    return contents.content_report(lines, _copy_with_faults(lines), LINE_KEY, LINE_VERSION)
+
+
 @query(
     f"""
     SELECT count(*) FILTER (WHERE status <> 'extra') AS source_keys,
-           count(*) FILTER (WHERE status <> 'missing') AS target_keys,
-           count(*) FILTER (WHERE status = 'missing') AS missing, count(*) FILTER (WHERE status = 'stale') AS stale,
-           count(*) FILTER (WHERE status = 'extra') AS extra FROM ({_SQL_COMPARED})
+           count(*) FILTER (WHERE status <> 'missing') AS target_keys, {_COUNTS} FROM ({_SQL_COMPARED})
     """
 )
 def sync_report(spark: SparkSession, sf_dir: str) -> DataFrame:

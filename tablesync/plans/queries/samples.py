@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.operators.update import update_rows, updated_rows
 from tablesync.plans import samples as make
 from tablesync.plans.inputs import SqlDraws, read
 from tablesync.plans.queries.registry import maker, query
@@ -157,34 +158,32 @@ def random_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.random_rows(documents, "doc_id", UPDATED_ROWS, "pick")
 
 
+_SQL_PICKED = f"SELECT event_id FROM events ORDER BY md5(event_id || 'update'), event_id LIMIT {UPDATED_ROWS}"
+_SQL_RAISED = "CASE event_type WHEN 'info' THEN 'warning' WHEN 'warning' THEN 'error' WHEN 'error' THEN 'critical' ELSE 'info' END"
+
+
+def _picked_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, Column]]:
+    events = read(spark, sf_dir, "events")
+    picked = make.random_rows(events.select("event_id"), "event_id", UPDATED_ROWS, "update")
+    return events, picked, make.severity_changes(LATER, "event_type", "props", "ts")
+
+
 @query(
     f"""
-    WITH e AS ({_sql_events("sample", 0, NOW)}),
-    hit AS (SELECT id FROM e ORDER BY md5(id || 'update'), id LIMIT {UPDATED_ROWS})
-    SELECT id, event_type, user_id,
-           CASE WHEN h THEN '{{"updated": true, "timestamp": "{LATER}"}}' ELSE event_data END AS event_data,
-           CASE WHEN NOT h THEN severity WHEN severity = 'info' THEN 'warning' WHEN severity = 'warning' THEN 'error'
-                WHEN severity = 'error' THEN 'critical' ELSE 'info' END AS severity,
-           created_at, CASE WHEN h THEN TIMESTAMP '{LATER}' ELSE updated_at END AS updated_at
-    FROM (SELECT *, id IN (SELECT id FROM hit) AS h FROM e)
+    SELECT event_id, CASE WHEN h THEN TIMESTAMP '{LATER}' ELSE ts END AS ts, user_id,
+           CASE WHEN h THEN {_SQL_RAISED} ELSE event_type END AS event_type, value,
+           CASE WHEN h THEN '{{"updated": true, "timestamp": "{LATER}"}}' ELSE props END AS props
+    FROM (SELECT *, event_id IN ({_SQL_PICKED}) AS h FROM events)
     """
 )
 def update_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sample events after a random set of them moved one severity up."""
-    return make.update_severity(make.events(_ids(spark, sf_dir, "events"), NOW), UPDATED_ROWS, LATER, "update")
+    """The given events after a random set of them moved one step up, with new properties and time."""
+    events, picked, changes = _picked_events(spark, sf_dir)
+    return update_rows(events, picked, "event_id", changes)
 
 
-@query(
-    f"""
-    WITH e AS ({_sql_events("sample", 0, NOW)}),
-    hit AS (SELECT id FROM e ORDER BY md5(id || 'update'), id LIMIT {UPDATED_ROWS})
-    SELECT id, event_type,
-           CASE severity WHEN 'info' THEN 'warning' WHEN 'warning' THEN 'error' WHEN 'error' THEN 'critical'
-                         ELSE 'info' END AS severity
-    FROM e WHERE id IN (SELECT id FROM hit)
-    """
-)
+@query(f"SELECT event_id, user_id, {_SQL_RAISED} AS event_type FROM events WHERE event_id IN ({_SQL_PICKED})")
 def update_returning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows an update changed."""
-    events = make.events(_ids(spark, sf_dir, "events"), NOW)
-    return make.updated_rows(events, UPDATED_ROWS, LATER, "update").select("id", "event_type", "severity")
+    events, picked, changes = _picked_events(spark, sf_dir)
+    return updated_rows(events, picked, "event_id", changes).select("event_id", "user_id", "event_type")

@@ -107,13 +107,50 @@ def delta_large_limit_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_since(read(spark, sf_dir, "lineitem"), "l_shipdate", None, 20_000, order, ties="strict")
 
 
-@query("SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-20' AND ts <= TIMESTAMP '2024-01-25'")
+def _sql_large(delta: str) -> str:
+    return f"SELECT *, {delta} AS delta FROM lineitem WHERE {delta} <= (SELECT max(d) FROM (SELECT {delta} AS d FROM lineitem ORDER BY d LIMIT 20000))"
+
+
+def _large(spark: SparkSession, sf_dir: str, delta: str) -> DataFrame:
+    return scan_since(read(spark, sf_dir, "lineitem").withColumn("delta", F.expr(delta)), "delta", None, 20_000)
+
+
+@query(_sql_large("l_extendedprice"))
+def delta_large_limit_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A large limit on a fractional delta: the cut is found by pivots, in passes that only count."""
+    return _large(spark, sf_dir, "l_extendedprice")
+
+
+_DECIMAL = "CAST(l_partkey AS DECIMAL(25, 2)) * 1000000000000 + l_suppkey"
+
+
+@query(_sql_large(f"CAST({_DECIMAL} AS DECIMAL(38, 2))"))
+def delta_large_limit_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _large(spark, sf_dir, f"CAST({_DECIMAL} AS DECIMAL(38, 2))")
+
+
+@query(_sql_large("l_returnflag || l_orderkey"))
+def delta_large_limit_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _large(spark, sf_dir, "l_returnflag || l_orderkey")
+
+
+_HOT = "CASE WHEN l_orderkey % 3 = 0 THEN 5 ELSE l_linenumber END"
+
+
+@query(f"SELECT *, CAST({_HOT} AS BIGINT) AS delta FROM lineitem ORDER BY delta, l_partkey, l_orderkey, l_linenumber, l_extendedprice LIMIT 45000")
+def delta_large_limit_hot_tie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A strict limit that ends among a third of all rows, which share one delta: a second search goes through the other columns."""
+    rows = read(spark, sf_dir, "lineitem").withColumn("delta", F.expr(_HOT).cast("bigint"))
+    keys = ["l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice"]
+    return scan_since(rows, "delta", None, 45_000, keys, ties="strict")
+
+
+@query("SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-20'")
 def delta_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A delta scan over the layout sorted by the delta column."""
     path = scratch_dir(spark, "layout")
     write_delta_layout(read(spark, sf_dir, "events"), "ts", path)
-    rows = scan_since(spark.read.parquet(path), "ts", instant("2024-01-20 00:00:00"))
-    return rows.where(F.col("ts") <= instant("2024-01-25 00:00:00"))
+    return scan_since(spark.read.parquet(path), "ts", instant("2024-01-20 00:00:00"))
 
 
 _DELTAS = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}

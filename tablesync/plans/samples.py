@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.functions.sampling import Draws
+from tablesync.operators.update import update_rows
 from tablesync.sources.scan import lowest_rows
 
 # The words of the sample tables.
@@ -146,32 +147,22 @@ def random_rows(table: DataFrame, key: str, n: int, seed: str) -> DataFrame:
     """`n` rows in a random order that the seed fixes."""
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
     number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
-    return lowest_rows(table, number, [digest, key], n)
+    return lowest_rows(table, number, [digest, F.col(key)], n)
 
 
-def _raised(now: str) -> dict[str, Column]:
-    """The new values of an updated event."""
-    severity = F.lit("info")
+def raised(severity: str) -> Column:
+    """The next severity; of the greatest, and of any other word, the least."""
+    out = F.lit("info")
     for before, after in NEXT_SEVERITY.items():
-        severity = F.when(F.col("severity") == before, after).otherwise(severity)
-    return {
-        "event_data": F.lit(f'{{"updated": true, "timestamp": "{now}"}}'),
-        "severity": severity,
-        "updated_at": _anchor(now),
-    }
+        out = F.when(F.col(severity) == before, after).otherwise(out)
+    return out
 
 
-def updated_rows(table: DataFrame, n: int, now: str, seed: str) -> DataFrame:
-    """The `n` random events that `update_severity` changes, with their new values."""
-    picked = random_rows(table.select("id"), "id", n, seed).select(F.col("id").alias("_id"))
-    return table.join(picked, F.col("id") == F.col("_id"), "left_semi").withColumns(_raised(now))
+def severity_changes(now: str, severity: str = "severity", data: str = "event_data", at: str = "updated_at") -> dict[str, Column]:
+    """The new values of an updated event: one severity up, with new JSON, stamped now."""
+    return {data: F.lit(f'{{"updated": true, "timestamp": "{now}"}}'), severity: raised(severity), at: _anchor(now)}
 
 
 def update_severity(table: DataFrame, n: int, now: str, seed: str) -> DataFrame:
-    """The events table after `n` random rows moved one severity up, with new JSON, stamped now."""
-    picked = random_rows(table.select("id"), "id", n, seed).select(F.col("id").alias("_id"), F.lit(True).alias("_hit"))
-    joined = table.join(picked, F.col("id") == F.col("_id"), "left")
-    hit, changed = F.col("_hit").isNotNull(), _raised(now)
-    return joined.select(
-        *[F.when(hit, changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in table.columns]
-    )
+    """The events table after `n` random rows moved one severity up."""
+    return update_rows(table, random_rows(table.select("id"), "id", n, seed), "id", severity_changes(now))

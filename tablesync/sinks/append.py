@@ -38,6 +38,33 @@ def check_schema(source: T.StructType, target: T.StructType, allow_added: bool =
         raise ValueError(f"source and table differ: {diff}")
 
 
+#: Files and row groups are not ended below these numbers of rows for the sake of a batch size.
+FILE_ROWS = 1_000_000
+GROUP_ROWS = 100_000
+
+
+def whole_batches(batch_size: int, least: int) -> int:
+    """The least whole number of batches that holds `least` rows, in rows."""
+    return -(-least // batch_size) * batch_size
+
+
+def batch_options(batch_size: int) -> dict[str, str]:
+    """Writer options that pack batches into files and their row groups.
+
+    A batch is what a database takes as one statement; on files its size must not set the number of files. So files and
+    row groups end after a whole number of batches, as soon as they are large enough to read well: no
+    batch lies in two of them.
+    """
+    if batch_size < 0:
+        raise ValueError("batch size must not be negative")
+    if not batch_size:
+        return {}
+    return {
+        "maxRecordsPerFile": str(whole_batches(batch_size, FILE_ROWS)),
+        "parquet.block.row.count.limit": str(whole_batches(batch_size, GROUP_ROWS)),
+    }
+
+
 def append_rows(
     table: DataFrame,
     path: str,
@@ -48,7 +75,7 @@ def append_rows(
 ) -> None:
     """Append all rows; columns go by name. Running it twice stores every row twice.
 
-    `batch_size` is the most rows one file takes and `writers` the number of tasks that write; both are
+    Files and row groups hold whole batches of `batch_size` rows, and `writers` is the number of tasks that write; both are
     left to Spark when 0, which keeps the write free of a shuffle. With `writers` the rows are dealt out to that many tasks
     and the scan keeps its own. `merge_schema` lets a source add columns, which older rows read as NULL.
     A new table takes the rows' schema from the write itself.
@@ -65,7 +92,4 @@ def append_rows(
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
     if writers:
         rows = rows.repartition(writers)
-    writer = rows.write.mode("append")
-    if batch_size:
-        writer = writer.option("maxRecordsPerFile", batch_size)
-    writer.parquet(path)
+    rows.write.mode("append").options(**batch_options(batch_size)).parquet(path)

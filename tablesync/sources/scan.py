@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 
 from tablesync.functions.columns import named, named_all
 from tablesync.functions.types import minimum_literal
-from tablesync.operators.rank import values_at_ranks
+from tablesync.operators.rank import row_at_rank, values_at_ranks
 
 # Up to this limit rows are found with a top-n, for which every task hands at most as many rows to one
-# last task. Above it the cut is found by rank, in which no task sees more than counts.
+# last task. Above it the cut is found by rank: by the digits of whole numbers, dates and times, by pivots of other types.
 TOP_N_ROWS = 10_000
 
 NTZ_EPOCH_TEXT = "1970-01-01 00:00:00"
@@ -68,26 +68,39 @@ def scan_since(
     number = _as_bigint(value, data_type)
     if ties == "strict":
         return lowest_rows(rows, number, named_all([delta, *(keys or [])]), limit)
-    if limit <= TOP_N_ROWS or number is None:
+    if limit <= TOP_N_ROWS:
         cut = rows.select(value.alias("_delta")).orderBy("_delta").limit(limit).agg(F.max("_delta"))
+    elif number is None:
+        found = row_at_rank(rows, [value], limit - 1, TOP_N_ROWS)
+        if found is None:
+            return rows
+        cut = found[0].select("key.k0")
     else:
         cut = _rank_cut(rows, number, limit).select(_from_bigint(F.col("_number"), data_type))
     return rows.where(value <= cut.scalar())
 
 
-def lowest_rows(rows: DataFrame, number: Column | None, order: list, limit: int) -> DataFrame:
-    """Exactly the first `limit` rows by `order`, whose first column rises with the BIGINT `number`.
+def lowest_rows(rows: DataFrame, number: Column | None, order: list[Column], limit: int) -> DataFrame:
+    """Exactly the first `limit` rows by `order`, whose first column rises with the BIGINT `number` if there is one.
 
-    A large limit is not sorted: rows below the cut are taken as they are and only those at the cut
-    are put in order.
+    A large limit is not sorted: the cut is found by rank, rows below it are taken as they are, and of those at the cut the
+    first by the remaining columns, again by rank if they are many. Rows that agree in all of `order` are
+    dealt out by their place in the input.
     """
-    if limit <= TOP_N_ROWS or number is None:
+    if limit <= TOP_N_ROWS:
         return rows.orderBy(*order).limit(limit)
+    if number is None:
+        found = row_at_rank(rows, order, limit - 1, TOP_N_ROWS)
+        if found is None:
+            return rows
+        cut, values = found[0].scalar(), F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+        return rows.where(values < cut).unionByName(scan_table(rows.where(values == cut), found[1] + 1))
     cut = _rank_cut(rows, number, limit).first()
     if cut is None:
         return rows.limit(0)
-    at_cut = rows.where(number == cut["_number"]).orderBy(*order).limit(cut["rank"] + 1)
-    return rows.where(number < cut["_number"]).unionByName(at_cut)
+    at_cut, left = rows.where(number == cut["_number"]), cut["rank"] + 1
+    rest = lowest_rows(at_cut, None, order[1:], left) if order[1:] else scan_table(at_cut, left)
+    return rows.where(number < cut["_number"]).unionByName(rest)
 
 
 def _rank_cut(rows: DataFrame, number: Column, limit: int) -> DataFrame:

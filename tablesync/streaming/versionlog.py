@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tablesync.functions.columns import named, named_all
 from tablesync.functions.types import cursor_literal, cursor_to_text
 from tablesync.operators.versions import bucket_of, newest, split_current
-from tablesync.sinks.append import check_schema, nullable
+from tablesync.sinks.append import batch_options, check_schema, nullable
 
 CURSOR_SCHEMA = (
     "table string, delta_column string, last_seen string, last_seen_type string, "
@@ -100,7 +100,7 @@ class VersionLog:
         are left, as in a poll: they are brought together first, or every task would write a tiny
         file. What is observed comes after that step, in the stage that writes, whose tasks count once
         even when an executor is lost. `seen` names a further column that holds the version as the source
-        has it; it is observed in place of the stored one and not stored. `batch_size` is the most rows of a file.
+        has it; it is observed in place of the stored one and not stored. Files hold whole batches of `batch_size` rows.
         A number that a compaction has taken in is refused: nobody would read the batch.
         """
         through = max((last for _, _, last in self.manifest()), default=-1)
@@ -116,9 +116,7 @@ class VersionLog:
         version = seen or self.version
         greatest = cursor_to_text(F.max(named(version)), batch.schema[version].dataType).alias("last_seen")
         observed = batch.observe(counted, F.count(F.lit(1)).alias("rows"), greatest)
-        writer = observed.select(*named_all(names)).write.mode("overwrite")
-        if batch_size:
-            writer = writer.option("maxRecordsPerFile", batch_size)
+        writer = observed.select(*named_all(names)).write.mode("overwrite").options(**batch_options(batch_size))
         writer.parquet(f"{self.root}/log/_batch_id={batch_id}")
         return Appended(int(counted.get["rows"]), counted.get["last_seen"])
 

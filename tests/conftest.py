@@ -10,6 +10,7 @@ for path in (ROOT, ROOT / "tests"):
 
 from tablesync import build_session  # noqa: E402
 
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")

@@ -1,7 +1,9 @@
+import glob
 from datetime import datetime
 
 import pytest
 from helpers import DATA, rows_of
+from pyarrow import parquet
 from pyspark.sql import functions as F
 
 from tablesync.operators import runlog
@@ -10,6 +12,7 @@ from tablesync.plans import ingest
 from tablesync.plans.ingest import PROGRESS_SCHEMA, RunLog, Target, ingest_table, ingest_tables, results_table, run_job
 from tablesync.plans.spec import Polling, RunConfig, TableConfig, TableSpec, resolve_specs, validate_specs
 from tablesync.session import scratch_dir
+from tablesync.sinks import append
 from tablesync.sinks.append import append_rows, create_if_absent
 from tablesync.sources.tables import FileSource
 
@@ -65,10 +68,29 @@ def test_create_if_absent_and_append_by_name(spark, folder):
     assert rows_of(merged, "x") == [(1,), (None,), (None,)]
 
 
-def test_batch_size_bounds_the_rows_of_a_file(spark, folder):
+def test_batches_are_packed_into_files_and_row_groups(spark, folder, monkeypatch):
+    monkeypatch.setattr(append, "FILE_ROWS", 400)
+    monkeypatch.setattr(append, "GROUP_ROWS", 150)
     append_rows(spark.range(0, 1000, 1, 2), folder, batch_size=100, writers=1)
-    per_file = spark.read.parquet(folder).groupBy(F.col("_metadata.file_path")).count()
-    assert [r["count"] for r in per_file.collect()] == [100] * 10
+    files = [parquet.ParquetFile(f) for f in sorted(glob.glob(f"{folder}/*.parquet"))]
+    groups = [[f.metadata.row_group(i).num_rows for i in range(f.num_row_groups)] for f in files]
+    assert sorted(groups) == [[200], [200, 200], [200, 200]]
+    append_rows(spark.range(0, 1000, 1, 2), f"{folder}-large", batch_size=600, writers=1)
+    assert sorted(parquet.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{folder}-large/*.parquet")) == [400, 600]
+
+
+@pytest.mark.parametrize(("batch", "least", "rows"), [(500, 1000, 1000), (7, 1000, 1001), (5000, 1000, 5000), (1, 1, 1)])
+def test_files_hold_whole_batches(batch, least, rows):
+    assert append.whole_batches(batch, least) == rows
+
+
+def test_a_default_copy_of_many_rows_is_few_files(spark, folder):
+    target, source = Target(spark, folder), FileSource(spark, f"{DATA}/sf0.1", {"lineitem": ["l_orderkey", "l_linenumber"]})
+    specs = resolve_specs(RunConfig(tables=[TableConfig("lineitem")]))
+    assert [r.rows for r in ingest_tables(source, specs, target, RunLog("j"))] == [600_000]
+    assert len(glob.glob(f"{folder}/lineitem/*.parquet")) <= 16
+    with pytest.raises(ValueError, match="negative"):
+        append_rows(spark.range(3), f"{folder}/x", batch_size=-1)
 
 
 def test_scratch_dir_is_the_shared_folder(spark):

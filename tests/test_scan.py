@@ -1,4 +1,6 @@
+import random
 from datetime import date, datetime, timezone
+from decimal import Decimal
 
 import pytest
 from helpers import DATA, plan_of, rows_of
@@ -6,8 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.types import cursor_literal, cursor_to_text
-from tablesync.operators.schema import conform
+from tablesync.operators import rank as ranks
 from tablesync.operators.rank import values_at_ranks
+from tablesync.operators.schema import conform
 from tablesync.sources import scan
 from tablesync.sources.scan import high_watermark, scan_since, scan_table, write_delta_layout
 
@@ -176,3 +179,58 @@ def test_delta_layout_skips_files_and_splits_a_hot_delta(spark, folder):
     assert max(s["n"] for s in spans) < 1000
     # A scan after the cursor needs few of the files.
     assert len([s for s in spans if s["high"] > 3500]) <= 2
+
+
+ORDERED = "d double, m decimal(30,4), s string, k int, t struct<a:int,b:string>"
+
+
+def ordered_rows(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(900):
+        x = rng.choice([5.0, 5.0, rng.uniform(-1e9, 1e9), float("nan"), -0.0, rng.choice([1e-300, 2.5, float("inf")])])
+        m = None if i % 50 == 0 else Decimal(rng.randint(-(10**25), 10**25)) / 10000 if i % 3 else Decimal(7)
+        rows.append((x, m, rng.choice(["", "ä", "same", "same", str(rng.random())]), rng.choice([None, 1, rng.randint(0, 50)]), (rng.randint(0, 3), None)))
+    return spark.createDataFrame(rows, ORDERED).repartition(4)
+
+
+@pytest.mark.parametrize("order", [["d"], ["m"], ["s"], ["t"], ["s", "k", "d"], ["k", "m", "s", "d"]])
+def test_row_at_rank_of_any_type(spark, monkeypatch, folder, order):
+    monkeypatch.setattr(ranks, "PIVOTS", 4)
+    ordered_rows(spark).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    names = [f"k{i}" for i in range(len(order))]
+    keys = [tuple(r) for r in rows.orderBy(*order).select(*order).collect()]
+    for rank in (0, 1, 333, 450, 899, 5000):
+        key, place = ranks.row_at_rank(rows, [F.col(c) for c in order], rank, 3)
+        at = min(rank, 899)
+        assert repr(tuple(key.select("key.*").select(*names).first())).replace("-0.0", "0.0") == repr(keys[at]).replace("-0.0", "0.0")
+        same = [i for i, k in enumerate(keys) if repr(k).replace("-0.0", "0.0") == repr(keys[at]).replace("-0.0", "0.0")]
+        assert place == at - same[0]
+    assert ranks.row_at_rank(rows.limit(0), [F.col("d")], 0, 3) is None
+
+
+@pytest.mark.parametrize(("delta", "keys"), [("d", ["s", "k"]), ("m", ["k"]), ("s", ["d"]), ("k", ["s", "d", "m"]), ("s", [])])
+def test_large_limits_of_any_type(spark, monkeypatch, folder, delta, keys):
+    ordered_rows(spark).write.parquet(folder)
+    rows = spark.read.parquet(folder).where(F.col(delta).isNotNull())
+    count = rows.count()
+    sort = lambda t: sorted(map(repr, t.select(delta, *keys).collect()))
+    for limit in (1, 250, 600, 2000):
+        strict = sort(rows.orderBy(delta, *keys).limit(limit))
+        kept = sort(scan_since(rows, delta, None, limit))
+        with monkeypatch.context() as m:
+            m.setattr(scan, "TOP_N_ROWS", 5)
+            m.setattr(ranks, "PIVOTS", 8)
+            assert sort(scan_since(rows, delta, None, limit)) == kept
+            found = sort(scan_since(rows, delta, None, limit, keys, "strict"))
+            assert len(found) == min(limit, count) and (found == strict or not keys)
+
+
+def test_a_search_by_pivots_sorts_no_large_part(spark, folder):
+    spark.range(0, 60_000, 1, 8).select((F.col("id") % 3 / 2).alias("d"), "id").write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    taken = scan_since(rows, "d", None, 30_000, ["id"], "strict")
+    assert taken.count() == 30_000 and taken.where("d < 0.5").count() == 20_000
+    assert taken.where("d = 0.5").agg(F.max("id")).first()[0] < 30_001
+    assert "Sort" not in plan_of(taken) and "TakeOrdered" not in plan_of(taken)  # equal rows are only counted off

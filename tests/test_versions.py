@@ -7,14 +7,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablesync.operators import versions
+from tablesync.operators import contents
+from tablesync.operators.contents import compare_contents, compare_tables, content_report, verify_sync
 from tablesync.operators.versions import (
     classify_changes,
-    compare_tables,
     current_view,
     late_rows,
     soft_delete_filter,
     split_current,
-    verify_sync,
     version_stats,
 )
 from tablesync.sinks.append import append_rows
@@ -118,7 +118,36 @@ def test_compare_and_verify(spark):
     target = spark.createDataFrame([(1, 5), (2, 4), (4, 1), (5, None)], "k int, v int")
     found = dict(rows_of(compare_tables(source, target, ["k"], "v"), "k", "status"))
     assert found == {1: "same", 2: "stale", 3: "missing", 4: "extra", 5: "same"}
-    assert rows_of(verify_sync(source, target, ["k"], "v")) == [(4, 4, 1, 1, 1)]
+    assert rows_of(verify_sync(source, target, ["k"], "v")) == [(4, 4, 1, 1, 1, 0, 0)]
+
+
+CONTENTS = "k int, v int, a string, b string, m map<string,int>"
+
+
+def test_contents_are_compared_beyond_versions(spark):
+    source = spark.createDataFrame(
+        [(1, 5, "x", None, {"a": 1, "b": 2}), (2, 5, "x", None, None), (3, 5, "x", "y", None), (4, 5, "x", "y", None), (5, None, "x", "y", None),
+         (6, 1, "x", "y", None), (7, 1, "p", "p", None), (7, 1, "q", "q", None), (None, 1, "n", "n", None), (8, 1, "c", "c", None), (8, 1, "c", "c", None)], CONTENTS)
+    target = spark.createDataFrame(
+        [(1, 5, "x", None, {"b": 2, "a": 1}), (2, 5, None, "x", None), (3, 6, "x", "y", None), (4, 5, "x", "z", None), (5, 1, "x", "y", None),
+         (7, 1, "q", "q", None), (7, 1, "p", "p", None), (None, 1, "n", "m", None), (8, 1, "c", "c", None), (9, 1, "e", "e", None)], CONTENTS)
+    want = {2: "differs", 3: "ahead", 4: "differs", 5: "ahead", 6: "missing", None: "differs", 8: "differs", 9: "extra"}
+    for buckets in (1, 3, 1 << 16):
+        assert dict(rows_of(compare_contents(source, target, ["k"], "v", buckets), "k", "status")) == want
+    assert dict(rows_of(compare_tables(source, target, ["k"], "v"), "k", "status")) == want | {1: "same", 7: "same"}
+    assert rows_of(content_report(source, target, ["k"], "v")) == [(11, 10, 1, 1, 0, 2, 4)]
+    assert rows_of(content_report(source, source.repartition(3), ["k"])) == [(11, 11, 0, 0, 0, 0, 0)]
+    plain = [t.select("k", "v", "a", "b") for t in (source, target)]
+    assert dict(rows_of(compare_contents(*plain, []), "k", "status"))[8] == "differs"
+    with pytest.raises(ValueError, match="columns"):
+        compare_contents(source, target.drop("a"), ["k"], "v")
+
+
+def test_only_differing_buckets_are_looked_into(spark):
+    source = spark.range(20_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    target = source.withColumn("v", F.when(F.col("k") == 77, 2).otherwise(F.col("v")))
+    assert rows_of(contents.differing_buckets(source, target, ["k"], 1000)) == rows_of(source.where("k = 77").select(contents.bucket_of(["k"], 1000)))
+    assert rows_of(compare_contents(source, target, ["k"], "v", 1000)) == [(77, 1, 2, "ahead")]
 
 
 # -- version log -------------------------------------------------------------------------------
@@ -296,7 +325,7 @@ def test_dots_are_part_of_column_names(spark, folder):
     assert rows_of(log.current()) == [(1, 2, "b")]
     assert rows_of(classify_changes(rows, rows.limit(1), ["a.k"], "a.v")) == [
         (1, 1, "a", "unchanged"), (1, 2, "b", "update"), (2, 1, "c", "insert")]
-    assert rows_of(verify_sync(rows, rows, ["a.k"], "a.v")) == [(2, 2, 0, 0, 0)]
+    assert rows_of(verify_sync(rows, rows, ["a.k"], "a.v")) == [(2, 2, 0, 0, 0, 0, 0)]
     append_rows(rows, f"{folder}/plain")
     append_rows(rows, f"{folder}/plain")
     assert spark.read.parquet(f"{folder}/plain").count() == 6
