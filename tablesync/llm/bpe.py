@@ -4,14 +4,16 @@ A text is cut into words by the tokenizer's pattern. A word is an array of byte
 again, the neighbouring pair whose bytes have the least rank in a literal rank map, until no pair has one. The
 map is a literal array of small maps, entered by the CRC-32 of the bytes, because a lookup walks through its map.
 
-Words are folded once where that pays: the most frequent words of the corpus, at most `FREQUENT` of them, are folded
-first and broadcast; the others are folded once for every two megabytes of text in which they occur. So no text is shuffled and
-nothing grows with the corpus. A fold copies its word at each merge, so words over `LONG` bytes are merged by a heap.
+Words are folded once where that pays: the most frequent words, at most `FREQUENT` of them, are folded first and
+sent to every task; the others are folded once for every block of `CHUNK` bytes of text in which they occur. Which words are frequent is read off
+a share of the texts (`SHARE`); it steers what is folded ahead, never a result. So no text is shuffled and nothing
+grows with the corpus. A fold copies its word at each merge, so words over `LONG` bytes are merged by a heap.
 
 Decoding concatenates the pieces of the ids.
 
 Nulls and edges: a null text counts as empty: no ids, the hash of nothing. Rows are encoded one by one, so repeated rows
-and null ids stay. Only id and text are read, so other columns never clash. Special tokens are not recognised.
+and null ids stay. An empty table gives no rows. Only id and text are read, so other columns never clash. Special tokens are
+not recognised.
 """
 
 from __future__ import annotations
@@ -32,9 +34,11 @@ from pyspark.sql import functions as F
 from tablesync.session import settle, temporary
 
 BUCKETS = 32768  # a power of two
-FREQUENT = 1 << 18
+FREQUENT = 1 << 17
+#: One in so many texts is looked at for frequent words.
+SHARE = 16
 LONG = 256
-CHUNK = 2 << 20
+CHUNK = 8 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,11 +55,8 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
-Lookup = tuple[Callable[[Column], Column], Callable[[Column, Column], Column]]
-
-
-def rank_lookup(ranks: dict[bytes, int]) -> Lookup:
-    """The rank of a piece, and of two bytes given by their numbers, from literals; null if there is none."""
+def rank_tables(ranks: dict[bytes, int]) -> tuple[Column, Column]:
+    """Literals: the pieces of each bucket with their ranks, and the rank of every two bytes, null if they have none."""
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     pairs: list[int | None] = [None] * (256 * 256)
     for piece, rank in ranks.items():
@@ -64,12 +65,7 @@ def rank_lookup(ranks: dict[bytes, int]) -> Lookup:
         if len(piece) == 2:
             pairs[piece[0] * 256 + piece[1]] = rank
     spell_out = lambda x: F.lit(json.dumps(x, separators=(",", ":"), ensure_ascii=False))
-    by_piece = F.from_json(spell_out(buckets), "array<map<string,int>>")
-    by_bytes = F.from_json(spell_out(pairs), "array<int>")
-    return (
-        lambda piece: F.try_element_at(F.get(by_piece, F.crc32(piece).bitwiseAND(F.lit(BUCKETS - 1).cast("bigint"))), piece),
-        lambda one, two: F.get(by_bytes, one * 256 + two),
-    )
+    return F.from_json(spell_out(buckets), "array<map<string,int>>"), F.from_json(spell_out(pairs), "array<int>")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -77,14 +73,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def encode_word(word: Column, lookup: Lookup) -> Column:
+def with_tables(tables: tuple[Column, Column], body: Callable[[Column, Column], Column]) -> Column:
+    """`body` of the tables of ranks, each of which then stands in the expression once."""
+    return let(tables[0], lambda by_piece: let(tables[1], lambda by_bytes: body(by_piece, by_bytes)))
+
+
+def encode_word(word: Column, by_piece: Column, by_bytes: Column) -> Column:
     """The ids of a binary word of one byte or more.
 
     Each byte is written as the character of its number, so pieces are short strings. The state is the pieces, with
     a null at either end, and the rank of each neighbouring pair; a pair with a null end has none. A merge looks up
     the two new pairs only.
     """
-    rank, pair_rank = lookup
+    rank = lambda piece: F.try_element_at(F.get(by_piece, F.crc32(piece).bitwiseAND(F.lit(BUCKETS - 1).cast("bigint"))), piece)
+    pair_rank = lambda one, two: F.get(by_bytes, one * 256 + two)
     size = F.length(word)
     null = F.array(F.lit(None).cast("string"))
     none = F.array(F.lit(None).cast("int"))
@@ -255,11 +257,12 @@ def assemble(ranks: dict[bytes, int], known_ids: pa.Array, with_ids: bool) -> Ca
 def encode(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, and with `with_ids` the array ids."""
     ranks = read_ranks(vocabulary_path)
-    lookup = rank_lookup(ranks)
+    tables = rank_tables(ranks)
     split = docs.select(F.col(id_col).cast("long").alias("doc_id"), words_of(F.col(text_col), pattern).alias("words"))
     with temporary(docs.sparkSession):
-        often = frequent_words(split.select(F.explode("words").alias("word")), frequent).where(F.octet_length("word") <= LONG)
-        folded = settle(often.select("word", encode_word(F.encode("word", "utf-8"), lookup).alias("ids")), "frequent-words")
+        some = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(SHARE)) == 0)
+        often = frequent_words(some.select(F.explode(words_of(F.col(text_col), pattern)).alias("word")), frequent).where(F.octet_length("word") <= LONG)
+        folded = settle(often.select("word", with_tables(tables, lambda p, b: encode_word(F.encode("word", "utf-8"), p, b)).alias("ids")), "frequent-words")
         table = folded.toArrow().combine_chunks()  # at most `frequent` rows of LONG bytes
     words = pa.array([], pa.string()) if not len(table) else table.column("word").combine_chunks().cast(pa.string())
     ids = pa.array([], pa.list_(pa.int32())) if not len(table) else table.column("ids").combine_chunks()
@@ -267,7 +270,8 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "d
     # Written, so that no executor holds the Python workers of both steps at once.
     blocks = settle(split.mapInArrow(pack(words), "docs array<long>, sizes array<int>, codes array<int>, rare array<binary>"), "word-codes")
     no_ids = F.array().cast("array<int>")
-    rare = F.transform("rare", lambda w: F.when(F.length(w) <= LONG, encode_word(w, lookup)).otherwise(no_ids))
+    each = lambda p, b: F.transform("rare", lambda w: F.when(F.length(w) <= LONG, encode_word(w, p, b)).otherwise(no_ids))
+    rare = with_tables(tables, each)
     done = blocks.select("docs", "sizes", "codes", "rare", rare.alias("ids"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return done.mapInArrow(assemble(ranks, ids, with_ids), schema + ", ids array<int>" * with_ids)
