@@ -14,17 +14,20 @@ A document holds an item if a chain has all words of half of the item's windows,
 * Numbers: digits with inner points or commas. Names: capitalised words, wherever they stand, but for a fixed list of words that often start sentences.
   Units: words of a fixed list right after a number.
 * Items of three to seven words are sought by one window of that length. Windows with fewer than four words besides numbers
-  and units are sought by value, all words equal. Items of one or two words say too little and are not sought.
-* Null texts have no windows. Rows of one id count as one document; a null id is reported as null and its rows stay
+  and units are sought by value, all words equal. An item of one or two words is found where it is all that a document says.
+* Null texts have no windows. Texts of any length are read whole. Items with one id are sought each, and reported by their id. Rows of one id count as one document; a null id is reported as null and its rows stay
   in `drop_contaminated`. Ties between diagonals go to the smaller one. Empty tables give no rows. Only the id and text columns of
   both tables are read, so other columns never clash.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablesync.operators.versions import broadcast_if_small
 from tablesync.session import settle
 
 WINDOW = 8
@@ -80,42 +83,66 @@ def word_hashes(words: Column, way: int) -> Column:
     return F.transform(words, lambda w: F.xxhash64(F.when(SLOTS[way](w), F.substring(w, 1, 1)).otherwise(value(w))))
 
 
-def key(hashes: Column, place: Column, size: Column) -> Column:
-    return F.xxhash64(F.slice(hashes, place, size))
+def runs(hashes: Column, size: int) -> Column:
+    """The hash of each `size` neighbouring entries. Hashes of 2, 4 and 8 are put together from two of half that length, and
+    other sizes from these, so that an entry costs a few hashes of two numbers whatever the size is."""
+    ahead = lambda a, by: F.slice(a, F.lit(1 + by), F.greatest(F.size(a) - by, F.lit(0)))
+    both = lambda a, b: F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
+    short = lambda a, b, by: both(F.slice(a, F.lit(1), F.greatest(F.size(b) - by, F.lit(0))), ahead(b, by))
+
+    def joined(power: Column, width: int, rest: int, done: Column | None, offset: int) -> Column:
+        if rest & width:
+            part = F.slice(ahead(power, offset), F.lit(1), F.greatest(F.size(hashes) - (size - 1), F.lit(0)))
+            done = part if done is None else both(done, part)
+            offset, rest = offset + width, rest - width
+        if not rest:
+            return done
+        return let(short(power, power, width), lambda wider: joined(wider, 2 * width, rest, done, offset))
+
+    return joined(hashes, 1, size, None, 0)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item_id, size, windows, place, way, key) of an item's windows, in the ways that leave enough words; `windows` counts them once.
+    """(item, size, windows, place, way, key) of an item's windows, in the ways that leave enough words; `windows` counts them once.
 
     Those that numbers and units leave too few words are sought by value.
     """
-    long_enough = items.where(F.size("words") >= SHORTEST).withColumn("size", F.least(F.size("words"), F.lit(WINDOW)))
-    long_enough = long_enough.withColumn("windows", F.size("words") - F.col("size") + 1)
-    hashed = long_enough.select("*", *[word_hashes(F.col("words"), way).alias(f"hashes{way}") for way in range(len(SLOTS))])
-    opened = hashed.withColumn("place", F.explode(F.sequence(F.lit(1), "windows")))
-    left = [F.col("size") - F.size(F.filter(F.slice("words", F.col("place"), F.col("size")), slot)) for slot in SLOTS[:2]]
-    sought = [left[0] >= LITERALS, left[1] >= LITERALS, left[1] < LITERALS]
-    keyed = [F.when(use, F.struct(F.lit(way).alias("way"), key(F.col(f"hashes{way}"), F.col("place"), F.col("size")).alias("key"))) for way, use in enumerate(sought)]
-    return opened.select("item_id", "size", "windows", "place", F.explode(F.array_compact(F.array(*keyed))).alias("x")).select("item_id", "size", "windows", "place", "x.*")
+    told = None
+    for size in range(SHORTEST, WINDOW + 1):
+        long_enough = items.where(F.size("words") >= size if size == WINDOW else F.size("words") == size)
+        keys = long_enough.select("item", "words", *[runs(word_hashes(F.col("words"), way), size).alias(f"keys{way}") for way in range(len(SLOTS))])
+        opened = keys.select("*", F.size("keys0").alias("windows"), F.explode(F.sequence(F.lit(1), F.size("keys0"))).alias("place"))
+        left = [size - F.size(F.filter(F.slice("words", F.col("place"), F.lit(size)), slot)) for slot in SLOTS[:2]]
+        sought = [left[0] >= LITERALS, left[1] >= LITERALS, left[1] < LITERALS]
+        keyed = [F.when(use, F.struct(F.lit(way).alias("way"), F.get(f"keys{way}", F.col("place") - 1).alias("key"))) for way, use in enumerate(sought)]
+        rows = opened.select("item", F.lit(size).alias("size"), "windows", "place", F.inline(F.array_compact(F.array(*keyed))))
+        told = rows if told is None else told.union(rows)
+    return told
 
 
 def hits(texts: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, of, item_id, diagonal, places, windows, size) of the diagonals with hits; `of` is the hash of the text."""
+    """(doc_id, of, item, diagonal, places, windows, size) of the diagonals with hits; `of` is the hash of the text."""
     found = windows.select("size", "way").distinct().collect()  # a few rows
     few = windows.count() <= BROADCAST_ROWS
     worded = texts.select("doc_id", "of", marked_words(F.col("text")).alias("words"))
     opened = None
     for size in sorted({r["size"] for r in found}) or [WINDOW]:
         ways = sorted({r["way"] for r in found if r["size"] == size}) or [0]
-        hashed = worded.where(F.size("words") >= size).select("doc_id", "of", *[word_hashes(F.col("words"), way).alias(f"hashes{way}") for way in ways])
-        starts = F.sequence(F.lit(1), F.size(f"hashes{ways[0]}") - (size - 1))
-        read = F.transform(starts, lambda i: F.array_distinct(F.array(*[key(F.col(f"hashes{way}"), i, F.lit(size)) for way in ways])))  # noqa: B023
-        places = hashed.select("doc_id", "of", F.posexplode(read).alias("at", "keys")).select("doc_id", "of", "at", F.explode("keys").alias("key"), F.lit(size).alias("size"))
-        opened = places if opened is None else opened.union(places)
+        hashed = worded.where(F.size("words") >= size).select("doc_id", "of", *[runs(word_hashes(F.col("words"), way), size).alias(f"k{way}") for way in ways])
+        places = hashed.select("doc_id", "of", F.posexplode(F.arrays_zip(*[f"k{way}" for way in ways])).alias("at", "keys"))
+        keys = [F.col("keys")[f"k{way}"] for way in ways]
+        keys = [F.when(~k.isin(*keys[:i]), k) if i else k for i, k in enumerate(keys)]  # ways that read a window alike count once
+        rows = places.select("doc_id", "of", "at", F.explode(F.array(*keys)).alias("key"), F.lit(size).alias("size")).where("key is not null")
+        opened = rows if opened is None else opened.union(rows)
     # windows that read alike in two ways have one key
     sought = windows.drop("way").distinct()
     met = opened.join(F.broadcast(sought) if few else sought, ["key", "size"])
-    return met.groupBy("doc_id", "of", "item_id", (F.col("at") + 1 - F.col("place")).alias("diagonal")).agg(
+    return met.groupBy("doc_id", "of", "item", (F.col("at") + 1 - F.col("place")).alias("diagonal")).agg(
         F.array_sort(F.collect_set("place")).alias("places"), F.first("windows").alias("windows"), F.first("size").alias("size")
     )
 
@@ -143,12 +170,12 @@ def aligned(near: Column, size: Column, start: Column) -> Column:
 
 
 def chains(hit: DataFrame) -> DataFrame:
-    """(doc_id, of, item_id, diagonal, cover, coverage, n_words) for every diagonal, alone and with those up to SHIFT words away."""
-    around = Window.partitionBy("doc_id", "of", "item_id").orderBy("diagonal").rangeBetween(-SHIFT, SHIFT)
+    """(doc_id, of, item, diagonal, cover, coverage, n_words) for every diagonal, alone and with those up to SHIFT words away."""
+    around = Window.partitionBy("doc_id", "of", "item").orderBy("diagonal").rangeBetween(-SHIFT, SHIFT)
     near = hit.withColumn("near", F.collect_list(F.struct("diagonal", "places")).over(around))
     alone = F.array(F.struct("diagonal", "places"))
     both = F.when(F.size("near") > 1, F.array(alone, F.col("near"))).otherwise(F.array(alone))
-    near = near.select("doc_id", "of", "item_id", "diagonal", "windows", "size", F.explode(both).alias("near"))
+    near = near.select("doc_id", "of", "item", "diagonal", "windows", "size", F.explode(both).alias("near"))
     told = near.withColumn("cover", aligned(F.col("near"), F.col("size"), F.col("diagonal"))).drop("near")
     # a window counts if all its words are in the chain, be it across a shift
     runs = F.size("cover") - F.col("size") + 1
@@ -156,17 +183,28 @@ def chains(hit: DataFrame) -> DataFrame:
     return told.withColumn("coverage", F.size(whole) / F.col("windows")).withColumn("n_words", F.size("cover"))
 
 
+def whole_texts(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, item) of documents that are, word for word, an item too short for windows."""
+    short = items.where(F.size("words").between(1, SHORTEST - 1)).select("item", F.transform("words", value).alias("said"))
+    said = F.transform(marked_words(F.col("text")), value)
+    docs = texts.select("doc_id", said.alias("said")).where(F.size("said").between(1, SHORTEST - 1))
+    spoken = lambda table, *names: table.select(*names, F.concat_ws(" ", "said").alias("said"))
+    return spoken(docs, "doc_id").join(broadcast_if_small(spoken(short, "item")), "said").select("doc_id", "item")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, coverage, n_words, n_slots, kind) of every document and item it holds; kind is verbatim or reparameterised."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("of", F.xxhash64("text"))
-    items = benchmark.select(F.col(item_id).alias("item_id"), marked_words(F.col(item_text).cast("string")).alias("words")).dropDuplicates(["item_id"])
+    items = benchmark.select(F.col(item_id).alias("item_id"), marked_words(F.col(item_text).cast("string")).alias("words")).distinct()
+    # several texts may share an id: an item is its id and its words
+    items = items.withColumn("item", F.xxhash64(F.col("item_id").cast("string"), F.concat_ws(" ", "words")))
     windows = settle(item_windows(items), "benchmark-windows")
     on = chains(settle(hits(texts, windows), "hits"))
     on = settle(on.where((F.col("coverage") >= COVERAGE) | (F.col("n_words") >= LONG_MATCH)), "diagonals")
     wanted = on.select("of").distinct()
     words = texts.join(wanted, "of", "left_semi").select(F.col("doc_id").alias("id"), "of", marked_words(F.col("text")).alias("doc_words")).distinct()
     same = (on["of"] == words["of"]) & on["doc_id"].eqNullSafe(words["id"])
-    filled = on.join(words, same).drop(words["of"], words["id"]).join(items, "item_id")
+    filled = on.join(words, same).drop(words["of"], words["id"]).join(items, "item")
     slots = F.filter("cover", lambda c: is_slot(F.element_at("words", c["place"])))
     pairs = F.transform(slots, lambda c: F.struct(value(F.element_at("words", c["place"])).alias("item"), value(F.try_element_at("doc_words", (c["place"] + c["diagonal"]).cast("int"))).alias("doc")))
     filled = filled.withColumn("pairs", F.array_distinct(pairs))
@@ -174,7 +212,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     consistent = filled.where(F.size(values) == F.size("pairs"))
     equal = ~F.exists("pairs", lambda x: ~x["item"].eqNullSafe(x["doc"]))
     best = F.struct("coverage", "n_words", equal.cast("int").alias("same"), (-F.col("diagonal")).alias("d"), F.size("pairs").alias("n_slots"))
-    one = consistent.groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
+    # a document that is a short item, and no more
+    short = whole_texts(texts, items).join(items, "item")
+    no_slots = F.struct(F.lit(1.0).alias("coverage"), F.size("words").alias("n_words"), F.lit(1).alias("same"), F.lit(0).alias("d"), F.lit(0).alias("n_slots"))
+    told = consistent.select("doc_id", "item_id", best.alias("x")).union(short.select("doc_id", "item_id", no_slots))
+    one = told.groupBy("doc_id", "item_id").agg(F.max("x").alias("best"))
     kind = F.when(F.col("best.same") == 1, "verbatim").otherwise("reparameterised")
     return one.select("doc_id", "item_id", "best.coverage", "best.n_words", "best.n_slots", kind.alias("kind"))
 
