@@ -303,7 +303,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the least id of every class, with the columns it had. Rows without an id all stay."""
-    best = classes(docs, id_col, text_col).where("doc_id = class_id").select(F.col("doc_id").alias(id_col))
-    kept = docs.join(best, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull())).select(docs.columns)
+    """The row with the least id of every class, with the columns it had. Rows without an id all stay.
+
+    Rows are classed by numbers of their own, so that unlike texts of one id are told apart and copies of one id are not kept twice.
+    """
+    number = "__number"
+    while number in docs.columns:
+        number += "_"
+    rows = settle(docs.withColumn(number, F.monotonically_increasing_id()), "numbered", keep=True)
+    known = rows.where(F.col(id_col).isNotNull())
+    told = classes(known, number, text_col).select(F.col("doc_id").alias(number), "class_id")
+    best = known.select(number, F.col(id_col).alias("_id")).join(told, number).groupBy("class_id").agg(F.min(F.struct("_id", number)).alias("best"))
+    kept = known.join(best.select(F.col("best")[number].alias(number)), number, "left_semi")
+    return kept.unionByName(rows.where(F.col(id_col).isNull())).select(docs.columns)

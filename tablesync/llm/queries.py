@@ -102,7 +102,7 @@ ORACLES: dict[str, str] = {
     ''',
     "op5_secret_scans": r'''
     WITH d AS (
-        SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner FROM documents),
+        SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner, concat_ws('/', source, lang) AS repository FROM documents),
     kinds AS (SELECT * FROM (VALUES
         (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'),
         (1, 'access', 'AKIA[A-Z0-9]{16,}'),
@@ -110,12 +110,12 @@ ORACLES: dict[str, str] = {
         (3, 'other', '-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}'
             || '|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|[A-Za-z0-9+/_-]{28,}={0,2}')) AS k(kind, name, pattern)),
     split AS (
-        SELECT doc_id, owner, kind, name, string_split_regex(regexp_replace(translate(text, chr(1) || chr(2), chr(3) || chr(3)),
+        SELECT doc_id, text, owner, repository, kind, name, string_split_regex(regexp_replace(translate(text, chr(1) || chr(2), chr(3) || chr(3)),
             pattern, chr(1) || '\0' || chr(2), 'g'), '[' || chr(1) || chr(2) || ']') AS parts FROM d, kinds),
-    opened AS (SELECT doc_id, owner, kind, name, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM split WHERE len(parts) > 1),
+    opened AS (SELECT doc_id, text, owner, repository, kind, name, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM split WHERE len(parts) > 1),
     placed AS (SELECT *, CAST(sum(length(part)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS stop FROM opened),
     matched AS (
-        SELECT doc_id, owner, kind, name, stop - length(part) AS start, stop, CASE WHEN kind = 0 THEN
+        SELECT doc_id, text, owner, repository, kind, name, stop - length(part) AS start, stop, CASE WHEN kind = 0 THEN
             regexp_extract(part, '^(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)
             ELSE part END AS value FROM placed WHERE i % 2 = 0),
     fit AS (
@@ -126,7 +126,9 @@ ORACLES: dict[str, str] = {
     clear AS (
         SELECT * FROM fit o WHERE kind < 3 OR NOT EXISTS (
             SELECT 1 FROM fit b WHERE b.kind < 3 AND b.doc_id = o.doc_id AND b.start < o.stop AND o.start < b.stop)),
-    owned AS (SELECT value, count(DISTINCT owner) < 2 AS live FROM clear GROUP BY value),
+    held AS (SELECT value, min((owner, repository)) AS by_whom FROM clear GROUP BY value, text),
+    owned AS (
+        SELECT value, NOT (count(DISTINCT by_whom[1]) >= 8 AND count(DISTINCT by_whom) >= 8) AS live FROM held GROUP BY value),
     kept AS (SELECT *, name || ':' || start || ':' || stop AS span FROM clear JOIN owned USING (value) WHERE kind < 3 OR live)
     SELECT d.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
            count(*) FILTER (WHERE kind = 2) AS n_hex,

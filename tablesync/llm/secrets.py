@@ -2,8 +2,8 @@
 
 Three base kinds are found by fixed patterns and always kept. A fourth, `other`, proposes tokens of well-known forms and
 long mixed tokens outside the base spans. The hash of every candidate's value is counted over the whole corpus by
-distinct repositories and distinct owners: what several owners share is a copied example, what one owner alone
-uses looks live. Of the kind `other` only live candidates become spans.
+distinct repositories and distinct owners, where all copies of one text count as one owner's: what many owners and repositories hold in
+texts of their own is a copied example, what few hold looks live. Of the kind `other` only live candidates become spans.
 
 Spans are in code points, end exclusive, leftmost and non-overlapping within a kind. Places come from splitting the
 text at marks set around the matches and adding up the lengths of the parts, so one pass finds all matches of a text.
@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablesync.operators.versions import broadcast_if_small
 from tablesync.session import settle
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
@@ -32,8 +33,9 @@ OTHER = (
 KINDS = [("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("other", OTHER)]
 BASE = 3
 LEAST_VALUE = 6
-#: Owners from which on a value is a copied example.
-EXAMPLE_OWNERS = 2
+#: Owners, and repositories, from which on a value is a widely copied example.
+EXAMPLE_OWNERS = 8
+EXAMPLE_REPOSITORIES = 8
 
 OPEN, CLOSE = "\x01", "\x02"
 
@@ -66,14 +68,14 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo
     """(id, row, kind, start, end, digest, live, owners, repositories) of all base spans and all proposals outside of them, one set for every distinct (id, row)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = F.explode(F.concat(*[parts(F.col("text"), k) for k in range(len(KINDS))]))
-    rows = docs.select(F.col(id_col).alias("id"), row_hash(id_col, text_col).alias("row"), text.alias("text"), F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"), repository.alias("repository"))
+    rows = docs.select(F.col(id_col).alias("id"), row_hash(id_col, text_col).alias("row"), F.xxhash64(text).alias("content"), text.alias("text"), F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"), repository.alias("repository"))
     any_kind = "|".join(f"(?:{p})" for _, p in KINDS)
-    opened = rows.where(F.col("text").rlike(any_kind)).select("id", "row", "owner", "repository", found.alias("x")).select("id", "row", "owner", "repository", "x.*").distinct()
+    opened = rows.where(F.col("text").rlike(any_kind)).select("id", "row", "content", "owner", "repository", found.alias("x")).select("id", "row", "content", "owner", "repository", "x.*").distinct()
     along = Window.partitionBy("id", "row", "owner", "repository", "kind").orderBy("place")
     spans = opened.withColumn("end", F.sum("length").over(along)).where("value is not null")
     spans = spans.withColumn("start", F.col("end") - F.col("length"))
     keep = F.when(F.col("kind") == 0, F.char_length("value") >= LEAST_VALUE).when(F.col("kind") == BASE, mixed(F.col("value"))).otherwise(F.lit(True))
-    spans = spans.where(keep).select("id", "row", "owner", "repository", "kind", "start", "end", F.sha2("value", 256).alias("digest"))
+    spans = spans.where(keep).select("id", "row", "content", "owner", "repository", "kind", "start", "end", F.sha2("value", 256).alias("digest"))
     is_base = F.col("kind") < BASE
     before = Window.partitionBy("id", "row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = Window.partitionBy("id", "row").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -82,9 +84,12 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo
     spans = spans.withColumn("reached", reached).withColumn("ahead", ahead)
     clear = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.col("ahead").isNull() | (F.col("ahead") >= F.col("end")))
     spans = settle(spans.where(is_base | clear).drop("reached", "ahead"), "secret-candidates")
-    owned = spans.select("digest", "owner", "repository").distinct().groupBy("digest", "owner").agg(F.count("*").alias("n"))
+    texts = spans.groupBy("digest", "content").agg(F.min(F.struct("owner", "repository")).alias("held"))
+    owned = texts.select("digest", "held.owner", "held.repository").distinct().groupBy("digest", "owner").agg(F.count("*").alias("n"))
     shared = owned.groupBy("digest").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
-    told = spans.join(shared, "digest").withColumn("live", F.col("owners") < EXAMPLE_OWNERS)
+    shared = broadcast_if_small(settle(shared, "secret-owners"))
+    wide = (F.col("owners") >= EXAMPLE_OWNERS) & (F.col("repositories") >= EXAMPLE_REPOSITORIES)
+    told = spans.join(shared, "digest").withColumn("live", ~wide)
     return told.select("id", "row", "kind", "start", "end", "digest", "live", "owners", "repositories").distinct()
 
 
@@ -124,7 +129,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
 def redact(docs: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository: Column | None = None, length_col: str | None = "n_chars") -> DataFrame:
     """The same rows and columns, with a mark in place of every live secret in the text; `length_col` holds the new length.
 
-    Overlapping spans are replaced together. Values that several owners share are examples and stay.
+    Overlapping spans are replaced together. Values that many owners and repositories share are examples and stay.
     """
     where = F.concat_ws("/", owner_col, "lang") if repository is None else repository
     live = candidates(docs, id_col, text_col, owner_col, where).where("live")

@@ -71,10 +71,31 @@ def test_components(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", range(1, 9))
+def test_runs_of_hashes_tell_windows_apart(spark, size):
+    rows = [[1, 2, 3, 4, 5, 6, 7, 8, 9, 1, 2, 3, 4, 5, 6, 7, 8], [9, 8, 7, 6, 5, 4, 3, 2, 1], [5] * 12, [1] * size, list(range(size - 1)), []]
+    table = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, h array<bigint>")
+    windows, found = {}, {r["i"]: r["k"] for r in table.select("i", decontaminate.runs(F.col("h"), size).alias("k")).collect()}
+    for i, row in enumerate(rows):
+        own = [tuple(row[j : j + size]) for j in range(len(row) - size + 1)]
+        assert len(found[i]) == len(own)
+        for window, key in zip(own, found[i]):
+            assert windows.setdefault(window, key) == key
+    assert len(set(windows.values())) == len(windows)
+
+
+def test_unlike_texts_of_one_id_both_stay(spark):
+    rows = texts()
+    rows = [(300, rows[3][1], "en", "a"), (300, rows[7][1], "en", "a"), (300, rows[7][1], "en", "b"), (301, rows[3][1], "en", "c"), (None, rows[3][1], "en", "c"), (302, None, "en", "c"), (302, None, "en", "c")]
+    kept = minhash.keep_one(documents(spark, rows))
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == sorted([(300, rows[0][1]), (300, rows[1][1]), (0, rows[0][1]), (302, ""), (302, "")])
+    assert kept.columns == documents(spark, []).columns
+
+
 def test_decontamination(spark):
     question = "a train with Anna left the old town and went 120 km in 3 hours before Anna met her friend who had walked 7 miles along the river"
     items = spark.createDataFrame(
-        [(1, question), (2, "plain words that nobody else would ever put together in such a long row today"), (3, None), (4, ""), (5, "too short"), (6, "exactly six words are here now")],
+        [(1, question), (2, "plain words that nobody else would ever put together in such a long row today"), (3, None), (4, ""), (5, "too short"), (6, "exactly six words are here now"), (2, "another text of the second item word for word")],
         "item_id long, text string",
     ).withColumn("doc_id", F.lit("clash"))
     changed = question.replace("Anna", "Bertha").replace("120", "95").replace("3 hours", "2 hours")
@@ -85,13 +106,15 @@ def test_decontamination(spark):
         (602, "start and " + broken + " more", "en", "s"),
         (603, "PLAIN words, that nobody else would ever put together in such a long row today!", "en", "s"),
         (604, "so exactly six words are here now then", "en", "s"),
-        (605, "too short", "en", "s"),
+        (605, "Too short!", "en", "s"),
+        (606, "too short indeed", "en", "s"),
+        (607, "it held another text of the second item word for word and nothing else", "en", "s"),
     ]
     docs = documents(spark, rows)
     got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.contaminated(docs, items).collect()}
-    assert got == {(600, 1): "verbatim", (601, 1): "reparameterised", (603, 2): "verbatim", (604, 6): "verbatim"}
+    assert got == {(600, 1): "verbatim", (601, 1): "reparameterised", (603, 2): "verbatim", (604, 6): "verbatim", (605, 5): "verbatim", (607, 2): "verbatim"}
     left = decontaminate.drop_contaminated(docs, items)
-    assert left.columns == docs.columns and left.count() == len(rows) - 4
+    assert left.columns == docs.columns and left.count() == len(rows) - 6
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0
 

@@ -22,12 +22,11 @@ def test_stages_keep_the_columns_and_do_their_work(spark, tmp_path):
 
     item = sentence(random.Random(11), "en", 40)
     live, shared = "0123456789abcdef" * 2, "fedcba9876543210" * 2
-    filler = [sentence(random.Random(n), "en", 50) for n in range(6)]
+    filler = [sentence(random.Random(n), "en", 50) for n in range(12)]
     rows = [r for r in texts() if r[0] not in (108, 109, 112, 113, 115)] + [  # those left out hold secrets of their own
         (700, filler[0] + " " + item + " " + filler[1], "en", "s0"),
         (701, filler[2] + " key " + live, "en", "s1"),
-        (702, filler[3] + " key " + shared, "en", "s1"),
-        (703, filler[4] + " key " + shared, "en", "s2"),
+        *[(702 + n, filler[3 + n] + " key " + shared, "en", f"p{n}") for n in range(8)],  # widely copied
     ]
     docs = documents(spark, rows)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
@@ -53,7 +52,7 @@ def test_stages_keep_the_columns_and_do_their_work(spark, tmp_path):
 def test_registered_names():
     names = contract.queries()
     assert "pipeline" in names
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "decontamination", "secret_scan", "tokens"]
 
 
