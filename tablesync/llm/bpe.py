@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 from tablesync.session import settle, temporary
 
 BUCKETS = 32768  # a power of two
-FREQUENT = 1 << 17
+FREQUENT = 1 << 18
 #: One in so many texts is looked at for frequent words.
-SHARE = 16
+SHARE = 4
 LONG = 256
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
