@@ -79,25 +79,26 @@ def is_amount(word: Column) -> Column:
 SLOTS = [is_slot, is_amount, lambda word: F.lit(False)]
 
 
-def word_hashes(words: Column, way: int) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(F.when(SLOTS[way](w), F.substring(w, 1, 1)).otherwise(value(w))))
+def word_hashes(words: Column, ways: list[int]) -> Column:
+    """An array of structs with the hash of each word in each of the ways, as h0, h1, h2."""
+    return F.transform(words, lambda w: F.struct(*[F.xxhash64(F.when(SLOTS[way](w), F.substring(w, 1, 1)).otherwise(value(w))).alias(f"h{way}") for way in ways]))
 
 
 def runs(hashes: Column, size: int) -> Column:
     """The hash of each `size` neighbouring entries. Hashes of 2, 4 and 8 are put together from two of half that length, and
     other sizes from these, so that an entry costs a few hashes of two numbers whatever the size is."""
-    ahead = lambda a, by: F.slice(a, F.lit(1 + by), F.greatest(F.size(a) - by, F.lit(0)))
+    ahead = lambda a, by: F.slice(a, F.lit(1 + by), F.size(a)) if by else a
     both = lambda a, b: F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
-    short = lambda a, b, by: both(F.slice(a, F.lit(1), F.greatest(F.size(b) - by, F.lit(0))), ahead(b, by))
+    whole = lambda a: F.slice(a, F.lit(1), F.greatest(F.size(hashes) - (size - 1), F.lit(0)))
 
     def joined(power: Column, width: int, rest: int, done: Column | None, offset: int) -> Column:
         if rest & width:
-            part = F.slice(ahead(power, offset), F.lit(1), F.greatest(F.size(hashes) - (size - 1), F.lit(0)))
+            part = ahead(power, offset)
             done = part if done is None else both(done, part)
             offset, rest = offset + width, rest - width
         if not rest:
-            return done
-        return let(short(power, power, width), lambda wider: joined(wider, 2 * width, rest, done, offset))
+            return whole(done)  # what reaches over the end of the array is cut off here
+        return let(both(power, ahead(power, width)), lambda wider: joined(wider, 2 * width, rest, done, offset))
 
     return joined(hashes, 1, size, None, 0)
 
@@ -115,7 +116,8 @@ def item_windows(items: DataFrame) -> DataFrame:
     told = None
     for size in range(SHORTEST, WINDOW + 1):
         long_enough = items.where(F.size("words") >= size if size == WINDOW else F.size("words") == size)
-        keys = long_enough.select("item", "words", *[runs(word_hashes(F.col("words"), way), size).alias(f"keys{way}") for way in range(len(SLOTS))])
+        hashed = long_enough.select("item", "words", word_hashes(F.col("words"), [0, 1, 2]).alias("read"))
+        keys = hashed.select("item", "words", *[runs(F.col(f"read.h{way}"), size).alias(f"keys{way}") for way in range(len(SLOTS))])
         opened = keys.select("*", F.size("keys0").alias("windows"), F.explode(F.sequence(F.lit(1), F.size("keys0"))).alias("place"))
         left = [size - F.size(F.filter(F.slice("words", F.col("place"), F.lit(size)), slot)) for slot in SLOTS[:2]]
         sought = [left[0] >= LITERALS, left[1] >= LITERALS, left[1] < LITERALS]
@@ -133,7 +135,8 @@ def hits(texts: DataFrame, windows: DataFrame) -> DataFrame:
     opened = None
     for size in sorted({r["size"] for r in found}) or [WINDOW]:
         ways = sorted({r["way"] for r in found if r["size"] == size}) or [0]
-        hashed = worded.where(F.size("words") >= size).select("doc_id", "of", *[runs(word_hashes(F.col("words"), way), size).alias(f"k{way}") for way in ways])
+        read = worded.where(F.size("words") >= size).select("doc_id", "of", word_hashes(F.col("words"), ways).alias("read"))
+        hashed = read.select("doc_id", "of", *[runs(F.col(f"read.h{way}"), size).alias(f"k{way}") for way in ways])
         places = hashed.select("doc_id", "of", F.posexplode(F.arrays_zip(*[f"k{way}" for way in ways])).alias("at", "keys"))
         keys = [F.col("keys")[f"k{way}"] for way in ways]
         keys = [F.when(~k.isin(*keys[:i]), k) if i else k for i, k in enumerate(keys)]  # ways that read a window alike count once
