@@ -23,7 +23,9 @@ from tablesync.functions.text import IDENTIFIER_PATTERN
 from tablesync.functions.types import cursor_to_text
 from tablesync.operators.schema import conform, conform_with
 from tablesync.plans.spec import TableSpec, validate_specs
+from tablesync.plans.progress import put_packed, watched
 from tablesync.sinks.append import append_rows, create_if_absent
+from tablesync.sinks.database import DatabaseTarget
 from tablesync.sources.scan import scan_since, scan_table
 from tablesync.sources.tables import Source
 from tablesync.streaming.cdc import SEEN, PollResult, poll_stream
@@ -122,7 +124,8 @@ class RunLog:
         with self._lock:
             held, self.events = self.events, []
         if held:
-            self._rows(spark, held).coalesce(1).write.mode("append").parquet(self.path)
+            with self._lock:  # one file after the other, packed as they add up
+                put_packed(self._rows(spark, held), self.path, self.job_id)
 
     def _rows(self, spark: SparkSession, events: list[dict]) -> DataFrame:
         schema = T.StructType.fromDDL(PROGRESS_SCHEMA)
@@ -135,7 +138,8 @@ class RunLog:
                 return self._rows(spark, self.events)
         self.flush(spark)
         stored = spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
-        return stored.where(F.col("job_id") == self.job_id)
+        # a packing that died may have left events twice
+        return stored.where(F.col("job_id") == self.job_id).dropDuplicates(["job_id", "seq"])
 
 
 @dataclass(frozen=True)
@@ -160,19 +164,32 @@ def _check_names(table: str, schema: T.StructType) -> None:
             raise ValueError(f"invalid identifier {name!r}")
 
 
+#: How often rows are reported while they are written.
+WATCH_SECONDS = 2.0
+
+
+def _report(log: RunLog, spec: TableSpec, rows: int, text: str) -> None:
+    """An `inserting` event; the total is known only from a limit."""
+    percentage = min(100.0, rows / spec.limit * 100) if spec.limit else 0.0
+    log.add(spec.name, "inserting", f"{rows} {text}", current_rows=rows, total_rows=spec.limit, percentage=percentage, phase="inserting")
+
+
 def ingest_table(
     source: Source,
     spec: TableSpec,
-    target: Target,
+    target: Target | DatabaseTarget,
     log: RunLog,
     cursor_from: str = "snapshot",
+    batch_id: int = 0,
 ) -> TableResult:
     """Copy one table and, when it is polled, set its cursor.
 
     All checks on names, types and keys come before the first write. The row count and, for a polled
     table, the cursor are observed while the snapshot is written: the source is read once. A limited snapshot of a
     polled table holds the oldest rows and all rows without a delta, which no poll would find. An error of any kind
-    becomes the table's result. `cursor_from="source"` takes the source's maximum after the load, which skips rows that
+    becomes the table's result. While rows are written, those that tasks have handed over are reported every `WATCH_SECONDS`.
+    A database as the target takes the rows as the batch `batch_id`, once however often it is run; there nothing is polled.
+    `cursor_from="source"` takes the source's maximum after the load, which skips rows that
     arrived in between or lie past the limit.
     """
     started = time.monotonic_ns()
@@ -190,13 +207,20 @@ def ingest_table(
             if missing:
                 raise ValueError(f"no such columns: {', '.join(missing)}")
         with _Stage("table creation failed"):
-            if versioned:
+            if isinstance(target, DatabaseTarget):
+                if versioned:
+                    raise ValueError("a database takes no polled tables")
+            elif versioned:
                 versions = target.version_log(spec.name, rows.schema, key, spec.polling.delta_column)
             else:
                 create_if_absent(target.spark, target.path(spec.name), rows.schema)
         log.add(spec.name, "inserting", "Writing rows")
-        with _Stage("insertion failed"):
-            if versioned:
+        with _Stage("insertion failed"), watched(target.spark, lambda rows: _report(log, spec, rows, "rows written so far"), WATCH_SECONDS):
+            if isinstance(target, DatabaseTarget):
+                seen = Observation()
+                target.table(spec.name, spec.batch_size).append(rows, batch_id, seen)
+                count = int(seen.get["rows"])
+            elif versioned:
                 full, delta = source.table(spec.name), spec.polling.delta_column
                 kind = full.schema[delta].dataType
                 taken = full
@@ -204,12 +228,12 @@ def ingest_table(
                     # Any `limit` rows may be loaded; the oldest leave nothing behind the cursor.
                     without = full.where(named(delta).isNull())
                     taken = scan_since(full, delta, None, spec.limit).unionByName(without)
-                batch_id = versions.cursor().batch_id + 1
-                stored = versions.append(conform_with(taken, delta, SEEN), batch_id, batch_size=spec.batch_size, seen=SEEN)
+                next_batch = versions.cursor().batch_id + 1
+                stored = versions.append(conform_with(taken, delta, SEEN), next_batch, batch_size=spec.batch_size, seen=SEEN)
                 count, last_seen = stored.rows, stored.last_seen
                 if cursor_from == "source":
                     last_seen = full.agg(cursor_to_text(F.max(named(delta)), kind)).first()[0]
-                versions.commit(last_seen, batch_id, kind)
+                versions.commit(last_seen, next_batch, kind)
             else:
                 seen = Observation()
                 append_rows(rows, target.path(spec.name), spec.batch_size, observation=seen)
@@ -218,17 +242,8 @@ def ingest_table(
         log.add(spec.name, "error", str(failure))
         return TableResult(spec.name, False, str(failure))
     duration = time.monotonic_ns() - started
-    percentage = min(100.0, count / spec.limit * 100) if spec.limit else 0.0
     if count:
-        log.add(
-            spec.name,
-            "inserting",
-            f"{count} rows written",
-            current_rows=count,
-            total_rows=spec.limit,
-            percentage=percentage,
-            phase="inserting",
-        )
+        _report(log, spec, count, "rows written")
     log.add(
         spec.name,
         "completed",
@@ -374,7 +389,7 @@ def start_polling(
 
         queries.append(
             poll_stream(
-                lambda name=spec.name: source.table(name),
+                lambda name=spec.name: getattr(source, "polled", source.table)(name),
                 versions,
                 spec.polling.interval_seconds,
                 f"{checkpoints}/{spec.name}",

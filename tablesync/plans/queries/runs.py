@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesync.operators import runlog
@@ -11,7 +11,7 @@ from tablesync.plans import inputs
 from tablesync.plans.ingest import RunLog, Target, ingest_tables, results_table, run_job
 from tablesync.plans.inputs import TABLES
 from tablesync.plans.queries.registry import query
-from tablesync.plans.spec import Polling, RunConfig, TableConfig, invalid_specs, resolve_spec_table, resolve_specs
+from tablesync.plans.spec import Polling, RunConfig, TableConfig, TableSpec, invalid_specs, resolve_spec_table, resolve_specs
 from tablesync.session import scratch_dir
 from tablesync.sources.tables import FileSource
 
@@ -313,3 +313,18 @@ def latency_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def latency_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tail_flags(latency_report(inputs.durations(spark, sf_dir)))
+
+
+_COPIED = ("events", "lineitem", "orders")
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, true AS rising FROM {t}" for t in _COPIED))
+def progress_while_copying(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows reported while tables are copied, kept in a progress table: they rise, up to all rows of each table."""
+    path = scratch_dir(spark, "progress")
+    specs = [TableSpec(t) for t in _COPIED]
+    run = run_job(FileSource(spark, sf_dir), specs, Target(spark, scratch_dir(spark, "watched")), "watched", progress=path)
+    told = run.progress.where("event = 'inserting' AND phase = 'inserting'")
+    before = F.lag("current_rows", 1, 0).over(Window.partitionBy("table").orderBy("seq"))
+    told = told.withColumn("rising", F.col("current_rows") >= before)
+    return told.groupBy(F.col("table").alias("table_name")).agg(F.max("current_rows").alias("row_count"), F.bool_and("rising").alias("rising"))

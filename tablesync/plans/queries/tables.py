@@ -13,6 +13,7 @@ from tablesync.plans.inputs import LINE_KEY, TABLES, instant, read
 from tablesync.plans.queries.registry import query
 from tablesync.session import scratch_dir
 from tablesync.sinks.append import append_rows, create_if_absent
+from tablesync.sinks.layout import DeltaLayout
 from tablesync.sources.catalog import describe_columns, list_tables, primary_key_columns, table_counts
 from tablesync.sources.scan import high_watermark, scan_since, scan_table, write_delta_layout
 
@@ -153,6 +154,18 @@ def delta_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_since(spark.read.parquet(path), "ts", instant("2024-01-20 00:00:00"))
 
 
+@query("SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-10'")
+def delta_layout_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delta scan over a layout that took in two increments after its first rows."""
+    events = read(spark, sf_dir, "events")
+    layout = DeltaLayout(spark, scratch_dir(spark, "ranges"), events.schema, "ts", range_rows=events.count() // 6 + 1)
+    first = (F.col("ts") <= instant("2024-01-15 00:00:00")) & (F.col("event_id") % 7 != 0)
+    layout.add(events.where(first))
+    layout.add(events.where(F.col("ts") > instant("2024-01-15 00:00:00")))
+    layout.add(events.where(~first & (F.col("ts") <= instant("2024-01-15 00:00:00"))))
+    return layout.since(instant("2024-01-10 00:00:00"))
+
+
 _DELTAS = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
 
 

@@ -6,6 +6,8 @@ catalog, or a catalog that was saved as files.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +62,11 @@ def with_source_types(table: DataFrame, columns: DataFrame) -> DataFrame:
     `columns` is the catalog cut to this one table. A driver may have read a type as something near
     it, such as a uuid as text, so the catalog has the last word.
     """
-    known = {r["column_name"]: r["data_type"] for r in columns.select("column_name", "data_type").collect()}
+    return mark_types(table, {r["column_name"]: r["data_type"] for r in columns.select("column_name", "data_type").collect()})
+
+
+def mark_types(table: DataFrame, known: Mapping[str, str]) -> DataFrame:
+    """The table with the source type of each field that is known."""
     return table.select(
         *[
             named(c).alias(c, metadata={"src_type": known[c]}) if c in known else named(c)

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.functions.columns import named_all
-from tablesync.sources.catalog import primary_key_columns, with_source_types
+from tablesync.sources.catalog import mark_types, primary_key_columns
+from tablesync.sources.slices import balanced_slices, statistics_of, statistics_query
 
 
 class Source(Protocol):
@@ -44,18 +45,51 @@ class FileSource:
 
 @dataclass(frozen=True)
 class CatalogSource:
-    """Tables of a Spark catalog; `catalog.schema.table` names are read as separate parts."""
+    """Tables of a Spark catalog; `catalog.schema.table` names are read as separate parts.
+
+    Over a database (`jdbc_catalog_conf`) filters, limits, top-n and MAX are pushed down, and with `lookup` the catalog's
+    `information_schema` tells the primary keys and the source types, asked for once a table. A key that is neither given nor found is an
+    error: a polled table must not fall back to all its columns unnoticed. An empty tuple as its key in the spec, or an empty list
+    in `keys`, says that all columns are meant.
+    """
 
     spark: SparkSession
     database: str = ""
     keys: Mapping[str, list[str]] = field(default_factory=dict)
+    lookup: bool = False
+    _known: dict[tuple[str, str], list] = field(default_factory=dict, compare=False, repr=False)
 
-    def table(self, name: str) -> DataFrame:
+    def _parts(self, name: str) -> list[str]:
         parts = [*self.database.split("."), *name.split(".")] if "." not in name else name.split(".")
-        return self.spark.table(".".join(f"`{p}`" for p in parts if p))
+        return [p for p in parts if p]
+
+    def _open(self, parts: list[str]) -> DataFrame:
+        return self.spark.table(".".join(f"`{p}`" for p in parts))
+
+    def _information(self, name: str, view: str) -> DataFrame:
+        """A view of the information schema beside the table's schema, cut to the table."""
+        *above, schema, table = self._parts(name)
+        rows = self._open([*above, "information_schema", view])
+        return rows.where((F.col("table_schema") == schema) & (F.col("table_name") == table))
+
+    def table(self, name: str) -> DataFrame:
+        rows = self._open(self._parts(name))
+        if not self.lookup:
+            return rows
+        if ("types", name) not in self._known:
+            found = self._information(name, "columns").select("column_name", "data_type").collect()  # a row a column
+            self._known["types", name] = [tuple(r) for r in found]
+        return mark_types(rows, dict(self._known["types", name]))
 
     def key(self, name: str) -> list[str]:
-        return list(self.keys.get(name, []))
+        if name in self.keys:
+            return list(self.keys[name])
+        if ("key", name) not in self._known and self.lookup:
+            found = primary_key_columns(self._information(name, "table_constraints"), self._information(name, "key_column_usage"))
+            self._known["key", name] = [r["column_name"] for r in found.orderBy("ordinal_position").collect()]
+        if not self._known.get(("key", name)):
+            raise LookupError(f"no primary key of {name} found; give one, or () to take all columns")
+        return self._known["key", name]
 
 
 def jdbc_catalog_conf(name: str, url: str, **options: str) -> dict[str, str]:
@@ -87,8 +121,10 @@ def block_slices(pages: int, slices: int) -> list[str]:
 class JdbcSource:
     """Tables of a database, read by many connections at once.
 
-    A table is cut by the value range of its `slice_column`, or, if it is named in `block_tables`, by
-    runs of disk pages. Without either it is read by one connection, so a large table should have one.
+    A table is cut by its `slice_column`, at the quantiles and frequent values that the database keeps of it (`balanced_slices`), or, if it
+    is named in `block_tables`, by runs of disk pages. Without either it is read by one connection, so a large table should
+    have one. Statistics and the catalog are asked once a snapshot (`table`). A poll (`polled`) reads few rows: it takes one connection, the
+    source's own filter and what the snapshot learnt, and asks nothing else.
     """
 
     spark: SparkSession
@@ -99,8 +135,9 @@ class JdbcSource:
     slices: int = 16
     fetch_size: int = 10_000
     properties: Mapping[str, str] = field(default_factory=dict)
+    _types: dict[str, dict[str, str]] = field(default_factory=dict, compare=False, repr=False)
 
-    def options(self, name: str, bounds: tuple[object, object] | None = None) -> dict[str, str]:
+    def options(self, name: str) -> dict[str, str]:
         table = name if "." in name else f"{self.schema}.{name}"
         options = {
             "url": self.url,
@@ -109,14 +146,6 @@ class JdbcSource:
             "preferTimestampNTZ": "true",
             **self.properties,
         }
-        if bounds is not None:
-            low, high = bounds
-            options |= {
-                "partitionColumn": self.slice_column[name],
-                "lowerBound": str(low),
-                "upperBound": str(high),
-                "numPartitions": str(self.slices),
-            }
         return options
 
     def _read(self, options: dict[str, str]) -> DataFrame:
@@ -127,23 +156,33 @@ class JdbcSource:
         return self._read({**options, "dbtable": f"({query}) p"}).first()[0]
 
     def table(self, name: str) -> DataFrame:
+        """The whole table, in slices."""
         schema, _, table = name.rpartition(".")
         mine = (F.col("table_schema") == (schema or self.schema)) & (F.col("table_name") == table)
-        return with_source_types(self._rows(name), self.columns().where(mine))
+        found = self.columns().where(mine).select("column_name", "data_type").collect()  # a row a column
+        self._types[name] = {r[0]: r[1] for r in found}
+        return mark_types(self._rows(name), self._types[name])
+
+    def polled(self, name: str) -> DataFrame:
+        """The table as a poll reads it, whose delta filter the database works out."""
+        return mark_types(self._read(self.options(name)), self._types[name]) if name in self._types else self.table(name)
 
     def _rows(self, name: str) -> DataFrame:
         options = self.options(name)
         if name in self.block_tables:
             slices = block_slices(self._pages(options), self.slices)
-            table = options.pop("dbtable")
-            return self.spark.read.jdbc(options.pop("url"), table, predicates=slices, properties=options)
-        if name not in self.slice_column:
-            return self._read(options)
-        column = F.col(self.slice_column[name])
-        ends = self._read(options).agg(F.min(column), F.max(column)).first()
-        if ends is None or ends[0] is None:
+        elif name in self.slice_column:
+            slices = self._balanced(name, options)
+        else:
             return self._read(options)
-        return self._read(self.options(name, (ends[0], ends[1])))
+        table = options.pop("dbtable")
+        return self.spark.read.jdbc(options.pop("url"), table, predicates=slices, properties=options)
+
+    def _balanced(self, name: str, options: dict[str, str]) -> list[str]:
+        schema, table = options["dbtable"].split(".", 1)
+        query = statistics_query(schema, table, self.slice_column[name])
+        known = self._read({**options, "dbtable": f"({query}) s"}).collect()  # some hundred rows
+        return balanced_slices(self.slice_column[name], statistics_of([tuple(r) for r in known]), self.slices)
 
     def columns(self) -> DataFrame:
         """The columns catalog of the database."""
