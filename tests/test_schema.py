@@ -217,10 +217,9 @@ def test_file_source_formats(spark, tmp_path):
 
 def test_jdbc_options(spark):
     source = JdbcSource(spark, "jdbc:postgresql://h/d", slice_column={"t": "id"}, slices=4, properties={"user": "u"})
-    options = source.options("t", (1, 100))
+    options = source.options("t")
     assert options["dbtable"] == "public.t" and options["user"] == "u" and options["preferTimestampNTZ"] == "true"
-    assert [options[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == ["id", "1", "100", "4"]
-    assert "partitionColumn" not in source.options("audit.t") and source.options("audit.t")["dbtable"] == "audit.t"
+    assert "partitionColumn" not in options and source.options("audit.t")["dbtable"] == "audit.t"
     assert jdbc_sink_options("u", "t") == {"url": "u", "dbtable": "t", "batchsize": "500", "numPartitions": "4"}
 
 
