@@ -21,18 +21,43 @@ def test_top_k_is_exact_for_unequal_norms(spark):
     assert np.mean([r["evaluated"] for r in got]) < 4000  # the bound still spares work
 
 
+def test_query_rows_that_repeat_and_components_of_any_size(spark):
+    rng = np.random.default_rng(9)
+    vectors = [[float(x) for x in rng.normal(size=4) * 10.0 ** rng.integers(0, 7)] for _ in range(300)]
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(100, vectors[100]), (100, vectors[7]), (301, vectors[5])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.top_k(table, k=5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    whole = [[int(np.floor(1024 * x)) for x in v] for _, v in rows]
+    want = {}
+    for q, (i, _) in enumerate(rows):
+        if i % 100 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(whole[q], w)), j) for w, (j, _) in zip(whole, rows) if j != i)
+            want.setdefault(i, []).extend((n + 1, j, -s) for n, (s, j) in enumerate(scores[:5]))
+    assert {i: sorted(x) for i, x in got.items()} == {i: sorted(x) for i, x in want.items()}
+    large = [(i, [x * 1e6 for x in v]) for i, v in enumerate(vectors)] + [(400, [1e300, -1e300, 0.5, 1.0])]
+    found = topk.top_k(spark.createDataFrame(large, "vec_id long, embedding array<double>"), k=5).collect()
+    clip = lambda s: max(-(2**63), min(2**63 - 1, s))
+    whole = [[int(1024 * x) if abs(x) > 1e15 else int(np.floor(1024 * x)) for x in v] for _, v in large]
+    for q in (0, 100, 200):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], w)), j) for w, (j, _) in zip(whole, large) if j != q)
+        assert sorted(r["score"] for r in found if r["query_id"] == q) == sorted(clip(-s) for s, _ in scores[:5])
+
+
 def test_bounds_hold_at_any_scale():
     rng = np.random.default_rng(5)
     for scale in (1, 1e3, 1e6):
         v = np.floor(rng.normal(size=(5000, 4)) * rng.uniform(0.1, 1, (5000, 1)) * 1024 * scale).astype(np.int64)
         greatest = float((v.astype(float) ** 2).sum(1).max())
-        pivots = topk.choose_pivots(topk.lifted(v[:500].astype(float), greatest), 32)
+        v = v.astype(float)
+        pivots = topk.choose_pivots(topk.lifted(v[:500], greatest), 32)
         d, qd = topk.distances(topk.lifted(v, greatest), pivots), topk.distances(topk.flat(v), pivots)
         for q in range(0, 5000, 100):
             ids, best, _ = topk.nearest(v[q], qd[q], np.int64(q), np.arange(5000), v, d, 10, greatest)
-            scores = v @ v[q]
-            order = np.lexsort((np.arange(5000), -scores))
-            assert list(ids) == list(order[order != q][:10])
+            scores = v.astype(np.int64).astype(object) @ v[q].astype(np.int64).astype(object)  # beyond 64 bits at the largest scale
+            order = [i for i in sorted(range(5000), key=lambda i: (-scores[i], i)) if i != q]
+            assert list(ids) == order[:10]
 
 
 def held(spark, items, docs):
