@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding by the ranks of a public vocabulary file.
 
-A text is cut into words by the tokenizer's pattern. A word is an array of byte pieces; a higher-order fold joins, again and
+A text is cut into words by the tokenizer's pattern. A word is a row of byte pieces; a higher-order fold joins, again and
 again, the neighbouring pair whose bytes have the least rank in a literal rank map, until no pair has one. The
-map is a literal array of small maps, entered by the CRC-32 of the bytes, because a lookup walks through its map.
+map is a literal array of small maps, entered by the CRC-32 of the bytes, because a lookup walks through its map. Pieces and pairs
+are written as one character each, by their rank.
 
 Words are folded once where that pays: the most frequent words, at most `FREQUENT` of them, are folded first and
 sent to every task; the others are folded once for every block of `CHUNK` bytes of text in which they occur. Which words are frequent is read off
@@ -38,6 +39,8 @@ FREQUENT = 1 << 18
 #: One in so many texts is looked at for frequent words.
 SHARE = 4
 LONG = 256
+#: Ranks are written as the characters from here on; `NONE` comes after them all, `EDGE` before.
+FIRST, NONE, EDGE = 0xE000, "\U0010ffff", "\x00"
 CHUNK = 4 << 20
 
 
@@ -55,17 +58,23 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
+def sign(rank: int) -> str:
+    """The character that stands for a rank; lesser ranks come first in the order of strings."""
+    if rank >= ord(NONE) - FIRST:
+        raise ValueError(f"no character for rank {rank}")
+    return chr(FIRST + rank)
+
+
 def rank_tables(ranks: dict[bytes, int]) -> tuple[Column, Column]:
-    """Literals: the pieces of each bucket with their ranks, and the rank of every two bytes, null if they have none."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    pairs: list[int | None] = [None] * (256 * 256)
+    """Literals: the pieces of each bucket with the signs of their ranks, and the piece of every rank. A piece is a string with a character a byte."""
+    buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
+    pieces: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
     for piece, rank in ranks.items():
         text = piece.decode("latin-1")
-        buckets[zlib.crc32(text.encode()) % BUCKETS][text] = rank
-        if len(piece) == 2:
-            pairs[piece[0] * 256 + piece[1]] = rank
+        buckets[zlib.crc32(text.encode()) % BUCKETS][text] = sign(rank)
+        pieces[rank] = text
     spell_out = lambda x: F.lit(json.dumps(x, separators=(",", ":"), ensure_ascii=False))
-    return F.from_json(spell_out(buckets), "array<map<string,int>>"), F.from_json(spell_out(pairs), "array<int>")
+    return F.from_json(spell_out(buckets), "array<map<string,string>>"), F.from_json(spell_out(pieces), "array<string>")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -75,49 +84,48 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def with_tables(tables: tuple[Column, Column], body: Callable[[Column, Column], Column]) -> Column:
     """`body` of the tables of ranks, each of which then stands in the expression once."""
-    return let(tables[0], lambda by_piece: let(tables[1], lambda by_bytes: body(by_piece, by_bytes)))
+    return let(tables[0], lambda by_piece: let(tables[1], lambda by_rank: body(by_piece, by_rank)))
 
 
-def encode_word(word: Column, by_piece: Column, by_bytes: Column) -> Column:
+def encode_word(word: Column, by_piece: Column, by_rank: Column, ranks: dict[bytes, int]) -> Column:
     """The ids of a binary word of one byte or more.
 
-    Each byte is written as the character of its number, so pieces are short strings. The state is the pieces, with
-    a null at either end, and the rank of each neighbouring pair; a pair with a null end has none. A merge looks up
-    the two new pairs only.
+    The state of the fold is two short strings, because Spark copies and cuts these faster than arrays: the signs of the pieces, with an
+    edge at either end, and for each neighbouring pair the sign of the rank that the two have as one piece, or
+    `NONE`. The least sign of a pair is the sign of the piece that a merge puts in its place; only the two pairs beside it are looked up.
     """
-    rank = lambda piece: F.try_element_at(F.get(by_piece, F.crc32(piece).bitwiseAND(F.lit(BUCKETS - 1).cast("bigint"))), piece)
-    pair_rank = lambda one, two: F.get(by_bytes, one * 256 + two)
+    none = F.lit(NONE)
     size = F.length(word)
-    null = F.array(F.lit(None).cast("string"))
-    none = F.array(F.lit(None).cast("int"))
+    found = lambda piece: F.try_element_at(F.get(by_piece, F.crc32(piece).bitwiseAND(F.lit(BUCKETS - 1).cast("bigint"))), piece)
+    number = lambda one: F.ascii(one) - FIRST
+    piece_of = lambda one: F.get(by_rank, number(one))  # noqa: E731  null for an edge
+    pair = lambda a, b: F.coalesce(found(F.concat(a, b)), none)
+    at = lambda signs, k: F.substring(signs, k, F.lit(1))
+    every_byte = "".join(map(chr, range(256)))
+    every_sign = "".join(sign(ranks[bytes([b])]) for b in range(256))
 
     def begin(text: Column) -> Column:
-        singles = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(text, i, F.lit(1)))
-
-        def ranked(numbers: Column) -> Column:
-            inner = F.zip_with(numbers, F.slice(numbers, F.lit(2), size), pair_rank)
-            return F.concat(none, F.slice(inner, F.lit(1), size - 1), none)
-
-        return let(singles, lambda c: F.struct(F.concat(null, c, null).alias("pieces"), let(F.transform(c, F.ascii), ranked).alias("pairs")))
-
-    def merge(state: Column, k: Column) -> Column:
-        def join(piece: Column) -> Column:
-            near = F.transform(F.array(F.concat(F.get(state.pieces, k - 2), piece), F.concat(piece, F.get(state.pieces, k + 1))), rank)
-            return F.struct(
-                F.concat(F.slice(state.pieces, F.lit(1), k - 1), F.array(piece), F.slice(state.pieces, k + 2, size)).alias("pieces"),
-                F.concat(F.slice(state.pairs, F.lit(1), k - 2), near, F.slice(state.pairs, k + 2, size)).alias("pairs"),
-            )
-
-        return let(F.concat(F.get(state.pieces, k - 1), F.get(state.pieces, k)), join)
+        pairs = F.transform(F.sequence(F.lit(1), size - 1), lambda i: F.coalesce(found(F.substring(text, i, F.lit(2))), none))
+        inner = F.when(size > 1, F.array_join(pairs, "")).otherwise("")
+        pieces = F.concat(F.lit(EDGE), F.translate(text, every_byte, every_sign), F.lit(EDGE))
+        return F.struct(pieces.alias("pieces"), F.concat(none, inner, none).alias("pairs"))
+
+    def merge(state: Column, least: Column) -> Column:
+        k = F.instr(state.pairs, least)
+        left = pair(piece_of(at(state.pieces, k - 1)), piece_of(least))
+        right = pair(piece_of(least), piece_of(at(state.pieces, k + 2)))
+        return F.struct(
+            F.overlay(state.pieces, least, k, F.lit(2)).alias("pieces"),
+            F.overlay(state.pairs, F.concat(left, right), k - 1, F.lit(3)).alias("pairs"),
+        )
 
     def step(state: Column, _: Column) -> Column:
-        least = F.array_position(state.pairs, F.array_min(state.pairs)).cast("int")
-        return let(least, lambda k: F.when(k.isNull(), state).otherwise(merge(state, k)))
+        return let(F.array_min(F.split(state.pairs, "")), lambda least: F.when(least == none, state).otherwise(merge(state, least)))
 
     def fold(text: Column) -> Column:
-        ids = lambda s: F.transform(F.slice(s.pieces, F.lit(2), F.size(s.pieces) - 2), rank)
+        ids = lambda s: F.transform(F.split(F.substring(s.pieces, F.lit(2), F.length(s.pieces) - 2), ""), number)
         folded = F.aggregate(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), begin(text), step, ids)
-        return let(rank(text), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
+        return let(number(found(text)), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
 
     return let(F.decode(word, "ISO-8859-1"), fold)
 
@@ -262,7 +270,7 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "d
     with temporary(docs.sparkSession):
         some = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(SHARE)) == 0)
         often = frequent_words(some.select(F.explode(words_of(F.col(text_col), pattern)).alias("word")), frequent).where(F.octet_length("word") <= LONG)
-        folded = settle(often.select("word", with_tables(tables, lambda p, b: encode_word(F.encode("word", "utf-8"), p, b)).alias("ids")), "frequent-words")
+        folded = settle(often.select("word", with_tables(tables, lambda p, b: encode_word(F.encode("word", "utf-8"), p, b, ranks)).alias("ids")), "frequent-words")
         table = folded.toArrow().combine_chunks()  # at most `frequent` rows of LONG bytes
     words = pa.array([], pa.string()) if not len(table) else table.column("word").combine_chunks().cast(pa.string())
     ids = pa.array([], pa.list_(pa.int32())) if not len(table) else table.column("ids").combine_chunks()
@@ -270,7 +278,7 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "d
     # Written, so that no executor holds the Python workers of both steps at once.
     blocks = settle(split.mapInArrow(pack(words), "docs array<long>, sizes array<int>, codes array<int>, rare array<binary>"), "word-codes")
     no_ids = F.array().cast("array<int>")
-    each = lambda p, b: F.transform("rare", lambda w: F.when(F.length(w) <= LONG, encode_word(w, p, b)).otherwise(no_ids))
+    each = lambda p, b: F.transform("rare", lambda w: F.when(F.length(w) <= LONG, encode_word(w, p, b, ranks)).otherwise(no_ids))
     rare = with_tables(tables, each)
     done = blocks.select("docs", "sizes", "codes", "rare", rare.alias("ids"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
