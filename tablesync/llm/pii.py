@@ -2,13 +2,15 @@
 
 Four base kinds are found by fixed patterns and checks and always kept. Generators with high recall propose further,
 overlapping spans: telephone numbers without a plus sign, numbers in the form of social security and account
-numbers, mail addresses with the sign spelled out. Boosted trees score every proposal by its format and its surroundings; what reaches
-a threshold becomes a span.
+numbers, mail addresses with the sign spelled out, cards inside runs of digits that are no card as a whole. Boosted trees score every
+proposal by its format, the checks of its field and its surroundings; what reaches a threshold becomes a span, of overlapping ones the best.
 
-The trees are fitted on a bounded sample of documents (`SAMPLE_DOCS`, by a hash of the id): matches of the base patterns that pass their
-checks are positive, those that fail are negative, and so are other runs of digits. The threshold is calibrated on every
-fourth candidate, which the trees have not seen: the least score from which on `PRECISION` of the candidates are positive. Without
-both classes nothing is proposed.
+The trees are fitted on two bounded tables. `LESSONS` made-up candidates of the proposed kinds come from a rule: spans that are right or
+wrong by their field, in surroundings that speak for them, against them, or say nothing. A bounded sample of the documents (`SAMPLE_DOCS`, by a
+hash of the id) adds what numbers look like in the corpus: matches of the base patterns by their checks, account
+numbers, cards and social security numbers by theirs, and other runs of digits as negative; a span that a generator proposes is never negative
+but by its own check. The threshold is calibrated on every fourth candidate, which the trees have not seen: the least score from which on
+`PRECISION` of the proposed kinds are positive.
 
 Spans are code points, end exclusive, leftmost and non-overlapping within a base kind. The patterns are anchored at run
 starts, which finds the same matches in one pass over very long runs.
@@ -19,9 +21,11 @@ table gives no rows. Only id and text are read, so other columns never clash.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import random
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,20 +37,22 @@ from pyspark.sql import functions as F
 from tablesync.llm.common import chunks
 
 BASE = ["email", "ip", "card", "phone"]
-ADDED = ["phone_local", "ssn", "iban", "email_spelled"]
+ADDED = ["phone_local", "ssn", "iban", "email_spelled", "card_inside"]
+PHONE_LOCAL, SSN, IBAN, SPELLED, INSIDE = range(len(BASE), len(BASE) + len(ADDED))
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 PROPOSALS = [
-    ("phone_local", re.compile(r"(?<![\w+.-])(?:\([0-9]{2,5}\)|[0-9]{2,5})[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![\w-])")),
+    ("phone_local", re.compile(r"(?<![\w+.-])(?<![0-9] )(?:\([0-9]{2,5}\)|[0-9]{2,5})[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![\w-])(?![ .][0-9])")),
     ("ssn", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")),
     ("email_spelled", re.compile(r"(?<![\w.])[\w.%+-]{1,64} ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]+(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z]{2,})+")),
 ]
 NUMBERS = re.compile(r"(?<![0-9])[0-9](?:[ .-]?[0-9]){5,}+")
 SAMPLE_DOCS = 20_000
+LESSONS = 8_000
 PRECISION = 0.99
 Span = tuple[int, int]
 
@@ -96,29 +102,133 @@ def matches(text: str) -> list[tuple[int, int, int, bool]]:
     return found
 
 
+def cards_inside(text: str) -> Iterator[Span]:
+    """Runs of whole groups of digits, 13 to 19 in all, inside a match of the card pattern that is no card."""
+    for m in CARD.finditer(text):
+        if len(m[0]) > 13 and not card_fits(m[0]):
+            groups = [(g.start() + m.start(), g.end() + m.start()) for g in re.finditer("[0-9]+", m[0])]
+            for i, (start, _) in enumerate(groups):
+                n = 0
+                for a, b in groups[i:]:
+                    n += b - a
+                    if n > 19:
+                        break
+                    if n >= 13 and (start, b) != m.span():
+                        yield start, b
+
+
 def proposals(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of what the generators propose; kinds count on from the base kinds."""
-    return [(len(BASE) + i, m.start(), m.end()) for i, (_, pattern) in enumerate(PROPOSALS) for m in pattern.finditer(text)]
+    found = [(len(BASE) + i, m.start(), m.end()) for i, (_, pattern) in enumerate(PROPOSALS) for m in pattern.finditer(text)]
+    return found + [(INSIDE, a, b) for a, b in cards_inside(text)]
+
+
+def ssn_fits(span: str) -> bool:
+    area, group, serial = span.split("-")
+    return area not in ("000", "666") and area[0] != "9" and group != "00" and serial != "0000"
+
+
+def iban_fits(span: str) -> bool:
+    plain = span.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def phone_local_fits(span: str) -> bool:
+    gaps = re.findall("[ .-]", span)
+    return 8 <= len(digits_of(span)) <= 13 and (span[0] == "(" or len(set(gaps)) == 1)
+
 
+def spelled_fits(span: str) -> bool:
+    return bool(re.search("[A-Za-z]", span.split("(at)")[0].split("[at]")[0])) and bool(re.search("[a-z]{2,6}$", span))
 
-HINTS = re.compile(r"(?i)phone|tel|call|mail|contact|ssn|social|card|iban|account|konto|t\wl\wfono|courriel|correo")
 
+FITS = {PHONE_LOCAL: phone_local_fits, SSN: ssn_fits, IBAN: iban_fits, SPELLED: spelled_fits, INSIDE: card_fits}
+#: Kinds whose check is proof enough, whatever is said before.
+PROVEN = {IBAN, SPELLED, INSIDE}
+# Words that speak for a kind when they stand before a candidate, and words that speak against all.
+FOR = {
+    PHONE_LOCAL: "phone|tel|call|mobile|cell|fax|dial|whatsapp|telefon|handy|rufnummer|teléfono|móvil|téléphone|numéro",
+    SSN: "ssn|social|security|taxpayer|sozialversicherung|seguridad|sécurité",
+    IBAN: "iban|account|bank|transfer|konto|cuenta|compte",
+    SPELLED: "mail|email|contact|write|reach|kontakt|correo|courriel",
+    INSIDE: "card|visa|mastercard|credit|karte|kreditkarte|tarjeta|carte",
+}
+AGAINST = (
+    "order|invoice|part|serial|version|isbn|model|item|ref|reference|page|figure|ticket|tracking|sku|lot|case|article|catalog|build|release|total|score|population|votes"
+    "|bestellung|rechnung|artikel|seite|pedido|factura|artículo|página|commande|facture"
+)
+NEAR_FOR = {kind: re.compile(rf"(?i)(?<!\w)(?:{words})(?!\w)") for kind, words in FOR.items()}
+NEAR_AGAINST = re.compile(rf"(?i)(?<!\w)(?:{AGAINST})(?!\w)")
 
-def features(text: str, start: int, end: int) -> list[float]:
-    """Format and surroundings of a candidate."""
+
+def features(text: str, start: int, end: int, kind: int = -1) -> list[float]:
+    """Format, field check and surroundings of a candidate; `kind` is that of a proposal."""
     span = text[start:end]
     digits = digits_of(span)
     before, after = text[max(0, start - 1) : start], text[end : end + 1]
-    runs = [len(r) for r in re.findall(r"[0-9]+", span)]
+    groups = re.findall("[0-9]+", span)
+    runs = [len(r) for r in groups]
+    near = max(0, start - 40)
     return [
         len(span), len(digits), sum(c.isalpha() for c in span), span.count(" "), span.count("-"), span.count("."), span.count("("),
         float("@" in span), float(span[:1] == "+"), len(runs), max(runs, default=0), min(runs, default=0),
-        float(13 <= len(digits) <= 19 and luhn(digits)), float(9 <= len(digits) <= 15), float(len(runs) == 4 and all(len(r) <= 3 and int(r) <= 255 for r in re.findall(r"[0-9]{1,4}", span))),
-        float(before.isspace() or not before), float(before.isalnum()), float(after.isspace() or not after), float(after.isalnum()),
-        float(bool(HINTS.search(text, max(0, start - 40), start))), len(set(digits)),
+        float(13 <= len(digits) <= 19 and luhn(digits)), float(9 <= len(digits) <= 15), float(len(runs) == 4 and all(len(r) <= 3 and int(r) <= 255 for r in groups)),
+        float(before.isspace() or not before), float(before.isalnum()), float(after.isspace() or not after), float(after.isalnum()), len(set(digits)),
+        float(set(runs[1:]) == {3} and runs[0] <= 3 and "-" not in span and "(" not in span),  # as thousands are grouped
+        float(kind in FITS and FITS[kind](span)), float(kind in FOR and bool(NEAR_FOR[kind].search(text, near, start))), float(bool(NEAR_AGAINST.search(text, near, start))),
+        *(float(kind == k) for k in FITS),
     ]
 
 
+def made_span(kind: int, rng: random.Random) -> str:
+    """A span in the form of a kind; its field check holds for some."""
+    number = lambda n: "".join(rng.choices("0123456789", k=n))
+    if kind == SSN:
+        return f"{rng.choice([number(3), number(3), '9' + number(2), '000', '666'])}-{number(2)}-{number(4)}"
+    if kind == PHONE_LOCAL:
+        gap = rng.choice(" .-")
+        first = rng.choice(["({})", "{}", "{}"]).format(number(rng.randint(2, 5)))
+        return f"{first}{rng.choice([gap, gap, gap, ' ', '-'])}{number(rng.randint(3, 4))}{gap}{number(rng.randint(3, 4))}"
+    if kind == IBAN:
+        land = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=2))
+        body = "".join(rng.choices(rng.choice(["0123456789", "0123456789ABCDEFGH"]), k=rng.randint(12, 27)))
+        check = 98 - int("".join(str(int(c, 36)) for c in f"{body}{land}00")) % 97
+        plain = f"{land}{check:02}{body}" if rng.random() < 0.5 else f"{land}{number(2)}{body}"
+        return " ".join(plain[i : i + 4] for i in range(0, len(plain), 4)) if rng.random() < 0.5 else plain
+    if kind == SPELLED:
+        name = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 12)))
+        gap, sides = rng.choice(["", " "]), rng.choice(["({})", "[{}]"])
+        left = name if rng.random() < 0.8 else number(4)
+        return f"{left}{gap}{sides.format('at')}{gap}{name[::-1]}{gap}{rng.choice([sides.format('dot'), '.'])}{gap}{rng.choice(['com', 'org', 'de', 'net', 'fr'])}"
+    plain = "4" + number(rng.choice([12, 14, 15]))
+    plain += next(d for d in "0123456789" if luhn(plain + d)) if rng.random() < 0.5 else number(1)
+    return " ".join(plain[i : i + 4] for i in range(0, len(plain), 4)) if rng.random() < 0.5 else plain
+
+
+def lessons(count: int = LESSONS, seed: int = 6) -> tuple[list[list[float]], list[float]]:
+    """Features and labels of made-up candidates of the proposed kinds."""
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(count):
+        kind = list(FITS)[i % len(FITS)]
+        span = made_span(kind, rng)
+        filler = lambda: " ".join("".join(rng.choices("aeinorstlmdu", k=rng.randint(2, 8))) for _ in range(rng.randint(1, 5)))
+        said = rng.choice(["for", "against", "nothing"])
+        word = {"for": rng.choice(FOR[kind].split("|")), "against": rng.choice(AGAINST.split("|")), "nothing": rng.choice([filler(), ""])}[said]
+        lead = f"{filler()} {word}{rng.choice([': ', ' ', ' no. ', ' is '])}" if word else rng.choice(["", "(", '"'])
+        tail = rng.choice([" ", ".", ", ", "", ")", "!"]) + filler()
+        if kind == INSIDE:
+            tail = " " + made_span(kind, rng) + tail
+        text, start = lead + span + tail, len(lead)
+        if (kind, start, start + len(span)) not in proposals(text):
+            continue
+        rows.append(features(text, start, start + len(span), kind))
+        thousands = kind == PHONE_LOCAL and rows[-1][20] == 1.0
+        surroundings = kind in PROVEN or said == "for" or (said == "nothing" and not thousands)
+        labels.append(float(FITS[kind](span) and surroundings))
+    return rows, labels
+
+
 @dataclass
 class Trees:
     """Boosted regression trees over binned features, for log odds. A tree is (feature, cut) for each inner node, and its leaves."""
@@ -191,54 +301,83 @@ def candidate_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows, labels = [], []
         for text in batch["text"]:
-            known = matches(text)
-            taken = {(a, b) for _, a, b, _ in known}
+            known, offered = matches(text), proposals(text)
+            for kind, a, b in offered:
+                fits = FITS[kind](text[a:b])
+                if kind in (IBAN, INSIDE) or (kind == SSN and not fits):
+                    rows.append(features(text, a, b, kind))
+                    labels.append(float(fits))
+            taken = Cover((a, b) for _, a, b in offered)
             for _, a, b, passes in known:
-                rows.append(features(text, a, b))
-                labels.append(float(passes))
+                if passes or taken.free(a, b):
+                    rows.append(features(text, a, b))
+                    labels.append(float(passes))
+            taken = Cover([*taken.spans, *((a, b) for _, a, b, _ in known)])
             for m in NUMBERS.finditer(text):
-                if m.span() not in taken and not any(a < m.end() and m.start() < b for a, b in taken):
-                    rows.append(features(text, m.start(), m.end()))
+                if taken.free(*m.span()):
+                    rows.append(features(text, *m.span()))
                     labels.append(0.0)
-        yield pd.DataFrame({"x": rows, "y": labels})
+        yield pd.DataFrame({"x": pd.Series(rows, dtype=object), "y": pd.Series(labels, dtype=float)})
 
 
-def train(docs: DataFrame, id_col: str, text_col: str, sample_docs: int = SAMPLE_DOCS) -> Trees | None:
-    """The trees and their threshold, or None if the sample lacks a class."""
+def train(docs: DataFrame, id_col: str, text_col: str, sample_docs: int = SAMPLE_DOCS) -> Trees:
+    """The trees and their threshold."""
     ids = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(sample_docs)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
     sample = texts.join(F.broadcast(ids), "id", "left_semi").select("text")
     found = sample.mapInPandas(candidate_rows, "x array<double>, y double").orderBy(F.xxhash64("x"), "y").limit(5 * sample_docs).toPandas()
-    held = np.arange(len(found)) % 4 == 0
-    y = found["y"].to_numpy()
-    if not len(found) or len(set(y[~held])) < 2 or len(set(y[held])) < 2:
-        return None
-    x = np.stack(found["x"].to_list())
+    rows, labels = lessons()
+    x = np.array([*rows, *found["x"]], float)
+    y = np.array([*labels, *found["y"]])
+    held = np.arange(len(x)) % 4 == 0
     model = boost(x[~held], y[~held])
-    score = model.score(x[held])
+    judged = held & (x[:, -len(FITS) :].sum(1) > 0)
+    score = model.score(x[judged])
     order = np.argsort(-score, kind="stable")
-    precision = np.cumsum(y[held][order]) / np.arange(1, held.sum() + 1)
+    precision = np.cumsum(y[judged][order]) / np.arange(1, judged.sum() + 1)
     good = np.flatnonzero(precision >= PRECISION)
     model.threshold = float(max(score[order][good[-1]], 0.5)) if len(good) else 1.0
     return model
 
 
-def spans_of(text: str, model: Trees | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def spans_of(text: str, model: Trees) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans and added spans of a text, each (kind, start, end)."""
     base = sorted((k, a, b) for k, a, b, passes in matches(text) if passes)
-    if model is None:
-        return base, []
-    offered = [c for c in proposals(text) if not any(a < c[2] and c[1] < b for _, a, b in base)]
+    kept = Cover((a, b) for _, a, b in base)
+    offered = [c for c in proposals(text) if kept.free(*c[1:])]
     if not offered:
         return base, []
-    score = model.score(np.array([features(text, a, b) for _, a, b in offered]))
-    return base, sorted(c for c, s in zip(offered, score, strict=True) if s >= model.threshold)
+    score = model.score(np.array([features(text, a, b, k) for k, a, b in offered]))
+    added = []
+    for s, (kind, a, b) in sorted(zip(score, offered, strict=True), key=lambda c: (-c[0], c[1][1], -c[1][2])):
+        if s >= model.threshold and kept.free(a, b):
+            kept.add(a, b)
+            added.append((kind, a, b))
+    return base, sorted(added)
+
+
+class Cover:
+    """Which code points are taken, as ordered spans that do not overlap."""
+
+    def __init__(self, spans: Iterable[Span]) -> None:
+        self.spans: list[Span] = []
+        for a, b in sorted(spans):  # base spans of different kinds may overlap
+            if self.spans and a < self.spans[-1][1]:
+                a, b = self.spans[-1][0], max(b, self.spans.pop()[1])
+            self.spans.append((a, b))
+
+    def free(self, start: int, end: int) -> bool:
+        at = bisect.bisect_left(self.spans, (end, 0))
+        return at == 0 or self.spans[at - 1][1] <= start
+
+    def add(self, start: int, end: int) -> None:
+        bisect.insort(self.spans, (start, end))
 
 
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
-def find(model: Trees | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def find(model: Trees) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     names = BASE + ADDED
 
     def told(spans: list[tuple[int, int, int]]) -> str:

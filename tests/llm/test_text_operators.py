@@ -158,6 +158,30 @@ def test_personal_data(spark):
     assert pii.scan(documents(spark).limit(0)).count() == 0
 
 
+def test_proposals_are_judged_by_the_trees(spark):
+    good = [
+        ("ssn", "Her social security number, 123-45-6789, was printed", "123-45-6789"),
+        ("ssn", "Applicant 219-09-9123 signed", "219-09-9123"),
+        ("ssn", "(SSN 078-05-1120)", "078-05-1120"),
+        ("phone_local", "please call 555-123-4567 after six", "555-123-4567"),
+        ("phone_local", "Tel. (030) 1234 5678", "(030) 1234 5678"),
+        ("phone_local", "Anna, 069 1234 567", "069 1234 567"),
+        ("iban", "pay to DE89 3704 0044 0532 0130 00 now", "DE89 3704 0044 0532 0130 00"),
+        ("iban", "GB82WEST12345698765432", "GB82WEST12345698765432"),
+        ("email_spelled", "ask jane.doe (at) example (dot) org", "jane.doe (at) example (dot) org"),
+        ("email_spelled", "bob[at]mail.example.com", "bob[at]mail.example.com"),
+        ("card_inside", "paid with 4111111111111111 4111111111111111 twice", "4111111111111111"),
+        ("card_inside", "card 4111 1111 1111 1111 2027 left", "4111 1111 1111 1111"),
+    ]
+    bad = ["order 123-45-6789 shipped", "000-12-3456", "id 912-34-5678", "population 12.345.678", "invoice 555-123-4567", "DE12 3704 0044 0532 0130 00", "part no. 100 200 300", "run 1234 5678 9012 3456 7890 1"]
+    rows = [(i, t, "en", "s") for i, (_, t, _) in enumerate(good)] + [(100 + i, t, "en", "s") for i, t in enumerate(bad)]
+    told = {r.doc_id: r.spans for r in pii.scan(documents(spark, rows)).collect()}
+    found = [f"{k}:{t.index(s)}:{t.index(s) + len(s)}" in told[i].split(",") for i, (k, t, s) in enumerate(good)]
+    assert sum(found) >= 0.9 * len(good), [g for g, f in zip(good, found, strict=True) if not f]
+    taken = [t for i, t in enumerate(bad) if told[100 + i]]
+    assert not taken, taken
+
+
 def test_trees_learn_a_rule():
     import numpy as np
 
