@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tablesync.session import settle, temporary
 
 BUCKETS = 32768  # a power of two
-FREQUENT = 1 << 18
+FREQUENT = 1 << 19
 #: One in so many texts is looked at for frequent words.
 SHARE = 4
 LONG = 256
