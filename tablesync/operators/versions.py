@@ -83,16 +83,17 @@ def current_view(
 
 
 def split_current(
-    base: DataFrame, pending: DataFrame, keys: list[str], order: list[str]
+    base: DataFrame, pending: DataFrame, keys: list[str], order: list[str], changed: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The newest rows of a base with one row per key and of later versions, in two parts.
 
     The first part is the base without the changed keys, the second the newest row of each changed
     key. The base is not shuffled as long as the changed keys are few: only rows with such a key are
     compared. The keys are written down once and measured; too many of them make both joins shuffle, and as both
-    sides hold a key once, no task gets a hot key.
+    sides hold a key once, no task gets a hot key. `changed` are the distinct changed keys, where they are written down already.
     """
-    touched = broadcast_if_small(settle(pending.select(*named_all(keys)).distinct(), "changed-keys"))
+    touched = settle(pending.select(*named_all(keys)).distinct(), "changed-keys") if changed is None else changed
+    touched = broadcast_if_small(touched)
     untouched = join_on_key(base, touched, keys, "left_anti")
     contested = join_on_key(base, touched, keys, "left_semi")
     return untouched, newest(contested.unionByName(pending), keys, order)

@@ -89,6 +89,21 @@ def current_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.current()
 
 
+@query(SQL_CURRENT_LINES)
+def current_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower half of the keys, compacted, then the upper half: its compaction adds parts and rewrites nothing. Late
+    versions of lower keys are merged as they are read, and the upper parts are read as they are."""
+    lines, log = _line_log(spark, sf_dir, "parts")
+    half = lines.agg(F.max(LINE_KEY[0])).first()[0]
+    lower, late = F.col(LINE_KEY[0]) <= (half or 0) // 2, F.col(LINE_VERSION) > instant(LATE)
+    _store(log, lines.where(lower & ~late), 0)
+    log.compact()
+    _store(log, lines.where(~lower), 1)
+    log.compact()
+    _store(log, lines.where(lower & late), 2)
+    return log.current()
+
+
 @query(SQL_CURRENT_LINES)
 def current_after_bucket_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log written with four buckets and opened with eight: the next compaction deals all rows anew."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -11,17 +12,44 @@ from pyspark.sql import types as T
 from tablesync.functions.columns import named, named_all
 from tablesync.functions.types import cursor_literal, cursor_to_text
 from tablesync.operators.versions import bucket_of, newest, split_current
+from tablesync.session import settle
 from tablesync.sinks.append import batch_options, check_schema, nullable
 
 CURSOR_SCHEMA = (
     "table string, delta_column string, last_seen string, last_seen_type string, "
     "batch_id bigint, committed_at timestamp"
 )
-MANIFEST_SCHEMA = "bucket int, generation bigint, through_batch bigint, buckets int, rows bigint"
+MANIFEST_SCHEMA = "bucket int, generation bigint, through_batch bigint, buckets int, rows bigint, low string, high string"
 #: Where the number of buckets is left open, about so many rows go into one.
 ROWS_PER_BUCKET = 2_000_000
 #: Up to this many pending batches are read by their paths, which spares the listing of their files one folder at a time.
 BATCHES_BY_PATH = 1000
+#: A bucket of so many parts is made one again by the next compaction that meets it.
+MOST_PARTS = 8
+
+
+class KeyRange:
+    """The least and the greatest first key column of some rows: what lies outside another range holds none of its keys.
+
+    It is kept as text. Types whose texts do not lead back to their order, and rows with a NULL there, have no range.
+    """
+
+    def __init__(self, data_type: T.DataType):
+        whole = isinstance(data_type, T.IntegralType) or (isinstance(data_type, T.DecimalType) and data_type.scale == 0)
+        self.read = int if whole else str if data_type == T.StringType() else None
+
+    def columns(self, key: str) -> list[Column]:
+        """Aggregates `low` and `high`; NULL where there is no range."""
+        value = named(key) if self.read else F.lit(None)
+        known = F.count_if(value.isNull()) == 0
+        return [F.when(known, end(value)).cast("string").alias(name) for end, name in ((F.min, "low"), (F.max, "high"))]
+
+    def apart(self, one: Row, other: Row) -> bool:
+        """Whether two ranges are known and share no value. Texts compare by code point, which is their order in UTF-8."""
+        if None in (one["low"], other["low"]):
+            return False
+        low, high, least, greatest = (self.read(x) for x in (one["low"], one["high"], other["low"], other["high"]))
+        return high < least or greatest < low
 
 
 @dataclass(frozen=True)
@@ -47,12 +75,13 @@ class VersionLog:
 
         <root>/log/_batch_id=<b>                   every batch as it came
         <root>/base/_generation=<g>/_bucket=<k>    one row per key, written by compaction
-        <root>/manifest/_generation=<g>            which generation holds each bucket
+        <root>/manifest/_generation=<g>            which generations hold each bucket, and the range of their keys
         <root>/cursor/slot=<0|1>                   the last two cursors
 
     A batch is written with overwrite to its own path, so a replayed batch replaces itself whole. Once
     a cursor is committed, readers see the batches up to it and no half-written one, and compaction takes committed batches
-    only. The bucket is a hash of the key, by which compaction rewrites only what changed. The manifest keeps the
+    only. The bucket is a hash of the key, by which compaction rewrites only what changed. A bucket is made of parts, which
+    share no key; a part whose range holds none of the changed keys is neither rewritten nor compared. The manifest keeps the
     number of buckets: 0 takes that or, at the first compaction, one by the number of rows; another number than
     the stored one makes the next compaction rewrite all buckets. A log has one writer at a time. Reading writes nothing.
     """
@@ -182,16 +211,30 @@ class VersionLog:
         return versions if last < 0 else versions.where(F.col("_batch_id") <= last)
 
     def _entries(self) -> list[Row]:
-        """The newest generation of the manifest: one row per bucket."""
+        """The newest generation of the manifest: one row per part of a bucket."""
         generations = self._folders("manifest", "_generation")
         if not generations:
             return []
         path, _ = max(generations, key=lambda g: g[1])
-        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path).orderBy("bucket").collect()
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path).orderBy("bucket", "generation").collect()
 
     def manifest(self) -> list[tuple[int, int, int]]:
-        """`(bucket, generation, through_batch)` of the newest generation: one entry per bucket."""
-        return [(r["bucket"], r["generation"], r["through_batch"]) for r in self._entries()]
+        """`(bucket, newest generation, through_batch)`: one entry per bucket."""
+        return [(b, g, through) for b, (g, through) in {r["bucket"]: (r["generation"], r["through_batch"]) for r in self._entries()}.items()]
+
+    @property
+    def _range(self) -> KeyRange:
+        return KeyRange(self.schema[self.row_key[0]].dataType)
+
+    def _changes(self, pending: DataFrame) -> dict[int, Row]:
+        """For each bucket with pending rows their number and the range of their keys. At most one row per bucket comes back."""
+        told = pending.groupBy("_bucket").agg(F.count("*").alias("n"), *self._range.columns(self.row_key[0]))
+        return {r["_bucket"]: r for r in told.collect()}
+
+    def _met(self, entries: list[Row], changes: dict[int, Row]) -> list[Row]:
+        """The parts that may hold a changed key."""
+        reach = self._range
+        return [r for r in entries if r["bucket"] in changes and not reach.apart(r, changes[r["bucket"]])]
 
     def _after(self, pending: DataFrame, entries: list[Row]) -> DataFrame:
         """The pending versions that their bucket's compacted rows do not hold yet."""
@@ -202,38 +245,42 @@ class VersionLog:
         taken = F.array(*[F.lit(through.get(b, -1)) for b in range(buckets)])
         return pending.where(F.col("_batch_id") > F.get(taken, bucket_of(self.row_key, buckets)))
 
-    def _base(self, manifest: list[tuple[int, int, int]], only: set[int] | None = None) -> DataFrame:
-        """The compacted rows with their `_bucket`, of all buckets or some."""
+    def _base(self, parts: list[Row]) -> DataFrame:
+        """The compacted rows of some parts with their `_bucket`."""
         schema = self._stored_schema.add("_bucket", T.IntegerType())
         base = f"{self.root}/base"
-        paths = [
-            f"{base}/_generation={generation}/_bucket={bucket}"
-            for bucket, generation, _ in manifest
-            if only is None or bucket in only
-        ]
+        paths = [f"{base}/_generation={r['generation']}/_bucket={r['bucket']}" for r in parts]
         if not paths:
             return self.spark.createDataFrame([], schema)
         files = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
         return files.select(*named_all(schema.fieldNames()))
 
     def current(self) -> DataFrame:
-        """The newest version of every key: the compacted base with the batches since merged in."""
+        """The newest version of every key: the compacted base with the batches since merged in.
+
+        Parts that hold no changed key by their range are read as they are.
+        """
         names = named_all(self.schema.fieldNames())
         entries = self._entries()
         if not entries:
             return newest(self._pending(-1), self.row_key, self._order).select(*names)
-        base = self._base(self.manifest()).drop("_bucket")
         pending = self._after(self._pending(min(r["through_batch"] for r in entries)), entries)
-        untouched, changed = split_current(base, pending, self.row_key, self._order)
-        return untouched.unionByName(changed).select(*names)
+        keys = settle(pending.select(*named_all(self.row_key)).distinct(), "changed-keys")
+        met = self._met(entries, self._changes(keys.withColumn("_bucket", bucket_of(self.row_key, entries[0]["buckets"]))))
+        unmet = [*{*entries} - {*met}]
+        untouched, changed = split_current(self._base(met).drop("_bucket"), pending, self.row_key, self._order, keys)
+        whole = self._base(unmet).drop("_bucket")
+        parts = [whole] * bool(unmet) + [untouched] * bool(met) + [changed]
+        return reduce(DataFrame.unionByName, parts).select(*names)
 
     # -- compaction ------------------------------------------------------------------------------
 
     def compact(self, least_share: float = 0.0) -> int:
         """Write one row per key for the buckets that changed, then switch readers to them.
 
-        Only committed batches are taken. A bucket waits until its pending versions are at least `least_share` of
-        its rows, so that a few changed keys need not rewrite a table. Gives the generation now
+        Only committed batches are taken. Of a bucket that changed the parts are rewritten whose range holds a changed key; if there
+        is none, as when new keys lie above all old ones, the new rows become one more part. A bucket waits until its pending
+        versions are at least `least_share` of its rows, so that a few changed keys need not rewrite a table. Gives the generation now
         current. Readers follow the manifest, which is written last; a compaction that dies before that leaves the
         old generation in place and is simply run again.
         """
@@ -248,20 +295,23 @@ class VersionLog:
         buckets = self.buckets or stored or -(-max(1, pending.count()) // ROWS_PER_BUCKET)
         dealt_anew = bool(entries) and buckets != stored
         pending = pending.withColumn("_bucket", bucket_of(self.row_key, buckets))
-        # At most one row per bucket comes back.
-        counts = {r["_bucket"]: r["n"] for r in pending.groupBy("_bucket").agg(F.count("*").alias("n")).collect()}
-        held = {r["bucket"]: r for r in entries}
+        changes = self._changes(pending)
+        held: dict[int, list[Row]] = {}
+        for r in entries:
+            held.setdefault(r["bucket"], []).append(r)
         if dealt_anew:
             changed = set(range(buckets))
         else:
-            changed = {b for b, n in counts.items() if b not in held or n >= least_share * (held[b]["rows"] or 0)}
+            changed = {b for b, r in changes.items() if r["n"] >= least_share * sum(p["rows"] or 0 for p in held.get(b, []))}
         if not changed:
             return generation - 1
-        pending = pending.where(F.col("_bucket").isin(*changed)) if len(changed) < len(counts) else pending
+        pending = pending.where(F.col("_bucket").isin(*changed)) if len(changed) < len(changes) else pending
 
-        if entries:
-            base = self._base(self.manifest(), None if dealt_anew else changed)
-            untouched, resolved = split_current(base, pending, self.row_key, self._order)
+        many = {b for b, parts in held.items() if len(parts) >= MOST_PARTS}
+        met = self._met(entries, {b: r for b, r in changes.items() if b in changed})
+        rewritten = entries if dealt_anew else [*{*met, *(r for r in entries if r["bucket"] in changed & many)}]
+        if rewritten:
+            untouched, resolved = split_current(self._base(rewritten), pending, self.row_key, self._order)
             # Rows read from one bucket's files go back to that bucket, so only the others move.
             if dealt_anew:
                 untouched = self._by_bucket(untouched.withColumn("_bucket", bucket_of(self.row_key, buckets)), buckets)
@@ -269,22 +319,24 @@ class VersionLog:
             rows = untouched.unionByName(self._by_bucket(resolved, buckets))
         else:
             rows = self._by_bucket(newest(pending, self.row_key, self._order), buckets)
+        done = set(rewritten)
         path = f"{self.root}/base/_generation={generation}"
         if buckets == 1:
             rows.drop("_bucket").write.mode("overwrite").parquet(f"{path}/_bucket=0")
         else:
             rows.write.mode("overwrite").partitionBy("_bucket").parquet(path)
 
-        written = self.spark.read.schema(self._stored_schema.add("_bucket", T.IntegerType())).parquet(path)
-        sizes = {r["_bucket"]: r["n"] for r in written.groupBy("_bucket").agg(F.count("*").alias("n")).collect()}
-        new = [(b, generation, committed, buckets, n) for b, n in sizes.items()]
+        written = self._changes(self.spark.read.schema(self._stored_schema.add("_bucket", T.IntegerType())).parquet(path))
+        new = [(b, generation, committed, buckets, r["n"], r["low"], r["high"]) for b, r in written.items()]
         # A bucket without pending versions is as new as the others; one that waits keeps its place.
         kept = [
-            (b, r["generation"], r["through_batch"] if b in counts else committed, buckets, r["rows"])
-            for b, r in held.items()
-            if b not in changed
+            (b, r["generation"], committed if b in changed or b not in changes else r["through_batch"], buckets, r["rows"], r["low"], r["high"])
+            for b, parts in held.items()
+            for r in parts
+            if r not in done
         ]
-        entry_table = self.spark.createDataFrame(sorted(new + kept), MANIFEST_SCHEMA).coalesce(1)
+        # No two parts are of one bucket and generation, so the texts of a range never take part in the order.
+        entry_table = self.spark.createDataFrame(sorted(new + kept, key=lambda e: e[:2]), MANIFEST_SCHEMA).coalesce(1)
         entry_table.write.mode("overwrite").parquet(f"{self.root}/manifest/_generation={generation}")
         return generation
 
@@ -298,11 +350,11 @@ class VersionLog:
 
         Run it when no reader of an older generation is left. Gives the number of folders deleted.
         """
-        manifest = self.manifest()
-        if not manifest:
+        entries = self._entries()
+        if not entries:
             return 0
-        held = {(generation, bucket) for bucket, generation, _ in manifest}
-        current, through = max(g for _, g in self._folders("manifest", "_generation")), min(last for _, _, last in manifest)
+        held = {(r["generation"], r["bucket"]) for r in entries}
+        current, through = max(g for _, g in self._folders("manifest", "_generation")), min(r["through_batch"] for r in entries)
         old = [path for path, batch in self._folders("log", "_batch_id") if batch <= through]
         old += [path for path, generation in self._folders("manifest", "_generation") if generation < current]
         for path, generation in self._folders("base", "_generation"):

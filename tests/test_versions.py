@@ -212,6 +212,68 @@ def test_compaction_keeps_the_view_and_rewrites_changed_buckets_only(spark, log)
         assert {g for _, g, _ in manifest} == {0, 1}
 
 
+def parts_of(log):
+    return sorted((r["bucket"], r["generation"]) for r in log._entries())
+
+
+def test_new_keys_beyond_the_old_ones_rewrite_nothing(spark, log):
+    expected = {}
+    for batch_id in range(3):
+        rows = [(batch_id * 100 + i, 1, "a") for i in range(40)]
+        expected |= {r[0]: r for r in rows}
+        log.append(batch(spark, *rows), batch_id)
+        log.commit(None, batch_id)
+        assert log.compact() == batch_id
+        assert parts_of(log) == [(b, g) for b in range(log.buckets) for g in range(batch_id + 1)]
+        assert len(log.manifest()) == log.buckets and rows_of(log.current()) == sorted(expected.values(), key=repr)
+    # a change of a middle key rewrites the one part that may hold it, and what is read before that is the same
+    log.append(batch(spark, (105, 2, "b")), 3)
+    log.commit(None, 3)
+    expected[105] = (105, 2, "b")
+    assert rows_of(log.current()) == sorted(expected.values(), key=repr)
+    before = set(parts_of(log))
+    log.compact()
+    assert {g for _, g in before - set(parts_of(log))} == {1} and len(before - set(parts_of(log))) == 1
+    assert rows_of(log.current()) == sorted(expected.values(), key=repr)
+    log.vacuum()
+    assert rows_of(log.current()) == sorted(expected.values(), key=repr)
+    # a key without a value may be anywhere
+    log.append(batch(spark, (None, 1, "none"), (None, 2, "none")), 4)
+    log.commit(None, 4)
+    log.compact()
+    assert rows_of(log.current()) == sorted([*expected.values(), (None, 2, "none")], key=repr)
+
+
+def test_many_parts_become_one(spark, log):
+    parts = 9 * log.buckets
+    for batch_id in range(9):
+        log.append(batch(spark, *[(batch_id * 100 + i, 1, "a") for i in range(20)]), batch_id)
+        log.commit(None, batch_id)
+        log.compact()
+        parts = len(parts_of(log))
+        assert parts == (log.buckets if batch_id == 8 else log.buckets * (batch_id + 1))
+    assert log.current().count() == 180
+
+
+@pytest.mark.parametrize(("kind", "keys", "skips"), [
+    ("string", ["a", "b\U0001F600", "\uffff", "z"], True), ("decimal(20,0)", [-5, 3, 10**19, 7], True), ("bigint", [-9, 10, 9, 100], True),
+    ("double", [1.0, float("nan"), 10.0, 9.0], False), ("decimal(9,2)", [1, 2, 10, 9], False),
+])
+def test_ranges_of_keys_of_every_type(spark, folder, kind, keys, skips):
+    rows = spark.createDataFrame([(str(k), n) for n, k in enumerate(keys)], "k string, v int").select(F.col("k").cast(kind).alias("k"), "v")
+    log = VersionLog(spark, folder, rows.schema, ["k"], "v", 1, "t")
+    for batch_id in range(len(keys)):
+        log.append(rows.where(F.col("v") == batch_id), batch_id)
+        log.commit(None, batch_id)
+        log.compact()
+    assert len(parts_of(log)) == (len(keys) if skips else 1)
+    log.append(rows.withColumn("v", F.col("v") + 10), len(keys))
+    log.commit(None, len(keys))
+    assert log.current().count() == len(keys)
+    log.compact()
+    assert rows_of(log.current(), "v") == sorted([(n + 10,) for n in range(len(keys))], key=repr)
+
+
 def test_log_without_a_key(spark, folder):
     schema = batch(spark).schema
     log = VersionLog(spark, folder, schema, [], "v", 4, "t")
