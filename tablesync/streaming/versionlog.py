@@ -83,7 +83,7 @@ class VersionLog:
     only. The bucket is a hash of the key, by which compaction rewrites only what changed. A bucket is made of parts, which
     share no key; a part whose range holds none of the changed keys is neither rewritten nor compared. The manifest keeps the
     number of buckets: 0 takes that or, at the first compaction, one by the number of rows; another number than
-    the stored one makes the next compaction rewrite all buckets. A log has one writer at a time. Reading writes nothing.
+    the stored one makes the next compaction rewrite all buckets. A log has one writer at a time. Reading writes nothing to it.
     """
 
     spark: SparkSession
