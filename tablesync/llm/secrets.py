@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablesync.operators.versions import broadcast_if_small
+from tablesync.operators.versions import BROADCAST_BYTES, broadcast_if_small
 from tablesync.session import settle
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
@@ -126,30 +126,47 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     )
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """The name, longer if the table has such a column."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def redact(docs: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository: Column | None = None, length_col: str | None = "n_chars") -> DataFrame:
     """The same rows and columns, with a mark in place of every live secret in the text; `length_col` holds the new length.
 
-    Overlapping spans are replaced together. Values that many owners and repositories share are examples and stay.
+    Overlapping spans are replaced together. Values that many owners and repositories share are examples and stay. The places of all
+    live secrets are broadcast if their measured size allows, so that texts are cut where they are read; beyond, texts with matches are shuffled.
     """
     where = F.concat_ws("/", owner_col, "lang") if repository is None else repository
+    at, of_id, of_row, of_cuts = (unused(docs, name) for name in ("__at", "__id", "__row", "__cuts"))
     live = candidates(docs, id_col, text_col, owner_col, where).where("live")
     before = Window.partitionBy("id", "row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     marked = live.withColumn("reached", F.coalesce(F.max("end").over(before), F.lit(0)))
     along = Window.partitionBy("id", "row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     merged = marked.withColumn("group", F.sum((F.col("start") >= F.col("reached")).cast("int")).over(along))
     merged = merged.groupBy("id", "row", "group").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    cuts = merged.groupBy("id", "row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
-    cuts = settle(cuts.select(F.col("id").alias("__id"), F.col("row").alias("__row"), "__cuts"), "secret-cuts")
-    any_kind = "|".join(f"(?:{p})" for _, p in KINDS)
-    has = F.coalesce(F.col(text_col).rlike(any_kind), F.lit(False))
-    marked_rows = docs.where(has).withColumn("__at", row_hash(id_col, text_col))
-    joined = marked_rows.join(cuts, (F.col("__at") == F.col("__row")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")
-    edges = F.concat(F.array(F.lit(0)), F.transform("__cuts", lambda c: c["end"]))
-    stops = F.concat(F.transform("__cuts", lambda c: c["start"]), F.array(F.char_length(text_col)))
+    cuts = merged.groupBy("id", "row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(of_cuts))
+    cuts = settle(cuts.select(F.col("id").alias(of_id), F.col("row").alias(of_row), of_cuts), "secret-cuts")
+
+    def with_cuts(rows: DataFrame, of: DataFrame) -> DataFrame:
+        return rows.withColumn(at, row_hash(id_col, text_col)).join(of, (F.col(at) == F.col(of_row)) & F.col(id_col).eqNullSafe(F.col(of_id)), "left")
+
+    wide = cuts.agg(F.sum(F.size(of_cuts) * 16 + F.coalesce(F.octet_length(F.col(of_id).cast("string")), F.lit(0)) + 48)).first()[0] or 0
+    if wide <= BROADCAST_BYTES:
+        others, joined = None, with_cuts(docs, F.broadcast(cuts))
+    else:  # texts without a match of any kind are not shuffled
+        any_kind = "|".join(f"(?:{p})" for _, p in KINDS)
+        has = F.coalesce(F.col(text_col).rlike(any_kind), F.lit(False))
+        others, joined = docs.where(~has), with_cuts(docs.where(has), cuts)
+    edges = F.concat(F.array(F.lit(0)), F.transform(of_cuts, lambda c: c["end"]))
+    stops = F.concat(F.transform(of_cuts, lambda c: c["start"]), F.array(F.char_length(text_col)))
     pieces = F.zip_with(edges, stops, lambda a, b: F.substring(F.col(text_col), a.cast("int") + 1, (b - a).cast("int")))
-    cut = F.when(F.col("__cuts").isNotNull(), F.array_join(pieces, mark)).otherwise(F.col(text_col))
+    cut = F.when(F.col(of_cuts).isNotNull(), F.array_join(pieces, mark)).otherwise(F.col(text_col))
     done = joined.withColumn(text_col, cut)
     if length_col in docs.columns:
         kind = docs.schema[length_col].dataType
-        done = done.withColumn(length_col, F.when(F.col("__cuts").isNotNull(), F.char_length(text_col).cast(kind)).otherwise(F.col(length_col)))
-    return docs.where(~has).unionByName(done.select(docs.columns))
+        done = done.withColumn(length_col, F.when(F.col(of_cuts).isNotNull(), F.char_length(text_col).cast(kind)).otherwise(F.col(length_col)))
+    done = done.select(docs.columns)
+    return done if others is None else others.unionByName(done)

@@ -105,7 +105,7 @@ def base_secrets(text):
     return [(m.start(), k, name, m.end()) for k, (name, p, ok) in enumerate(kinds) for m in re.finditer(p, text or "") if ok(m)]
 
 
-def test_secrets(spark):
+def test_secrets(spark, monkeypatch):
     key = "Zx9" + "aB3dE5fG7hJ2kL4mN6pQ8rS0tU1v"
     rows = texts() + [
         (200, f"mine {key} ok", "en", "s0"),
@@ -131,6 +131,13 @@ def test_secrets(spark):
     assert clean[240]["text"] == "copied [SECRET] ok" and clean[261]["text"] == "leak 1 [SECRET]"
     assert clean[115]["text"] == 'passwd: "hunter22"' or "[SECRET]" in clean[115]["text"]
     assert secrets.scan(docs.limit(0)).count() == 0 and secrets.redact(docs.limit(0)).count() == 0
+    # names that the operator uses inside, and the way beyond the bound of a broadcast
+    clash = docs.withColumns({name: F.lit("own") for name in ("__at", "__id", "__row", "__cuts", "__cuts_")})
+    near = sorted(map(tuple, secrets.redact(clash).collect()), key=repr)
+    monkeypatch.setattr(secrets, "BROADCAST_BYTES", -1)
+    assert sorted(map(tuple, secrets.redact(clash).collect()), key=repr) == near
+    assert [r[: len(docs.columns)] for r in near] == sorted(map(tuple, secrets.redact(docs).collect()), key=repr)
+    assert all(r[len(docs.columns) :] == ("own",) * 5 for r in near)
 
 
 def base_personal(text):
