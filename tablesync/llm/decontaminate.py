@@ -175,7 +175,9 @@ def aligned(near: Column, size: Column, start: Column) -> Column:
 def chains(hit: DataFrame) -> DataFrame:
     """(doc_id, of, item, diagonal, cover, coverage, n_words) for every diagonal, alone and with those up to SHIFT words away."""
     around = Window.partitionBy("doc_id", "of", "item").orderBy("diagonal").rangeBetween(-SHIFT, SHIFT)
-    near = hit.withColumn("near", F.collect_list(F.struct("diagonal", "places")).over(around))
+    # few bytes but much work: a number of its own keeps adaptive execution from making one task of it
+    tasks = int(hit.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = hit.repartition(tasks, "doc_id", "of", "item").withColumn("near", F.collect_list(F.struct("diagonal", "places")).over(around))
     alone = F.array(F.struct("diagonal", "places"))
     both = F.when(F.size("near") > 1, F.array(alone, F.col("near"))).otherwise(F.array(alone))
     near = near.select("doc_id", "of", "item", "diagonal", "windows", "size", F.explode(both).alias("near"))
