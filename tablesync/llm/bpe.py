@@ -201,6 +201,7 @@ def pack(known: pa.Array) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                     ["docs", "sizes", "codes", "rare"],
                 )
                 start = stop
+                pa.default_memory_pool().release_unused()  # a worker serves many tasks, and Arrow keeps what was freed
 
     return run
 
@@ -258,6 +259,7 @@ def assemble(ranks: dict[bytes, int], known_ids: pa.Array, with_ids: bool) -> Ca
                     ],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 + with_ids],
                 )
+                pa.default_memory_pool().release_unused()
 
     return run
 
