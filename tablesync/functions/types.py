@@ -65,6 +65,14 @@ def source_type(field: T.StructField) -> str:
     return SOURCE_NAME_OF_SPARK_TYPE.get(name, name)
 
 
+def whole_type(low: int | None, high: int | None) -> str:
+    """The narrowest source type of whole numbers that holds all from `low` to `high`; without numbers, the narrowest of all."""
+    for name, bits in (("smallint", 15), ("integer", 31)):
+        if low is None or high is None or (-(1 << bits) <= low and high < 1 << bits):
+            return name
+    return "bigint"
+
+
 def type_map_table(spark: SparkSession) -> DataFrame:
     """The map as a table of (src_type, spark_type); its size is fixed."""
     return spark.createDataFrame(list(TYPE_MAP.items()), "src_type string, spark_type string")

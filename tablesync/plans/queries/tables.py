@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import cursor_text, pretty_size, progress_percent, redact_url, uuid_text, valid_identifier
+from tablesync.functions.types import whole_type
 from tablesync.operators.schema import build_ddl, conform, conform_lenient, invalid_names, map_types, unsupported_columns
 from tablesync.operators.versions import dedup_key
 from tablesync.plans import inputs
@@ -281,12 +282,15 @@ def catalog_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conform_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of several source types cast to their targets, with times cut to seconds."""
     named = lambda name, text: {"metadata": {"src_type": text}}
-    source = read(spark, sf_dir, "orders").select(
+    orders = read(spark, sf_dir, "orders")
+    # A source whose customers have outgrown a smallint holds them in a wider column.
+    customers = whole_type(*orders.agg(F.min("o_custkey"), F.max("o_custkey")).first())
+    source = orders.select(
         F.col("o_orderkey").cast("string").alias("id", **named("id", "bigint")),
         F.col("o_totalprice").cast("decimal(12,2)").alias("price", **named("price", "numeric")),
         F.timestamp_add("MICROSECOND", F.col("o_orderkey"), F.col("o_orderdate")).alias("updated_at"),
         F.unhex(F.md5("o_orderpriority")).alias("token", **named("token", "uuid")),
-        F.col("o_custkey").alias("customer", **named("customer", "smallint")),
+        F.col("o_custkey").alias("customer", **named("customer", customers)),
         F.when(F.col("o_orderstatus") == "F", "t").otherwise("f").alias("done", **named("done", "boolean")),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("day", **named("day", "date")),
     )
