@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablesync.operators import contents
 from tablesync.operators.contents import compare_tables, verify_sync
 from tablesync.operators.schema import conform
-from tablesync.operators.versions import classify_changes, current_view, late_rows, soft_delete_filter, version_stats
+from tablesync.operators.versions import classify_changes, current_view, join_on_key, late_rows, soft_delete_filter, version_stats
 from tablesync.plans.inputs import LINE_COLUMNS, LINE_KEY, LINE_VERSION, instant, newest_sql, read
 from tablesync.plans.queries.registry import query
 from tablesync.session import scratch_dir
@@ -152,22 +152,22 @@ def cdc_decimal_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.current()
 
 
-@query(
-    """
-    WITH evens AS (SELECT o_orderdate AS d FROM orders WHERE o_orderkey % 2 = 0 ORDER BY d LIMIT (SELECT count(*) // 3 + 1 FROM orders)),
-    cut AS (SELECT max(d) AS start FROM evens)
-    SELECT o.* FROM orders o, cut WHERE o_orderdate >= start OR o_orderkey % 2 = 0
-    """
-)
+@query("SELECT * FROM orders")
 def cdc_inclusive_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A limited poll while only the even orders are there, then inclusive ones: they store all rows from the
-    cursor on, those at the cursor too, each once. Odd orders before the cursor came too late for any poll."""
+    cursor on, those at the cursor too, each once. Odd orders before that cursor, and orders without a date, which no
+    poll can see, are found against the log and stored as a batch of their own; from the cursor on the polls are left alone."""
     rows = conform(read(spark, sf_dir, "orders"))
-    log = VersionLog(spark, scratch_dir(spark, "inclusive"), rows.schema, ["o_orderkey"], "o_orderdate", 1, "orders")
+    key, date = ["o_orderkey"], "o_orderdate"
+    log = VersionLog(spark, scratch_dir(spark, "inclusive"), rows.schema, key, date, 1, "orders")
     third = rows.count() // 3 + 1
     poll_once(rows.where("o_orderkey % 2 = 0"), log, limit=third)
+    start = log.cursor().literal(rows.schema[date].dataType)
     while poll_once(rows, log, inclusive=True).rows:
         pass
+    unseen = F.col(date).isNull() if start is None else F.col(date).isNull() | (F.col(date) < start)
+    stored = log.versions().where(unseen).select(*key, date).distinct()
+    _store(log, join_on_key(rows.where(unseen), stored, [*key, date], "left_anti"), log.cursor().batch_id + 1)
     return log.versions().drop("_batch_id")
 
 

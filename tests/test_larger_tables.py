@@ -4,7 +4,7 @@ from helpers import DATA, rows_of
 from pyspark.sql import functions as F
 
 from tablesync.functions.types import whole_type
-from tablesync.plans.queries import QUERIES
+from tablesync.plans.queries import ORACLES, QUERIES
 
 SMALL = f"{DATA}/sf0.001"
 
@@ -21,3 +21,17 @@ def test_customers_beyond_a_smallint_are_conformed(spark, folder):
 def test_whole_type_is_the_narrowest_that_holds_the_values():
     assert [whole_type(*ends) for ends in ((None, None), (-32768, 32767), (0, 32768), (-32769, 0), (0, 1 << 31))] == [
         "smallint", "smallint", "integer", "integer", "bigint"]
+
+
+def test_inclusive_polls_leave_no_order_behind(spark):
+    found = QUERIES["cdc_inclusive_polls"](spark, SMALL)
+    assert rows_of(found) == rows_of(spark.read.parquet(f"{SMALL}/orders.parquet").select(*found.columns))
+    assert ORACLES["cdc_inclusive_polls"] == "SELECT * FROM orders"
+
+
+def test_inclusive_polls_store_orders_without_a_date(spark, folder):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    undated = orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate")))
+    undated.write.parquet(f"{folder}/orders.parquet")
+    found = QUERIES["cdc_inclusive_polls"](spark, folder)
+    assert rows_of(found) == rows_of(undated.select(*found.columns))
