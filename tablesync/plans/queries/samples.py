@@ -158,32 +158,55 @@ def random_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make.random_rows(documents, "doc_id", UPDATED_ROWS, "pick")
 
 
-_SQL_PICKED = f"SELECT event_id FROM events ORDER BY md5(event_id || 'update'), event_id LIMIT {UPDATED_ROWS}"
-_SQL_RAISED = "CASE event_type WHEN 'info' THEN 'warning' WHEN 'warning' THEN 'error' WHEN 'error' THEN 'critical' ELSE 'info' END"
-
-
-def _picked_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, Column]]:
-    events = read(spark, sf_dir, "events")
-    picked = make.random_rows(events.select("event_id"), "event_id", UPDATED_ROWS, "update")
-    return events, picked, make.severity_changes(LATER, "event_type", "props", "ts")
+_SQL_RAISED = "CASE {} WHEN 'info' THEN 'warning' WHEN 'warning' THEN 'error' WHEN 'error' THEN 'critical' ELSE 'info' END"
+_SQL_PAIRED = f"""
+    WITH e AS ({_sql_events("sample", 0, NOW)}),
+    hit AS (SELECT id FROM e ORDER BY md5(id || 'update'), id LIMIT {UPDATED_ROWS}),
+    paired AS (
+        SELECT e.*, g.event_id, g.ts AS given_ts, g.user_id AS given_user, g.event_type AS given_type, g.value, g.props,
+               e.id IN (SELECT id FROM hit) AS h
+        FROM e JOIN events g ON e.id = g.event_id + 1)
+"""
+
+
+def _paired_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, Column]]:
+    """Every given event with the sample event of its key, the keys that an update picks, and the new values of both."""
+    given = [F.col("event_id"), F.col("ts").alias("given_ts"), F.col("user_id").alias("given_user"),
+             F.col("event_type").alias("given_type"), F.col("value"), F.col("props")]
+    events = read(spark, sf_dir, "events").select(*make.event_columns(F.col("event_id") + 1, NOW), *given)
+    picked = make.random_rows(events.select("id"), "id", UPDATED_ROWS, "update")
+    return events, picked, make.severity_changes(LATER) | make.severity_changes(LATER, "given_type", "props", "given_ts")
 
 
 @query(
     f"""
-    SELECT event_id, CASE WHEN h THEN TIMESTAMP '{LATER}' ELSE ts END AS ts, user_id,
-           CASE WHEN h THEN {_SQL_RAISED} ELSE event_type END AS event_type, value,
+    {_SQL_PAIRED}
+    SELECT id, event_type, user_id,
+           CASE WHEN h THEN '{{"updated": true, "timestamp": "{LATER}"}}' ELSE event_data END AS event_data,
+           CASE WHEN h THEN {_SQL_RAISED.format("severity")} ELSE severity END AS severity,
+           created_at, CASE WHEN h THEN TIMESTAMP '{LATER}' ELSE updated_at END AS updated_at,
+           event_id, CASE WHEN h THEN TIMESTAMP '{LATER}' ELSE given_ts END AS given_ts, given_user,
+           CASE WHEN h THEN {_SQL_RAISED.format("given_type")} ELSE given_type END AS given_type, value,
            CASE WHEN h THEN '{{"updated": true, "timestamp": "{LATER}"}}' ELSE props END AS props
-    FROM (SELECT *, event_id IN ({_SQL_PICKED}) AS h FROM events)
+    FROM paired
     """
 )
 def update_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given events after a random set of them moved one step up, with new properties and time."""
-    events, picked, changes = _picked_events(spark, sf_dir)
-    return update_rows(events, picked, "event_id", changes)
+    """The given events, each with the sample event of its key, after a random set of them moved one step up: the severity
+    of the sample event through all its words, the type of the given one, with new data and time on both."""
+    events, picked, changes = _paired_events(spark, sf_dir)
+    return update_rows(events, picked, "id", changes)
 
 
-@query(f"SELECT event_id, user_id, {_SQL_RAISED} AS event_type FROM events WHERE event_id IN ({_SQL_PICKED})")
+@query(
+    f"""
+    {_SQL_PAIRED}
+    SELECT id, event_type, {_SQL_RAISED.format("severity")} AS severity, event_id, given_user,
+           {_SQL_RAISED.format("given_type")} AS given_type
+    FROM paired WHERE h
+    """
+)
 def update_returning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows an update changed."""
-    events, picked, changes = _picked_events(spark, sf_dir)
-    return updated_rows(events, picked, "event_id", changes).select("event_id", "user_id", "event_type")
+    events, picked, changes = _paired_events(spark, sf_dir)
+    return updated_rows(events, picked, "id", changes).select("id", "event_type", "severity", "event_id", "given_user", "given_type")

@@ -95,20 +95,25 @@ def _event_data(d: Draws, now: str, size: str) -> Column:
     )
 
 
-def events(row_ids: DataFrame, now: str, size: str = "sample") -> DataFrame:
-    d = Draws(F.col("id"), SEEDS["events"])
+def event_columns(row_id: Column, now: str, size: str = "sample") -> list[Column]:
+    """The columns of the sample event of an id."""
+    d = Draws(row_id, SEEDS["events"])
     at = _anchor(now)
     added = size == "added"
     created_days, updated_days = (365, 30) if size == "large" else (90, 7)
-    return row_ids.select(
-        F.col("id").cast("int").alias("id"),
+    return [
+        row_id.cast("int").alias("id"),
         d.pick(*EVENT_TYPE).alias("event_type"),
         d.whole(REFERENCES[size][0], 1).alias("user_id"),
         _event_data(d, now, size).alias("event_data"),
         d.pick(*(SEVERITY if size == "sample" else SEVERITY_LARGE)).alias("severity"),
         (at if added else d.before(at, created_days)).alias("created_at"),
         (at if added else d.before(at, updated_days)).alias("updated_at"),
-    )
+    ]
+
+
+def events(row_ids: DataFrame, now: str, size: str = "sample") -> DataFrame:
+    return row_ids.select(*event_columns(F.col("id"), now, size))
 
 
 def bench_rows(row_ids: DataFrame, now: str) -> DataFrame:

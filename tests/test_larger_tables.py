@@ -35,3 +35,22 @@ def test_inclusive_polls_store_orders_without_a_date(spark, folder):
     undated.write.parquet(f"{folder}/orders.parquet")
     found = QUERIES["cdc_inclusive_polls"](spark, folder)
     assert rows_of(found) == rows_of(undated.select(*found.columns))
+
+
+def test_updates_reach_every_severity_and_the_given_events(spark):
+    after = QUERIES["update_severity"](spark, SMALL)
+    given = spark.read.parquet(f"{SMALL}/events.parquet")
+    assert after.count() == given.count()
+    assert {r[0] for r in after.select("severity").distinct().collect()} == {"info", "warning", "error", "debug", "critical"}
+    before = given.select("event_id", F.col("event_type").alias("old"))
+    changed = after.join(before, "event_id").where("updated_at = TIMESTAMP_NTZ '2024-06-02 00:00:00'")
+    step = {"info": "warning", "warning": "error", "error": "critical"}
+    assert changed.count() == 50
+    assert all(r["given_type"] == step.get(r["old"], "info") for r in changed.collect())
+
+
+def test_returned_updates_tell_the_new_severity(spark):
+    returned = QUERIES["update_returning"](spark, SMALL)
+    columns = ["id", "event_id", "severity", "given_type"]
+    after = QUERIES["update_severity"](spark, SMALL).where("updated_at = TIMESTAMP_NTZ '2024-06-02 00:00:00'")
+    assert returned.count() == 50 and rows_of(returned, *columns) == rows_of(after, *columns)
