@@ -34,18 +34,23 @@ def join_on_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     return joined if how in ("left_semi", "left_anti") else joined.drop(*names.values())
 
 
+def is_small(table: DataFrame, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the table's values, which are measured, fit into so many bytes."""
+    width = F.lit(0).cast("bigint")
+    for field in table.schema:
+        varies = isinstance(field.dataType, (T.StringType, T.BinaryType))
+        width = width + (F.coalesce(F.octet_length(named(field.name)), F.lit(0)) if varies else F.lit(16))
+    measured = table.agg(F.sum(width)).first()[0] or 0
+    return measured <= most_bytes
+
+
 def broadcast_if_small(table: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The table marked for broadcast if its measured values fit, else as it is.
 
     Spark's own estimate of what is left after a filter is the size of the whole input, so it would
     shuffle a large table to meet a few rows.
     """
-    width = F.lit(0).cast("bigint")
-    for field in table.schema:
-        varies = isinstance(field.dataType, (T.StringType, T.BinaryType))
-        width = width + (F.coalesce(F.octet_length(named(field.name)), F.lit(0)) if varies else F.lit(16))
-    measured = table.agg(F.sum(width)).first()[0] or 0
-    return F.broadcast(table) if measured <= most_bytes else table
+    return F.broadcast(table) if is_small(table, most_bytes) else table
 
 
 def newest(table: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -89,11 +94,14 @@ def split_current(
 
     The first part is the base without the changed keys, the second the newest row of each changed
     key. The base is not shuffled as long as the changed keys are few: only rows with such a key are
-    compared. The keys are written down once and measured; too many of them make both joins shuffle, and as both
-    sides hold a key once, no task gets a hot key. `changed` are the distinct changed keys, where they are written down already.
+    compared. The keys are written down once and measured. If they are too many to broadcast, all rows are compared and the first part
+    is empty: that shuffles the base once, where two joins on the keys and the comparison would shuffle it up to three times.
+    `changed` are the distinct changed keys, where they are written down already.
     """
     touched = settle(pending.select(*named_all(keys)).distinct(), "changed-keys") if changed is None else changed
-    touched = broadcast_if_small(touched)
+    if not is_small(touched):
+        return base.limit(0), newest(base.unionByName(pending), keys, order)
+    touched = F.broadcast(touched)
     untouched = join_on_key(base, touched, keys, "left_anti")
     contested = join_on_key(base, touched, keys, "left_semi")
     return untouched, newest(contested.unionByName(pending), keys, order)

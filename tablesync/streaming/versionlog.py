@@ -24,6 +24,8 @@ MANIFEST_SCHEMA = "bucket int, generation bigint, through_batch bigint, buckets
 ROWS_PER_BUCKET = 2_000_000
 #: Up to this many pending batches are read by their paths, which spares the listing of their files one folder at a time.
 BATCHES_BY_PATH = 1000
+#: Up to so many buckets are written by the tasks that compared the rows, each with a file per bucket; the rows of more are brought together first.
+FEW_BUCKETS = 16
 #: A bucket of so many parts is made one again by the next compaction that meets it.
 MOST_PARTS = 8
 
@@ -312,7 +314,7 @@ class VersionLog:
         rewritten = entries if dealt_anew else [*{*met, *(r for r in entries if r["bucket"] in changed & many)}]
         if rewritten:
             untouched, resolved = split_current(self._base(rewritten), pending, self.row_key, self._order)
-            # Rows read from one bucket's files go back to that bucket, so only the others move.
+            # Rows read from one bucket's files go back to that bucket.
             if dealt_anew:
                 untouched = self._by_bucket(untouched.withColumn("_bucket", bucket_of(self.row_key, buckets)), buckets)
                 resolved = resolved.withColumn("_bucket", bucket_of(self.row_key, buckets))
@@ -341,9 +343,9 @@ class VersionLog:
         return generation
 
     def _by_bucket(self, rows: DataFrame, buckets: int) -> DataFrame:
-        """Bring the rows of a bucket together, so that few files are written. At run time large
-        buckets are split over tasks and small ones merged."""
-        return rows.hint("rebalance", F.col("_bucket")) if buckets > 1 else rows
+        """Bring the rows of many buckets together, so that few files are written. At run time large
+        buckets are split over tasks and small ones merged. For few buckets a second shuffle of all rows would cost more than it saves."""
+        return rows.hint("rebalance", F.col("_bucket")) if buckets > FEW_BUCKETS else rows
 
     def vacuum(self) -> int:
         """Delete the batches and bucket folders that the current generation has made needless.

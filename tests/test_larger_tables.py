@@ -1,10 +1,15 @@
 """Queries on tables that have outgrown the given ones, and jobs that must stay whole."""
 
-from helpers import DATA, rows_of
+import re
+from dataclasses import replace
+
+from helpers import DATA, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from tablesync.functions.types import whole_type
+from tablesync.operators import versions
 from tablesync.plans.queries import ORACLES, QUERIES
+from tablesync.streaming.versionlog import VersionLog
 
 SMALL = f"{DATA}/sf0.001"
 
@@ -54,3 +59,31 @@ def test_returned_updates_tell_the_new_severity(spark):
     columns = ["id", "event_id", "severity", "given_type"]
     after = QUERIES["update_severity"](spark, SMALL).where("updated_at = TIMESTAMP_NTZ '2024-06-02 00:00:00'")
     assert returned.count() == 50 and rows_of(returned, *columns) == rows_of(after, *columns)
+
+
+def line_log(spark, folder, buckets=4):
+    rows = spark.range(0, 4000, 1, 8).selectExpr("CAST(id % 1500 AS INT) AS k", "CAST(id AS INT) AS v", "hex(id) AS p")
+    return rows, VersionLog(spark, folder, rows.schema, ["k"], "v", buckets, "t")
+
+
+def test_many_changed_keys_shuffle_the_base_once(spark, folder, monkeypatch):
+    monkeypatch.setattr(versions, "is_small", lambda *_: False)
+    rows, log = line_log(spark, folder)
+    log.append(rows.where("v < 2500"), 0)
+    log.commit(None, 0)
+    log.compact()
+    log.append(rows.where("v >= 2500"), 1)
+    log.commit(None, 1)
+    plan = plan_of(log.current())
+    assert "Join" not in plan and len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1
+    expected = rows_of(versions.newest(rows, ["k"], ["v"]))
+    assert rows_of(log.current()) == expected
+    wider = replace(log, buckets=8)
+    wider.compact()
+    assert rows_of(wider.current()) == expected and {b for b, _, _ in wider.manifest()} == set(range(8))
+
+
+def test_few_buckets_are_written_without_a_second_shuffle(spark, folder):
+    rows, log = line_log(spark, folder)
+    shuffled = lambda buckets: "Exchange" in plan_of(log._by_bucket(rows.withColumn("_bucket", F.col("k")), buckets))
+    assert not shuffled(4) and not shuffled(16) and shuffled(17)
