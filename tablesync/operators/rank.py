@@ -65,19 +65,18 @@ def _levels(low: int | None, high: int | None) -> tuple[int, list[int]]:
 PIVOTS = 1024
 
 
-def _cell(pivots: Column, key: Column) -> Column:
-    """Twice the number of pivots below the key, and one more if the key is a pivot: found by bisection."""
-    middle = lambda s: F.shiftright(s["low"] + s["high"], 1)
+def _with_cell(keys: DataFrame, pivots: Column) -> DataFrame:
+    """A column `cell`: twice the number of pivots below the key, and one more if the key is a pivot; found by bisection.
 
-    def halve(s: Column, _: Column) -> Column:
-        below = F.get(pivots, middle(s)) < key
-        low = F.when(below, middle(s) + 1).otherwise(s["low"]).alias("low")
-        return F.when(s["low"] < s["high"], F.struct(low, F.when(below, s["high"]).otherwise(middle(s)).alias("high"))).otherwise(s)
-
-    start = F.struct(F.lit(0).alias("low"), F.size(pivots).alias("high"))
-    steps = F.sequence(F.lit(1), F.lit((4 * PIVOTS).bit_length()))
-    low = F.aggregate(steps, start, halve, lambda s: s["low"])
-    return 2 * low + F.coalesce(F.get(pivots, low) == key, F.lit(False)).cast("int")
+    Every step is a projection of its own, which Spark compiles; a lambda over the steps would be interpreted for every row.
+    """
+    found = keys.withColumns({"all": pivots, "below": F.lit(0)})
+    for bit in reversed(range((4 * PIVOTS).bit_length())):
+        step = 1 << bit
+        higher = F.get("all", F.col("below") + (step - 1)) < F.col("key")
+        found = found.withColumn("below", F.col("below") + F.when(higher, step).otherwise(0))
+    is_pivot = F.coalesce(F.get("all", "below") == F.col("key"), F.lit(False)).cast("int")
+    return found.select((2 * F.col("below") + is_pivot).alias("cell"))
 
 
 def row_at_rank(rows: DataFrame, order: list[Column], rank: int, few: int) -> tuple[DataFrame, int] | None:
@@ -100,7 +99,7 @@ def row_at_rank(rows: DataFrame, order: list[Column], rank: int, few: int) -> tu
         pivots = settle(keys.sample(share, seed=turn).limit(4 * PIVOTS).distinct(), "pivots")
         listed = pivots.agg(F.array_sort(F.collect_list("key")).alias("all"))
         at = lambda i, listed=listed: listed.select(F.get("all", F.lit(i)).alias("key"))
-        counts = keys.withColumn("all", listed.scalar()).groupBy(_cell(F.col("all"), F.col("key")).alias("cell")).agg(F.count("*").alias("n"))
+        counts = _with_cell(keys, listed.scalar()).groupBy("cell").agg(F.count("*").alias("n"))
         for cell, n in sorted(map(tuple, counts.collect())):  # at most two a pivot, and one more
             if rank < n:
                 break

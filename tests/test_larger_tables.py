@@ -1,13 +1,14 @@
 """Queries on tables that have outgrown the given ones, and jobs that must stay whole."""
 
 import re
+from bisect import bisect_left
 from dataclasses import replace
 
 from helpers import DATA, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from tablesync.functions.types import whole_type
-from tablesync.operators import versions
+from tablesync.operators import rank, versions
 from tablesync.plans.queries import ORACLES, QUERIES
 from tablesync.streaming.versionlog import VersionLog
 
@@ -87,3 +88,13 @@ def test_few_buckets_are_written_without_a_second_shuffle(spark, folder):
     rows, log = line_log(spark, folder)
     shuffled = lambda buckets: "Exchange" in plan_of(log._by_bucket(rows.withColumn("_bucket", F.col("k")), buckets))
     assert not shuffled(4) and not shuffled(16) and shuffled(17)
+
+
+def test_cells_between_pivots_are_found_by_compiled_steps(spark):
+    pivots = [-3, 0, 1, 7, 7_000]
+    keys = spark.range(-10, 30).select(F.struct(F.col("id").alias("k0")).alias("key"))
+    listed = F.array(*[F.struct(F.lit(p).cast("bigint").alias("k0")) for p in pivots])
+    cells = rank._with_cell(keys, listed)
+    expected = [2 * bisect_left(pivots, k) + (k in pivots) for k in range(-10, 30)]
+    assert [r[0] for r in cells.collect()] == expected
+    assert "lambda" not in plan_of(cells)
