@@ -226,7 +226,8 @@ def verdict(model: Model, text_col: str = "text") -> Column:
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            parts = [model.predict(part) for part in array_chunks(pa.array(texts, pa.large_string(), from_pandas=True), 8 << 20)]
+            parts = [model.predict(part) for part in array_chunks(pa.array(texts, pa.large_string(), from_pandas=True))]
+            pa.default_memory_pool().release_unused()  # a worker serves many tasks, and Arrow keeps what was freed
             if parts:
                 yield pd.DataFrame({"lang": np.concatenate([p[0] for p in parts]), "score": np.concatenate([p[1] for p in parts])})
             else:
