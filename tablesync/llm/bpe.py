@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding by the ranks of a public vocabulary file.
 
 A text is cut into words by the tokenizer's pattern. A word is a row of byte pieces; a higher-order fold joins, again and
-again, the neighbouring pair whose bytes have the least rank in a literal rank map, until no pair has one. The
-map is a literal array of small maps, entered by the CRC-32 of the bytes, because a lookup walks through its map. Pieces and pairs
+again, the neighbouring pair whose bytes have the least rank in a rank map, until no pair has one. The
+map is an array of small maps, entered by the CRC-32 of the bytes, because a lookup walks through its map. Pieces and pairs
 are written as one character each, by their rank.
 
 Words are folded once where that pays: the most frequent words, at most `FREQUENT` of them, are folded first and
@@ -22,14 +22,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.session import settle, temporary
@@ -65,16 +64,20 @@ def sign(rank: int) -> str:
     return chr(FIRST + rank)
 
 
-def rank_tables(ranks: dict[bytes, int]) -> tuple[Column, Column]:
-    """Literals: the pieces of each bucket with the signs of their ranks, and the piece of every rank. A piece is a string with a character a byte."""
+def rank_tables(spark: SparkSession, ranks: dict[bytes, int]) -> tuple[Column, Column]:
+    """Subqueries: the pieces of each bucket with the signs of their ranks, and the piece of every rank. A piece is a string with a character a byte.
+
+    They are no literals, because Spark keeps the text of each plan it has run, literals and all, in the driver.
+    """
     buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
     pieces: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
     for piece, rank in ranks.items():
         text = piece.decode("latin-1")
         buckets[zlib.crc32(text.encode()) % BUCKETS][text] = sign(rank)
         pieces[rank] = text
-    spell_out = lambda x: F.lit(json.dumps(x, separators=(",", ":"), ensure_ascii=False))
-    return F.from_json(spell_out(buckets), "array<map<string,string>>"), F.from_json(spell_out(pieces), "array<string>")
+    by_piece = pa.array([[list(b.items()) for b in buckets]], pa.list_(pa.map_(pa.string(), pa.string())))
+    row = spark.createDataFrame(pa.table({"by_piece": by_piece, "by_rank": pa.array([pieces], pa.list_(pa.string()))}))
+    return row.select("by_piece").scalar(), row.select("by_rank").scalar()
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -82,9 +85,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def with_tables(tables: tuple[Column, Column], body: Callable[[Column, Column], Column]) -> Column:
-    """`body` of the tables of ranks, each of which then stands in the expression once."""
-    return let(tables[0], lambda by_piece: let(tables[1], lambda by_rank: body(by_piece, by_rank)))
+def with_tables(rows: DataFrame, tables: tuple[Column, Column], name: str, body: Callable[[Column, Column], Column]) -> DataFrame:
+    """The rows and, as column `name`, `body` of the tables of ranks.
+
+    Functions with lambdas take no subqueries, so the tables are columns first. Each is named once: Spark then makes one projection of the two, and no row carries a table.
+    """
+    told = let(F.col("by_piece"), lambda by_piece: let(F.col("by_rank"), lambda by_rank: body(by_piece, by_rank)))
+    return rows.select("*", tables[0].alias("by_piece"), tables[1].alias("by_rank")).select(*rows.columns, told.alias(name))
 
 
 def encode_word(word: Column, by_piece: Column, by_rank: Column, ranks: dict[bytes, int]) -> Column:
@@ -267,12 +274,12 @@ def assemble(ranks: dict[bytes, int], known_ids: pa.Array, with_ids: bool) -> Ca
 def encode(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, and with `with_ids` the array ids."""
     ranks = read_ranks(vocabulary_path)
-    tables = rank_tables(ranks)
+    tables = rank_tables(docs.sparkSession, ranks)
     split = docs.select(F.col(id_col).cast("long").alias("doc_id"), words_of(F.col(text_col), pattern).alias("words"))
     with temporary(docs.sparkSession):
         some = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(SHARE)) == 0)
         often = frequent_words(some.select(F.explode(words_of(F.col(text_col), pattern)).alias("word")), frequent).where(F.octet_length("word") <= LONG)
-        folded = settle(often.select("word", with_tables(tables, lambda p, b: encode_word(F.encode("word", "utf-8"), p, b, ranks)).alias("ids")), "frequent-words")
+        folded = settle(with_tables(often, tables, "ids", lambda p, b: encode_word(F.encode("word", "utf-8"), p, b, ranks)), "frequent-words")
         table = folded.toArrow().combine_chunks()  # at most `frequent` rows of LONG bytes
     words = pa.array([], pa.string()) if not len(table) else table.column("word").combine_chunks().cast(pa.string())
     ids = pa.array([], pa.list_(pa.int32())) if not len(table) else table.column("ids").combine_chunks()
@@ -281,8 +288,7 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "d
     blocks = settle(split.mapInArrow(pack(words), "docs array<long>, sizes array<int>, codes array<int>, rare array<binary>"), "word-codes")
     no_ids = F.array().cast("array<int>")
     each = lambda p, b: F.transform("rare", lambda w: F.when(F.length(w) <= LONG, encode_word(w, p, b, ranks)).otherwise(no_ids))
-    rare = with_tables(tables, each)
-    done = blocks.select("docs", "sizes", "codes", "rare", rare.alias("ids"))
+    done = with_tables(blocks, tables, "ids", each)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return done.mapInArrow(assemble(ranks, ids, with_ids), schema + ", ids array<int>" * with_ids)
 

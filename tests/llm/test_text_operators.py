@@ -46,6 +46,19 @@ def test_long_words_are_merged_as_short_ones():
         assert bpe.merge_long(word.encode(), ranks) == library.encode_ordinary(word)
 
 
+def test_byte_bpe_leaves_no_vocabulary_in_the_plans_that_spark_keeps(spark):
+    """The driver keeps the text of every plan it has run and of each of its nodes."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    listed = lambda kept: [kept.apply(i) for i in range(kept.size())]
+    earlier = {e.executionId() for e in listed(store.executionsList())}
+    docs = spark.createDataFrame([(1, "Words words words, zyzzyva and words again."), (2, "More words.")], "doc_id long, text string")
+    assert {r["doc_id"] for r in bpe.encode(docs, RANKS, public_tokenizers.PATTERN).collect()} == {1, 2}
+    spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty(30_000)
+    plans = [e.physicalPlanDescription() for e in listed(store.executionsList()) if e.executionId() not in earlier]
+    assert any("MapInArrow" in p for p in plans)
+    assert max(map(len, plans)) < 100_000
+
+
 def test_languages(spark):
     docs = documents(spark)
     got = {r["doc_id"]: r for r in langid.identify(docs, public_tokenizers.path("piece_bpe_32k.model")).collect()}
