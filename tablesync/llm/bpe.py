@@ -185,8 +185,8 @@ def pack(known: pa.Array) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             lists = batch.column("words")
             sizes = np.diff(lists.offsets.to_numpy())
             flat = lists.flatten().cast(pa.string())
-            byte_at = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]
-            ends = byte_at[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int64)
+            byte_at = np.concatenate([[0], np.cumsum(pc.binary_length(flat).to_numpy(), dtype=np.int64)])
+            ends = byte_at[np.concatenate([[0], np.cumsum(sizes)])]
             start = 0
             while start < batch.num_rows:
                 stop = max(start + 1, int(np.searchsorted(ends, ends[start] + CHUNK, side="right")) - 1)

@@ -46,6 +46,14 @@ def test_long_words_are_merged_as_short_ones():
         assert bpe.merge_long(word.encode(), ranks) == library.encode_ordinary(word)
 
 
+def test_byte_bpe_of_texts_without_words_alone(spark):
+    """A batch that holds empty texts and nothing else."""
+    docs = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string").coalesce(1)
+    for with_ids in (False, True):
+        got = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, with_ids=with_ids)
+        assert by_row(got, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == [(1, 0, sha(""), sha("")), (2, 0, sha(""), sha(""))]
+
+
 def test_byte_bpe_leaves_no_vocabulary_in_the_plans_that_spark_keeps(spark):
     """The driver keeps the text of every plan it has run and of each of its nodes."""
     store = spark._jsparkSession.sharedState().statusStore()
